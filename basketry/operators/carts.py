@@ -233,3 +233,25 @@ def delete_by_key(events: DataFrame, lines: DataFrame, bucket_us: int = 3_600_00
               .select("session_id", "barcode").distinct())
     return (lines.join(clears, "session_id", "left_anti")
                  .join(gone, ["session_id", "barcode"], "left_anti"))
+
+
+def accepted_help_requests(events: DataFrame, access: DataFrame, sessions: DataFrame,
+                           id_format: str = "long") -> DataFrame:
+    """Help requests whose session check passes (J2: owner matches and the
+    session is ACTIVE) become ``help.requested`` event rows; no aisle -> 0;
+    a missing user becomes '' and fails the check as INVALID_ARGUMENT."""
+    from basketry.functions.columns import iso_instant
+    from basketry.operators.sessions import session_access_check
+    help_ev = events.where(F.col("kind") == "HELP").select("event_id", "event_time", "session_id", "aisle_number")
+    hdr = access.select("event_id", "header_user_id")
+    req = (help_ev.join(hdr, "event_id", "left")
+                  .withColumn("session_text", F.col("session_id").cast("string"))
+                  .withColumn("user_text", F.coalesce(F.col("header_user_id").cast("string"), F.lit(""))))
+    chk = session_access_check(req, sessions, id_format)
+    ok = chk.where(F.col("valid"))
+    value = F.to_json(F.struct(F.col("session_id").cast("string").alias("sessionId"),
+                               F.coalesce(F.col("aisle_number"), F.lit(0)).alias("aisleNumber"),
+                               F.col("header_user_id").alias("userId"),
+                               iso_instant("event_time").alias("timestamp")))
+    return ok.select("event_id", F.lit("help.requested").alias("topic"),
+                     F.col("session_id").cast("string").alias("key"), value.alias("value"))

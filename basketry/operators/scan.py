@@ -73,6 +73,29 @@ def first_by_order(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
                    cols: Sequence[str], prefix: str = "first_") -> DataFrame:
     """Per key, the values of ``cols`` on the earliest row: a partial aggregate
     (``min`` of a struct), so hot keys are pre-aggregated map-side."""
-    s = F.min(F.struct(F.col(ts), F.col(tiebreak), *[F.col(c) for c in cols])).alias("_first")
+    s = F.min(F.struct(F.col(ts).alias("_o_ts"), F.col(tiebreak).alias("_o_tb"),
+                       *[F.col(c).alias(c) for c in cols])).alias("_first")
     g = df.groupBy(*keys).agg(s)
     return g.select(*keys, *[F.col("_first." + c).alias(prefix + c) for c in cols])
+
+
+def prev_value(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, cols: Sequence[str],
+               prefix: str = "prev_", bucket_us: int = HOUR_US) -> DataFrame:
+    """``lag`` of ``cols`` per key ordered by (ts, tiebreak), in two levels like
+    ``prefix_scan``: a local lag per (key, bucket), and for the first row of a
+    bucket the last row of the previous non-empty bucket (from a small
+    per-bucket summary)."""
+    keys = list(keys)
+    b = "_pb"
+    d = df.withColumn(b, F.floor(epoch_micros(ts) / F.lit(bucket_us)))
+    w = Window.partitionBy(*keys, b).orderBy(F.col(ts), F.col(tiebreak))
+    d = d.withColumn("_pfirst", F.lag(F.lit(1)).over(w).isNull())
+    for c in cols:
+        d = d.withColumn("_plag_" + c, F.lag(c).over(w))
+    last = d.groupBy(*keys, b).agg(F.max(F.struct(F.col(ts), F.col(tiebreak), *[F.col(c) for c in cols])).alias("_plast"))
+    wb = Window.partitionBy(*keys).orderBy(b)
+    carry = last.withColumn("_pcarry", F.lag("_plast").over(wb)).drop("_plast")
+    j = d.join(carry, on=[*keys, b], how="inner")
+    for c in cols:
+        j = j.withColumn(prefix + c, F.when(F.col("_pfirst"), F.col("_pcarry." + c)).otherwise(F.col("_plag_" + c)))
+    return j.drop(b, "_pfirst", "_pcarry", *["_plag_" + c for c in cols])

@@ -171,3 +171,264 @@ select * from cart_lines l
 where not exists (select 1 from cart_events c where c.kind = 'CLEAR' and c.session_id = l.session_id)
   and not exists (select 1 from w1 where w1.kind = 'REMOVE' and not w1.rejected and w1.quantity = 0
                   and w1.session_id = l.session_id and w1.barcode = l.barcode)""")
+
+
+# --- shared SQL fragments ------------------------------------------------------------
+
+def _pads_hex(secret: str, bits: int = 256) -> tuple[str, str]:
+    import hashlib
+
+    from basketry.functions.columns import _hmac_pads
+    block, digest = (64, hashlib.sha256) if bits == 256 else (128, hashlib.sha512)
+    i, o = _hmac_pads(secret, block, digest)
+    return i.hex(), o.hex()
+
+
+def hmac_sql(msg: str, secret: str) -> str:
+    """base64(HMAC-SHA256(secret, msg)) in DuckDB SQL."""
+    i, o = _pads_hex(secret)
+    return (f"to_base64(unhex(sha256(from_hex('{o}') || unhex(sha256(from_hex('{i}') || encode({msg}))))))")
+
+
+def iso_sql(ts: str) -> str:
+    us = f"(epoch_us({ts}) % 1000000)"
+    return (f"(strftime({ts}, '%Y-%m-%dT%H:%M:%S') || case when {us} = 0 then '' "
+            f"when {us} % 1000 = 0 then '.' || lpad(cast({us} // 1000 as varchar), 3, '0') "
+            f"else '.' || lpad(cast({us} as varchar), 6, '0') end || 'Z')")
+
+
+def uuid_sql(text: str) -> str:
+    h = f"sha256({text})"
+    return (f"(substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4) || '-' || "
+            f"substr({h}, 17, 4) || '-' || substr({h}, 21, 12))")
+
+
+def token_cols_sql(session: str, user: str, ttype: str, now: str, secret: str) -> str:
+    exp = f"({now} + interval '24' hour)"
+    payload = (f"cast(json_object('sessionId', cast({session} as varchar), 'userId', {user}, "
+               f"'type', {ttype}, 'expiresAt', {iso_sql(exp)}) as varchar)")
+    corr = uuid_sql(f"'qr:' || cast({session} as varchar) || ':' || {ttype}")
+    return (f"{corr} as correlation_id, {ttype} as token_type, {payload} as payload, "
+            f"'hmac:' || {hmac_sql(payload, secret)} as signature, 1 as key_version, "
+            f"{exp} as expires_at, 'ACTIVE' as status")
+
+
+from basketry.operators.sessions import DEFAULT_QR_SECRET as _QS  # noqa: E402
+from basketry.plans.registry import LOG_AS_OF, QR_AS_OF  # noqa: E402
+
+_EDGES = """edges as (select * from (values ('CREATED', 'ACTIVE'), ('CREATED', 'CANCELLED'), ('ACTIVE', 'PAYING'),
+  ('ACTIVE', 'CANCELLED'), ('PAYING', 'COMPLETED'), ('PAYING', 'CANCELLED')) t(from_state, to_state))"""
+
+_CHAIN = """chain as (
+  select event_id, event_time, session_id,
+         coalesce(lag(target) over (partition by session_id order by event_time, event_id), 'CREATED') as from_state,
+         target as to_state
+  from session_log)"""
+
+sql("transition_check", f"""
+with {_EDGES}, {_CHAIN}
+select c.event_id, c.event_time, c.session_id, c.from_state, c.to_state, e.from_state is not null as legal,
+       case when e.from_state is null then 'Cannot transition from ' || c.from_state || ' to ' || c.to_state end as message
+from chain c left join edges e on e.from_state = c.from_state and e.to_state = c.to_state""")
+
+sql("illegal_edges", f"""
+with {_EDGES}, {_CHAIN}
+select from_state, to_state, count(*) as n from chain c
+where not exists (select 1 from edges e where e.from_state = c.from_state and e.to_state = c.to_state)
+group by from_state, to_state""")
+
+_CUR = "regexp_extract(a, '[A-Z]+$')"
+_REPLAY = f"""
+folded as (
+  select session_id, list(event_id order by event_time, event_id) as ids,
+         list_reduce(list(target order by event_time, event_id),
+           lambda a, x: a || '|' || case
+             when ({_CUR} = 'CREATED' and x in ('ACTIVE', 'CANCELLED'))
+               or ({_CUR} = 'ACTIVE' and x in ('PAYING', 'CANCELLED'))
+               or ({_CUR} = 'PAYING' and x in ('COMPLETED', 'CANCELLED')) then x
+             else {_CUR} end,
+           'CREATED') as states
+  from session_log group by session_id),
+per as (
+  select session_id, unnest(ids) as event_id, unnest(range(1, len(ids) + 1)) as i,
+         string_split(states, '|') as st
+  from folded),
+replay as (
+  select l.event_id, l.event_time, l.session_id, l.user_id, l.target,
+         p.st[p.i] as from_state, p.st[p.i] <> p.st[p.i + 1] as accepted, p.st[p.i + 1] as to_state,
+         p.st[len(p.st)] as final_state
+  from session_log l join per p on p.event_id = l.event_id)"""
+
+sql("session_replay", f"with {_REPLAY} select * from replay")
+
+_AUDIT = _REPLAY + """,
+audit as (select event_id, event_time as transitioned_at, session_id, user_id, from_state, to_state
+          from replay where accepted)"""
+
+sql("transition_chain_audit", f"""
+with {_EDGES}, {_AUDIT}
+select a.event_id, a.transitioned_at, a.session_id, a.from_state, a.to_state,
+       a.from_state = coalesce(lag(a.to_state) over (partition by a.session_id order by a.transitioned_at, a.event_id),
+                               'CREATED') as chain_ok,
+       exists (select 1 from edges e where e.from_state = a.from_state and e.to_state = a.to_state) as edge_ok
+from audit a""")
+
+sql("state_dwell_time", f"""
+with {_AUDIT},
+d as (select to_state, transitioned_at,
+             lead(transitioned_at) over (partition by session_id order by transitioned_at, event_id) as left_at
+      from audit)
+select to_state as state, count(*) as n,
+       round(avg((epoch_us(left_at) - epoch_us(transitioned_at)) / 1e6), 3) as avg_secs,
+       min((epoch_us(left_at) - epoch_us(transitioned_at)) / 1e6) as min_secs,
+       max((epoch_us(left_at) - epoch_us(transitioned_at)) / 1e6) as max_secs
+from d where left_at is not null group by to_state""")
+
+sql("stuck_payments", f"""
+with {_REPLAY}
+select session_id, event_time as paying_since from replay
+where final_state = 'PAYING' and accepted and target = 'PAYING'
+  and event_time < timestamp '{LOG_AS_OF}' - interval '15' minute""")
+
+sql("payment_receipts", f"""
+with {_REPLAY}
+select session_id, user_id, event_time as paid_at,
+       cast(json_object('sessionId', session_id, 'userId', user_id, 'paidAt', {iso_sql('event_time')}) as varchar) as paid_event,
+       cast(json_object('sessionId', session_id, 'completedAt', {iso_sql('event_time')}) as varchar) as completed_event,
+       {token_cols_sql('session_id', 'user_id', "'EXIT'", 'event_time', _QS)}
+from replay where accepted and target = 'COMPLETED'""")
+
+sql("issue_tokens", f"""
+select session_id, user_id,
+       {token_cols_sql('session_id', 'user_id', "case when status = 'COMPLETED' then 'EXIT' else 'ENTRY' end", 'created_at', _QS)}
+from sessions""")
+
+sql("resolve_user", """
+select event_id, path, coalesce(header_user_id, param_user_id) as user_id,
+       case when coalesce(header_user_id, param_user_id) is null then 'missing_user' else 'ok' end as outcome
+from access_log""")
+
+_SID = uuid_sql("'session:' || cast(event_id as varchar)")
+sql("start_sessions", f"""
+with s as (
+  select event_id, {_SID} as session_id, coalesce(header_user_id, param_user_id) as user_id,
+         cast(1 as bigint) as store_id, 'CREATED' as status, event_time as created_at,
+         event_time + interval '24' hour as expires_at
+  from access_log where starts_with(path, '/api/sessions/') and coalesce(header_user_id, param_user_id) is not null)
+select s.*, {token_cols_sql('session_id', 'user_id', "'ENTRY'", 'created_at', _QS)} from s""")
+
+_STORED = f"""stored as (
+  select *, 'hmac:' || {hmac_sql("case when tampered then payload || '#' else payload end", _QS)} as vault_signature
+  from qr_tokens)"""
+
+_CHECKED = _STORED + f""",
+checked as (
+  select r.request_id, r.requested_at, r.correlation_id, r.gate, t.session_id, t.status as token_status,
+         case when t.session_id is null then 'not_found'
+              when t.status <> 'ACTIVE' then 'not_active'
+              when timestamp '{QR_AS_OF}' > t.expires_at then 'expired'
+              when not (starts_with(t.vault_signature, 'hmac:')
+                        and t.vault_signature = 'hmac:' || {hmac_sql('t.payload', _QS)}) then 'bad_signature'
+              else 'ok' end as verdict
+  from gate_requests r left join stored t on t.correlation_id = r.correlation_id)"""
+
+sql("validate_tokens", f"with {_CHECKED} select * from checked")
+
+
+def _gate_sql(gate: str, need: str) -> str:
+    return f"""
+with {_CHECKED},
+c as (select k.*, s.status as session_status,
+             (k.verdict = 'ok' and s.status = '{need}') as can, k.verdict = 'expired' as exp
+      from checked k left join sessions s on s.session_id = k.session_id where k.gate = '{gate}'),
+fc as (select correlation_id, request_id as first_can from (
+         select *, row_number() over (partition by correlation_id order by requested_at, request_id) as rn
+         from c where can) x where rn = 1),
+fe as (select correlation_id, request_id as first_exp from (
+         select *, row_number() over (partition by correlation_id order by requested_at, request_id) as rn
+         from c where exp) x where rn = 1),
+g as (select c.*, coalesce(fc.first_can = c.request_id, false) as used_now,
+             coalesce(fc.first_can <> c.request_id, false) as used_before,
+             coalesce(fe.first_exp <> c.request_id, false) as expired_before
+      from c left join fc on fc.correlation_id = c.correlation_id
+             left join fe on fe.correlation_id = c.correlation_id)"""
+
+
+sql("gate_entry", _gate_sql("entry", "CREATED") + """
+select request_id, correlation_id, session_id,
+       case when used_before then 'not_active'
+            when exp and expired_before then 'not_active'
+            when verdict = 'ok' and session_status <> 'CREATED' then 'illegal_transition'
+            else verdict end as outcome,
+       used_now as token_used
+from g""")
+
+sql("gate_exit", _gate_sql("exit", "COMPLETED") + """,
+h as (select *, case when used_before then 'not_active' when exp and expired_before then 'not_active'
+                     else verdict end as st from g)
+select request_id, correlation_id, case when st = 'ok' then session_id end as session_id,
+       coalesce(st = 'ok' and session_status = 'COMPLETED', false) as valid,
+       case when st = 'ok' and session_status = 'COMPLETED' then 'Exit authorized'
+            when st = 'ok' then 'Session is not in COMPLETED state'
+            when st = 'not_found' then 'QR token not found'
+            when st = 'not_active' then 'QR token is not active'
+            when st = 'expired' then 'QR token has expired'
+            else 'QR token signature verification failed' end as message,
+       used_now as token_used
+from h""")
+
+_PLONG = "case when regexp_matches({c}, '^[+-]?[0-9]+$') then try_cast({c} as bigint) end"
+
+sql("session_access_check", f"""
+with r as (
+  select event_id, session_text, user_text, {_PLONG.format(c='session_text')} as sid,
+         {_PLONG.format(c='user_text')} as uid
+  from access_log where starts_with(path, '/api/cart/')),
+j as (select r.*, s.user_id as owner, s.status from r left join sessions s on s.session_id = r.sid),
+o as (select *, case when sid is null or uid is null then 'INVALID_ARGUMENT' when owner is null then 'NOT_FOUND'
+                     when owner <> uid then 'PERMISSION_DENIED' else 'OK' end as outcome from j)
+select event_id, session_text, user_text, outcome, coalesce(outcome = 'OK' and status = 'ACTIVE', false) as valid
+from o""")
+
+sql("accepted_help_requests", f"""
+with h as (
+  select e.event_id, e.event_time, e.session_id, e.aisle_number, a.header_user_id,
+         cast(e.session_id as varchar) as session_text,
+         coalesce(cast(a.header_user_id as varchar), '') as user_text
+  from cart_events e left join access_log a on a.event_id = e.event_id where e.kind = 'HELP'),
+j as (select h.*, s.user_id as owner, s.status,
+             {_PLONG.format(c='user_text')} as uid from h left join sessions s on s.session_id = h.session_id)
+select event_id, 'help.requested' as topic, cast(session_id as varchar) as key,
+       cast(json_object('sessionId', cast(session_id as varchar), 'aisleNumber', coalesce(aisle_number, 0),
+                        'userId', header_user_id, 'timestamp', {iso_sql('event_time')}) as varchar) as value
+from j where uid is not null and owner is not null and owner = uid and status = 'ACTIVE'""")
+
+sql("verify_owner", """
+with r as (
+  select event_id, try_cast(regexp_extract(path, '^/api/sessions/([0-9]+)', 1) as bigint) as session_id,
+         coalesce(header_user_id, param_user_id) as user_id
+  from access_log where starts_with(path, '/api/sessions/'))
+select r.*, exists (select 1 from sessions s where s.session_id = r.session_id and s.user_id = r.user_id) as visible
+from r""")
+
+sql("exit_token_eligibility", f"""
+with r as (
+  select event_id, event_time, session_text, {_PLONG.format(c='session_text')} as sid
+  from access_log where starts_with(path, '/api/sessions/')),
+j as (select r.*, s.status from r left join sessions s on s.session_id = r.sid),
+o as (select *, case when sid is null then 'INVALID_ARGUMENT' when status is null then 'NOT_FOUND'
+                     when status <> 'COMPLETED' then 'FAILED_PRECONDITION' else 'OK' end as outcome from j)
+select event_id, session_text, outcome,
+       case when outcome = 'OK' then {uuid_sql("'exit:' || cast(event_id as varchar)")} end as correlation_id,
+       case when outcome = 'OK' then epoch_us(event_time + interval '24' hour) // 1000 end as expires_at_epoch
+from o""")
+
+sql("session_view", "select session_id, user_id, status, created_at from sessions")
+
+sql("sessions_by_user_status", """
+select s.* from sessions s
+where s.status = 'ACTIVE' and exists (select 1 from users u where u.id = s.user_id)""")
+
+sql("expired_sessions", f"""
+select * from sessions
+where expires_at < timestamp '{QR_AS_OF}' and status not in ('COMPLETED', 'CANCELLED')""")

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.operators import carts
+from basketry.operators import carts, sessions as sess
 from basketry.sources.tables import Views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,126 @@ def q_cart_ttl_view(spark, sf_dir):
 def q_delete_by_key(spark, sf_dir):
     v = _v(spark, sf_dir)
     return carts.delete_by_key(v.cart_events, v.cart_lines)
+
+
+@query("accepted_help_requests")
+def q_accepted_help_requests(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return carts.accepted_help_requests(v.cart_events, v.access_log, v.sessions)
+
+
+# --- sessions ----------------------------------------------------------------------
+
+QR_AS_OF = "1998-04-15 00:00:00"
+LOG_AS_OF = "2024-01-30 00:00:00"
+
+
+@query("transition_check")
+def q_transition_check(spark, sf_dir):
+    return sess.transition_check(spark, sess.naive_chain(_v(spark, sf_dir).session_log))
+
+
+@query("illegal_edges")
+def q_illegal_edges(spark, sf_dir):
+    return sess.illegal_edges(spark, sess.naive_chain(_v(spark, sf_dir).session_log))
+
+
+@query("session_replay")
+def q_session_replay(spark, sf_dir):
+    return sess.session_replay(_v(spark, sf_dir).session_log)
+
+
+@query("transition_chain_audit")
+def q_transition_chain_audit(spark, sf_dir):
+    return sess.transition_chain_audit(spark, sess.transition_audit(_v(spark, sf_dir).session_log))
+
+
+@query("state_dwell_time")
+def q_state_dwell_time(spark, sf_dir):
+    return sess.state_dwell_time(sess.transition_audit(_v(spark, sf_dir).session_log))
+
+
+@query("stuck_payments")
+def q_stuck_payments(spark, sf_dir):
+    return sess.stuck_payments(_v(spark, sf_dir).session_log, LOG_AS_OF)
+
+
+@query("payment_receipts")
+def q_payment_receipts(spark, sf_dir):
+    return sess.payment_receipts(_v(spark, sf_dir).session_log)
+
+
+@query("issue_tokens")
+def q_issue_tokens(spark, sf_dir):
+    return sess.issue_tokens(_v(spark, sf_dir).sessions)
+
+
+@query("resolve_user")
+def q_resolve_user(spark, sf_dir):
+    return sess.resolve_user(_v(spark, sf_dir).access_log)
+
+
+@query("start_sessions")
+def q_start_sessions(spark, sf_dir):
+    return sess.start_sessions(_v(spark, sf_dir).access_log)
+
+
+@query("validate_tokens")
+def q_validate_tokens(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return sess.validate_tokens(v.gate_requests, sess.stored_qr_tokens(v.qr_tokens), QR_AS_OF)
+
+
+@query("gate_entry")
+def q_gate_entry(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return sess.gate_entry(v.gate_requests, sess.stored_qr_tokens(v.qr_tokens), v.sessions, QR_AS_OF)
+
+
+@query("gate_exit")
+def q_gate_exit(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return sess.gate_exit(v.gate_requests, sess.stored_qr_tokens(v.qr_tokens), v.sessions, QR_AS_OF)
+
+
+def _cart_access(v):
+    a = v.access_log.where(F.col("path").startswith("/api/cart/"))
+    return a.select("event_id", "session_text", "user_text")
+
+
+@query("session_access_check")
+def q_session_access_check(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return sess.session_access_check(_cart_access(v), v.sessions)
+
+
+@query("verify_owner")
+def q_verify_owner(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    a = v.access_log.where(F.col("path").startswith("/api/sessions/"))
+    req = a.select("event_id", carts.path_key("path", "/api/sessions/").alias("session_id"),
+                   F.coalesce("header_user_id", "param_user_id").alias("user_id"))
+    return sess.verify_owner(req, v.sessions)
+
+
+@query("exit_token_eligibility")
+def q_exit_token_eligibility(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    a = v.access_log.where(F.col("path").startswith("/api/sessions/"))
+    return sess.exit_token_eligibility(a.select("event_id", "event_time", "session_text"), v.sessions)
+
+
+@query("session_view")
+def q_session_view(spark, sf_dir):
+    return sess.session_view(_v(spark, sf_dir).sessions)
+
+
+@query("sessions_by_user_status")
+def q_sessions_by_user_status(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return sess.sessions_by_user_status(v.users, v.sessions)
+
+
+@query("expired_sessions")
+def q_expired_sessions(spark, sf_dir):
+    return sess.expired_sessions(_v(spark, sf_dir).sessions, QR_AS_OF)

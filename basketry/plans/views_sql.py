@@ -104,6 +104,11 @@ select s.s_suppkey as query_id,
              end) as query,
        cast(s.s_suppkey % 4 + 2 as int) as lim
 from supplier s left join part p on (s.s_suppkey * 7) % 2000 = p.p_partkey""",
+    "gate_requests": """
+select event_id as request_id, ts as requested_at,
+       'corr-' || cast(event_id * 3 % 20000 as varchar) as correlation_id,
+       case when event_type in ('view', 'click') then 'entry' else 'exit' end as gate
+from events""",
 }
 
 # views that read other views

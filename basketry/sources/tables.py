@@ -232,12 +232,22 @@ def search_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(k.alias("query_id"), F.upper(q).alias("query"), (k % 4 + 2).cast("int").alias("lim"))
 
 
+def gate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gate scans of QR correlation ids (some unknown, some repeated), from ``events``."""
+    e = read_table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    return e.select(
+        eid.alias("request_id"), F.col("ts").alias("requested_at"),
+        F.concat(F.lit("corr-"), (eid * 3 % 20000).cast("string")).alias("correlation_id"),
+        F.when(F.col("event_type").isin("view", "click"), "entry").otherwise("exit").alias("gate"))
+
+
 ADAPTERS = {
     "catalog": catalog, "cart_lines": cart_lines, "sessions": sessions,
     "cart_events": cart_events, "session_log": session_log, "token_log": token_log,
     "tokens": tokens, "qr_tokens": qr_tokens, "users": users, "access_log": access_log,
     "raw_products": raw_products, "barcode_requests": barcode_requests,
-    "search_requests": search_requests,
+    "search_requests": search_requests, "gate_requests": gate_requests,
 }
 
 
