@@ -92,7 +92,8 @@ def prev_value(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, cols:
     d = d.withColumn("_pfirst", F.lag(F.lit(1)).over(w).isNull())
     for c in cols:
         d = d.withColumn("_plag_" + c, F.lag(c).over(w))
-    last = d.groupBy(*keys, b).agg(F.max(F.struct(F.col(ts), F.col(tiebreak), *[F.col(c) for c in cols])).alias("_plast"))
+    last = d.groupBy(*keys, b).agg(F.max(F.struct(F.col(ts).alias("_o_ts"), F.col(tiebreak).alias("_o_tb"),
+                                                  *[F.col(c).alias(c) for c in cols])).alias("_plast"))
     wb = Window.partitionBy(*keys).orderBy(b)
     carry = last.withColumn("_pcarry", F.lag("_plast").over(wb)).drop("_plast")
     j = d.join(carry, on=[*keys, b], how="inner")

@@ -432,3 +432,119 @@ where s.status = 'ACTIVE' and exists (select 1 from users u where u.id = s.user_
 sql("expired_sessions", f"""
 select * from sessions
 where expires_at < timestamp '{QR_AS_OF}' and status not in ('COMPLETED', 'CANCELLED')""")
+
+
+# --- tokens --------------------------------------------------------------------------
+
+_P = "split_part(a, ';', {})"
+_FOLD = f"""
+stored as (select *, sha256(token) as token_hash from tokens),
+ev as (
+  select l.event_id, l.event_time, l.kind, l.token, s.family_id as t_family, s.user_id, s.revoked as init_revoked,
+         s.expires_at < l.event_time as expired, s.family_id is not null as known
+  from token_log l left join stored s on s.token_hash = sha256(l.token)),
+fam as (
+  select t_family,
+         list(event_id order by event_time, event_id) as ids,
+         list_reduce(list({{'kind': kind, 'token': token, 'init_revoked': init_revoked, 'expired': expired}}
+                          order by event_time, event_id),
+           lambda a, x: case
+             when x.kind = 'LOGOUT' then 'C;' || {_P.format(2)} || ';' || {_P.format(3)} || ',logged_out'
+             when x.init_revoked or {_P.format(1)} = 'C' or contains({_P.format(2)}, '|' || x.token || '|')
+               then 'C;' || {_P.format(2)} || ';' || {_P.format(3)} || ',reuse'
+             when x.expired then {_P.format(1)} || ';' || {_P.format(2)} || ';' || {_P.format(3)} || ',expired'
+             else {_P.format(1)} || ';' || {_P.format(2)} || x.token || '|;' || {_P.format(3)} || ',rotate' end,
+           'N;|;') as acc
+  from ev where known group by t_family),
+per as (
+  select t_family, unnest(ids) as event_id, unnest(range(1, len(ids) + 1)) as i,
+         string_split(split_part(acc, ';', 3), ',') as outs, split_part(acc, ';', 2) as rotated_set
+  from fam),
+hist as (
+  select e.event_id, e.event_time, e.kind, e.token, e.t_family as family_id, e.user_id,
+         case when not e.known then 'invalid' else p.outs[p.i + 1] end as outcome
+  from ev e left join per p on p.event_id = e.event_id),
+firstc as (
+  select family_id, event_time, event_id, outcome from (
+    select *, row_number() over (partition by family_id order by event_time, event_id) as rn
+    from hist where outcome in ('reuse', 'logged_out')) x where rn = 1),
+final as (
+  select s.token, s.family_id, s.user_id,
+         case when s.revoked then s.revocation_reason
+              when contains(f.rotated_set, '|' || s.token || '|') then 'ROTATED'
+              when c.outcome = 'reuse' then 'REUSE_DETECTED'
+              when c.outcome = 'logged_out' then 'LOGOUT' end as revocation_reason
+  from stored s
+  left join (select distinct t_family, rotated_set from per) f on f.t_family = s.family_id
+  left join firstc c on c.family_id = s.family_id)"""
+
+sql("refresh_outcomes", f"""
+with {_FOLD}
+select event_id, event_time, token, family_id, outcome from hist where kind = 'PRESENT'""")
+
+sql("reuse_detection", f"""
+with {_FOLD}
+select family_id, event_time as compromised_at, event_id as reuse_event_id from firstc where outcome = 'reuse'""")
+
+sql("logout_revocation", f"""
+with {_FOLD}
+select event_id, event_time, token, family_id, case when family_id is null then 'invalid' else 'ok' end as outcome
+from hist where kind = 'LOGOUT'""")
+
+sql("family_revoke", f"""
+with {_FOLD}
+select token, family_id, user_id, revocation_reason is not null as revoked, revocation_reason from final""")
+
+sql("revoked_per_family", f"""
+with {_FOLD}
+select family_id, revocation_reason as reason, count(*) as revoked_count from final
+where revocation_reason in ('REUSE_DETECTED', 'LOGOUT') group by family_id, revocation_reason""")
+
+sql("rotation_lineage", """
+select token, family_id, created_at,
+       row_number() over (partition by family_id order by created_at, token) as generation,
+       lag(token) over (partition by family_id order by created_at, token) as prev_token,
+       lead(token) over (partition by family_id order by created_at, token) as next_token
+from tokens""")
+
+sql("issue_refresh_tokens", f"""
+with {_FOLD},
+both_ as (
+  select event_id, event_time, header_user_id as user_id,
+         {uuid_sql("'family:' || cast(event_id as varchar)")} as family_id
+  from access_log where starts_with(path, '/api/auth/') and header_user_id is not null
+  union all
+  select event_id, event_time, user_id, cast(family_id as varchar) from hist where outcome = 'rotate')
+select event_id, sha256({uuid_sql("'refresh:' || cast(event_id as varchar)")}) as token_hash, family_id, user_id,
+       event_time as created_at, event_time + interval '7' day as expires_at, false as revoked
+from both_""")
+
+sql("token_with_session", """
+select q.correlation_id, q.session_id, q.token_type, q.status, s.user_id, s.status as session_status
+from qr_tokens q join sessions s on s.session_id = q.session_id""")
+
+sql("tokens_by_family", """
+select * from tokens t
+where exists (select 1 from token_log l where l.kind = 'LOGOUT' and l.family_id = t.family_id)""")
+
+sql("hash_tokens", "select token, sha256(token) as token_hash from tokens")
+
+sql("sign_verify", f"""
+with {_STORED}
+select correlation_id, vault_signature,
+       coalesce(starts_with(vault_signature, 'hmac:') and vault_signature = 'hmac:' || {hmac_sql('payload', _QS)},
+                false) as valid
+from stored""")
+
+_DEC = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+sql("parse_price", f"""
+with t as (
+  select p_partkey,
+         case p_partkey % 4 when 0 then cast(cast(p_retailprice as decimal(19,2)) as varchar)
+              when 1 then ' ' || cast(cast(p_retailprice as decimal(19,2)) as varchar) || ' '
+              when 2 then 'n/a' else '' end as price_text
+  from part)
+select p_partkey, price_text,
+       coalesce(case when regexp_matches(price_text, '{_DEC}') then try_cast(price_text as decimal(19,4)) end,
+                cast(0 as decimal(19,4))) as price
+from t""")

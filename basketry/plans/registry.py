@@ -229,3 +229,82 @@ def q_sessions_by_user_status(spark, sf_dir):
 @query("expired_sessions")
 def q_expired_sessions(spark, sf_dir):
     return sess.expired_sessions(_v(spark, sf_dir).sessions, QR_AS_OF)
+
+
+# --- tokens ------------------------------------------------------------------------
+
+from basketry.operators import tokens as tok  # noqa: E402
+
+
+@query("refresh_outcomes")
+def q_refresh_outcomes(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return tok.refresh_outcomes(v.token_log, v.tokens)
+
+
+@query("reuse_detection")
+def q_reuse_detection(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return tok.reuse_detection(v.token_log, v.tokens)
+
+
+@query("logout_revocation")
+def q_logout_revocation(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return tok.logout_revocation(v.token_log, v.tokens)
+
+
+@query("family_revoke")
+def q_family_revoke(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return tok.family_revoke(v.token_log, v.tokens)
+
+
+@query("revoked_per_family")
+def q_revoked_per_family(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return tok.revoked_per_family(v.token_log, v.tokens)
+
+
+@query("rotation_lineage")
+def q_rotation_lineage(spark, sf_dir):
+    return tok.rotation_lineage(_v(spark, sf_dir).tokens)
+
+
+@query("issue_refresh_tokens")
+def q_issue_refresh_tokens(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return tok.issue_refresh_tokens(v.access_log, v.token_log, v.tokens)
+
+
+@query("token_with_session")
+def q_token_with_session(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return tok.token_with_session(v.qr_tokens, v.sessions)
+
+
+@query("tokens_by_family")
+def q_tokens_by_family(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return tok.tokens_by_family(v.token_log, v.tokens)
+
+
+@query("hash_tokens")
+def q_hash_tokens(spark, sf_dir):
+    return tok.hash_tokens(_v(spark, sf_dir).tokens)
+
+
+@query("sign_verify")
+def q_sign_verify(spark, sf_dir):
+    return tok.sign_verify(sess.stored_qr_tokens(_v(spark, sf_dir).qr_tokens))
+
+
+@query("parse_price")
+def q_parse_price(spark, sf_dir):
+    return tok.parse_prices(_v(spark, sf_dir).part)
+
+
+@query("token_audit")
+def q_token_audit(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return tok.token_audit(tok.bearer_headers(v.access_log, v.users))
