@@ -548,3 +548,172 @@ select p_partkey, price_text,
        coalesce(case when regexp_matches(price_text, '{_DEC}') then try_cast(price_text as decimal(19,4)) end,
                 cast(0 as decimal(19,4))) as price
 from t""")
+
+
+# --- access --------------------------------------------------------------------------
+
+def _blank(c: str) -> str:
+    return f"({c} is null or regexp_matches({c}, '^\\s*$'))"
+
+
+_EMAIL_OK = "regexp_matches(email, '^[^@\\s]+@[^@\\s]+$')"
+_RULES = [
+    ("email", _blank("email"), "must not be blank"),
+    ("email", f"not {_blank('email')} and not {_EMAIL_OK}", "must be a well-formed email address"),
+    ("email", "length(email) > 100", "size must be between 0 and 100"),
+    ("username", _blank("username"), "must not be blank"),
+    ("username", "not (length(username) between 3 and 50)", "size must be between 3 and 50"),
+    ("password", _blank("password"), "must not be blank"),
+    ("password", "not (length(password) between 8 and 100)", "size must be between 8 and 100"),
+]
+_ERRS = "concat_ws(', ', " + ", ".join(
+    f"case when coalesce({c}, false) then '{f}: {m}' end" for f, c, m in _RULES) + ")"
+
+sql("validate_requests", f"""
+select request_id, email, username, {_ERRS} = '' as valid, nullif({_ERRS}, '') as errors from signups""")
+
+_entries = []
+_seen: dict[str, str] = {}
+for _f, _c, _m in _RULES:
+    _hit = f"coalesce({_c}, false)"
+    _earlier = _seen.get(_f, "false")
+    _entries.append(f"case when {_hit} and not ({_earlier}) then '\"{_f}\":\"{_m}\"' end")
+    _seen[_f] = f"({_earlier}) or {_hit}"
+sql("error_map", f"""
+select * from (select request_id, '{{' || concat_ws(',', {', '.join(_entries)}) || '}}' as field_errors from signups) x
+where field_errors <> '{{}}'""")
+
+_Q = "split_part(a, ';', {})"
+_REG = f"""
+rq as (
+  select s.request_id, s.email, s.username, {_ERRS} = '' as valid,
+         exists (select 1 from users u where u.email = s.email) as email_exists,
+         exists (select 1 from users u where u.username = s.username) as username_exists
+  from signups s),
+rfold as (
+  select list(request_id order by request_id) as ids,
+         list_reduce(list({{'valid': valid, 'email': email, 'username': username, 'ee': email_exists,
+                            'ue': username_exists}} order by request_id),
+           lambda a, x: case
+             when not x.valid then {_Q.format(1)} || ';' || {_Q.format(2)} || ';' || {_Q.format(3)} || ',invalid'
+             when x.ee or contains({_Q.format(1)}, '|' || x.email || '|')
+               then {_Q.format(1)} || ';' || {_Q.format(2)} || ';' || {_Q.format(3)} || ',email_taken'
+             when x.ue or contains({_Q.format(2)}, '|' || x.username || '|')
+               then {_Q.format(1)} || ';' || {_Q.format(2)} || ';' || {_Q.format(3)} || ',username_taken'
+             else {_Q.format(1)} || x.email || '|;' || {_Q.format(2)} || x.username || '|;' || {_Q.format(3)}
+                  || ',registered' end,
+           '|;|;') as acc
+  from rq),
+rper as (
+  select unnest(ids) as request_id, unnest(range(1, len(ids) + 1)) as i,
+         string_split(split_part(acc, ';', 3), ',') as outs from rfold),
+reg as (select q.request_id, q.email, q.username, p.outs[p.i + 1] as outcome
+        from rq q join rper p on p.request_id = q.request_id)"""
+
+sql("registration_conflicts", f"""
+with {_REG}
+select request_id, email, username,
+       case when outcome = 'email_taken' then 'Email already registered' else 'Username already taken' end as reason
+from reg where outcome in ('email_taken', 'username_taken')""")
+
+sql("register_batch", f"""
+with {_REG}
+select r.request_id, r.email, r.username, r.outcome,
+       case when r.outcome = 'registered' then 'ROLE_CUSTOMER' end as role,
+       case when r.outcome = 'registered' then s.requested_at end as created_at, true as enabled
+from reg r join signups s on s.request_id = r.request_id""")
+
+sql("lookup_by_unique_key", """
+select s.request_id, s.email, u.id as user_id, u.id is not null as found
+from signups s left join users u on u.email = s.email""")
+
+_GRANTS = """grants as (select * from (values
+  ('ROLE_CUSTOMER', 'SCAN_PRODUCT'), ('ROLE_CUSTOMER', 'VIEW_CART'), ('ROLE_CUSTOMER', 'CHECKOUT'),
+  ('ROLE_WORKER', 'VIEW_HELP_REQUESTS'), ('ROLE_WORKER', 'CONFIRM_PRICE'), ('ROLE_WORKER', 'MANAGE_STOCK'),
+  ('ROLE_ADMIN', 'SCAN_PRODUCT'), ('ROLE_ADMIN', 'VIEW_CART'), ('ROLE_ADMIN', 'CHECKOUT'),
+  ('ROLE_ADMIN', 'VIEW_HELP_REQUESTS'), ('ROLE_ADMIN', 'CONFIRM_PRICE'), ('ROLE_ADMIN', 'MANAGE_STOCK'),
+  ('ROLE_ADMIN', 'MANAGE_USERS'), ('ROLE_ADMIN', 'MANAGE_CATALOG'), ('ROLE_ADMIN', 'VIEW_ANALYTICS')
+) t(role_name, privilege_name)),
+roles as (select * from (values (1, 'ROLE_CUSTOMER'), (2, 'ROLE_WORKER'), (3, 'ROLE_ADMIN')) t(role_id, role_name)),
+privs as (select * from (values (1, 'SCAN_PRODUCT'), (2, 'VIEW_CART'), (3, 'CHECKOUT'), (4, 'VIEW_HELP_REQUESTS'),
+  (5, 'CONFIRM_PRICE'), (6, 'MANAGE_STOCK'), (7, 'MANAGE_USERS'), (8, 'MANAGE_CATALOG'), (9, 'VIEW_ANALYTICS')
+) t(privilege_id, privilege_name))"""
+
+sql("user_privileges", f"""
+with {_GRANTS}
+select u.id as user_id, u.role as role_name, r.role_id, p.privilege_id, g.privilege_name
+from users u left join grants g on g.role_name = u.role
+left join roles r on r.role_name = g.role_name left join privs p on p.privilege_name = g.privilege_name""")
+
+sql("role_privilege_grants", f"""
+with {_GRANTS}, n as (select role as role_name, count(*) as n_users from users group by role)
+select g.role_name, g.privilege_name, coalesce(n.n_users, 0) as n_users
+from grants g left join n on n.role_name = g.role_name""")
+
+sql("grant_union", f"""
+with {_GRANTS}, n as (select role as role_name, count(*) as n_users from users group by role)
+select r.role_id, p.privilege_id, coalesce(n.n_users, 0) as n_users
+from grants g join roles r on r.role_name = g.role_name join privs p on p.privilege_name = g.privilege_name
+left join n on n.role_name = g.role_name""")
+
+sql("cascade_delete", f"""
+with gone as (select id as user_id from users where not {_EMAIL_OK}),
+kids as (select id as user_id, role as child_key, 'users_roles' as table_name from users
+         union all select user_id, token, 'refresh_tokens' from tokens)
+select * from kids k where not exists (select 1 from gone g where g.user_id = k.user_id)""")
+
+sql("route_requests", """
+with routes as (select * from (values ('auth-service', '/api/auth'), ('product-service', '/api/products'),
+  ('cart-service-rest', '/api/cart'), ('cart-service-websocket', '/ws'),
+  ('session-service-sessions', '/api/sessions'), ('session-service-gate', '/api/gate')) t(route_id, prefix)),
+hits as (select a.event_id, arg_max(r.route_id, length(r.prefix)) as route_id
+         from access_log a join routes r on a.path = r.prefix or starts_with(a.path, r.prefix || '/')
+         group by a.event_id)
+select a.event_id, a.path, coalesce(h.route_id, 'unrouted') as route_id
+from access_log a left join hits h on h.event_id = a.event_id""")
+
+sql("open_path_filter", """
+select event_id, path,
+       starts_with(path, '/api/auth/') or starts_with(path, '/actuator/') or starts_with(path, '/ws/') as open
+from access_log""")
+
+# A6 composes the fragments above; rename the CTEs that would clash
+import re as _re  # noqa: E402
+
+_FOLD_T = _re.sub(r"\bstored\b", "tstored", _re.sub(r"\bper\b", "tper", _FOLD))
+_CHECKED_Q = _re.sub(r"\bstored\b", "qstored", _CHECKED)
+_REPLAY_S = _re.sub(r"\bper\b", "sper", _REPLAY)
+sql("outcome_counts", f"""
+with {_FOLD_T}, {_CHECKED_Q}, {_REPLAY_S}, {_REG},
+cart as (
+  select {_PLONG.format(c='session_text')} as sid, {_PLONG.format(c='user_text')} as uid
+  from access_log where starts_with(path, '/api/cart/')),
+cartj as (select c.*, s.user_id as owner, s.status from cart c left join sessions s on s.session_id = c.sid),
+ex as (
+  select 'auth' as service, case outcome when 'invalid' then 'MethodArgumentNotValidException'
+         else 'DuplicateResourceException' end as exception from reg where outcome <> 'registered'
+  union all
+  select 'auth', case outcome when 'reuse' then 'TokenReuseException' else 'InvalidTokenException' end
+  from hist where kind = 'PRESENT' and outcome <> 'rotate'
+  union all
+  select 'cart', 'InvalidSessionException' from cartj
+  where not (sid is not null and uid is not null and owner is not null and owner = uid and status = 'ACTIVE')
+  union all
+  select 'session', case verdict when 'expired' then 'QrTokenExpiredException' else 'InvalidQrTokenException' end
+  from checked where verdict <> 'ok'
+  union all
+  select 'session', 'IllegalStateTransitionException' from replay where not accepted),
+codes as (select * from (values
+  ('auth', 'DuplicateResourceException', 'duplicate_resource', 409), ('auth', 'BadCredentialsException', 'bad_credentials', 401),
+  ('auth', 'InvalidTokenException', 'invalid_token', 401), ('auth', 'TokenReuseException', 'token_reuse', 401),
+  ('auth', 'MethodArgumentNotValidException', 'validation_failed', 400),
+  ('cart', 'InvalidSessionException', 'invalid_session', 403), ('cart', 'ProductNotFoundException', 'product_not_found', 404),
+  ('cart', 'CartItemNotFoundException', 'cart_item_not_found', 404),
+  ('cart', 'MethodArgumentNotValidException', 'validation_error', 400),
+  ('session', 'IllegalStateTransitionException', 'illegal_transition', 409),
+  ('session', 'SessionNotFoundException', 'session_not_found', 404),
+  ('session', 'InvalidQrTokenException', 'invalid_qr_token', 400),
+  ('session', 'QrTokenExpiredException', 'qr_token_expired', 410)) t(service, exception, code, http_status))
+select c.service, c.code, c.http_status, count(*) as n
+from ex e join codes c on c.service = e.service and c.exception = e.exception
+group by c.service, c.code, c.http_status""")

@@ -308,3 +308,72 @@ def q_parse_price(spark, sf_dir):
 def q_token_audit(spark, sf_dir):
     v = _v(spark, sf_dir)
     return tok.token_audit(tok.bearer_headers(v.access_log, v.users))
+
+
+# --- access ------------------------------------------------------------------------
+
+from basketry.operators import access as acc  # noqa: E402
+
+
+@query("validate_requests")
+def q_validate_requests(spark, sf_dir):
+    return acc.validate_requests(_v(spark, sf_dir).signups)
+
+
+@query("error_map")
+def q_error_map(spark, sf_dir):
+    return acc.error_map(_v(spark, sf_dir).signups)
+
+
+@query("registration_conflicts")
+def q_registration_conflicts(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return acc.registration_conflicts(spark, v.signups, v.users)
+
+
+@query("register_batch")
+def q_register_batch(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return acc.register_batch(spark, v.signups, v.users)
+
+
+@query("lookup_by_unique_key")
+def q_lookup_by_unique_key(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return acc.lookup_by_unique_key(v.signups, v.users)
+
+
+@query("user_privileges")
+def q_user_privileges(spark, sf_dir):
+    return acc.user_privileges(spark, _v(spark, sf_dir).users)
+
+
+@query("role_privilege_grants")
+def q_role_privilege_grants(spark, sf_dir):
+    return acc.role_privilege_grants(spark, _v(spark, sf_dir).users)
+
+
+@query("grant_union")
+def q_grant_union(spark, sf_dir):
+    return acc.grant_union(spark, _v(spark, sf_dir).users)
+
+
+@query("cascade_delete")
+def q_cascade_delete(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return acc.cascade_delete(v.users, v.tokens)
+
+
+@query("route_requests")
+def q_route_requests(spark, sf_dir):
+    return acc.route_requests(spark, _v(spark, sf_dir).access_log)
+
+
+@query("open_path_filter")
+def q_open_path_filter(spark, sf_dir):
+    return acc.open_path_filter(_v(spark, sf_dir).access_log)
+
+
+@query("outcome_counts")
+def q_outcome_counts(spark, sf_dir):
+    return acc.outcome_counts(spark, acc.outcome_sources(spark, _v(spark, sf_dir)))

@@ -109,6 +109,18 @@ select event_id as request_id, ts as requested_at,
        'corr-' || cast(event_id * 3 % 20000 as varchar) as correlation_id,
        case when event_type in ('view', 'click') then 'entry' else 'exit' end as gate
 from events""",
+    "signups": """
+select event_id as request_id, ts as requested_at,
+       case when event_id % 6 = 0 then 'customer.' || lpad(cast(user_id as varchar), 9, '0') || '@example.org'
+            when event_id % 6 = 1 then 'not-an-email'
+            when event_id % 6 = 2 then 'shopper' || cast(user_id % 40 as varchar) || '@shop.example'
+            else 'new' || cast(event_id as varchar) || '@shop.example' end as email,
+       case when event_id % 5 = 0 then 'u' || cast(user_id % 1400 as varchar)
+            when event_id % 5 = 1 then 'ab'
+            when event_id % 5 = 2 then 'shopper' || cast(user_id % 25 as varchar)
+            else 'user' || cast(event_id as varchar) end as username,
+       case when event_id % 7 = 0 then 'short' else 'secret-password-' || cast(event_id as varchar) end as password
+from events where event_type = 'signup'""",
 }
 
 # views that read other views

@@ -242,12 +242,33 @@ def gate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type").isin("view", "click"), "entry").otherwise("exit").alias("gate"))
 
 
+def signups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registration requests from the ``signup`` events: some reuse an existing
+    customer's e-mail or user name, some repeat within the batch, some break
+    the field rules."""
+    e = read_table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
+    eid, uid = F.col("event_id"), F.col("user_id")
+    cust = F.concat(F.lit("customer."), F.lpad(uid.cast("string"), 9, "0"))
+    email = (F.when(eid % 6 == 0, F.concat(cust, F.lit("@example.org")))
+             .when(eid % 6 == 1, F.lit("not-an-email"))
+             .when(eid % 6 == 2, F.concat(F.lit("shopper"), (uid % 40).cast("string"), F.lit("@shop.example")))
+             .otherwise(F.concat(F.lit("new"), eid.cast("string"), F.lit("@shop.example"))))
+    username = (F.when(eid % 5 == 0, F.concat(F.lit("u"), (uid % 1400).cast("string")))
+                .when(eid % 5 == 1, F.lit("ab"))
+                .when(eid % 5 == 2, F.concat(F.lit("shopper"), (uid % 25).cast("string")))
+                .otherwise(F.concat(F.lit("user"), eid.cast("string"))))
+    password = F.when(eid % 7 == 0, F.lit("short")).otherwise(F.concat(F.lit("secret-password-"), eid.cast("string")))
+    return e.select(eid.alias("request_id"), F.col("ts").alias("requested_at"), email.alias("email"),
+                    username.alias("username"), password.alias("password"))
+
+
 ADAPTERS = {
     "catalog": catalog, "cart_lines": cart_lines, "sessions": sessions,
     "cart_events": cart_events, "session_log": session_log, "token_log": token_log,
     "tokens": tokens, "qr_tokens": qr_tokens, "users": users, "access_log": access_log,
     "raw_products": raw_products, "barcode_requests": barcode_requests,
     "search_requests": search_requests, "gate_requests": gate_requests,
+    "signups": signups,
 }
 
 
