@@ -717,3 +717,158 @@ codes as (select * from (values
 select c.service, c.code, c.http_status, count(*) as n
 from ex e join codes c on c.service = e.service and c.exception = e.exception
 group by c.service, c.code, c.http_status""")
+
+
+# --- catalog -------------------------------------------------------------------------
+
+from basketry.plans.registry import SEARCH_QUERY  # noqa: E402
+from basketry.schemas import SEED_CATEGORIES, SEED_PRODUCTS  # noqa: E402
+
+sql("product_by_barcode", """
+select r.request_id, r.barcode, c.name, c.brand, c.price
+from barcode_requests r join catalog c on c.barcode = r.barcode""")
+
+sql("products_by_barcodes", """
+select barcode, name, brand, price from catalog where barcode in (select barcode from barcode_requests)""")
+
+sql("product_search", f"""
+select barcode, name, price from catalog where lower(name) like '%{SEARCH_QUERY}%' order by barcode limit 10""")
+
+sql("first_page", "select barcode, name, price from catalog order by barcode limit 10")
+
+sql("product_dto", """
+select barcode, name, brand, price, currency_code, category as category_name, aisle_number,
+       cast(null as varchar) as image_url, nutriscore_grade, cast(null as smallint) as nova_group,
+       cast(null as varchar) as ingredients_text, cast(null as varchar[]) as allergen_codes, stock_quantity,
+       rfid_security_required, cast(null as varchar) as nutriments, attributes, cast(barcode as bigint) + 1 as id
+from catalog""")
+
+sql("product_wire_row", """
+select barcode, name, coalesce(brand, '') as brand, cast(price as varchar) as price,
+       coalesce(currency_code, '') as currency_code, coalesce(aisle_number, 0) as aisle_number, '' as image_url,
+       coalesce(nutriscore_grade, '') as nutriscore_grade, coalesce(rfid_security_required, false) as rfid_flag,
+       coalesce(attributes, '') as attributes_json
+from catalog""")
+
+_MATCH = """m as (
+  select q.query_id, c.barcode, c.name, q.lim from search_requests q
+  join catalog c on lower(c.name) like '%' || lower(q.query) || '%'
+  where length(replace(replace(q.query, '%', ''), '_', '')) > 0)"""
+sql("trigram_search", f"with {_MATCH} select query_id, barcode, name from m")
+sql("top_n_per_query", f"""
+with {_MATCH}
+select query_id, barcode, name, rank from (
+  select *, row_number() over (partition by query_id order by barcode) as rank from m) x where rank <= lim""")
+
+_NUT = ", ".join(
+    f"case when json_extract(body, '$.product.nutriments') is not null then "
+    f"coalesce(try_cast(json_extract_string(body, '$.product.nutriments.\"{src}\"') as double), 0.0) end as {dst}"
+    for dst, src in [("energy_kcal", "energy-kcal_100g"), ("fat", "fat_100g"),
+                     ("carbohydrates", "carbohydrates_100g"), ("proteins", "proteins_100g"),
+                     ("salt", "salt_100g")])
+
+
+def _blank_null(c: str) -> str:
+    return f"case when {_blank(c)} then null else {c} end"
+
+
+_NORM = f"""norm as (
+  select barcode,
+         case when {_blank("json_extract_string(body, '$.product.product_name')")} then 'Unknown'
+              else json_extract_string(body, '$.product.product_name') end as name,
+         {_blank_null("json_extract_string(body, '$.product.brands')")} as brand,
+         {_blank_null("json_extract_string(body, '$.product.image_url')")} as image_url,
+         {_blank_null("json_extract_string(body, '$.product.nutriscore_grade')")} as nutriscore_grade,
+         cast(0 as decimal(19,4)) as price, 0 as stock_quantity, false as rfid_security_required, {_NUT}
+  from raw_products
+  where cast(try_cast(json_extract_string(body, '$.status') as double) as int) = 1)"""
+
+sql("product_json_normalize", f"with {_NORM} select * from norm")
+sql("apply_defaults", f"""
+with {_NORM}
+select *, 'EUR' as currency_code, 0 as aisle_number, cast(0 as bigint) as version from norm""")
+
+sql("catalog_fallback", f"""
+with {_NORM}
+select r.request_id, r.barcode,
+       case when c.name is not null then 'catalog' when f.name is not null then 'fallback' else 'none' end as source,
+       coalesce(c.name, f.name) as name, coalesce(c.price, f.price) as price
+from barcode_requests r left join catalog c on c.barcode = r.barcode left join norm f on f.barcode = r.barcode""")
+
+
+def _q(x) -> str:
+    if x is None:
+        return "null"
+    if isinstance(x, bool):
+        return "true" if x else "false"
+    if isinstance(x, int):
+        return str(x)
+    return "'" + str(x).replace("'", "''") + "'"
+
+
+_SEEDP = ", ".join("(" + ", ".join(_q(x) for x in r) + ")" for r in SEED_PRODUCTS)
+_SEEDC = ", ".join("(" + ", ".join(_q(x) for x in r) + ")" for r in SEED_CATEGORIES)
+sql("seed_dimensions", f"""
+with sp as (select * from (values {_SEEDP}) t(barcode, name, brand, price, category_id, aisle_number,
+                                              nutriscore_grade, rfid_security_required)),
+sc as (select * from (values {_SEEDC}) t(category_id, category_name, slug, parent_id)),
+seed as (select sp.barcode, sp.name, sp.brand, cast(sp.price as decimal(19,4)) as price, sc.category_name as category,
+                sp.aisle_number, sp.nutriscore_grade, sp.rfid_security_required, 'seed' as source
+         from sp join sc on sc.category_id = sp.category_id)
+select barcode, name, brand, price, category, aisle_number, nutriscore_grade, rfid_security_required,
+       'catalog' as source from catalog
+union all
+select * from seed where barcode not in (select barcode from catalog)""")
+
+sql("upsert_by_key", """
+with n as (
+  select lpad(cast(p_partkey as varchar), 13, '0') as barcode,
+         case when p_partkey % 5 = 0 then upper(p_name) end as name,
+         case when p_partkey % 3 = 0 then cast(p_retailprice * 1.1 as decimal(19,4)) end as price
+  from part where p_partkey % 3 = 0 or p_partkey % 5 = 0),
+j as (
+  select coalesce(o.barcode, n.barcode) as barcode, o.name as o_name, o.price as o_price, o.version as o_version,
+         n.name as n_name, n.price as n_price, n.barcode is not null as is_new
+  from catalog o full join n on n.barcode = o.barcode),
+k as (
+  select *, case when o_version is null then 'insert'
+                 when is_new and ((n_name is not null and n_name is distinct from o_name)
+                                  or (n_price is not null and n_price is distinct from o_price)) then 'update'
+                 else 'keep' end as op
+  from j)
+select barcode, coalesce(n_name, o_name) as name, coalesce(n_price, o_price) as price,
+       case op when 'insert' then cast(0 as bigint) when 'update' then o_version + 1 else o_version end as version, op
+from k""")
+
+sql("assign_surrogate_ids", f"""
+with {_NORM},
+hits as (select distinct r.barcode from barcode_requests r join norm f on f.barcode = r.barcode
+         where r.barcode not in (select barcode from catalog)),
+new as (select n.barcode, n.name from norm n join hits h on h.barcode = n.barcode)
+select barcode, name,
+       (select max(cast(barcode as bigint) + 1) from catalog) + row_number() over (order by barcode) as id
+from new""")
+
+sql("category_tree", """
+with recursive nodes as (
+  select 'r' || cast(r_regionkey as varchar) as node_id, cast(null as varchar) as parent_id, r_name as name from region
+  union all select 'n' || cast(n_nationkey as varchar), 'r' || cast(n_regionkey as varchar), n_name from nation
+  union all select 'c' || cast(c_custkey as varchar), 'n' || cast(c_nationkey as varchar), c_name from customer),
+walk(node_id, cur, path, depth) as (
+  select node_id, parent_id, name, 0 from nodes
+  union all
+  select w.node_id, p.parent_id, p.name || '/' || w.path, w.depth + 1
+  from walk w join nodes p on p.node_id = w.cur)
+select node_id, depth, path, split_part(path, '/', 1) as root_name from walk where cur is null""")
+
+sql("attribute_filter", """
+with req as (select s.s_suppkey as query_id, p.p_type as want_type, p.p_size as want_size
+             from supplier s join part p on (s.s_suppkey * 7) % 2000 = p.p_partkey)
+select r.query_id, c.barcode from req r join catalog c
+  on json_extract_string(c.attributes, '$.type') = r.want_type
+ and cast(json_extract_string(c.attributes, '$.size') as int) = r.want_size""")
+
+sql("catalog_by_aisle_category", """
+select aisle_number, category, count(*) as products, cast(sum(stock_quantity) as bigint) as stock,
+       count(*) filter (where rfid_security_required) as rfid_products
+from catalog group by aisle_number, category""")

@@ -377,3 +377,106 @@ def q_open_path_filter(spark, sf_dir):
 @query("outcome_counts")
 def q_outcome_counts(spark, sf_dir):
     return acc.outcome_counts(spark, acc.outcome_sources(spark, _v(spark, sf_dir)))
+
+
+# --- catalog -----------------------------------------------------------------------
+
+from basketry.operators import catalog as cat  # noqa: E402
+
+SEARCH_QUERY = "red"
+
+
+@query("product_by_barcode")
+def q_product_by_barcode(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return cat.product_by_barcode(v.barcode_requests, v.catalog)
+
+
+@query("products_by_barcodes")
+def q_products_by_barcodes(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return cat.products_by_barcodes(v.barcode_requests, v.catalog)
+
+
+@query("product_search")
+def q_product_search(spark, sf_dir):
+    return cat.product_search(_v(spark, sf_dir).catalog, SEARCH_QUERY)
+
+
+@query("first_page")
+def q_first_page(spark, sf_dir):
+    return cat.first_page(_v(spark, sf_dir).catalog)
+
+
+@query("product_dto")
+def q_product_dto(spark, sf_dir):
+    return cat.product_dto(_v(spark, sf_dir).catalog)
+
+
+@query("product_wire_row")
+def q_product_wire_row(spark, sf_dir):
+    return cat.product_wire_row(_v(spark, sf_dir).catalog)
+
+
+@query("trigram_search")
+def q_trigram_search(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return cat.trigram_search(v.search_requests, v.catalog)
+
+
+@query("top_n_per_query")
+def q_top_n_per_query(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return cat.top_n_per_query(v.search_requests, v.catalog)
+
+
+@query("product_json_normalize")
+def q_product_json_normalize(spark, sf_dir):
+    return cat.product_json_normalize(_v(spark, sf_dir).raw_products)
+
+
+@query("apply_defaults")
+def q_apply_defaults(spark, sf_dir):
+    return cat.apply_defaults(cat.product_json_normalize(_v(spark, sf_dir).raw_products))
+
+
+@query("catalog_fallback")
+def q_catalog_fallback(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return cat.catalog_fallback(v.barcode_requests, v.catalog, v.raw_products)
+
+
+@query("seed_dimensions")
+def q_seed_dimensions(spark, sf_dir):
+    return cat.seed_dimensions(spark, _v(spark, sf_dir).catalog)
+
+
+@query("upsert_by_key")
+def q_upsert_by_key(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return cat.upsert_by_key(v.catalog, cat.price_updates(v.part))
+
+
+@query("assign_surrogate_ids")
+def q_assign_surrogate_ids(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    new = cat.write_through(v.barcode_requests, v.catalog, v.raw_products).select("barcode", "name")
+    ids = v.catalog.select((F.col("barcode").cast("bigint") + 1).alias("id"))
+    return cat.assign_surrogate_ids(spark, new, ids)
+
+
+@query("category_tree")
+def q_category_tree(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return cat.category_tree(spark, cat.tree_nodes(v.region, v.nation, v.customer))
+
+
+@query("attribute_filter")
+def q_attribute_filter(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return cat.attribute_filter(cat.attribute_requests(v.supplier, v.part), v.catalog)
+
+
+@query("catalog_by_aisle_category")
+def q_catalog_by_aisle_category(spark, sf_dir):
+    return cat.catalog_by_aisle_category(_v(spark, sf_dir).catalog)
