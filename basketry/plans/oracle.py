@@ -872,3 +872,123 @@ sql("catalog_by_aisle_category", """
 select aisle_number, category, count(*) as products, cast(sum(stock_quantity) as bigint) as stock,
        count(*) filter (where rfid_security_required) as rfid_products
 from catalog group by aisle_number, category""")
+
+
+# --- quality, scans and topics -------------------------------------------------------
+
+_UQ = [("users.email", "users", "cast(email as varchar)"), ("users.username", "users", "cast(username as varchar)"),
+       ("refresh_tokens.token_hash", "tokens", "sha256(token)"), ("products.barcode", "catalog", "barcode"),
+       ("cart_items.session_product", "cart_lines", "cast(session_id as varchar) || '|' || barcode"),
+       ("qr_tokens.correlation_id", "qr_tokens", "correlation_id")]
+sql("unique_violations", "\nunion all\n".join(
+    f"select {e} as key_value, count(*) as n, '{n}' as constraint_name from {t} group by 1 having count(*) > 1"
+    for n, t, e in _UQ))
+
+_FK = [("cart_events.barcode", "(select * from cart_events where kind in ('ADD', 'REMOVE'))", "barcode",
+        "catalog", "barcode"),
+       ("cart_lines.barcode", "cart_lines", "barcode", "catalog", "barcode"),
+       ("cart_lines.session_id", "cart_lines", "session_id", "sessions", "session_id"),
+       ("qr_tokens.session_id", "qr_tokens", "session_id", "sessions", "session_id"),
+       ("refresh_tokens.user_id", "tokens", "user_id", "users", "id"),
+       ("sessions.user_id", "sessions", "user_id", "users", "id"),
+       ("scan_requests.barcode", "barcode_requests", "barcode", "catalog", "barcode")]
+sql("fk_orphans", "\nunion all\n".join(
+    f"select '{n}' as fk_name, cast(c.{ck} as varchar) as child_key, count(*) as n_rows from {child} c "
+    f"where c.{ck} is not null and not exists (select 1 from {parent} p where p.{pk} = c.{ck}) group by c.{ck}"
+    for n, child, ck, parent, pk in _FK))
+
+
+def _lo(c: str, n: int) -> str:
+    return f"coalesce(length({c}) > {n}, false)"
+
+
+_DOM = [
+    ("products", "catalog", "barcode", [
+        ("barcode_not_null", "barcode is null"), ("barcode_len_14", _lo("barcode", 14)),
+        ("name_not_null", "name is null"), ("name_len_255", _lo("name", 255)), ("brand_len_150", _lo("brand", 150)),
+        ("currency_len_3", _lo("currency_code", 3)), ("nutriscore_len_1", _lo("nutriscore_grade", 1)),
+        ("price_range", "coalesce(price < 0 or price >= 1000000000000000, true)")]),
+    ("shopping_sessions", "sessions", "session_id", [
+        ("status_enum", "not coalesce(status in ('CREATED', 'ACTIVE', 'PAYING', 'COMPLETED', 'CANCELLED'), false)"),
+        ("status_len_16", _lo("status", 16)), ("user_not_null", "user_id is null")]),
+    ("qr_tokens", "qr_tokens", "correlation_id", [
+        ("status_enum", "not coalesce(status in ('ACTIVE', 'USED', 'EXPIRED', 'REVOKED'), false)"),
+        ("type_enum", "not coalesce(token_type in ('ENTRY', 'EXIT'), false)"),
+        ("correlation_len_36", _lo("correlation_id", 36)), ("payload_not_null", "payload is null")]),
+    ("users", "users", "id", [
+        ("email_len_100", _lo("email", 100)), ("username_len_50", _lo("username", 50)),
+        ("email_not_null", "email is null"),
+        ("email_format", f"not coalesce({_EMAIL_OK}, false)")]),
+]
+sql("domain_violations", "\nunion all\n".join(
+    f"select cast({key} as varchar) as row_key, '{rule}' as rule, '{table}' as table_name from {src} where {cond}"
+    for table, src, key, rules in _DOM for rule, cond in rules))
+
+sql("schema_evolve", """
+select barcode, rtrim(rpad(currency_code, 3, ' ')) as currency_code,
+       nullif(rtrim(rpad(coalesce(nutriscore_grade, ''), 1, ' ')), '') as nutriscore_grade,
+       rtrim(rpad(category, 25, ' ')) as category
+from catalog""")
+
+sql("latest_version", """
+with w as (select barcode, cast(seq as bigint) as version, session_id as writer, price from cart_lines),
+cur as (select * from (select *, row_number() over (partition by barcode order by version desc, writer desc,
+                                                   price desc) as rn from w) x where rn = 1),
+conf as (select barcode, count(*) as conflicts from (
+           select barcode, version from w group by barcode, version having count(*) > 1) y group by barcode)
+select c.barcode, c.version as current_version, c.writer as current_writer, c.price as current_price,
+       coalesce(f.conflicts, 0) as conflicts
+from cur c left join conf f on f.barcode = c.barcode""")
+
+from basketry.sources.tables import DRIVER_TABLES as _DT  # noqa: E402
+
+sql("scan_tables", "\nunion all\n".join(f"select '{t}' as table_name, count(*) as n_rows from {t}" for t in _DT))
+
+_FEED = f"""
+names as (select barcode, name as product_name from catalog),
+feed as (
+  select w.event_id, 'cart.item.added' as topic, cast(w.session_id as varchar) as key,
+         cast(json_object('sessionId', cast(w.session_id as varchar), 'barcode', w.barcode,
+                          'productName', n.product_name, 'price', w.price, 'quantity', w.quantity,
+                          'timestamp', {iso_sql('w.event_time')}) as varchar) as value
+  from w1 w left join names n on n.barcode = w.barcode where w.kind = 'ADD' and not w.rejected
+  union all
+  select event_id, 'cart.item.removed', cast(session_id as varchar),
+         cast(json_object('sessionId', cast(session_id as varchar), 'barcode', barcode,
+                          'timestamp', {iso_sql('event_time')}) as varchar)
+  from w1 where kind = 'REMOVE' and not rejected
+  union all
+  select event_id, 'help.requested', cast(session_id as varchar),
+         cast(json_object('sessionId', cast(session_id as varchar), 'aisleNumber', coalesce(aisle_number, 0),
+                          'userId', cast(null as bigint), 'timestamp', {iso_sql('event_time')}) as varchar)
+  from cart_events where kind = 'HELP'
+  union all
+  select cast(null as bigint), 'session.paid', session_id,
+         cast(json_object('sessionId', session_id, 'userId', user_id, 'paidAt', {iso_sql('event_time')}) as varchar)
+  from replay where accepted and target = 'COMPLETED'
+  union all
+  select cast(null as bigint), 'session.completed', session_id,
+         cast(json_object('sessionId', session_id, 'completedAt', {iso_sql('event_time')}) as varchar)
+  from replay where accepted and target = 'COMPLETED')"""
+
+sql("encode_events", f"with {_W1}, {_REPLAY}, {_FEED} select * from feed")
+
+_TS = "coalesce(json_extract_string(value, '$.timestamp'), json_extract_string(value, '$.paidAt'), " \
+      "json_extract_string(value, '$.completedAt'))"
+sql("decode_topics", f"""
+with {_W1}, {_REPLAY}, {_FEED},
+cf as (select topic, key, case when coalesce(event_id % 50 = 0, false)
+                               then substring(value, 1, cast(length(value) / 2 as int)) else value end as value
+       from feed),
+d as (select *, coalesce(json_valid(value), false) as ok from cf)
+select topic, key,
+       case when ok then json_extract_string(value, '$.sessionId') end as session_id,
+       case when ok then json_extract_string(value, '$.barcode') end as barcode,
+       case when ok then json_extract_string(value, '$.productName') end as product_name,
+       case when ok then try_cast(json_extract_string(value, '$.price') as decimal(19,4)) end as price,
+       case when ok then try_cast(json_extract_string(value, '$.quantity') as int) end as quantity,
+       case when ok then try_cast(json_extract_string(value, '$.aisleNumber') as int) end as aisle_number,
+       case when ok then try_cast(json_extract_string(value, '$.userId') as bigint) end as user_id,
+       case when ok then try_cast(regexp_replace({_TS}, 'Z$', '') as timestamp) end as event_time,
+       not ok as malformed
+from d""")

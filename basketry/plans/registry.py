@@ -480,3 +480,84 @@ def q_attribute_filter(spark, sf_dir):
 @query("catalog_by_aisle_category")
 def q_catalog_by_aisle_category(spark, sf_dir):
     return cat.catalog_by_aisle_category(_v(spark, sf_dir).catalog)
+
+
+# --- quality, scans and topics -----------------------------------------------------
+
+from basketry.operators import quality as qual  # noqa: E402
+from basketry.sources import topics  # noqa: E402
+from basketry.sources.tables import DRIVER_TABLES, read_table  # noqa: E402
+
+
+def _unique_keys(v):
+    return {
+        "users.email": (v.users, ["email"]), "users.username": (v.users, ["username"]),
+        "refresh_tokens.token_hash": (tok.stored_tokens(v.tokens), ["token_hash"]),
+        "products.barcode": (v.catalog, ["barcode"]),
+        "cart_items.session_product": (v.cart_lines, ["session_id", "barcode"]),
+        "qr_tokens.correlation_id": (v.qr_tokens, ["correlation_id"]),
+    }
+
+
+def _fks(v):
+    return {
+        "cart_events.barcode": (v.cart_events.where(F.col("kind").isin("ADD", "REMOVE")), "barcode",
+                                v.catalog, "barcode"),
+        "cart_lines.barcode": (v.cart_lines, "barcode", v.catalog, "barcode"),
+        "cart_lines.session_id": (v.cart_lines, "session_id", v.sessions, "session_id"),
+        "qr_tokens.session_id": (v.qr_tokens, "session_id", v.sessions, "session_id"),
+        "refresh_tokens.user_id": (v.tokens, "user_id", v.users, "id"),
+        "sessions.user_id": (v.sessions, "user_id", v.users, "id"),
+        "scan_requests.barcode": (v.barcode_requests, "barcode", v.catalog, "barcode"),
+    }
+
+
+@query("unique_violations")
+def q_unique_violations(spark, sf_dir):
+    return qual.unique_violations(_unique_keys(_v(spark, sf_dir)))
+
+
+@query("fk_orphans")
+def q_fk_orphans(spark, sf_dir):
+    return qual.fk_orphans(_fks(_v(spark, sf_dir)))
+
+
+@query("domain_violations")
+def q_domain_violations(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return qual.domain_violations(v.catalog, v.sessions, v.qr_tokens, v.users)
+
+
+@query("schema_evolve")
+def q_schema_evolve(spark, sf_dir):
+    return qual.schema_evolve(_v(spark, sf_dir).catalog)
+
+
+@query("latest_version")
+def q_latest_version(spark, sf_dir):
+    return qual.latest_version(qual.version_log(_v(spark, sf_dir).cart_lines))
+
+
+@query("scan_tables")
+def q_scan_tables(spark, sf_dir):
+    out = None
+    for t in DRIVER_TABLES:
+        c = read_table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("n_rows")) \
+            .select(F.lit(t).alias("table_name"), "n_rows")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+def _feed(spark, v):
+    fold = carts.cart_running_quantity(v.cart_events)
+    return topics.encode_events(fold, v.catalog, v.cart_events, sess.payment_receipts(v.session_log))
+
+
+@query("encode_events")
+def q_encode_events(spark, sf_dir):
+    return _feed(spark, _v(spark, sf_dir))
+
+
+@query("decode_topics")
+def q_decode_topics(spark, sf_dir):
+    return topics.decode_topics(topics.corrupt_some(_feed(spark, _v(spark, sf_dir))))
