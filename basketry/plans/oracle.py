@@ -992,3 +992,67 @@ select topic, key,
        case when ok then try_cast(regexp_replace({_TS}, 'Z$', '') as timestamp) end as event_time,
        not ok as malformed
 from d""")
+
+
+# --- streaming -----------------------------------------------------------------------
+
+_DEC = f"""
+dec as (
+  select topic, key, json_extract_string(value, '$.sessionId') as session_id,
+         json_extract_string(value, '$.barcode') as barcode,
+         try_cast(json_extract_string(value, '$.price') as decimal(19,4)) as price,
+         try_cast(json_extract_string(value, '$.quantity') as int) as quantity,
+         try_cast(json_extract_string(value, '$.aisleNumber') as int) as aisle_number,
+         try_cast(json_extract_string(value, '$.userId') as bigint) as user_id,
+         try_cast(regexp_replace({_TS}, 'Z$', '') as timestamp) as event_time
+  from feed)"""
+_STREAM_BASE = f"{_W1}, {_REPLAY}, {_FEED}, {_DEC}"
+
+sql("stream_scan_enrich", f"""
+with {_STREAM_BASE}
+select d.session_id, d.barcode, d.event_time, c.name as catalog_name, c.name is not null as found
+from dec d left join catalog c on c.barcode = d.barcode where d.topic = 'cart.item.added'""")
+
+sql("stream_help_by_aisle", f"""
+with {_STREAM_BASE},
+h as (select * from dec where topic = 'help.requested'),
+g as (select aisle_number, time_bucket(interval '15 minutes', event_time) as window_start, count(*) as requests
+      from h group by 1, 2)
+select aisle_number, window_start, window_start + interval '15 minutes' as window_end, requests from g
+where window_start + interval '15 minutes' <= (select max(event_time) from h) - interval '30 minutes'""")
+
+sql("stream_paid_completed", f"""
+with {_STREAM_BASE},
+p as (select key, event_time from dec where topic = 'session.paid'),
+c as (select key, event_time from dec where topic = 'session.completed')
+select p.key as session_id, p.event_time as paid_at, c.event_time as completed_at
+from p left join c on c.key = p.key and c.event_time >= p.event_time
+                   and c.event_time <= p.event_time + interval '5 minutes'""")
+
+sql("stream_event_dedup", f"""
+with {_STREAM_BASE}
+select distinct topic, key, session_id, barcode, price, quantity, aisle_number, user_id, event_time from dec""")
+
+sql("stream_cart_expiry", f"""
+with {_STREAM_BASE},
+a as (select key, event_time from dec where topic = 'cart.item.added'),
+g as (select key, event_time,
+             sum(case when prev is null or event_time >= prev + interval '24' hour then 1 else 0 end)
+               over (partition by key order by event_time rows between unbounded preceding and current row) as grp
+      from (select *, lag(event_time) over (partition by key order by event_time) as prev from a) x),
+w as (select key as session_id, min(event_time) as first_put, max(event_time) + interval '24' hour as expires_at,
+             count(*) as puts from g group by key, grp)
+select * from w where expires_at <= (select max(event_time) from a) - interval '1 hour'""")
+
+sql("stream_upsert_sink", f"""
+with {_STREAM_BASE}
+select session_id, barcode, event_time, quantity, price from (
+  select *, row_number() over (partition by session_id, barcode order by event_time desc, quantity desc,
+                                                                     price desc) as rn
+  from dec where topic = 'cart.item.added') x where rn = 1""")
+
+sql("stream_cart_state", f"with {_LIVE} select session_id, barcode, quantity, price from live")
+
+sql("stream_session_state", f"""
+with {_REPLAY}
+select event_id, session_id, target, from_state, accepted, to_state from replay""")

@@ -561,3 +561,56 @@ def q_encode_events(spark, sf_dir):
 @query("decode_topics")
 def q_decode_topics(spark, sf_dir):
     return topics.decode_topics(topics.corrupt_some(_feed(spark, _v(spark, sf_dir))))
+
+
+# --- streaming ---------------------------------------------------------------------
+
+from basketry.streaming import queries as stream  # noqa: E402
+
+
+@query("stream_scan_enrich")
+def q_stream_scan_enrich(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return stream.stream_scan_enrich(spark, _feed(spark, v), v.catalog)
+
+
+@query("stream_help_by_aisle")
+def q_stream_help_by_aisle(spark, sf_dir):
+    return stream.stream_help_by_aisle(spark, _feed(spark, _v(spark, sf_dir)))
+
+
+@query("stream_paid_completed")
+def q_stream_paid_completed(spark, sf_dir):
+    return stream.stream_paid_completed(spark, _feed(spark, _v(spark, sf_dir)))
+
+
+@query("stream_event_dedup")
+def q_stream_event_dedup(spark, sf_dir):
+    return stream.stream_event_dedup(spark, _feed(spark, _v(spark, sf_dir)))
+
+
+@query("stream_lookup_dedup")
+def q_stream_lookup_dedup(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    t = v.events.select(F.col("event_id").alias("request_id"), F.col("ts").alias("requested_at"))
+    return stream.stream_lookup_dedup(spark, v.barcode_requests.join(t, "request_id"))
+
+
+@query("stream_cart_expiry")
+def q_stream_cart_expiry(spark, sf_dir):
+    return stream.stream_cart_expiry(spark, _feed(spark, _v(spark, sf_dir)))
+
+
+@query("stream_upsert_sink")
+def q_stream_upsert_sink(spark, sf_dir):
+    return stream.stream_upsert_sink(spark, _feed(spark, _v(spark, sf_dir)))
+
+
+@query("stream_cart_state")
+def q_stream_cart_state(spark, sf_dir):
+    return stream.stream_cart_state(spark, _v(spark, sf_dir).cart_events)
+
+
+@query("stream_session_state")
+def q_stream_session_state(spark, sf_dir):
+    return stream.stream_session_state(spark, _v(spark, sf_dir).session_log)
