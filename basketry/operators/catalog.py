@@ -126,16 +126,22 @@ def trigram_search(queries: DataFrame, catalog: DataFrame) -> DataFrame:
     return verified.select("query_id", "barcode", "name")
 
 
-def top_n_per_query(queries: DataFrame, catalog: DataFrame) -> DataFrame:
+def top_n_per_query(queries: DataFrame, catalog: DataFrame, salts: int = 64) -> DataFrame:
     """O3: the search page of every query: verified matches, first ``lim`` by
     barcode per query. Pure-wildcard queries match everything, so their page
     is the catalog's first ``lim`` rows: a top-n bounded by the largest limit,
     broadcast (its size is that bound)."""
     m = trigram_search(queries, catalog)
     lim = queries.select("query_id", "lim")
+    # exact two-level top-n: a hot query's matches are spread over `salts`
+    # partitions, each keeps its first `lim`; the final rank sees <= salts*lim rows
+    salt = F.pmod(F.xxhash64("barcode"), F.lit(salts))
+    w1 = Window.partitionBy("query_id", "_salt").orderBy("barcode")
+    part = (m.join(lim, "query_id").withColumn("_salt", salt).withColumn("_r", F.row_number().over(w1))
+             .where(F.col("_r") <= F.col("lim")))
     w = Window.partitionBy("query_id").orderBy("barcode")
-    pages = (m.join(lim, "query_id").withColumn("rank", F.row_number().over(w))
-              .where(F.col("rank") <= F.col("lim")).drop("lim"))
+    pages = (part.withColumn("rank", F.row_number().over(w))
+                 .where(F.col("rank") <= F.col("lim")).drop("lim", "_salt", "_r"))
     wild = queries.where(F.char_length(_literal_core(F.lower(F.col("query")))) == 0).select("query_id", "lim")
     max_lim = wild.agg(F.max("lim")).first()[0]
     if not max_lim:

@@ -395,7 +395,10 @@ with h as (
   select e.event_id, e.event_time, e.session_id, e.aisle_number, a.header_user_id,
          cast(e.session_id as varchar) as session_text,
          coalesce(cast(a.header_user_id as varchar), '') as user_text
-  from cart_events e left join access_log a on a.event_id = e.event_id where e.kind = 'HELP'),
+  from (select c.event_id, c.event_time, c.kind, c.aisle_number, coalesce(f.s, -1) as session_id
+        from cart_events c left join (select user_id as u, min(session_id) as s from sessions group by user_id) f
+          on f.u = c.session_id) e
+  left join access_log a on a.event_id = e.event_id where e.kind = 'HELP'),
 j as (select h.*, s.user_id as owner, s.status,
              {_PLONG.format(c='user_text')} as uid from h left join sessions s on s.session_id = h.session_id)
 select event_id, 'help.requested' as topic, cast(session_id as varchar) as key,

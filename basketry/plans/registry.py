@@ -108,10 +108,18 @@ def q_delete_by_key(spark, sf_dir):
     return carts.delete_by_key(v.cart_events, v.cart_lines)
 
 
+def help_events(v):
+    """Help requests raised by a user in their own (first) session."""
+    first = v.sessions.groupBy(F.col("user_id").alias("_u")).agg(F.min("session_id").alias("_s"))
+    ev = v.cart_events
+    return (ev.join(first, ev.session_id == first._u, "left")
+              .withColumn("session_id", F.coalesce(F.col("_s"), F.lit(-1).cast("bigint"))).drop("_u", "_s"))
+
+
 @query("accepted_help_requests")
 def q_accepted_help_requests(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return carts.accepted_help_requests(v.cart_events, v.access_log, v.sessions)
+    return carts.accepted_help_requests(help_events(v), v.access_log, v.sessions)
 
 
 # --- sessions ----------------------------------------------------------------------
