@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators.scan import first_by_order, prefix_scan
+from basketry.operators.scan import first_by_order, prefix_scan, prefix_sums
 from basketry.schemas import MONEY
 
 
@@ -167,8 +167,8 @@ def cart_change_feed(events: DataFrame, bucket_us: int = 3_600_000_000) -> DataF
     delta_q = F.when(F.col("kind") == "ADD", 1).otherwise(-1)
     changes = w2.select("event_id", "event_time", "session_id", "barcode", "kind", "epoch",
                         "quantity", delta_q.alias("dq"), (delta_q * F.col("line_price")).alias("dm"))
-    c = prefix_scan(changes, ["session_id", "epoch"], "event_time", "event_id", "dq", "item_count", bucket_us)
-    c = prefix_scan(c, ["session_id", "epoch"], "event_time", "event_id", "dm", "total", bucket_us)
+    c = prefix_sums(changes, ["session_id", "epoch"], "event_time", "event_id",
+                    {"item_count": F.col("dq"), "total": F.col("dm")}, bucket_us)
     changed = c.select(
         "event_id", "event_time", "session_id",
         F.when(F.col("kind") == "ADD", "ITEM_ADDED").otherwise("ITEM_REMOVED").alias("event_type"),
@@ -189,8 +189,8 @@ def live_lines(events: DataFrame, bucket_us: int = 3_600_000_000) -> DataFrame:
     w2 = price_at_addition(events, bucket_us)
     last = (w2.groupBy("session_id", "barcode")
               .agg(F.max(F.struct("event_time", "event_id", "epoch", "quantity", "price_at_addition")).alias("_l")))
-    last_epoch = (_with_epoch(events, bucket_us).groupBy("session_id")
-                  .agg(F.max("epoch").alias("last_epoch")))
+    last_epoch = (events.where(F.col("kind").isin("ADD", "REMOVE", "CLEAR")).groupBy("session_id")
+                        .agg(F.count_if(F.col("kind") == "CLEAR").alias("last_epoch")))
     j = last.join(last_epoch, "session_id")
     return (j.where((F.col("_l.epoch") == F.col("last_epoch")) & (F.col("_l.quantity") > 0))
              .select("session_id", "barcode", F.col("_l.quantity").cast("bigint").alias("quantity"),

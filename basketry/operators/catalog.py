@@ -122,7 +122,9 @@ def trigram_search(queries: DataFrame, catalog: DataFrame) -> DataFrame:
     cand = pick.join(idx, ["gram", "n"]).select("query_id", "barcode")
     names = catalog.select("barcode", "name")
     verified = (cand.join(q, "query_id").join(names, "barcode")
-                    .where(F.like(F.lower(F.col("name")), F.concat(F.lit("%"), F.col("q"), F.lit("%")))))
+                    .where(F.when(F.col("q").rlike("[%_]"),
+                                  F.like(F.lower(F.col("name")), F.concat(F.lit("%"), F.col("q"), F.lit("%"))))
+                            .otherwise(F.contains(F.lower(F.col("name")), F.col("q")))))
     return verified.select("query_id", "barcode", "name")
 
 

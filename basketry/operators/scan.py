@@ -13,6 +13,13 @@ levels instead:
 3. the chunk offsets are joined back on (key, bucket) and added.
 
 The result equals the one-level window exactly (checked in tests).
+
+Both the per-chunk window and the per-chunk summary read the bucketed input,
+so it is checkpointed first (eagerly, into the shared folder named by
+``spark.checkpoint.dir``): nested scans — W1 feeds W2 feeds S6 — then cost
+one pass per level instead of recomputing the whole upstream in both
+branches at every level, and the lineage a lost executor would replay stays
+one level deep.
 """
 
 from __future__ import annotations
@@ -23,10 +30,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import epoch_micros
+from basketry.session import checkpoint_root
 
 HOUR_US = 3_600_000_000
 
 
+def _materialize(d: DataFrame) -> DataFrame:
+    checkpoint_root(d.sparkSession)
+    return d.checkpoint(eager=True)
+
+
 def prefix_scan(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, value: Column | str,
                 out: str, bucket_us: int = HOUR_US, with_min: bool = False) -> DataFrame:
     """Add ``out`` = running sum of ``value`` per ``keys`` ordered by (ts, tiebreak).
@@ -37,7 +50,7 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, valu
     keys = list(keys)
     v = F.col(value) if isinstance(value, str) else value
     b = "_bkt_" + out
-    d = df.withColumn(b, F.floor(epoch_micros(ts) / F.lit(bucket_us))).withColumn("_v_" + out, v)
+    d = _materialize(df.withColumn(b, F.floor(epoch_micros(ts) / F.lit(bucket_us))).withColumn("_v_" + out, v))
     order = [F.col(ts), F.col(tiebreak)]
     w_local = Window.partitionBy(*keys, b).orderBy(*order)
     run = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -87,7 +100,7 @@ def prev_value(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, cols:
     per-bucket summary)."""
     keys = list(keys)
     b = "_pb"
-    d = df.withColumn(b, F.floor(epoch_micros(ts) / F.lit(bucket_us)))
+    d = _materialize(df.withColumn(b, F.floor(epoch_micros(ts) / F.lit(bucket_us))))
     w = Window.partitionBy(*keys, b).orderBy(F.col(ts), F.col(tiebreak))
     d = d.withColumn("_pfirst", F.lag(F.lit(1)).over(w).isNull())
     for c in cols:
@@ -100,3 +113,28 @@ def prev_value(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, cols:
     for c in cols:
         j = j.withColumn(prefix + c, F.when(F.col("_pfirst"), F.col("_pcarry." + c)).otherwise(F.col("_plag_" + c)))
     return j.drop(b, "_pfirst", "_pcarry", *["_plag_" + c for c in cols])
+
+
+def prefix_sums(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, values: dict[str, Column],
+                bucket_us: int = HOUR_US) -> DataFrame:
+    """Several running sums over the same key and order in one two-level pass
+    (one exchange, one summary) — ``prefix_scan`` for many columns."""
+    keys = list(keys)
+    b = "_bkt_multi"
+    d = df.withColumn(b, F.floor(epoch_micros(ts) / F.lit(bucket_us)))
+    for out, v in values.items():
+        d = d.withColumn("_v_" + out, v)
+    d = _materialize(d)
+    run = Window.partitionBy(*keys, b).orderBy(F.col(ts), F.col(tiebreak)).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    for out in values:
+        d = d.withColumn("_loc_" + out, F.sum("_v_" + out).over(run))
+    summary = d.groupBy(*keys, b).agg(*[F.sum("_v_" + o).alias("_tot_" + o) for o in values])
+    w_b = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    for o in values:
+        summary = summary.withColumn("_off_" + o, F.coalesce(F.sum("_tot_" + o).over(w_b), F.lit(0)))
+    summary = summary.drop(*["_tot_" + o for o in values])
+    j = d.join(summary, on=[*keys, b], how="inner")
+    for o in values:
+        j = j.withColumn(o, F.col("_off_" + o) + F.col("_loc_" + o))
+    return j.drop(b, *[p + o for o in values for p in ("_v_", "_loc_", "_off_")])

@@ -227,9 +227,10 @@ def _cart_fold(key, pdfs, state):
         state.remove()
         return
     lines = json.loads(state.get[0]) if state.exists else {}
-    batch = pd.concat(list(pdfs), ignore_index=True)
-    if batch.empty:
+    frames = [p for p in pdfs if len(p)]
+    if not frames:
         return
+    batch = pd.concat(frames, ignore_index=True)
     batch = batch.sort_values(["event_time", "event_id"], kind="mergesort")
     touched: dict[str, object] = {}
     last_ts = None
@@ -298,9 +299,10 @@ def _session_fold(key, pdfs, state):
         state.remove()
         return
     cur = state.get[0] if state.exists else "CREATED"
-    batch = pd.concat(list(pdfs), ignore_index=True)
-    if batch.empty:
+    frames = [p for p in pdfs if len(p)]
+    if not frames:
         return
+    batch = pd.concat(frames, ignore_index=True)
     batch = batch.sort_values(["event_time", "event_id"], kind="mergesort")
     out = []
     for eid, target in zip(batch["event_id"], batch["target"]):
