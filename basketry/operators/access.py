@@ -100,6 +100,7 @@ def registration_outcomes(spark: SparkSession, req: DataFrame, users: DataFrame,
                    .when(user_hit & ~email_open, "username_taken")
                    .when(first_both & ~user_hit, "registered"))
         r = j.select("request_id", "email", "username", "user_exists", decided.alias("outcome")).checkpoint()
+    registration_outcomes.last_rounds = rounds
     return r.drop("user_exists")
 
 

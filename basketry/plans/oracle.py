@@ -1024,6 +1024,15 @@ g as (select aisle_number, time_bucket(interval '15 minutes', event_time) as win
 select aisle_number, window_start, window_start + interval '15 minutes' as window_end, requests from g
 where window_start + interval '15 minutes' <= (select max(event_time) from h) - interval '30 minutes'""")
 
+sql("stream_help_by_aisle_sliding", f"""
+with {_STREAM_BASE},
+h as (select * from dec where topic = 'help.requested'),
+x as (select aisle_number, time_bucket(interval '5 minutes', event_time) - o * interval '5 minutes' as window_start
+      from h, (values (0), (1), (2)) t(o)),
+g as (select aisle_number, window_start, count(*) as requests from x group by 1, 2)
+select aisle_number, window_start, window_start + interval '15 minutes' as window_end, requests from g
+where window_start + interval '15 minutes' <= (select max(event_time) from h) - interval '30 minutes'""")
+
 sql("stream_paid_completed", f"""
 with {_STREAM_BASE},
 p as (select key, event_time from dec where topic = 'session.paid'),

@@ -587,6 +587,11 @@ def q_stream_help_by_aisle(spark, sf_dir):
     return stream.stream_help_by_aisle(spark, _feed(spark, _v(spark, sf_dir)))
 
 
+@query("stream_help_by_aisle_sliding")
+def q_stream_help_by_aisle_sliding(spark, sf_dir):
+    return stream.stream_help_by_aisle(spark, _feed(spark, _v(spark, sf_dir)), slide="5 minutes")
+
+
 @query("stream_paid_completed")
 def q_stream_paid_completed(spark, sf_dir):
     return stream.stream_paid_completed(spark, _feed(spark, _v(spark, sf_dir)))

@@ -11,7 +11,7 @@ KEYS = sorted(E.queries())
 
 def test_every_key_has_a_sql_twin_or_is_documented():
     rows_only = set(KEYS) - set(E.oracle_sql())
-    assert rows_only == {"stream_lookup_dedup", "token_audit"}
+    assert rows_only == {"stream_lookup_dedup", "token_audit"}  # brute-force tests in test_bruteforce.py
 
 
 def test_entry_smoke(spark):
