@@ -10,9 +10,11 @@ watermarks bound all state.
 from __future__ import annotations
 
 import json
+import sys
 import uuid
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -23,6 +25,10 @@ from basketry.sources.topics import decode_topics
 
 FEED_SCHEMA = "event_id long, topic string, key string, value string"
 
+# The state functions below run on executors; ship them by value so the
+# workers need no copy of this package on their import path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def stream_home(spark: SparkSession, name: str) -> str:
     """A fresh folder for one stream run inside the shared checkpoint root."""
