@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import email_ok, is_blank, length_between
-from basketry.schemas import (DEFAULT_ROLE, GRANT_RULES, OPEN_PATHS, PRIVILEGES, ROLES, error_codes_df,
-                              literal_df, privileges_df, roles_df, routes_df)
+from basketry.schemas import (DEFAULT_ROLE, GRANT_RULES, OPEN_PATHS, PRIVILEGES, error_codes_df, literal_df,
+                              privileges_df, roles_df)
 from basketry.session import checkpoint_root
 
 # field rules of a registration, in annotation order: (field, failed-when, message)
@@ -267,5 +267,3 @@ def outcome_sources(spark: SparkSession, v) -> dict[str, DataFrame]:
         F.when(~F.col("accepted"), "IllegalStateTransitionException").alias("exception"))
     return {"signups": reg, "refresh": ref, "cart_access": cart, "gates": gates, "replay": rep}
 
-
-__all__ = ["ROLES"]

@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators.scan import first_by_order, prefix_scan, prefix_sums
-from basketry.schemas import MONEY
+from basketry.operators.scan import first_by_order, prefix_scan, prefix_sums, prev_value
 
 
 # --- A1 / A3 / A2 / O1 / P6 / P9 over stored lines --------------------------------
@@ -212,14 +211,23 @@ def cart_ttl_view(events: DataFrame, bucket_us: int = 3_600_000_000) -> DataFram
     remove that leaves the line above 0) refreshes 24 h for the whole session;
     a delete to 0 does not refresh; a clear drops the key (new epoch).
 
-    ``session_window`` with a 24 h gap over the puts; expiry is computed from
-    ``max(event_time)`` (a filter on the window end would be pushed below the
-    session merge)."""
+    Sessionised with a 24 h gap, skew-safe: the gap to the previous put comes
+    from a two-level lag, window numbers from a two-level running count of
+    "gap >= 24 h" flags, and each window closes with a partial-aggregated
+    group-by. (Spark's batch ``session_window`` merges a key's rows in one task
+    after the shuffle, so a hot session would land whole in one task.) Expiry
+    is the last put + 24 h."""
     w1 = cart_running_quantity(events, bucket_us)
     puts = w1.where(~F.col("rejected") & ((F.col("kind") == "ADD") | (F.col("quantity") > 0)))
-    g = (puts.groupBy("session_id", "epoch", F.session_window("event_time", "24 hours").alias("w"))
-             .agg(F.min("event_time").alias("first_put"), F.max("event_time").alias("last_put"),
-                  F.count(F.lit(1)).alias("puts")))
+    keys = ["session_id", "epoch"]
+    p = prev_value(puts.select("event_id", "event_time", *keys), keys, "event_time", "event_id", ["event_time"],
+                   bucket_us=bucket_us)
+    gap = F.col("prev_event_time").isNull() | (F.col("event_time") >= F.col("prev_event_time")
+                                               + F.expr("INTERVAL 24 HOURS"))
+    n = prefix_scan(p, keys, "event_time", "event_id", F.when(gap, 1).otherwise(0), "window_no", bucket_us)
+    g = (n.groupBy(*keys, "window_no")
+          .agg(F.min("event_time").alias("first_put"), F.max("event_time").alias("last_put"),
+               F.count(F.lit(1)).alias("puts")))
     return g.select("session_id", "epoch", "first_put", "last_put", "puts",
                     (F.col("last_put") + F.expr("INTERVAL 24 HOURS")).alias("expires_at"))
 
