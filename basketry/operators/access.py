@@ -62,9 +62,10 @@ def registration_outcomes(spark: SparkSession, req: DataFrame, users: DataFrame,
     Exact and distributed: each round settles only rows whose fate is certain
     — rejections against already registered rows, then acceptance of rows that
     come first, among the undecided, for both their e-mail and user name. The
-    earliest undecided row is always settled, so the loop ends; rows per round
-    are grouped ``min`` aggregates and joins, and each round is checkpointed to
-    the shared checkpoint folder so the lineage stays short."""
+    earliest undecided row is always settled, so the loop ends. A round reads
+    only the still-undecided rows and the registered ones (settled rows never
+    change), with grouped ``min`` aggregates and joins; each round is
+    checkpointed to the shared checkpoint folder so the lineage stays short."""
     checkpoint_root(spark)
     v = validate_requests(req).select("request_id", "email", "username", "valid")
     ex_e = users.select(F.col("email")).distinct().withColumn("email_exists", F.lit(True))
@@ -75,33 +76,43 @@ def registration_outcomes(spark: SparkSession, req: DataFrame, users: DataFrame,
                   F.when(~F.col("valid"), "invalid")
                    .when(F.col("email_exists"), "email_taken").alias("outcome")))
     r = r.checkpoint()
+    settled = [r.where(F.col("outcome").isNotNull()).drop("user_exists")]
+    und = r.where(F.col("outcome").isNull())
+    accepted = None
     rounds = 0
-    while True:
-        und = r.where(F.col("outcome").isNull())
-        if und.limit(1).count() == 0:
-            break
+    rid = F.col("request_id")
+    while und.limit(1).count() > 0:
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError("registration rounds exceeded")
-        acc = r.where(F.col("outcome") == "registered")
-        acc_e = acc.groupBy("email").agg(F.min("request_id").alias("acc_e"))
-        acc_u = acc.groupBy("username").agg(F.min("request_id").alias("acc_u"))
         und_e = und.groupBy("email").agg(F.min("request_id").alias("und_e"))
         und_u = und.groupBy("username").agg(F.min("request_id").alias("und_u"))
-        j = (r.join(acc_e, "email", "left").join(acc_u, "username", "left")
-              .join(und_e, "email", "left").join(und_u, "username", "left"))
-        rid = F.col("request_id")
+        j = und.join(und_e, "email", "left").join(und_u, "username", "left")
+        if accepted is not None:
+            acc_e = accepted.groupBy("email").agg(F.min("request_id").alias("acc_e"))
+            acc_u = accepted.groupBy("username").agg(F.min("request_id").alias("acc_u"))
+            j = j.join(acc_e, "email", "left").join(acc_u, "username", "left")
+        else:
+            j = j.withColumn("acc_e", F.lit(None).cast("long")).withColumn("acc_u", F.lit(None).cast("long"))
         email_hit = F.coalesce(F.col("acc_e") < rid, F.lit(False))
         user_hit = F.coalesce(F.col("acc_u") < rid, F.lit(False)) | F.col("user_exists")
         email_open = F.coalesce(F.col("und_e") < rid, F.lit(False))
         first_both = (F.col("und_e") == rid) & (F.col("und_u") == rid)
-        decided = (F.when(F.col("outcome").isNotNull(), F.col("outcome"))
-                   .when(email_hit, "email_taken")
+        decided = (F.when(email_hit, "email_taken")
                    .when(user_hit & ~email_open, "username_taken")
                    .when(first_both & ~user_hit, "registered"))
-        r = j.select("request_id", "email", "username", "user_exists", decided.alias("outcome")).checkpoint()
+        step = j.select("request_id", "email", "username", "user_exists", decided.alias("outcome")).checkpoint()
+        now = step.where(F.col("outcome").isNotNull()).drop("user_exists")
+        settled.append(now)
+        new_acc = now.where(F.col("outcome") == "registered").select("request_id", "email", "username")
+        accepted = new_acc if accepted is None else accepted.unionByName(new_acc)
+        accepted = accepted.checkpoint()
+        und = step.where(F.col("outcome").isNull())
     registration_outcomes.last_rounds = rounds
-    return r.drop("user_exists")
+    out = settled[0]
+    for d in settled[1:]:
+        out = out.unionByName(d)
+    return out
 
 
 def registration_conflicts(spark: SparkSession, req: DataFrame, users: DataFrame) -> DataFrame:

@@ -131,16 +131,17 @@ def transition_chain_audit(spark: SparkSession, audit: DataFrame) -> DataFrame:
 
 
 def state_dwell_time(audit: DataFrame, log_end: Column | None = None) -> DataFrame:
-    """Seconds spent in each state entered by an accepted transition, until
-    the next one (sessions still in a state are left out)."""
+    """Time spent in each state entered by an accepted transition, until
+    the next one (sessions still in a state are left out), in microseconds."""
     from pyspark.sql import Window
     w = Window.partitionBy("session_id").orderBy("transitioned_at", "event_id")
     d = audit.withColumn("left_at", F.lead("transitioned_at").over(w))
-    secs = F.timestamp_diff("MICROSECOND", F.col("transitioned_at"), F.col("left_at")) / F.lit(1e6)
-    d = d.where(F.col("left_at").isNotNull()).withColumn("secs", secs)
+    us = F.timestamp_diff("MICROSECOND", F.col("transitioned_at"), F.col("left_at"))
+    d = d.where(F.col("left_at").isNotNull()).withColumn("us", us)
+    # exact integer microseconds (a float average would depend on summation order)
     return d.groupBy(F.col("to_state").alias("state")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("secs"), 3).alias("avg_secs"),
-        F.min("secs").alias("min_secs"), F.max("secs").alias("max_secs"))
+        F.count(F.lit(1)).alias("n"), F.expr("sum(us) div count(1)").alias("avg_micros"),
+        F.min("us").alias("min_micros"), F.max("us").alias("max_micros"))
 
 
 def stuck_payments(log: DataFrame, as_of: str, older_than: str = "15 minutes") -> DataFrame:

@@ -279,9 +279,9 @@ d as (select to_state, transitioned_at,
              lead(transitioned_at) over (partition by session_id order by transitioned_at, event_id) as left_at
       from audit)
 select to_state as state, count(*) as n,
-       round(avg((epoch_us(left_at) - epoch_us(transitioned_at)) / 1e6), 3) as avg_secs,
-       min((epoch_us(left_at) - epoch_us(transitioned_at)) / 1e6) as min_secs,
-       max((epoch_us(left_at) - epoch_us(transitioned_at)) / 1e6) as max_secs
+       cast(sum(epoch_us(left_at) - epoch_us(transitioned_at)) // count(*) as bigint) as avg_micros,
+       min(epoch_us(left_at) - epoch_us(transitioned_at)) as min_micros,
+       max(epoch_us(left_at) - epoch_us(transitioned_at)) as max_micros
 from d where left_at is not null group by to_state""")
 
 sql("stuck_payments", f"""
