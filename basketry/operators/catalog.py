@@ -142,14 +142,14 @@ def top_n_per_query(queries: DataFrame, catalog: DataFrame, salts: int = 64) ->
     part = (m.join(lim, "query_id").withColumn("_salt", salt).withColumn("_r", F.row_number().over(w1))
              .where(F.col("_r") <= F.col("lim")))
     w = Window.partitionBy("query_id").orderBy("barcode")
-    pages = (part.withColumn("rank", F.row_number().over(w))
+    pages = (part.withColumn("rank", F.row_number().over(w).cast("bigint"))
                  .where(F.col("rank") <= F.col("lim")).drop("lim", "_salt", "_r"))
     wild = queries.where(F.char_length(_literal_core(F.lower(F.col("query")))) == 0).select("query_id", "lim")
     max_lim = wild.agg(F.max("lim")).first()[0]
     if not max_lim:
         return pages
     top = (catalog.orderBy("barcode").limit(int(max_lim)).select("barcode", "name")
-                  .withColumn("rank", F.row_number().over(Window.orderBy("barcode"))))
+                  .withColumn("rank", F.row_number().over(Window.orderBy("barcode")).cast("bigint")))
     wild_pages = (wild.join(F.broadcast(top), F.col("rank") <= F.col("lim"))
                       .select("query_id", "barcode", "name", "rank"))
     return pages.unionByName(wild_pages)

@@ -637,10 +637,11 @@ _GRANTS = """grants as (select * from (values
   ('ROLE_ADMIN', 'VIEW_HELP_REQUESTS'), ('ROLE_ADMIN', 'CONFIRM_PRICE'), ('ROLE_ADMIN', 'MANAGE_STOCK'),
   ('ROLE_ADMIN', 'MANAGE_USERS'), ('ROLE_ADMIN', 'MANAGE_CATALOG'), ('ROLE_ADMIN', 'VIEW_ANALYTICS')
 ) t(role_name, privilege_name)),
-roles as (select * from (values (1, 'ROLE_CUSTOMER'), (2, 'ROLE_WORKER'), (3, 'ROLE_ADMIN')) t(role_id, role_name)),
-privs as (select * from (values (1, 'SCAN_PRODUCT'), (2, 'VIEW_CART'), (3, 'CHECKOUT'), (4, 'VIEW_HELP_REQUESTS'),
-  (5, 'CONFIRM_PRICE'), (6, 'MANAGE_STOCK'), (7, 'MANAGE_USERS'), (8, 'MANAGE_CATALOG'), (9, 'VIEW_ANALYTICS')
-) t(privilege_id, privilege_name))"""
+roles as (select cast(role_id as bigint) as role_id, role_name from (values (1, 'ROLE_CUSTOMER'), (2, 'ROLE_WORKER'),
+  (3, 'ROLE_ADMIN')) t(role_id, role_name)),
+privs as (select cast(privilege_id as bigint) as privilege_id, privilege_name from (values (1, 'SCAN_PRODUCT'),
+  (2, 'VIEW_CART'), (3, 'CHECKOUT'), (4, 'VIEW_HELP_REQUESTS'), (5, 'CONFIRM_PRICE'), (6, 'MANAGE_STOCK'),
+  (7, 'MANAGE_USERS'), (8, 'MANAGE_CATALOG'), (9, 'VIEW_ANALYTICS')) t(privilege_id, privilege_name))"""
 
 sql("user_privileges", f"""
 with {_GRANTS}
