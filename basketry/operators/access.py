@@ -105,8 +105,8 @@ def registration_outcomes(spark: SparkSession, req: DataFrame, users: DataFrame,
         now = step.where(F.col("outcome").isNotNull()).drop("user_exists")
         settled.append(now)
         new_acc = now.where(F.col("outcome") == "registered").select("request_id", "email", "username")
+        # a union of checkpointed round results: shallow lineage, no extra job
         accepted = new_acc if accepted is None else accepted.unionByName(new_acc)
-        accepted = accepted.checkpoint()
         und = step.where(F.col("outcome").isNull())
     registration_outcomes.last_rounds = rounds
     out = settled[0]

@@ -73,7 +73,7 @@ def cart_item_view(lines: DataFrame, catalog: DataFrame) -> DataFrame:
 def path_key(path_col: str, prefix: str):
     """Numeric id right after ``prefix`` in a request path, else null."""
     return F.when(F.col(path_col).startswith(prefix),
-                  F.regexp_extract(F.col(path_col), "^" + prefix.replace("/", "/") + "([0-9]+)", 1)
+                  F.regexp_extract(F.col(path_col), "^" + prefix + "([0-9]+)", 1)
                   .try_cast("bigint"))
 
 
