@@ -1069,3 +1069,49 @@ sql("stream_cart_state", f"with {_LIVE} select session_id, barcode, quantity, pr
 sql("stream_session_state", f"""
 with {_REPLAY}
 select event_id, session_id, target, from_state, accepted, to_state from replay""")
+
+
+# --- the request path as one plan ----------------------------------------------------
+
+_W2_PASS = _W2.replace("from cart_events", "from pass_cmds")
+assert _W2_PASS.count("pass_cmds") == 1
+sql("cart_request_flow", f"""
+with first_ as (select user_id as u, min(session_id) as s from sessions group by user_id),
+cmds as (
+  select c.event_id, c.event_time, coalesce(f.s, -1) as session_id, c.barcode, c.kind,
+         cast(coalesce(f.s, -1) as varchar) as session_text,
+         coalesce(cast(a.header_user_id as varchar), '') as user_text
+  from cart_events c left join first_ f on f.u = c.session_id
+  left join access_log a on a.event_id = c.event_id
+  where c.kind in ('ADD', 'REMOVE', 'CLEAR')),
+chk as (
+  select m.*, {_PLONG.format(c='m.session_text')} as sid, {_PLONG.format(c='m.user_text')} as uid from cmds m),
+pre as (
+  select k.*, c.name as cname, c.price as cprice,
+         case when k.kind <> 'CLEAR' and not coalesce(k.sid is not null and k.uid is not null and s.user_id is not null
+                                                      and s.user_id = k.uid and s.status = 'ACTIVE', false)
+              then 'invalid_session'
+              when k.kind = 'ADD' and c.name is null then 'product_not_found' end as pre
+  from chk k left join sessions s on s.session_id = k.sid left join catalog c on c.barcode = k.barcode),
+pass_cmds as (select event_id, event_time, session_id, barcode, kind, cprice as price from pre where pre is null),
+{_W2_PASS},
+ch as (
+  select event_id, event_time, session_id, kind, epoch,
+         case when kind = 'ADD' then 1 else -1 end as dq,
+         case when kind = 'ADD' then 1 else -1 end * line_price as dm
+  from w2 where not rejected)
+select event_id, session_id, kind, pre as outcome, cast(null as varchar) as event_type,
+       cast(null as bigint) as item_count, cast(null as decimal(38,4)) as total
+from pre where pre is not null
+union all
+select event_id, session_id, kind, 'cart_item_not_found', null, null, null from w1 where rejected
+union all
+select event_id, session_id, kind, 'ok', case when kind = 'ADD' then 'ITEM_ADDED' else 'ITEM_REMOVED' end,
+       cast(sum(dq) over (partition by session_id, epoch order by event_time, event_id
+                          rows between unbounded preceding and current row) as bigint),
+       cast(sum(dm) over (partition by session_id, epoch order by event_time, event_id
+                          rows between unbounded preceding and current row) as decimal(38,4))
+from ch
+union all
+select event_id, session_id, 'CLEAR', 'ok', 'CLEARED', cast(0 as bigint), cast(0 as decimal(38,4))
+from pass_cmds where kind = 'CLEAR'""")

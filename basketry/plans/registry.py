@@ -627,3 +627,15 @@ def q_stream_cart_state(spark, sf_dir):
 @query("stream_session_state")
 def q_stream_session_state(spark, sf_dir):
     return stream.stream_session_state(spark, _v(spark, sf_dir).session_log)
+
+
+# --- the request path as one plan --------------------------------------------------
+
+from basketry.plans import checkout  # noqa: E402
+
+
+@query("cart_request_flow")
+def q_cart_request_flow(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    cmds = checkout.cart_commands(v.cart_events, v.sessions, v.access_log)
+    return checkout.cart_request_flow(cmds, v.sessions, v.catalog)
