@@ -130,7 +130,7 @@ def transition_chain_audit(spark: SparkSession, audit: DataFrame) -> DataFrame:
                       F.col("legal").alias("edge_ok"))
 
 
-def state_dwell_time(audit: DataFrame, log_end: Column | None = None) -> DataFrame:
+def state_dwell_time(audit: DataFrame) -> DataFrame:
     """Time spent in each state entered by an accepted transition, until
     the next one (sessions still in a state are left out), in microseconds."""
     from pyspark.sql import Window
