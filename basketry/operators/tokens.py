@@ -168,10 +168,22 @@ def issue_refresh_tokens(access: DataFrame, log: DataFrame, tokens: DataFrame) -
                        F.lit(False).alias("revoked"))
 
 
-def token_with_session(qr: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Many-to-one hop QR token -> session."""
-    s = sessions.select("session_id", "user_id", F.col("status").alias("session_status"))
-    return qr.select("correlation_id", "session_id", "token_type", "status").join(s, "session_id", "inner")
+def token_with_session(qr: DataFrame, sessions: DataFrame, tokens: DataFrame | None = None,
+                       users: DataFrame | None = None) -> DataFrame:
+    """Many-to-one hops as inner equi joins: QR token -> its session
+    (status), and refresh token -> its user (e-mail), in one schema
+    (hop, child_key, parent_key, parent_label)."""
+    s = sessions.select("session_id", F.col("status").alias("parent_label"))
+    out = (qr.select("correlation_id", "session_id").join(s, "session_id", "inner")
+             .select(F.lit("qr_token").alias("hop"), F.col("correlation_id").alias("child_key"),
+                     F.col("session_id").cast("string").alias("parent_key"), "parent_label"))
+    if tokens is not None and users is not None:
+        u = users.select(F.col("id").alias("user_id"), F.col("email").alias("parent_label"))
+        rt = (tokens.select("token", "user_id").join(u, "user_id", "inner")
+                    .select(F.lit("refresh_token").alias("hop"), F.col("token").alias("child_key"),
+                            F.col("user_id").cast("string").alias("parent_key"), "parent_label"))
+        out = out.unionByName(rt)
+    return out
 
 
 def tokens_by_family(log: DataFrame, tokens: DataFrame) -> DataFrame:

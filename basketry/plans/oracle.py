@@ -523,8 +523,12 @@ select event_id, sha256({uuid_sql("'refresh:' || cast(event_id as varchar)")}) a
 from both_""")
 
 sql("token_with_session", """
-select q.correlation_id, q.session_id, q.token_type, q.status, s.user_id, s.status as session_status
-from qr_tokens q join sessions s on s.session_id = q.session_id""")
+select 'qr_token' as hop, q.correlation_id as child_key, cast(q.session_id as varchar) as parent_key,
+       s.status as parent_label
+from qr_tokens q join sessions s on s.session_id = q.session_id
+union all
+select 'refresh_token', t.token, cast(t.user_id as varchar), u.email
+from tokens t join users u on u.id = t.user_id""")
 
 sql("tokens_by_family", """
 select * from tokens t

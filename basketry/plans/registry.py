@@ -288,7 +288,7 @@ def q_issue_refresh_tokens(spark, sf_dir):
 @query("token_with_session")
 def q_token_with_session(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return tok.token_with_session(v.qr_tokens, v.sessions)
+    return tok.token_with_session(v.qr_tokens, v.sessions, v.tokens, v.users)
 
 
 @query("tokens_by_family")
