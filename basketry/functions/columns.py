@@ -110,8 +110,16 @@ def b64url(bin_b64: Column) -> Column:
 
 
 def epoch_micros(ts) -> Column:
-    """Microseconds since 1970 of a UTC wall-clock timestamp (time-zone free)."""
-    return F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), col(ts).cast("timestamp_ntz"))
+    """Microseconds since 1970 of a UTC wall-clock timestamp.
+
+    Built from the date and the time-of-day fields, which do not depend on the
+    session time zone for TIMESTAMP_NTZ (a plain difference of timestamps is
+    taken through the session zone and shifts across daylight-saving days)."""
+    t = col(ts).cast("timestamp_ntz")
+    day_us = F.unix_date(F.to_date(t)).cast("bigint") * F.lit(86_400_000_000)
+    tod_us = (F.hour(t).cast("bigint") * F.lit(3_600_000_000) + F.minute(t).cast("bigint") * F.lit(60_000_000)
+              + (F.extract(F.lit("SECOND"), t) * F.lit(1_000_000)).cast("bigint"))
+    return day_us + tod_us
 
 
 def epoch_millis(ts) -> Column:
@@ -120,10 +128,12 @@ def epoch_millis(ts) -> Column:
 
 
 def iso_instant(ts) -> Column:
-    """instant -> ISO-8601 text with 0, 3 or 6 fraction digits (Java style)."""
-    t = col(ts)
-    us = epoch_micros(ts) % 1_000_000
-    base = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
+    """instant -> ISO-8601 text with 0, 3 or 6 fraction digits (Java style),
+    formatted from the date/time fields so the session time zone plays no part."""
+    t = col(ts).cast("timestamp_ntz")
+    us = F.pmod(epoch_micros(t), F.lit(1_000_000))
+    base = F.format_string("%04d-%02d-%02dT%02d:%02d:%02d", F.year(t), F.month(t), F.dayofmonth(t),
+                           F.hour(t), F.minute(t), F.floor(F.extract(F.lit("SECOND"), t)).cast("int"))
     frac = (F.when(us == 0, F.lit(""))
             .when(us % 1000 == 0, F.concat(F.lit("."), F.lpad((us / 1000).cast("bigint").cast("string"), 3, "0")))
             .otherwise(F.concat(F.lit("."), F.lpad(us.cast("string"), 6, "0"))))
