@@ -138,3 +138,26 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, valu
     for o in values:
         j = j.withColumn(o, F.col("_off_" + o) + F.col("_loc_" + o))
     return j.drop(b, *[p + o for o in values for p in ("_v_", "_loc_", "_off_")])
+
+
+# (time, id) as one DECIMAL(38,0): time_us * 1e20 + (id + 2^63). It orders
+# exactly like the pair, and unlike a struct its min/max run in a hash
+# aggregate (decimals are updatable in place), not a sort aggregate.
+_E20 = "CAST('100000000000000000000' AS DECIMAL(38,0))"
+_S63 = "CAST('9223372036854775808' AS DECIMAL(38,0))"
+
+
+def order_key(ts: str, tiebreak: str) -> Column:
+    return (epoch_micros(ts).cast("decimal(38,0)") * F.expr(_E20)
+            + (F.col(tiebreak).cast("decimal(38,0)") + F.expr(_S63))).cast("decimal(38,0)")
+
+
+def key_time(key: Column) -> Column:
+    """The timestamp part of an ``order_key``."""
+    us = F.floor(key / F.expr(_E20)).cast("bigint")
+    return F.timestamp_add("MICROSECOND", us, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+
+
+def key_id(key: Column) -> Column:
+    """The tie-break part of an ``order_key``."""
+    return (key - F.floor(key / F.expr(_E20)) * F.expr(_E20) - F.expr(_S63)).cast("bigint")

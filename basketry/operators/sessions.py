@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.columns import (epoch_millis, iso_instant, parse_long, parse_uuid, qr_sign,
                                         qr_verify)
-from basketry.operators.scan import first_by_order, prev_value
+from basketry.operators.scan import first_by_order, key_time, order_key, prev_value
 from basketry.schemas import TERMINAL_STATES, edges_df
 
 # Fallback HMAC secret for QR signatures; pass the deployment's own secret.
@@ -20,7 +20,7 @@ DEFAULT_QR_SECRET = "dev-fallback-hmac-signing-key"
 
 
 def _k() -> Column:
-    return F.struct(F.col("event_time"), F.col("event_id"))
+    return order_key("event_time", "event_id")
 
 
 # --- T1 / U2 / W4: edges --------------------------------------------------------------
@@ -150,8 +150,8 @@ def stuck_payments(log: DataFrame, as_of: str, older_than: str = "15 minutes") -
     m = replay_milestones(log)
     cut = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {older_than}")
     return (m.where(F.col("aP").isNotNull() & F.col("aC").isNull() & F.col("aX").isNull()
-                    & (F.col("aP.event_time") < cut))
-             .select("session_id", F.col("aP.event_time").alias("paying_since")))
+                    & (key_time(F.col("aP")) < cut))
+             .select("session_id", key_time(F.col("aP")).alias("paying_since")))
 
 
 def payment_receipts(log: DataFrame, secret: str = DEFAULT_QR_SECRET) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.columns import (b64url, b64url_to_text, epoch_micros, hmac_b64, parse_price,
                                         qr_verify, sha256_hex)
-from basketry.operators.scan import prefix_scan, prev_value
+from basketry.operators.scan import key_id, key_time, order_key, prefix_scan, prev_value
 from basketry.operators.sessions import DEFAULT_QR_SECRET, uuid_from
 from basketry.schemas import REFRESH_TOKEN_TTL
 
@@ -22,7 +22,7 @@ DEFAULT_JWT_SECRET = "dev-secret-key-that-is-at-least-512-bits-long-for-hs512-si
 
 
 def _k() -> Column:
-    return F.struct(F.col("event_time"), F.col("event_id"))
+    return order_key("event_time", "event_id")
 
 
 def hash_tokens(tokens: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def refresh_history(log: DataFrame, tokens: DataFrame, as_run: bool = False) ->
                   .groupBy("token_hash").agg(F.min(k).alias("k2")))
     per_tok = first.join(second, "token_hash", "left")
     pt = pres.join(per_tok, "token_hash")
-    first_ok = (~F.col("init_revoked")) & (F.col("k1.event_time") <= F.col("expires_at"))
+    first_ok = (~F.col("init_revoked")) & (key_time(F.col("k1")) <= F.col("expires_at"))
     cand = [F.min(F.when((F.col("kind") == "LOGOUT") & known, k)).alias("c_logout")]
     fam_logout = ev.groupBy(F.col("t_family").alias("family")).agg(*cand)
     fam_reuse = (pt.where(k == F.col("k1"))
@@ -102,8 +102,8 @@ def reuse_detection(log: DataFrame, tokens: DataFrame) -> DataFrame:
     """Families compromised by reuse, and from when."""
     h = refresh_history(log, tokens)
     fams = (h.where(F.col("cause") == "REUSE_DETECTED")
-             .select("family_id", F.col("compromised_at.event_time").alias("compromised_at"),
-                     F.col("compromised_at.event_id").alias("reuse_event_id")).distinct())
+             .select("family_id", key_time(F.col("compromised_at")).alias("compromised_at"),
+                     key_id(F.col("compromised_at")).alias("reuse_event_id")).distinct())
     return fams
 
 
