@@ -84,12 +84,12 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, valu
 
 def first_by_order(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
                    cols: Sequence[str], prefix: str = "first_") -> DataFrame:
-    """Per key, the values of ``cols`` on the earliest row: a partial aggregate
-    (``min`` of a struct), so hot keys are pre-aggregated map-side."""
-    s = F.min(F.struct(F.col(ts).alias("_o_ts"), F.col(tiebreak).alias("_o_tb"),
-                       *[F.col(c).alias(c) for c in cols])).alias("_first")
-    g = df.groupBy(*keys).agg(s)
-    return g.select(*keys, *[F.col("_first." + c).alias(prefix + c) for c in cols])
+    """Per key, the values of ``cols`` on the earliest row (by ts, then the
+    numeric tie-break): ``min_by`` on one decimal order key per column — a
+    partial hash aggregate, so hot keys are pre-aggregated map-side."""
+    k = order_key(ts, tiebreak)
+    g = df.groupBy(*keys).agg(*[F.min_by(F.col(c), k).alias(prefix + c) for c in cols])
+    return g.select(*keys, *[prefix + c for c in cols])
 
 
 def prev_value(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, cols: Sequence[str],
