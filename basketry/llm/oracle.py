@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from basketry.llm import licenses
+
 OP9 = r"""
 with t as (
   select doc_id, coalesce(text, '') as raw, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as norm from documents
@@ -13,6 +15,75 @@ with t as (
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256 from g
 """
 
+OP3 = """
+with v as (
+  select vec_id, label, embedding::double[] as e from embeddings
+), ok as (
+  select * from v where label is not null and vec_id is not null and len(e) > 0
+    and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0
+), l as (
+  select a.vec_id as a, b.vec_id as b from ok a join ok b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.93
+), n as (
+  select a, count(*) as n from l group by a
+), r as (
+  with recursive reach(a, b) as (select a, b from l union select reach.a, l.b from reach join l on reach.b = l.a)
+  select a, least(a, min(b)) as root from reach group by a
+)
+select v.vec_id, coalesce(n.n, 0) as n_links, coalesce(r.root, v.vec_id) as component_id, coalesce(r.root, v.vec_id) = v.vec_id as kept
+from v left join n on v.vec_id = n.a left join r on v.vec_id = r.a
+"""
+
+OP4 = """
+with d as (
+  select doc_id, coalesce(text, '') as t, string_split(coalesce(text, ''), chr(10)) as l from documents
+), w as (
+  select doc_id, i, [l[i], l[i + 1], l[i + 2]] as k from d, unnest(range(1, len(l) - 1)) u(i)
+), f as (
+  select doc_id, i, row_number() over (partition by k order by doc_id, i) as nth from w
+), c as (
+  select distinct doc_id, i + x as line from f, (values (0), (1), (2)) s(x) where nth > 1
+), g as (
+  select doc_id, list(line) as gone from c group by doc_id
+)
+select d.doc_id, case when gone is null then t else coalesce(array_to_string(list_filter(l, lambda x, i: not list_contains(gone, i)), chr(10)), '') end as text,
+       len(l) as n_lines, coalesce(len(gone), 0) as n_removed
+from d left join g on d.doc_id = g.doc_id
+"""
+
+WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _values(texts: dict[str, str]) -> str:
+    return ", ".join(f"('{t}', '{label}')" for t, label in texts.items())
+
+
+OP10 = f"""
+with d as (
+  select row_number() over () as r, doc_id, translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}') as t from documents
+), w as (
+  select r, doc_id, t, regexp_extract_all(t, '{WORDS}') as ws from d
+), p as (
+  select w.r, label, i - 1 as start
+  from w, unnest(range(1, len(ws) + 1)) u(i), (select string_split(phrase, ' ') as ph, label from (values {_values(licenses.PHRASES)}) x(phrase, label)) q
+  where ws[i : i + len(ph) - 1] = ph
+), b as (
+  select r, count(*) as n_base, min(start) as first_word, max(start) as last_word, list(distinct label) as base_labels from p group by r
+), lines as (
+  select r, list_distinct(regexp_extract_all(line, '{WORDS}')) as tokens from d, unnest(string_split(t, chr(10))) u(line)
+), m as (
+  select r, label, len(list_intersect(tokens, tt)) as shared, len(tt) as n
+  from lines, (select list_distinct(string_split(template, ' ')) as tt, label from (values {_values(licenses.TEMPLATES)}) x(template, label)) q
+), s as (
+  select r, list(distinct label) as found, max(shared / n) as share from m where shared >= ceil(0.8 * n) group by r
+)
+select w.doc_id, len(ws) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(base_labels), ','), '') as base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base_labels, []), coalesce(found, [])))), ','), '') as labels,
+       case when n_base > 0 then 1.0 else coalesce(share, 0.0) end::double as score
+from w left join b on w.r = b.r left join s on w.r = s.r
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9}
+    return {"op3_embedding_dedup": OP3, "op4_line_dedup": OP4, "op9_exact_dedup": OP9, "op10_licenses": OP10}

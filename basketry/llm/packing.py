@@ -26,6 +26,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from basketry.llm import common
 from basketry.llm.tokens import ALPHABET, CALL_BYTES, KEPT_CHARS, by_bytes, load
@@ -170,7 +171,7 @@ def pack(parts: DataFrame, size: int = SEQUENCE, open_bins: int = OPEN_BINS, tas
     """The pieces (with doc_id, piece, length) and their sequence_id and offset."""
     parts = common.stored(parts)
     total = parts.agg(F.sum("length")).first()[0] or 0
-    schema = parts.schema.add("sequence_id", "long").add("offset", "long")
+    schema = StructType([*parts.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]):
         from pyspark import TaskContext

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import exact, packing, simhash, tokens
+from basketry.llm import embeddings, exact, language, licenses, lines, packing, pieces, pii, simhash, tokens
 from basketry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,14 +20,40 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", limit=1024)
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_dedup(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_dedup(table(spark, sf_dir, "documents"), window=3)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(table(spark, sf_dir, "documents"), "word_bpe_49k.json", size=2048)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_pii(docs, pii.train(docs))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_id(table(spark, sf_dir, "documents")).drop("ambiguous")
+
+
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), "piece_bpe_32k.model", n=2)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"), least=0.8)
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_simhash, op2_token_counts, op5_best_fit_packing, op9_exact_dedup)
+    f.__name__: f for f in (op1_simhash, op2_token_counts, op3_embedding_dedup, op4_line_dedup, op5_best_fit_packing, op6_pii,
+                            op7_language_id, op8_pieces, op9_exact_dedup, op10_licenses)
 }
