@@ -76,10 +76,11 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: list[str], value: list
     def col(t, name):
         c = t.column(name)
         c = c.chunk(0) if c.num_chunks else pa.array([], type=c.type)
-        if pa.types.is_list(c.type):
-            flat = c.flatten().to_numpy(zero_copy_only=False)
-            return flat.reshape(len(c), -1) if len(c) else flat.reshape(0, 0)
-        return c.to_numpy(zero_copy_only=False)
+        return c if pa.types.is_list(c.type) else c.to_numpy(zero_copy_only=False)
+
+    def part(c, a, b):
+        """Rows a to b; lists, which have one length within a group, as a matrix."""
+        return c.slice(a, b - a).flatten().to_numpy(zero_copy_only=False).reshape(b - a, -1) if isinstance(c, pa.Array) else c[a:b]
 
     def split(t, last):
         keys = [col(t, k) for k in key]
@@ -98,7 +99,7 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: list[str], value: list
         sizes = np.diff(starts)
         big = np.flatnonzero(sizes >= 2)
         vals = [col(t, v) for v in value] if len(big) else []
-        return [(tuple(k[starts[i]] for k in keys), [v[starts[i]:starts[i + 1]] for v in vals]) for i in big], rest
+        return [(tuple(k[starts[i]] for k in keys), [part(v, starts[i], starts[i + 1]) for v in vals]) for i in big], rest
 
     parts: list = []
     rows = 0
