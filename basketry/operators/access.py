@@ -200,27 +200,18 @@ def cascade_delete(users: DataFrame, tokens: DataFrame) -> DataFrame:
     return bridge.unionByName(toks).join(gone, "user_id", "left_anti")
 
 
-def path_prefixes(path: Column) -> Column:
-    """All segment prefixes of a path: /a/b/c -> [/a, /a/b, /a/b/c]."""
-    segs = F.split(F.regexp_replace(path, "^/", ""), "/")
-    return F.transform(F.sequence(F.lit(1), F.size(segs)),
-                       lambda i: F.concat(F.lit("/"), F.array_join(F.slice(segs, 1, i), "/")))
-
-
 def route_requests(spark: SparkSession, access: DataFrame) -> DataFrame:
     """Route of each request path; a rule prefix matches the path itself or
     prefix + '/...'; longest prefix wins; else unrouted.
 
-    The six rules are a fixed literal, so they become a literal map looked up
-    with each of the path's own segment prefixes (shortest first): the last
-    hit is the longest match. A narrow projection — no join, no shuffle, no
-    nested loop."""
+    The six rules are fixed, so they are one CASE over the path, longest prefix
+    first: a narrow projection inside codegen, no join and no shuffle."""
     from basketry.schemas import ROUTES
-    rules = F.create_map(*[x for prefix_route in ROUTES for x in (F.lit(prefix_route[1]), F.lit(prefix_route[0]))])
-    hits = F.filter(F.transform(path_prefixes(F.col("path")), lambda p: F.element_at(rules, p)),
-                    lambda r: r.isNotNull())
-    route = F.when(F.size(hits) > 0, F.element_at(hits, -1)).otherwise(F.lit("unrouted"))
-    return access.select("event_id", "path", route.alias("route_id"))
+    path, route = F.col("path"), None
+    for name, prefix in sorted(ROUTES, key=lambda r: -len(r[1])):
+        hit = (path == prefix) | path.startswith(prefix + "/")
+        route = F.when(hit, name) if route is None else route.when(hit, name)
+    return access.select("event_id", "path", route.otherwise("unrouted").alias("route_id"))
 
 
 def open_path_filter(access: DataFrame) -> DataFrame:
@@ -242,7 +233,8 @@ def outcome_counts(spark: SparkSession, parts: dict[str, DataFrame]) -> DataFram
         u = d if u is None else u.unionByName(d)
     c = u.groupBy("source", "exception").agg(F.count(F.lit(1)).alias("n"))
     codes = error_codes_df(spark)
-    svc = {"signups": "auth", "refresh": "auth", "cart_access": "cart", "gates": "session", "replay": "session"}
+    svc = {"signups": "auth", "refresh": "auth", "logout": "auth", "cart_access": "cart", "scans": "cart", "removes": "cart",
+           "gates": "session", "replay": "session", "owners": "session"}
     c = c.withColumn("service", F.element_at(F.create_map(*[x for k, v in svc.items()
                                                             for x in (F.lit(k), F.lit(v))]), F.col("source")))
     return (c.join(codes, ["service", "exception"])
@@ -258,6 +250,7 @@ def _exc(col: Column, mapping: dict[str, str]) -> Column:
 
 def outcome_sources(spark: SparkSession, v) -> dict[str, DataFrame]:
     """The outcome rows A6 counts, each mapped to the exception it raises."""
+    from basketry.operators import carts
     from basketry.operators import sessions as sess
     from basketry.operators import tokens as tok
     reg = registration_outcomes(spark, v.signups, v.users).select(
@@ -267,14 +260,22 @@ def outcome_sources(spark: SparkSession, v) -> dict[str, DataFrame]:
     ref = tok.refresh_outcomes(v.token_log, v.tokens).select(
         _exc(F.col("outcome"), {"invalid": "InvalidTokenException", "expired": "InvalidTokenException",
                                 "reuse": "TokenReuseException"}).alias("exception"))
+    out = tok.logout_revocation(v.token_log, v.tokens).select(
+        F.when(F.col("outcome") == "invalid", "InvalidTokenException").alias("exception"))
     cart = sess.session_access_check(
-        v.access_log.where(F.col("path").startswith("/api/cart/")).select("event_id", "session_text", "user_text"),
-        v.sessions).select(F.when(~F.col("valid"), "InvalidSessionException").alias("exception"))
-    gates = sess.validate_tokens(v.gate_requests, sess.stored_qr_tokens(v.qr_tokens), "1998-04-15 00:00:00").select(
-        _exc(F.col("verdict"), {"not_found": "InvalidQrTokenException", "not_active": "InvalidQrTokenException",
-                                "bad_signature": "InvalidQrTokenException",
-                                "expired": "QrTokenExpiredException"}).alias("exception"))
+        v.access_requests, v.sessions).select(F.when(~F.col("valid"), "InvalidSessionException").alias("exception"))
+    gates = sess.gate_history(v.gate_requests, v.gate_tokens, v.gate_sessions).where(F.col("gate") == "entry").select(
+        _exc(F.col("result"), {"not_found": "InvalidQrTokenException", "not_active": "InvalidQrTokenException",
+                               "bad_signature": "InvalidQrTokenException", "expired": "QrTokenExpiredException",
+                               "illegal_transition": "IllegalStateTransitionException"}).alias("exception"))
     rep = sess.session_replay(v.session_log).select(
         F.when(~F.col("accepted"), "IllegalStateTransitionException").alias("exception"))
-    return {"signups": reg, "refresh": ref, "cart_access": cart, "gates": gates, "replay": rep}
+    scans = carts.enrich_scans(v.barcode_requests, v.catalog).select(
+        F.when(F.col("outcome") != "ok", "ProductNotFoundException").alias("exception"))
+    removes = carts.cart_running_quantity(v.cart_events).select(
+        F.when(F.col("rejected"), "CartItemNotFoundException").alias("exception"))
+    owners = sess.verify_owner(v.owner_requests, v.sessions).select(
+        F.when(~F.col("visible"), "SessionNotFoundException").alias("exception"))
+    return {"signups": reg, "refresh": ref, "logout": out, "cart_access": cart, "scans": scans, "removes": removes,
+            "gates": gates, "replay": rep, "owners": owners}
 

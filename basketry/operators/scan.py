@@ -35,7 +35,8 @@ from basketry.session import checkpoint_root
 HOUR_US = 3_600_000_000
 
 
-def _materialize(d: DataFrame) -> DataFrame:
+def materialize(d: DataFrame) -> DataFrame:
+    """Computed once into the shared checkpoint folder; several branches then read it."""
     checkpoint_root(d.sparkSession)
     return d.checkpoint(eager=True)
 
@@ -50,7 +51,7 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, valu
     keys = list(keys)
     v = F.col(value) if isinstance(value, str) else value
     b = "_bkt_" + out
-    d = _materialize(df.withColumn(b, F.floor(epoch_micros(ts) / F.lit(bucket_us))).withColumn("_v_" + out, v))
+    d = materialize(df.withColumn(b, F.floor(epoch_micros(ts) / F.lit(bucket_us))).withColumn("_v_" + out, v))
     order = [F.col(ts), F.col(tiebreak)]
     w_local = Window.partitionBy(*keys, b).orderBy(*order)
     run = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -100,7 +101,7 @@ def prev_value(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, cols:
     per-bucket summary)."""
     keys = list(keys)
     b = "_pb"
-    d = _materialize(df.withColumn(b, F.floor(epoch_micros(ts) / F.lit(bucket_us))))
+    d = materialize(df.withColumn(b, F.floor(epoch_micros(ts) / F.lit(bucket_us))))
     w = Window.partitionBy(*keys, b).orderBy(F.col(ts), F.col(tiebreak))
     d = d.withColumn("_pfirst", F.lag(F.lit(1)).over(w).isNull())
     for c in cols:
@@ -124,7 +125,7 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, valu
     d = df.withColumn(b, F.floor(epoch_micros(ts) / F.lit(bucket_us)))
     for out, v in values.items():
         d = d.withColumn("_v_" + out, v)
-    d = _materialize(d)
+    d = materialize(d)
     run = Window.partitionBy(*keys, b).orderBy(F.col(ts), F.col(tiebreak)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     for out in values:

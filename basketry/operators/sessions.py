@@ -12,11 +12,8 @@ from pyspark.sql import functions as F
 
 from basketry.functions.columns import (epoch_millis, iso_instant, parse_long, parse_uuid, qr_sign,
                                         qr_verify)
-from basketry.operators.scan import first_by_order, key_time, order_key, prev_value
-from basketry.schemas import TERMINAL_STATES, edges_df
-
-# Fallback HMAC secret for QR signatures; pass the deployment's own secret.
-DEFAULT_QR_SECRET = "dev-fallback-hmac-signing-key"
+from basketry.operators.scan import key_time, materialize, order_key, prev_value
+from basketry.schemas import DEFAULT_QR_SECRET, DEFAULTS, QR_TTL, SESSION_TTL, TERMINAL_STATES, edges_df
 
 
 def _k() -> Column:
@@ -180,7 +177,7 @@ def issue_token_cols(session_col: str, user_col: str, token_type: Column, now: C
                      secret: str) -> list[Column]:
     """T4 columns: correlation id, payload JSON, signature, expiry (+24 h),
     status ACTIVE, key version 1."""
-    expires = now + F.expr("INTERVAL 24 HOURS")
+    expires = now + F.expr(f"INTERVAL {QR_TTL}")
     payload = F.to_json(F.struct(F.col(session_col).cast("string").alias("sessionId"),
                                  F.col(user_col).alias("userId"), token_type.alias("type"),
                                  iso_instant(expires).alias("expiresAt")))
@@ -205,95 +202,123 @@ def resolve_user(access: DataFrame) -> DataFrame:
 
 
 def start_sessions(access: DataFrame, secret: str = DEFAULT_QR_SECRET) -> DataFrame:
-    """Session-start requests -> new session rows (store 1, CREATED, +24 h)
-    with their signed entry token; requests without a user are left out."""
+    """Session-start requests -> new session rows (the request's store, else
+    1; CREATED, +24 h) with their signed entry token; requests without a user
+    are left out."""
     req = resolve_user(access.where(F.col("path").startswith("/api/sessions/"))).where(F.col("outcome") == "ok")
-    req = req.join(access.select("event_id", "event_time"), "event_id")
+    req = req.join(access.select("event_id", "event_time", "store_id"), "event_id")
     sid = uuid_from(F.concat(F.lit("session:"), F.col("event_id").cast("string")))
-    s = req.select("event_id", sid.alias("session_id"), "user_id", F.lit(1).cast("bigint").alias("store_id"),
-                   F.lit("CREATED").alias("status"), F.col("event_time").alias("created_at"),
-                   (F.col("event_time") + F.expr("INTERVAL 24 HOURS")).alias("expires_at"))
-    return s.select("*", *issue_token_cols("session_id", "user_id", F.lit("ENTRY"), F.col("created_at"), secret))
+    s = req.select("event_id", sid.alias("session_id"), "user_id",
+                   F.coalesce(F.col("store_id"), F.lit(DEFAULTS["store_id"])).cast("bigint").alias("store_id"),
+                   F.lit(DEFAULTS["status"]).alias("status"), F.col("event_time").alias("created_at"),
+                   (F.col("event_time") + F.expr(f"INTERVAL {SESSION_TTL}")).alias("expires_at"))
+    *token, expires, status = issue_token_cols("session_id", "user_id", F.lit("ENTRY"), F.col("created_at"), secret)
+    return s.select("*", *token, expires.alias("token_expires_at"), status.alias("token_status"))
 
 
 # --- T5 / T6 / T7: gates --------------------------------------------------------------
 
 def stored_qr_tokens(qr: DataFrame, secret: str = DEFAULT_QR_SECRET) -> DataFrame:
-    """The test QR table with its stored signature: signed over the payload, or
+    """The QR table with the signature it was stored with: over the payload, or
     over altered text when ``tampered``."""
     signed = F.when(F.col("tampered"), F.concat(F.col("payload"), F.lit("#"))).otherwise(F.col("payload"))
     return qr.withColumn("vault_signature", qr_sign(signed, secret))
 
 
-def validate_tokens(requests: DataFrame, qr: DataFrame, as_of: str,
-                    secret: str = DEFAULT_QR_SECRET) -> DataFrame:
-    """T5: first failing check wins: not found -> not active -> expired
-    (as_of > expires_at, strict) -> bad signature -> ok."""
+def validate_tokens(requests: DataFrame, qr: DataFrame, secret: str = DEFAULT_QR_SECRET) -> DataFrame:
+    """T5: a request against its token as stored; first failing check wins: not
+    found -> not active -> expired (requested_at > expires_at, strict) -> bad
+    signature -> ok."""
     t = qr.select("correlation_id", "session_id", "status", "expires_at", "payload", "vault_signature")
     j = requests.join(t, "correlation_id", "left")
-    now = F.lit(as_of).cast("timestamp_ntz")
     outcome = (F.when(F.col("session_id").isNull(), "not_found")
                .when(F.col("status") != "ACTIVE", "not_active")
-               .when(now > F.col("expires_at"), "expired")
+               .when(F.col("requested_at") > F.col("expires_at"), "expired")
                .when(~qr_verify("payload", "vault_signature", secret), "bad_signature")
                .otherwise("ok"))
     return j.select(requests["*"], "session_id", F.col("status").alias("token_status"), outcome.alias("verdict"))
 
 
-def _first_use(checked: DataFrame, ok_col: str) -> DataFrame:
-    """Marks the first request (by time, id) per token among rows where ``ok_col``."""
-    firsts = first_by_order(checked.where(F.col(ok_col)), ["correlation_id"], "requested_at", "request_id",
-                            ["request_id"], prefix="first_")
-    return (checked.join(firsts, "correlation_id", "left")
-                   .withColumn("_first", F.coalesce(F.col("first_request_id") == F.col("request_id"), F.lit(False)))
-                   .withColumn("_later", F.coalesce(F.col("first_request_id") != F.col("request_id"), F.lit(False))))
-
-
-def gate_entry(requests: DataFrame, qr: DataFrame, sessions: DataFrame, as_of: str,
-               secret: str = DEFAULT_QR_SECRET, as_run: bool = False) -> DataFrame:
-    """A valid token whose session may move to ACTIVE is used (USED, session
-    ACTIVE, audit row); a failed transition rolls back, leaving the token
-    active; later uses of a used token fail as not active. An expired token is
-    marked EXPIRED by its first presentation (``as_run=True``: that update is
-    rolled back, so every presentation reads "expired")."""
-    c = validate_tokens(requests.where(F.col("gate") == "entry"), qr, as_of, secret)
-    c = c.join(sessions.select("session_id", F.col("status").alias("session_status")), "session_id", "left")
-    can = (F.col("verdict") == "ok") & (F.col("session_status") == "CREATED")
-    c = _first_use(c.withColumn("_can", can), "_can").drop("first_request_id")
-    c = c.withColumnRenamed("_first", "_used_now").withColumnRenamed("_later", "_used_before").drop("_can")
-    exp = F.col("verdict") == "expired"
-    c = _first_use(c.withColumn("_exp", exp), "_exp")
-    expired_before = F.col("_later") if not as_run else F.lit(False)
-    outcome = (F.when(F.col("_used_before"), "not_active")
-               .when(exp & expired_before, "not_active")
-               .when((F.col("verdict") == "ok") & (F.col("session_status") != "CREATED"), "illegal_transition")
-               .otherwise(F.col("verdict")))
-    return c.select("request_id", "correlation_id", "session_id", outcome.alias("outcome"),
-                    F.col("_used_now").alias("token_used"))
-
-
-def gate_exit(requests: DataFrame, qr: DataFrame, sessions: DataFrame, as_of: str,
-              secret: str = DEFAULT_QR_SECRET) -> DataFrame:
-    """A valid token of a COMPLETED session is used (valid=true); otherwise
-    valid=false with a message, never an error. Expiry marking commits here."""
-    c = validate_tokens(requests.where(F.col("gate") == "exit"), qr, as_of, secret)
-    c = c.join(sessions.select("session_id", F.col("status").alias("session_status")), "session_id", "left")
-    use = (F.col("verdict") == "ok") & (F.col("session_status") == "COMPLETED")
-    c = _first_use(c.withColumn("_can", use), "_can").drop("first_request_id")
-    c = c.withColumnRenamed("_first", "_used_now").withColumnRenamed("_later", "_used_before").drop("_can")
-    exp = F.col("verdict") == "expired"
-    c = _first_use(c.withColumn("_exp", exp), "_exp")
-    status = (F.when(F.col("_used_before"), "not_active").when(exp & F.col("_later"), "not_active")
-              .otherwise(F.col("verdict")))
-    valid = (status == "ok") & (F.col("session_status") == "COMPLETED")
-    message = (F.when(valid, "Exit authorized")
-               .when(status == "ok", "Session is not in COMPLETED state")
-               .when(status == "not_found", "QR token not found")
-               .when(status == "not_active", "QR token is not active")
-               .when(status == "expired", "QR token has expired")
-               .otherwise("QR token signature verification failed"))
-    return c.select("request_id", "correlation_id", F.when(status == "ok", F.col("session_id")).alias("session_id"),
-                    valid.alias("valid"), message.alias("message"), F.col("_used_now").alias("token_used"))
+def gate_history(requests: DataFrame, qr: DataFrame, sessions: DataFrame,
+                 secret: str = DEFAULT_QR_SECRET, as_run: bool = False) -> DataFrame:
+    """All requests of both gates as one history per session, in order of
+    (requested_at, request_id): what each finds and does.
+
+    A token has one status, whatever the gate. A valid entry request activates
+    its session if that is CREATED, and uses the token; so of all tokens of a
+    session only the first valid entry succeeds, later ones fail as illegal
+    transitions and leave their token active. A valid exit request uses its
+    token if the session is COMPLETED. A used token is not active afterwards,
+    at either gate. The first expired presentation marks a token EXPIRED
+    (``as_run=True``: at the entry gate that update is rolled back with the
+    error, so only exit presentations mark it).
+
+    Closed form by grouped minima of one order key (hash aggregates, combined
+    on the map side): the session's first valid entry, the token's first valid
+    exit and its first committed expiry. A token that is used is used before
+    it can expire, so the two never compete. Adds ``result`` (ok, not_found,
+    not_active, expired, bad_signature, illegal_transition, not_completed),
+    ``status_now`` of a token that is not active, and ``session_now``."""
+    key = order_key("requested_at", "request_id")
+    c = validate_tokens(requests, qr, secret).withColumn("_key", key)
+    c = c.join(sessions.select("session_id", F.col("status").alias("_session")), "session_id", "left")
+    c = materialize(c)
+    valid = F.col("verdict") == "ok"
+    entries = (c.where(valid & (F.col("gate") == "entry") & (F.col("_session") == "CREATED")).groupBy("session_id")
+                .agg(F.min("_key").alias("_entered"), F.min_by("correlation_id", "_key").alias("_entry_token")))
+    expiry = F.col("verdict") == "expired"
+    if as_run:
+        expiry = expiry & (F.col("gate") == "exit")
+    by_token = (c.where(valid | expiry).groupBy("correlation_id").agg(
+        F.min(F.when(valid & (F.col("gate") == "exit") & (F.col("_session") == "COMPLETED"), F.col("_key"))).alias("_left"),
+        F.min(F.when(expiry, F.col("_key"))).alias("_marked")))
+    j = c.join(entries, "session_id", "left").join(by_token, "correlation_id", "left")
+    used = F.when(F.col("_entry_token") == F.col("correlation_id"), F.col("_entered")).otherwise(F.col("_left"))
+    j = j.withColumn("_used", used)
+    now = F.when(F.col("_entered") < F.col("_key"), "ACTIVE").otherwise(F.col("_session"))
+    status = (F.when(F.col("verdict") == "not_active", F.col("token_status"))
+              .when(F.col("_used") < F.col("_key"), "USED").when(F.col("_marked") < F.col("_key"), "EXPIRED"))
+    result = (F.when(F.col("verdict") == "not_found", "not_found").when(F.col("status_now").isNotNull(), "not_active")
+              .when(F.col("verdict") != "ok", F.col("verdict")).when(F.col("_used") == F.col("_key"), "ok")
+              .when(F.col("gate") == "entry", "illegal_transition").otherwise("not_completed"))
+    return (j.withColumn("status_now", status).withColumn("session_now", now).withColumn("result", result)
+             .select("request_id", "requested_at", "correlation_id", "gate", "session_id", "result", "status_now",
+                     "session_now"))
+
+
+def _refusal() -> Column:
+    """The text of a refused token."""
+    return (F.when(F.col("result") == "not_found",
+                   F.concat(F.lit("QR token not found for correlationId="), F.col("correlation_id")))
+            .when(F.col("result") == "not_active",
+                  F.concat(F.lit("QR token is not active, status="), F.col("status_now")))
+            .when(F.col("result") == "expired", "QR token has expired")
+            .when(F.col("result") == "bad_signature", "QR token signature verification failed"))
+
+
+def gate_entry(history: DataFrame) -> DataFrame:
+    """The entry requests of a ``gate_history``: outcome, message, and the
+    audit row of an accepted one (CREATED -> ACTIVE, triggered by the gate)."""
+    ok = F.col("result") == "ok"
+    message = F.coalesce(_refusal(), F.when(F.col("result") == "illegal_transition", F.concat(
+        F.lit("Cannot transition from "), F.col("session_now"), F.lit(" to ACTIVE"))))
+    return history.where(F.col("gate") == "entry").select(
+        "request_id", "correlation_id", "session_id", F.col("result").alias("outcome"), message.alias("message"),
+        ok.alias("token_used"), F.when(ok, "CREATED").alias("from_state"), F.when(ok, "ACTIVE").alias("to_state"),
+        F.when(ok, "gate-entry").alias("triggered_by"), F.lit(None).cast("string").alias("reason"))
+
+
+def gate_exit(history: DataFrame) -> DataFrame:
+    """The exit requests of a ``gate_history``: a valid token of a COMPLETED
+    session is used (valid = true); otherwise valid = false with a message,
+    never an error."""
+    ok = F.col("result") == "ok"
+    message = (F.when(ok, "Exit authorized")
+               .when(F.col("result") == "not_completed", "Session is not in COMPLETED state").otherwise(_refusal()))
+    return history.where(F.col("gate") == "exit").select(
+        "request_id", "correlation_id",
+        F.when(ok | (F.col("result") == "not_completed"), F.col("session_id")).alias("session_id"),
+        ok.alias("valid"), message.alias("message"), ok.alias("token_used"))
 
 
 # --- J2 / J8 / T8 / P7 / P10 / T15 --------------------------------------------------------
@@ -322,28 +347,29 @@ def session_access_check(requests: DataFrame, sessions: DataFrame, id_format: st
 
 
 def verify_owner(requests: DataFrame, sessions: DataFrame) -> DataFrame:
-    """A session is visible only to its owner; a mismatch reads as missing."""
-    own = sessions.select("session_id", "user_id")
-    seen = requests.join(own, ["session_id", "user_id"], "left_semi").withColumn("visible", F.lit(True))
-    hidden = (requests.join(own, ["session_id", "user_id"], "left_anti")
-                      .withColumn("visible", F.lit(False)))
-    return seen.unionByName(hidden)
+    """A session is visible only to its owner; a mismatch reads as missing.
+    One left join on the session's key; the owner is compared in the row."""
+    own = sessions.select("session_id", F.col("user_id").alias("_owner"))
+    return requests.join(own, "session_id", "left").select(
+        requests["*"], F.coalesce(F.col("_owner") == F.col("user_id"), F.lit(False)).alias("visible"))
 
 
 def exit_token_eligibility(requests: DataFrame, sessions: DataFrame, id_format: str = "long",
                            secret: str = DEFAULT_QR_SECRET) -> DataFrame:
     """Malformed -> INVALID_ARGUMENT; unknown -> NOT_FOUND; not COMPLETED ->
-    FAILED_PRECONDITION; else an exit token with expiry in epoch millis."""
+    FAILED_PRECONDITION; else a signed exit token with expiry in epoch millis."""
     r = requests.withColumn("_sid", parse_session_id(F.col("session_text"), id_format))
     s = sessions.select(F.col("session_id").alias("_sid"), "user_id", F.col("status").alias("_status"))
     j = r.join(s, "_sid", "left")
     outcome = (F.when(F.col("_sid").isNull(), "INVALID_ARGUMENT").when(F.col("_status").isNull(), "NOT_FOUND")
                .when(F.col("_status") != "COMPLETED", "FAILED_PRECONDITION").otherwise("OK"))
-    expires = F.col("event_time") + F.expr("INTERVAL 24 HOURS")
+    expires = F.col("event_time") + F.expr(f"INTERVAL {QR_TTL}")
     corr = uuid_from(F.concat(F.lit("exit:"), F.col("event_id").cast("string")))
-    return j.select("event_id", "session_text", outcome.alias("outcome"),
-                    F.when(outcome == "OK", corr).alias("correlation_id"),
-                    F.when(outcome == "OK", epoch_millis(expires)).alias("expires_at_epoch"))
+    _, _, payload, signature, *_ = issue_token_cols("_sid", "user_id", F.lit("EXIT"), F.col("event_time"), secret)
+    ok = lambda c: F.when(outcome == "OK", c)
+    return j.select("event_id", "session_text", outcome.alias("outcome"), ok(corr).alias("correlation_id"),
+                    ok(payload).alias("payload"), ok(signature).alias("signature"),
+                    ok(epoch_millis(expires)).alias("expires_at_epoch"))
 
 
 def session_view(sessions: DataFrame) -> DataFrame:
@@ -352,9 +378,8 @@ def session_view(sessions: DataFrame) -> DataFrame:
 
 
 def sessions_by_user_status(users: DataFrame, sessions: DataFrame, status: str = "ACTIVE") -> DataFrame:
-    """P10: sessions of the requested users in the requested status."""
-    req = users.select(F.col("id").alias("user_id")).withColumn("status", F.lit(status))
-    return sessions.join(req, ["user_id", "status"], "left_semi")
+    """P10: sessions of the requested users in the requested status (a filter that reaches the scan)."""
+    return sessions.where(F.col("status") == status).join(users.select(F.col("id").alias("user_id")), "user_id", "left_semi")
 
 
 def expired_sessions(sessions: DataFrame, as_of: str) -> DataFrame:

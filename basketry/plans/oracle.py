@@ -213,8 +213,8 @@ def token_cols_sql(session: str, user: str, ttype: str, now: str, secret: str) -
             f"{exp} as expires_at, 'ACTIVE' as status")
 
 
-from basketry.operators.sessions import DEFAULT_QR_SECRET as _QS  # noqa: E402
-from basketry.plans.registry import LOG_AS_OF, QR_AS_OF  # noqa: E402
+from basketry.plans.registry import LOG_AS_OF, SESSIONS_AS_OF  # noqa: E402
+from basketry.schemas import DEFAULT_QR_SECRET as _QS  # noqa: E402
 
 _EDGES = """edges as (select * from (values ('CREATED', 'ACTIVE'), ('CREATED', 'CANCELLED'), ('ACTIVE', 'PAYING'),
   ('ACTIVE', 'CANCELLED'), ('PAYING', 'COMPLETED'), ('PAYING', 'CANCELLED')) t(from_state, to_state))"""
@@ -312,70 +312,70 @@ _SID = uuid_sql("'session:' || cast(event_id as varchar)")
 sql("start_sessions", f"""
 with s as (
   select event_id, {_SID} as session_id, coalesce(header_user_id, param_user_id) as user_id,
-         cast(1 as bigint) as store_id, 'CREATED' as status, event_time as created_at,
+         cast(coalesce(store_id, 1) as bigint) as store_id, 'CREATED' as status, event_time as created_at,
          event_time + interval '24' hour as expires_at
   from access_log where starts_with(path, '/api/sessions/') and coalesce(header_user_id, param_user_id) is not null)
-select s.*, {token_cols_sql('session_id', 'user_id', "'ENTRY'", 'created_at', _QS)} from s""")
+select s.*, t.* exclude (k, expires_at, status), t.expires_at as token_expires_at, t.status as token_status
+from s join (select event_id as k, {token_cols_sql('session_id', 'user_id', "'ENTRY'", 'created_at', _QS)} from s) t on t.k = s.event_id""")
 
 _STORED = f"""stored as (
   select *, 'hmac:' || {hmac_sql("case when tampered then payload || '#' else payload end", _QS)} as vault_signature
   from qr_tokens)"""
 
-_CHECKED = _STORED + f""",
-checked as (
-  select r.request_id, r.requested_at, r.correlation_id, r.gate, t.session_id, t.status as token_status,
-         case when t.session_id is null then 'not_found'
-              when t.status <> 'ACTIVE' then 'not_active'
-              when timestamp '{QR_AS_OF}' > t.expires_at then 'expired'
-              when not (starts_with(t.vault_signature, 'hmac:')
-                        and t.vault_signature = 'hmac:' || {hmac_sql('t.payload', _QS)}) then 'bad_signature'
-              else 'ok' end as verdict
-  from gate_requests r left join stored t on t.correlation_id = r.correlation_id)"""
-
-sql("validate_tokens", f"with {_CHECKED} select * from checked")
-
-
-def _gate_sql(gate: str, need: str) -> str:
-    return f"""
-with {_CHECKED},
-c as (select k.*, s.status as session_status,
-             (k.verdict = 'ok' and s.status = '{need}') as can, k.verdict = 'expired' as exp
-      from checked k left join sessions s on s.session_id = k.session_id where k.gate = '{gate}'),
-fc as (select correlation_id, request_id as first_can from (
-         select *, row_number() over (partition by correlation_id order by requested_at, request_id) as rn
-         from c where can) x where rn = 1),
-fe as (select correlation_id, request_id as first_exp from (
-         select *, row_number() over (partition by correlation_id order by requested_at, request_id) as rn
-         from c where exp) x where rn = 1),
-g as (select c.*, coalesce(fc.first_can = c.request_id, false) as used_now,
-             coalesce(fc.first_can <> c.request_id, false) as used_before,
-             coalesce(fe.first_exp <> c.request_id, false) as expired_before
-      from c left join fc on fc.correlation_id = c.correlation_id
-             left join fe on fe.correlation_id = c.correlation_id)"""
-
-
-sql("gate_entry", _gate_sql("entry", "CREATED") + """
-select request_id, correlation_id, session_id,
-       case when used_before then 'not_active'
-            when exp and expired_before then 'not_active'
-            when verdict = 'ok' and session_status <> 'CREATED' then 'illegal_transition'
-            else verdict end as outcome,
-       used_now as token_used
-from g""")
-
-sql("gate_exit", _gate_sql("exit", "COMPLETED") + """,
-h as (select *, case when used_before then 'not_active' when exp and expired_before then 'not_active'
-                     else verdict end as st from g)
-select request_id, correlation_id, case when st = 'ok' then session_id end as session_id,
-       coalesce(st = 'ok' and session_status = 'COMPLETED', false) as valid,
-       case when st = 'ok' and session_status = 'COMPLETED' then 'Exit authorized'
-            when st = 'ok' then 'Session is not in COMPLETED state'
-            when st = 'not_found' then 'QR token not found'
-            when st = 'not_active' then 'QR token is not active'
-            when st = 'expired' then 'QR token has expired'
-            else 'QR token signature verification failed' end as message,
-       used_now as token_used
-from h""")
+sql("validate_tokens", """
+select r.request_id, r.requested_at, r.correlation_id, r.gate, t.session_id, t.status as token_status,
+       case when t.session_id is null then 'not_found' when t.status <> 'ACTIVE' then 'not_active'
+            when r.requested_at > t.expires_at then 'expired' when t.signed_as <> 'own' then 'bad_signature' else 'ok' end as verdict
+from gate_requests r left join gate_tokens t on t.correlation_id = r.correlation_id""")
+
+# A fold: the requests of a session one after the other, with its status and the status of both tokens as the state.
+_GATES = """
+gq as (
+  select r.*, t.session_id, t.expires_at, t.signed_as, right(r.correlation_id, 1) as no,
+         row_number() over (partition by t.session_id order by r.requested_at, r.request_id) as n
+  from gate_requests r join gate_tokens t on t.correlation_id = r.correlation_id),
+gates as (
+  with recursive step as (
+    select s.session_id, cast(0 as bigint) as n, s.status as sess, a.status as s0, b.status as s1,
+           cast(null as bigint) as request_id, cast(null as varchar) as found, cast(null as varchar) as held, cast(null as varchar) as result
+    from gate_sessions s join gate_tokens a on a.correlation_id = 'gate-' || cast(s.session_id as varchar) || '-0'
+    join gate_tokens b on b.correlation_id = 'gate-' || cast(s.session_id as varchar) || '-1'
+    union all
+    select session_id, n, case when result = 'ok' and gate = 'entry' then 'ACTIVE' else sess end,
+           case when no = '0' then after else s0 end, case when no = '1' then after else s1 end, request_id, cur, sess, result
+    from (
+      select *, case result when 'ok' then 'USED' when 'expired' then 'EXPIRED' else cur end as after
+      from (
+        select *, case when cur <> 'ACTIVE' then 'not_active' when requested_at > expires_at then 'expired'
+                       when signed_as <> 'own' then 'bad_signature'
+                       when gate = 'entry' then case when sess = 'CREATED' then 'ok' else 'illegal_transition' end
+                       when sess = 'COMPLETED' then 'ok' else 'not_completed' end as result
+        from (select p.session_id, q.n, p.sess, p.s0, p.s1, q.request_id, q.requested_at, q.expires_at, q.signed_as, q.gate, q.no,
+                     case when q.no = '0' then p.s0 else p.s1 end as cur
+              from step p join gq q on q.session_id = p.session_id and q.n = p.n + 1) x) y) z)
+  select r.request_id, r.correlation_id, r.gate, p.session_id, coalesce(p.result, 'not_found') as result, p.found, p.held
+  from gate_requests r left join step p on p.request_id = r.request_id),
+said as (
+  select *, case result when 'not_found' then 'QR token not found for correlationId=' || correlation_id
+                        when 'not_active' then 'QR token is not active, status=' || found when 'expired' then 'QR token has expired'
+                        when 'bad_signature' then 'QR token signature verification failed'
+                        when 'illegal_transition' then 'Cannot transition from ' || held || ' to ACTIVE' end as refusal
+  from gates)"""
+
+sql("gate_entry", f"""
+with {_GATES}
+select request_id, correlation_id, session_id, result as outcome, refusal as message, result = 'ok' as token_used,
+       case when result = 'ok' then 'CREATED' end as from_state, case when result = 'ok' then 'ACTIVE' end as to_state,
+       case when result = 'ok' then 'gate-entry' end as triggered_by, cast(null as varchar) as reason
+from said where gate = 'entry'""")
+
+sql("gate_exit", f"""
+with {_GATES}
+select request_id, correlation_id, case when result in ('ok', 'not_completed') then session_id end as session_id,
+       result = 'ok' as valid, case result when 'ok' then 'Exit authorized' when 'not_completed' then 'Session is not in COMPLETED state'
+                                           else refusal end as message,
+       result = 'ok' as token_used
+from said where gate = 'exit'""")
 
 _PLONG = "case when regexp_matches({c}, '^[+-]?[0-9]+$') then try_cast({c} as bigint) end"
 
@@ -383,7 +383,7 @@ sql("session_access_check", f"""
 with r as (
   select event_id, session_text, user_text, {_PLONG.format(c='session_text')} as sid,
          {_PLONG.format(c='user_text')} as uid
-  from access_log where starts_with(path, '/api/cart/')),
+  from access_requests),
 j as (select r.*, s.user_id as owner, s.status from r left join sessions s on s.session_id = r.sid),
 o as (select *, case when sid is null or uid is null then 'INVALID_ARGUMENT' when owner is null then 'NOT_FOUND'
                      when owner <> uid then 'PERMISSION_DENIED' else 'OK' end as outcome from j)
@@ -407,24 +407,21 @@ select event_id, 'help.requested' as topic, cast(session_id as varchar) as key,
 from j where uid is not null and owner is not null and owner = uid and status = 'ACTIVE'""")
 
 sql("verify_owner", """
-with r as (
-  select event_id, try_cast(regexp_extract(path, '^/api/sessions/([0-9]+)', 1) as bigint) as session_id,
-         coalesce(header_user_id, param_user_id) as user_id
-  from access_log where starts_with(path, '/api/sessions/'))
 select r.*, exists (select 1 from sessions s where s.session_id = r.session_id and s.user_id = r.user_id) as visible
-from r""")
+from owner_requests r""")
 
 sql("exit_token_eligibility", f"""
 with r as (
-  select event_id, event_time, session_text, {_PLONG.format(c='session_text')} as sid
-  from access_log where starts_with(path, '/api/sessions/')),
-j as (select r.*, s.status from r left join sessions s on s.session_id = r.sid),
+  select event_id, event_time, session_text, {_PLONG.format(c='session_text')} as sid from access_requests),
+j as (select r.*, s.status, s.user_id from r left join sessions s on s.session_id = r.sid),
 o as (select *, case when sid is null then 'INVALID_ARGUMENT' when status is null then 'NOT_FOUND'
-                     when status <> 'COMPLETED' then 'FAILED_PRECONDITION' else 'OK' end as outcome from j)
+                     when status <> 'COMPLETED' then 'FAILED_PRECONDITION' else 'OK' end as outcome from j),
+t as (select event_id as k, {token_cols_sql('sid', 'user_id', "'EXIT'", 'event_time', _QS)} from o where outcome = 'OK')
 select event_id, session_text, outcome,
        case when outcome = 'OK' then {uuid_sql("'exit:' || cast(event_id as varchar)")} end as correlation_id,
+       t.payload, t.signature,
        case when outcome = 'OK' then epoch_us(event_time + interval '24' hour) // 1000 end as expires_at_epoch
-from o""")
+from o left join t on t.k = o.event_id""")
 
 sql("session_view", "select session_id, user_id, status, created_at from sessions")
 
@@ -434,7 +431,7 @@ where s.status = 'ACTIVE' and exists (select 1 from users u where u.id = s.user_
 
 sql("expired_sessions", f"""
 select * from sessions
-where expires_at < timestamp '{QR_AS_OF}' and status not in ('COMPLETED', 'CANCELLED')""")
+where expires_at < timestamp '{SESSIONS_AS_OF}' and status not in ('COMPLETED', 'CANCELLED')""")
 
 
 # --- tokens --------------------------------------------------------------------------
@@ -689,13 +686,13 @@ from access_log""")
 import re as _re  # noqa: E402
 
 _FOLD_T = _re.sub(r"\bstored\b", "tstored", _re.sub(r"\bper\b", "tper", _FOLD))
-_CHECKED_Q = _re.sub(r"\bstored\b", "qstored", _CHECKED)
+_W1_C = _re.sub(r"\bev\b", "cev", _W1)
 _REPLAY_S = _re.sub(r"\bper\b", "sper", _REPLAY)
 sql("outcome_counts", f"""
-with {_FOLD_T}, {_CHECKED_Q}, {_REPLAY_S}, {_REG},
+with {_FOLD_T}, {_GATES}, {_REPLAY_S}, {_REG}, {_W1_C},
 cart as (
   select {_PLONG.format(c='session_text')} as sid, {_PLONG.format(c='user_text')} as uid
-  from access_log where starts_with(path, '/api/cart/')),
+  from access_requests),
 cartj as (select c.*, s.user_id as owner, s.status from cart c left join sessions s on s.session_id = c.sid),
 ex as (
   select 'auth' as service, case outcome when 'invalid' then 'MethodArgumentNotValidException'
@@ -707,8 +704,18 @@ ex as (
   select 'cart', 'InvalidSessionException' from cartj
   where not (sid is not null and uid is not null and owner is not null and owner = uid and status = 'ACTIVE')
   union all
-  select 'session', case verdict when 'expired' then 'QrTokenExpiredException' else 'InvalidQrTokenException' end
-  from checked where verdict <> 'ok'
+  select 'auth', 'InvalidTokenException' from hist where kind = 'LOGOUT' and family_id is null
+  union all
+  select 'cart', 'ProductNotFoundException' from barcode_requests r where not exists (select 1 from catalog c where c.barcode = r.barcode)
+  union all
+  select 'cart', 'CartItemNotFoundException' from w1 where rejected
+  union all
+  select 'session', 'SessionNotFoundException' from owner_requests r
+  where not exists (select 1 from sessions s where s.session_id = r.session_id and s.user_id = r.user_id)
+  union all
+  select 'session', case result when 'expired' then 'QrTokenExpiredException' when 'illegal_transition' then 'IllegalStateTransitionException'
+                                else 'InvalidQrTokenException' end
+  from gates where gate = 'entry' and result <> 'ok'
   union all
   select 'session', 'IllegalStateTransitionException' from replay where not accepted),
 codes as (select * from (values

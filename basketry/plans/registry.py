@@ -124,7 +124,7 @@ def q_accepted_help_requests(spark, sf_dir):
 
 # --- sessions ----------------------------------------------------------------------
 
-QR_AS_OF = "1998-04-15 00:00:00"
+SESSIONS_AS_OF = "1998-04-15 00:00:00"
 LOG_AS_OF = "2024-01-30 00:00:00"
 
 
@@ -181,19 +181,21 @@ def q_start_sessions(spark, sf_dir):
 @query("validate_tokens")
 def q_validate_tokens(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return sess.validate_tokens(v.gate_requests, sess.stored_qr_tokens(v.qr_tokens), QR_AS_OF)
+    return sess.validate_tokens(v.gate_requests, v.gate_tokens)
+
+
+def gate_history(v):
+    return sess.gate_history(v.gate_requests, v.gate_tokens, v.gate_sessions)
 
 
 @query("gate_entry")
 def q_gate_entry(spark, sf_dir):
-    v = _v(spark, sf_dir)
-    return sess.gate_entry(v.gate_requests, sess.stored_qr_tokens(v.qr_tokens), v.sessions, QR_AS_OF)
+    return sess.gate_entry(gate_history(_v(spark, sf_dir)))
 
 
 @query("gate_exit")
 def q_gate_exit(spark, sf_dir):
-    v = _v(spark, sf_dir)
-    return sess.gate_exit(v.gate_requests, sess.stored_qr_tokens(v.qr_tokens), v.sessions, QR_AS_OF)
+    return sess.gate_exit(gate_history(_v(spark, sf_dir)))
 
 
 def _cart_access(v):
@@ -204,23 +206,19 @@ def _cart_access(v):
 @query("session_access_check")
 def q_session_access_check(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return sess.session_access_check(_cart_access(v), v.sessions)
+    return sess.session_access_check(v.access_requests.drop("event_time"), v.sessions)
 
 
 @query("verify_owner")
 def q_verify_owner(spark, sf_dir):
     v = _v(spark, sf_dir)
-    a = v.access_log.where(F.col("path").startswith("/api/sessions/"))
-    req = a.select("event_id", carts.path_key("path", "/api/sessions/").alias("session_id"),
-                   F.coalesce("header_user_id", "param_user_id").alias("user_id"))
-    return sess.verify_owner(req, v.sessions)
+    return sess.verify_owner(v.owner_requests, v.sessions)
 
 
 @query("exit_token_eligibility")
 def q_exit_token_eligibility(spark, sf_dir):
     v = _v(spark, sf_dir)
-    a = v.access_log.where(F.col("path").startswith("/api/sessions/"))
-    return sess.exit_token_eligibility(a.select("event_id", "event_time", "session_text"), v.sessions)
+    return sess.exit_token_eligibility(v.access_requests.drop("user_text"), v.sessions)
 
 
 @query("session_view")
@@ -236,7 +234,7 @@ def q_sessions_by_user_status(spark, sf_dir):
 
 @query("expired_sessions")
 def q_expired_sessions(spark, sf_dir):
-    return sess.expired_sessions(_v(spark, sf_dir).sessions, QR_AS_OF)
+    return sess.expired_sessions(_v(spark, sf_dir).sessions, SESSIONS_AS_OF)
 
 
 # --- tokens ------------------------------------------------------------------------

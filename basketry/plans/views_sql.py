@@ -81,8 +81,18 @@ select event_id, ts as event_time,
             else cast(event_id % 1500 as varchar) end as user_text,
        case when event_id % 19 = 0 then 'x' else cast(event_id % 20000 as varchar) end as session_text,
        case when event_id % 5 = 0 then null else user_id end as header_user_id,
-       case when event_id % 7 = 0 then null else user_id end as param_user_id
+       case when event_id % 7 = 0 then null else user_id end as param_user_id,
+       case when event_id % 3 = 0 then null else event_id % 4 + 1 end as store_id
 from events""",
+    "access_requests": """
+select event_id, ts as event_time,
+       case when event_id % 19 = 0 then 'x' when event_id % 4 = 1 then '-' || cast(event_id as varchar)
+            when event_id % 2 = 0 and own is not null then cast(own as varchar) else cast(event_id as varchar) end as session_text,
+       case when event_id % 13 = 0 then '' when event_id % 17 = 0 then 'abc' else cast(user_id as varchar) end as user_text
+from events left join (select o_custkey, max(o_orderkey) as own from orders group by o_custkey) o on o_custkey = user_id""",
+    "owner_requests": """
+select event_id, case when event_id % 3 = 0 then own else event_id end as session_id, user_id
+from events left join (select o_custkey, max(o_orderkey) as own from orders group by o_custkey) o on o_custkey = user_id""",
     "raw_products": """
 select lpad(cast(p_partkey + 1000000 as varchar), 13, '0') as barcode,
        '{"status":' || case when p_partkey % 9 = 0 then '0' else '1' end || ',"product":{' ||
@@ -104,11 +114,27 @@ select s.s_suppkey as query_id,
              end) as query,
        cast(s.s_suppkey % 4 + 2 as int) as lim
 from supplier s left join part p on (s.s_suppkey * 7) % 2000 = p.p_partkey""",
+    "gate_sessions": """
+select o_orderkey as session_id, o_custkey as user_id,
+       case when o_orderstatus = 'F' then 'COMPLETED' when o_orderkey % 7 = 0 then 'PAYING'
+            when o_orderkey % 11 = 0 then 'CANCELLED' else 'CREATED' end as status
+from orders""",
+    "gate_tokens": """
+select 'gate-' || cast(o_orderkey as varchar) || '-' || cast(no as varchar) as correlation_id, o_orderkey as session_id,
+       case when o_orderstatus = 'F' then 'EXIT' else 'ENTRY' end as token_type,
+       -- what the stored signature is worth: over the payload, over other text, or a remote one
+       case when o_orderkey % 13 = 12 then 'vault' when o_orderkey % 10 = 9 then 'altered' else 'own' end as signed_as,
+       case when o_orderpriority = '1-URGENT' and no = 1 then 'USED' when o_orderpriority = '5-LOW' and no = 0 then 'REVOKED'
+            else 'ACTIVE' end as status,
+       timestamp '2024-01-01 00:00:00' + to_hours(cast(o_orderkey * 5 % 600 + no + 24 as int)) as expires_at
+from orders, (values (0), (1)) t(no)""",
     "gate_requests": """
-select event_id as request_id, ts as requested_at,
-       'corr-' || cast(event_id * 3 % 20000 as varchar) as correlation_id,
-       case when event_type in ('view', 'click') then 'entry' else 'exit' end as gate
-from events""",
+select o_orderkey * 8 + i as request_id,
+       timestamp '2024-01-01 01:00:00' + to_hours(cast(o_orderkey * 5 % 600 + (o_orderkey * 7 + i * 11) % 40 as int)) as requested_at,
+       'gate-' || cast(o_orderkey as varchar) || case when (o_orderkey * 3 + i) % 23 = 0 then '-x'
+         when (o_orderkey + i) % 3 = 0 then '-1' else '-0' end as correlation_id,
+       case when (o_orderstatus = 'F') = ((o_orderkey + i) % 5 = 0) then 'entry' else 'exit' end as gate
+from (select *, unnest(range(0, o_orderkey % 6 + 1)) as i from orders) o""",
     "signups": """
 select event_id as request_id, ts as requested_at,
        case when event_id % 6 = 0 then 'customer.' || lpad(cast(user_id as varchar), 9, '0') || '@example.org'

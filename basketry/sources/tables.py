@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.schemas import MONEY
+from basketry.functions.columns import qr_sign
+from basketry.schemas import DEFAULT_QR_SECRET, MONEY, QR_TTL
 
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -194,9 +195,37 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(eid % 19 == 0, F.lit("x")).otherwise((eid % 20000).cast("string")).alias("session_text"),
         F.when(eid % 5 == 0, F.lit(None).cast("bigint")).otherwise(F.col("user_id")).alias("header_user_id"),
         F.when(eid % 7 == 0, F.lit(None).cast("bigint")).otherwise(F.col("user_id")).alias("param_user_id"),
+        F.when(eid % 3 == 0, F.lit(None).cast("bigint")).otherwise(eid % 4 + 1).alias("store_id"),
     )
 
 
+def _own_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders")
+    return o.groupBy(F.col("o_custkey").alias("user_id")).agg(F.max("o_orderkey").alias("own"))
+
+
+def access_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Access checks as text: half of them for a session of the user's own, the
+    rest for others' and unknown sessions, some malformed."""
+    e = read_table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    return e.join(_own_sessions(spark, sf_dir), "user_id", "left").select(
+        eid, F.col("ts").alias("event_time"),
+        F.when(eid % 19 == 0, F.lit("x")).when(eid % 4 == 1, F.concat(F.lit("-"), eid.cast("string")))
+         .when((eid % 2 == 0) & F.col("own").isNotNull(), F.col("own").cast("string"))
+         .otherwise(eid.cast("string")).alias("session_text"),
+        F.when(eid % 13 == 0, F.lit("")).when(eid % 17 == 0, F.lit("abc"))
+         .otherwise(F.col("user_id").cast("string")).alias("user_text"))
+
+
+def owner_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session reads by id: a third of the user's own session, the rest of any."""
+    e = read_table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    return e.join(_own_sessions(spark, sf_dir), "user_id", "left").select(
+        eid, F.when(eid % 3 == 0, F.col("own")).otherwise(eid).alias("session_id"), "user_id")
+
+
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
     k = F.col("p_partkey")
@@ -232,14 +261,49 @@ def search_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(k.alias("query_id"), F.upper(q).alias("query"), (k % 4 + 2).cast("int").alias("lim"))
 
 
+def gate_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One shopping session per order, in all states a gate can meet."""
+    o = read_table(spark, sf_dir, "orders")
+    k, st = F.col("o_orderkey"), F.col("o_orderstatus")
+    return o.select(k.alias("session_id"), F.col("o_custkey").alias("user_id"),
+                    F.when(st == "F", "COMPLETED").when(k % 7 == 0, "PAYING").when(k % 11 == 0, "CANCELLED")
+                     .otherwise("CREATED").alias("status"))
+
+
+def gate_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two QR tokens per order, valid for a day of the gates' month: some used or
+    revoked before, some with an altered or a vault signature."""
+    o = read_table(spark, sf_dir, "orders").withColumn("no", F.explode(F.array(F.lit(0), F.lit(1))))
+    k, no, pr = F.col("o_orderkey"), F.col("no"), F.col("o_orderpriority")
+    payload = F.concat(F.lit('{"sessionId":"'), k.cast("string"), F.lit('","userId":'), F.col("o_custkey").cast("string"),
+                       F.lit(',"no":'), no.cast("string"), F.lit("}"))
+    created = F.timestamp_add("HOUR", (k * 5 % 600 + no).cast("int"), F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'"))
+    signed = qr_sign(F.when(k % 10 == 9, F.concat(payload, F.lit("#"))).otherwise(payload), DEFAULT_QR_SECRET)
+    return o.select(
+        F.concat(F.lit("gate-"), k.cast("string"), F.lit("-"), no.cast("string")).alias("correlation_id"),
+        k.alias("session_id"),
+        F.when(F.col("o_orderstatus") == "F", "EXIT").otherwise("ENTRY").alias("token_type"),
+        payload.alias("payload"),
+        F.when(k % 13 == 12, F.concat(F.lit("vault:v1:"), payload)).otherwise(signed).alias("vault_signature"),
+        F.when((pr == "1-URGENT") & (no == 1), "USED").when((pr == "5-LOW") & (no == 0), "REVOKED")
+         .otherwise("ACTIVE").alias("status"),
+        created.alias("created_at"), (created + F.expr(f"INTERVAL {QR_TTL}")).alias("expires_at"))
+
+
 def gate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gate scans of QR correlation ids (some unknown, some repeated), from ``events``."""
-    e = read_table(spark, sf_dir, "events")
-    eid = F.col("event_id")
-    return e.select(
-        eid.alias("request_id"), F.col("ts").alias("requested_at"),
-        F.concat(F.lit("corr-"), (eid * 3 % 20000).cast("string")).alias("correlation_id"),
-        F.when(F.col("event_type").isin("view", "click"), "entry").otherwise("exit").alias("gate"))
+    """One to six gate scans per order, around the life of its tokens: repeated,
+    at both gates, with either token, some of unknown ids, some too late."""
+    o = read_table(spark, sf_dir, "orders").withColumn(
+        "i", F.explode(F.sequence(F.lit(0), (F.col("o_orderkey") % 6).cast("int"))))
+    k, i = F.col("o_orderkey"), F.col("i")
+    hours = (k * 5 % 600 + (k * 7 + i * 11) % 40).cast("int")
+    return o.select(
+        (k * 8 + i).alias("request_id"),
+        F.timestamp_add("HOUR", hours, F.expr("TIMESTAMP_NTZ'2024-01-01 01:00:00'")).alias("requested_at"),
+        F.concat(F.lit("gate-"), k.cast("string"),
+                 F.when((k * 3 + i) % 23 == 0, F.lit("-x")).when((k + i) % 3 == 0, F.lit("-1")).otherwise(F.lit("-0")))
+         .alias("correlation_id"),
+        F.when((F.col("o_orderstatus") == "F") == ((k + i) % 5 == 0), "entry").otherwise("exit").alias("gate"))
 
 
 def signups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,7 +331,9 @@ ADAPTERS = {
     "cart_events": cart_events, "session_log": session_log, "token_log": token_log,
     "tokens": tokens, "qr_tokens": qr_tokens, "users": users, "access_log": access_log,
     "raw_products": raw_products, "barcode_requests": barcode_requests,
-    "search_requests": search_requests, "gate_requests": gate_requests,
+    "access_requests": access_requests, "owner_requests": owner_requests,
+    "search_requests": search_requests, "gate_sessions": gate_sessions, "gate_tokens": gate_tokens,
+    "gate_requests": gate_requests,
     "signups": signups,
 }
 

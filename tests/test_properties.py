@@ -75,7 +75,12 @@ def test_replay_never_leaves_terminal_and_tokens_used_once(spark):
     r = sessions.session_replay(v.session_log)
     bad = r.where(F.col("from_state").isin("COMPLETED", "CANCELLED") & F.col("accepted"))
     assert bad.count() == 0
-    g = sessions.gate_exit(v.gate_requests, sessions.stored_qr_tokens(v.qr_tokens), v.sessions,
-                           "1998-04-15 00:00:00")
+    h = sessions.gate_history(v.gate_requests, v.gate_tokens, v.gate_sessions)
+    seen = {(r["gate"], r["result"]) for r in h.select("gate", "result").distinct().collect()}
+    results = {"ok", "not_found", "not_active", "expired", "bad_signature"}
+    assert seen == {("entry", x) for x in results | {"illegal_transition"}} | {("exit", x) for x in results | {"not_completed"}}
+    admitted = sessions.gate_entry(h).where("token_used").groupBy("session_id").count()
+    assert admitted.where("count > 1").count() == 0
+    g = sessions.gate_exit(h)
     used = g.where("token_used").groupBy("correlation_id").count().where("count > 1")
     assert used.count() == 0

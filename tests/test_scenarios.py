@@ -77,10 +77,10 @@ def test_entry_twice_and_exit_twice(spark):
         (1, _t(10), "c-in", "entry"), (2, _t(20), "c-in", "entry"),
         (3, _t(30), "c-out", "exit"), (4, _t(40), "c-out", "exit"),
     ], "request_id long, requested_at timestamp_ntz, correlation_id string, gate string")
-    as_of = str(_t(60))
-    entry = {r["request_id"]: r["outcome"] for r in sessions.gate_entry(req, qr, sess, as_of).collect()}
+    hist = sessions.gate_history(req, qr, sess)
+    entry = {r["request_id"]: r["outcome"] for r in sessions.gate_entry(hist).collect()}
     assert entry == {1: "ok", 2: "not_active"}
-    exit_ = {r["request_id"]: r["valid"] for r in sessions.gate_exit(req, qr, sess, as_of).collect()}
+    exit_ = {r["request_id"]: r["valid"] for r in sessions.gate_exit(hist).collect()}
     assert exit_ == {3: True, 4: False}
 
 
@@ -90,7 +90,7 @@ def test_tampered_token_fails_signature(spark):
                                "tampered boolean, status string, created_at timestamp_ntz, expires_at timestamp_ntz")
     req = spark.createDataFrame([(1, T0, "c1", "entry")],
                                 "request_id long, requested_at timestamp_ntz, correlation_id string, gate string")
-    out = sessions.validate_tokens(req, sessions.stored_qr_tokens(qr), str(T0)).first()
+    out = sessions.validate_tokens(req, sessions.stored_qr_tokens(qr)).first()
     assert out["verdict"] == "bad_signature"
 
 
