@@ -52,8 +52,7 @@ def error_map(req: DataFrame) -> DataFrame:
         F.col("field_errors") != "{}")
 
 
-def registration_outcomes(spark: SparkSession, req: DataFrame, users: DataFrame,
-                          max_rounds: int | None = None) -> DataFrame:
+def registration_outcomes(spark: SparkSession, req: DataFrame, users: DataFrame) -> DataFrame:
     """P12 core: outcome per sign-up, processed in request order as the service
     does: invalid -> 400; e-mail taken (existing user, or an earlier sign-up
     of this batch that was registered) -> 409; then user name taken -> 409;
@@ -79,12 +78,8 @@ def registration_outcomes(spark: SparkSession, req: DataFrame, users: DataFrame,
     settled = [r.where(F.col("outcome").isNotNull()).drop("user_exists")]
     und = r.where(F.col("outcome").isNull())
     accepted = None
-    rounds = 0
     rid = F.col("request_id")
     while und.limit(1).count() > 0:
-        rounds += 1
-        if max_rounds is not None and rounds > max_rounds:
-            raise RuntimeError("registration rounds exceeded")
         und_e = und.groupBy("email").agg(F.min("request_id").alias("und_e"))
         und_u = und.groupBy("username").agg(F.min("request_id").alias("und_u"))
         j = und.join(und_e, "email", "left").join(und_u, "username", "left")
@@ -108,7 +103,6 @@ def registration_outcomes(spark: SparkSession, req: DataFrame, users: DataFrame,
         # a union of checkpointed round results: shallow lineage, no extra job
         accepted = new_acc if accepted is None else accepted.unionByName(new_acc)
         und = step.where(F.col("outcome").isNull())
-    registration_outcomes.last_rounds = rounds
     out = settled[0]
     for d in settled[1:]:
         out = out.unionByName(d)

@@ -71,22 +71,22 @@ def product_search(catalog: DataFrame, query: str, limit: int = SEARCH_DEFAULT_L
 # --- Q7 / O3: n-gram candidate search ------------------------------------------------------
 
 def _grams(text: Column, n: int) -> Column:
-    """Distinct n-grams of a text as an array (empty when shorter than n)."""
+    """Distinct n-grams of a text as an array (empty when shorter than n; the
+    one 0-gram is the empty text)."""
+    if not n:
+        return F.array(F.lit(""))
     ln = F.char_length(text)
     return F.array_distinct(F.when(
         ln >= n, F.transform(F.sequence(F.lit(1), ln - n + 1), lambda i: text.substr(i, F.lit(n))))
         .otherwise(F.array().cast("array<string>")))
 
 
-def name_gram_index(catalog: DataFrame, sizes=(1, 2, 3)) -> DataFrame:
-    """(gram, n, barcode) postings of the lower-cased names for gram sizes 1-3."""
-    low = F.lower(F.col("name"))
-    parts = [catalog.select("barcode", F.explode(_grams(low, n)).alias("gram")).withColumn("n", F.lit(n))
-             for n in sizes]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def name_gram_index(names: DataFrame, sizes=(0, 1, 2, 3)) -> DataFrame:
+    """(gram, n, low) postings of lower-cased names, in one pass for all gram sizes."""
+    def posts(n: int) -> Column:
+        return F.transform(_grams(F.col("low"), n), lambda g: F.struct(g.alias("gram"), F.lit(n).alias("n")))
+
+    return names.select("low", F.explode(F.concat(*[posts(n) for n in sizes])).alias("p")).select("p.gram", "p.n", "low")
 
 
 def _literal_core(q: Column) -> Column:
@@ -96,63 +96,59 @@ def _literal_core(q: Column) -> Column:
                        .otherwise(acc))
 
 
-def trigram_search(queries: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Q7: every (query, product) where lower(name) LIKE '%' || lower(query) || '%'.
+def matching_names(queries: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(pattern ``q``, matching name ``low``) over distinct patterns and distinct
+    names: both repeat a lot, so each is looked up and verified once.
 
-    Each query is joined on one gram only — the rarest of its literal core
+    Each pattern is joined on one gram only - the rarest of its literal core
     (gram frequencies are a grouped count over the index), with size 3, or the
-    whole core when it is 1-2 characters — and every candidate is verified
-    with LIKE. Exact, no nested loop, and a common gram (a hot key) is never
-    chosen while a rarer one exists. A query that is only wildcards has no
-    gram to look up (an index cannot serve it); it is answered by
-    ``top_n_per_query`` from the first rows of the catalog and left out here."""
-    idx = name_gram_index(catalog)
+    whole core when it is 1-2 characters - and every candidate is verified
+    with LIKE. A pattern of wildcards only has the empty core, which is the
+    0-gram of every name, and is verified like the others."""
+    names = catalog.select(F.lower(F.col("name")).alias("low")).where("low is not null").distinct()
+    idx = name_gram_index(names)
     freq = idx.groupBy("gram", "n").agg(F.count(F.lit(1)).alias("freq"))
-    q = queries.select("query_id", F.lower(F.col("query")).alias("q"))
-    q = q.withColumn("core", _literal_core(F.col("q")))
-    core_len = F.char_length("core")
-    qg = q.select("query_id", F.explode(F.when(core_len >= 3, _grams(F.col("core"), 3))
-                                        .when(core_len >= 1, F.array(F.col("core")))
-                                        .otherwise(F.array().cast("array<string>"))).alias("gram"),
-                  F.least(core_len, F.lit(3)).alias("n"))
-    pick = (qg.join(freq, ["gram", "n"], "left")
-              .groupBy("query_id", "n")
-              .agg(F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("f"), F.col("gram"))).alias("_r")))
-    pick = pick.select("query_id", "n", F.col("_r.gram").alias("gram"))
-    cand = pick.join(idx, ["gram", "n"]).select("query_id", "barcode")
-    names = catalog.select("barcode", "name")
-    verified = (cand.join(q, "query_id").join(names, "barcode")
-                    .where(F.when(F.col("q").rlike("[%_]"),
-                                  F.like(F.lower(F.col("name")), F.concat(F.lit("%"), F.col("q"), F.lit("%"))))
-                            .otherwise(F.contains(F.lower(F.col("name")), F.col("q")))))
-    return verified.select("query_id", "barcode", "name")
+    q = (queries.select(F.lower(F.col("query")).alias("q")).where("q is not null").distinct()
+         .withColumn("core", _literal_core(F.col("q"))))
+    size = F.least(F.char_length("core"), F.lit(3))
+    qg = q.select("q", size.alias("n"), F.explode(F.when(size == 3, _grams(F.col("core"), 3))
+                                                  .otherwise(F.array("core"))).alias("gram"))
+    pick = (qg.join(freq, ["gram", "n"], "left").groupBy("q", "n")
+              .agg(F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("f"), F.col("gram"))).alias("_r"))
+              .select("q", "n", F.col("_r.gram").alias("gram")))
+    hit = F.when(F.col("q").rlike("[%_]"), F.like(F.col("low"), F.concat(F.lit("%"), F.col("q"), F.lit("%")))) \
+           .otherwise(F.contains(F.col("low"), F.col("q")))
+    return pick.join(idx, ["gram", "n"]).where(hit).select("q", "low")
+
+
+def trigram_search(queries: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Q7: every (query, product) where lower(name) LIKE '%' || lower(query) || '%',
+    wildcard-only queries included. Exact, no nested loop; a common gram (a hot
+    key) is never chosen while a rarer one exists."""
+    m = matching_names(queries, catalog)
+    asked = queries.select("query_id", F.lower(F.col("query")).alias("q"))
+    named = catalog.select("barcode", "name", F.lower(F.col("name")).alias("low"))
+    return asked.join(m, "q").join(named, "low").select("query_id", "barcode", "name")
 
 
 def top_n_per_query(queries: DataFrame, catalog: DataFrame, salts: int = 64) -> DataFrame:
-    """O3: the search page of every query: verified matches, first ``lim`` by
-    barcode per query. Pure-wildcard queries match everything, so their page
-    is the catalog's first ``lim`` rows: a top-n bounded by the largest limit,
-    broadcast (its size is that bound)."""
-    m = trigram_search(queries, catalog)
-    lim = queries.select("query_id", "lim")
-    # exact two-level top-n: a hot query's matches are spread over `salts`
-    # partitions, each keeps its first `lim`; the final rank sees <= salts*lim rows
+    """O3: the search page of every query: its matches, first ``lim`` by barcode.
+
+    A query that matches a name needs no more than the name's first
+    max(``lim``) products, so each name is cut to those before anything is
+    expanded per query (a salted two-level rank: a hot name is spread over
+    ``salts`` tasks first). A query is then ranked in two levels as well."""
+    lim = queries.select("query_id", F.lower(F.col("query")).alias("q"), "lim")
+    most = int(lim.agg(F.max("lim")).first()[0] or 0)
     salt = F.pmod(F.xxhash64("barcode"), F.lit(salts))
-    w1 = Window.partitionBy("query_id", "_salt").orderBy("barcode")
-    part = (m.join(lim, "query_id").withColumn("_salt", salt).withColumn("_r", F.row_number().over(w1))
-             .where(F.col("_r") <= F.col("lim")))
-    w = Window.partitionBy("query_id").orderBy("barcode")
-    pages = (part.withColumn("rank", F.row_number().over(w).cast("bigint"))
-                 .where(F.col("rank") <= F.col("lim")).drop("lim", "_salt", "_r"))
-    wild = queries.where(F.char_length(_literal_core(F.lower(F.col("query")))) == 0).select("query_id", "lim")
-    max_lim = wild.agg(F.max("lim")).first()[0]
-    if not max_lim:
-        return pages
-    top = (catalog.orderBy("barcode").limit(int(max_lim)).select("barcode", "name")
-                  .withColumn("rank", F.row_number().over(Window.orderBy("barcode")).cast("bigint")))
-    wild_pages = (wild.join(F.broadcast(top), F.col("rank") <= F.col("lim"))
-                      .select("query_id", "barcode", "name", "rank"))
-    return pages.unionByName(wild_pages)
+    rank = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy("barcode"))
+    named = (catalog.select("barcode", "name", F.lower(F.col("name")).alias("low")).withColumn("_salt", salt)
+             .withColumn("_r", rank("low", "_salt")).where(F.col("_r") <= most)
+             .withColumn("_r", rank("low")).where(F.col("_r") <= most).drop("_r"))
+    m = matching_names(queries, catalog).join(named, "low").join(lim, "q")
+    part = m.withColumn("_r", rank("query_id", "_salt")).where(F.col("_r") <= F.col("lim"))
+    return (part.withColumn("rank", rank("query_id").cast("bigint")).where(F.col("rank") <= F.col("lim"))
+            .select("query_id", "barcode", "name", "rank"))
 
 
 # --- S3 / J6 / P17: fallback source ----------------------------------------------------
@@ -315,34 +311,35 @@ def tree_nodes(region: DataFrame, nation: DataFrame, customer: DataFrame) -> Dat
     return r.unionByName(n).unionByName(c)
 
 
-def category_tree(spark: SparkSession, nodes: DataFrame, max_depth: int = 64) -> DataFrame:
-    """Q5: root, depth and path of every node by an iterative self-join to the
-    fixpoint (each step walks one level up; checkpointed per step). A cycle
-    longer than ``max_depth`` is reported as an error, not truncated."""
+def category_tree(spark: SparkSession, nodes: DataFrame) -> DataFrame:
+    """Q5: root, depth and path of every node, by pointer doubling: after step k
+    a node knows its path up to 2^k levels above, so a tree of any depth takes
+    log2(depth) joins. Only nodes that have not met a root go on; each step is
+    checkpointed. Nodes still open after log2(node count) + 1 steps hang on a
+    cycle, and that raises."""
     checkpoint_root(spark)
-    parents = nodes.select(F.col("node_id").alias("cur"), F.col("parent_id").alias("up"),
-                           F.col("name").alias("up_name"))
     state = nodes.select("node_id", F.col("parent_id").alias("cur"), F.col("name").alias("path"),
-                         F.lit(0).alias("depth"))
-    for _ in range(max_depth):
-        open_ = state.where(F.col("cur").isNotNull())
-        if open_.limit(1).count() == 0:
-            break
-        step = state.join(parents, "cur", "left")
-        state = step.select(
-            "node_id",
-            F.when(F.col("cur").isNotNull(), F.col("up")).alias("cur"),
-            F.when(F.col("cur").isNotNull(), F.concat(F.col("up_name"), F.lit("/"), F.col("path")))
-             .otherwise(F.col("path")).alias("path"),
-            (F.col("depth") + F.when(F.col("cur").isNotNull(), 1).otherwise(0)).alias("depth")).checkpoint()
-    else:
-        raise RuntimeError("tree deeper than max_depth or cyclic")
-    return state.select("node_id", "depth", "path", F.split("path", "/").getItem(0).alias("root_name"))
+                         F.when(F.col("parent_id").isNull(), 0).otherwise(1).alias("depth")).checkpoint()
+    steps = max(1, state.count()).bit_length() + 1
+    done = state.where("cur is null")
+    for _ in range(steps):
+        open_ = state.where("cur is not null")
+        if open_.isEmpty():
+            return done.select("node_id", "depth", "path", F.split("path", "/").getItem(0).alias("root_name"))
+        above = state.select(F.col("node_id").alias("cur"), F.col("cur").alias("_up"), F.col("path").alias("_path"),
+                             F.col("depth").alias("_depth"))
+        step = open_.join(above, "cur").select(
+            "node_id", F.col("_up").alias("cur"), F.concat("_path", F.lit("/"), "path").alias("path"),
+            (F.col("depth") + F.col("_depth")).alias("depth")).checkpoint()
+        done = done.unionByName(step.where("cur is null"))
+        state = step.unionByName(state.where("cur is null"))
+    raise ValueError("the nodes' parents form a cycle")
 
 
 def attribute_requests(supplier: DataFrame, part: DataFrame) -> DataFrame:
     """Attribute filters: each supplier asks for the (type, size) of one part."""
-    j = supplier.join(part, (supplier.s_suppkey * 7) % 2000 == part.p_partkey, "inner")
+    every = part.agg(F.max("p_partkey")).first()[0] or 0   # one number: keys are drawn from all parts
+    j = supplier.join(part, (supplier.s_suppkey * 7) % (every + 1) == part.p_partkey, "inner")
     return j.select(F.col("s_suppkey").alias("query_id"), F.col("p_type").alias("want_type"),
                     F.col("p_size").alias("want_size"))
 

@@ -219,12 +219,13 @@ def bearer_headers(access: DataFrame, users: DataFrame, secret: str = DEFAULT_JW
     iat = F.floor(epoch_micros("event_time") / 1_000_000).cast("bigint")
     eid = F.col("event_id")
     iat = F.when(eid % 11 == 0, iat - 3600).otherwise(iat)
-    head = b64url(F.base64(F.lit('{"alg":"HS512"}').cast("binary")))
+    alg = F.when(eid % 31 == 0, "none").when(eid % 37 == 0, "HS256").otherwise("HS512")
+    head = b64url(F.base64(F.concat(F.lit('{"alg":"'), alg, F.lit('"}')).cast("binary")))
     claims = F.to_json(F.struct(F.col("header_user_id").cast("string").alias("sub"), F.col("email"),
                                 F.col("role"), iat.alias("iat"), (iat + 900).alias("exp")))
     body = b64url(F.regexp_replace(F.base64(claims.cast("binary")), r"[\r\n]", ""))
     signing_input = F.concat(head, F.lit("."), body)
-    sig = b64url(hmac_b64(signing_input, secret, 512))
+    sig = b64url(F.when(eid % 37 == 0, hmac_b64(signing_input, secret, 256)).otherwise(hmac_b64(signing_input, secret, 512)))
     sig = F.when(eid % 23 == 0, F.reverse(sig)).otherwise(sig)
     jwt = F.concat(signing_input, F.lit("."), sig)
     header = (F.when(F.col("header_user_id").isNull(), F.lit(None).cast("string"))
@@ -235,28 +236,31 @@ def bearer_headers(access: DataFrame, users: DataFrame, secret: str = DEFAULT_JW
 
 def token_audit(requests: DataFrame, secret: str = DEFAULT_JWT_SECRET) -> DataFrame:
     """Per request: open path / missing header / wrong scheme / bad
-    signature / expired / ok, with sub, email, role ('' when absent)."""
+    signature / expired / ok, with sub, email, role ('' when absent). The
+    digest is the one the token's own header names (HS256 or HS512; any other
+    algorithm, and "none", is a bad signature)."""
     from basketry.schemas import OPEN_PATHS
     p = F.col("path")
     open_path = F.lit(False)
     for o in OPEN_PATHS:
         open_path = open_path | p.startswith(o)
     h = F.col("authorization")
-    tok = F.substring(h, 8, 100000)
-    parts = F.split(tok, r"\.")
-    signing_input = F.concat(F.element_at(parts, 1), F.lit("."), F.element_at(parts, 2))
-    good_sig = b64url(hmac_b64(signing_input, secret, 512)) == F.element_at(parts, 3)
-    claims = b64url_to_text(F.element_at(parts, 2))
-    exp = F.get_json_object(claims, "$.exp").cast("bigint")
+    part = lambda i: F.get("_parts", F.lit(i))
+    # one column at a time: an expression used twice is computed once
+    r = requests.withColumn("_parts", F.split(h.substr(F.lit(8), F.length(h)), r"\."))
+    r = r.withColumn("_alg", F.get_json_object(b64url_to_text(part(0)), "$.alg"))
+    r = r.withColumn("_input", F.concat(part(0), F.lit("."), part(1)))
+    r = r.withColumn("_sig", F.when(F.col("_alg") == "HS512", hmac_b64("_input", secret, 512))
+                     .when(F.col("_alg") == "HS256", hmac_b64("_input", secret, 256)))
+    r = r.withColumn("_claims", b64url_to_text(part(1)))
     now = F.floor(epoch_micros("event_time") / 1_000_000).cast("bigint")
-    outcome = (F.when(open_path, "open")
-               .when(h.isNull(), "missing_header")
-               .when(~h.startswith("Bearer "), "wrong_scheme")
-               .when((F.size(parts) != 3) | ~F.coalesce(good_sig, F.lit(False)), "bad_signature")
-               .when(exp < now, "expired")
-               .otherwise("ok"))
-    ok = outcome == "ok"
-    claim = lambda n: F.when(ok, F.coalesce(F.get_json_object(claims, f"$.{n}"), F.lit("")))
-    return requests.select("event_id", "path", outcome.alias("outcome"),
-                           claim("sub").alias("x_user_id"), claim("email").alias("x_user_email"),
-                           claim("role").alias("x_user_role"))
+    r = r.withColumn("outcome", F.when(open_path, "open")
+                     .when(h.isNull(), "missing_header")
+                     .when(~h.startswith("Bearer "), "wrong_scheme")
+                     .when((F.size("_parts") != 3) | ~F.coalesce(b64url(F.col("_sig")) == part(2), F.lit(False)), "bad_signature")
+                     .when(F.get_json_object("_claims", "$.exp").cast("bigint") < now, "expired")
+                     .otherwise("ok"))
+    claim = lambda n: F.when(F.col("outcome") == "ok", F.coalesce(F.get_json_object("_claims", f"$.{n}"), F.lit("")))
+    return r.select("event_id", "path", "outcome",
+                    claim("sub").alias("x_user_id"), claim("email").alias("x_user_email"),
+                    claim("role").alias("x_user_role"))

@@ -108,12 +108,16 @@ select event_id as request_id,
 from events""",
     "search_requests": """
 select s.s_suppkey as query_id,
-       upper(case when s.s_suppkey % 5 = 0
+       upper(case when s.s_suppkey % 50 = 7 then '%' when s.s_suppkey % 50 = 8 then '__'
+                  when s.s_suppkey % 50 = 9
+                  then substring(split_part(coalesce(p.p_name, 'zzz qq'), ' ', cast(s.s_suppkey % 2 + 1 as int)), 1, 1) || '_'
+                    || substring(split_part(coalesce(p.p_name, 'zzz qq'), ' ', cast(s.s_suppkey % 2 + 1 as int)), 3, 2)
+                  when s.s_suppkey % 5 = 0
                   then substring(split_part(coalesce(p.p_name, 'zzz qq'), ' ', cast(s.s_suppkey % 2 + 1 as int)), 1, 2)
                   else substring(split_part(coalesce(p.p_name, 'zzz qq'), ' ', cast(s.s_suppkey % 2 + 1 as int)), 2, 4)
              end) as query,
        cast(s.s_suppkey % 4 + 2 as int) as lim
-from supplier s left join part p on (s.s_suppkey * 7) % 2000 = p.p_partkey""",
+from supplier s left join part p on (s.s_suppkey * 7) % ((select max(p_partkey) from part) + 1) = p.p_partkey""",
     "gate_sessions": """
 select o_orderkey as session_id, o_custkey as user_id,
        case when o_orderstatus = 'F' then 'COMPLETED' when o_orderkey % 7 = 0 then 'PAYING'

@@ -17,6 +17,8 @@ BASE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of frames that are gone are deleted, not left behind
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.stateStore.providerClass":
@@ -50,13 +52,16 @@ def build_session(master: str | None = None, app: str = "basketry",
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only fall back to a
-    fresh local folder when the setting is unset (local tests).
+    The cluster names it in ``spark.checkpoint.dir``. A fresh local folder
+    stands in only in local mode (tests); elsewhere executors could not see
+    it, so a missing setting raises.
     """
     d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not spark.sparkContext.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             d = tempfile.mkdtemp(prefix="basketry-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d

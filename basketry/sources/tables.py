@@ -255,9 +255,11 @@ def search_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
     k = F.col("s_suppkey")
-    j = s.join(p, (s.s_suppkey * 7) % 2000 == p.p_partkey, "left")
+    every = p.agg(F.max("p_partkey")).first()[0] or 0   # one number: keys are drawn from all parts
+    j = s.join(p, (s.s_suppkey * 7) % (every + 1) == p.p_partkey, "left")
     word = F.element_at(F.split(F.coalesce(F.col("p_name"), F.lit("zzz qq")), " "), (k % 2 + 1).cast("int"))
-    q = F.when(k % 5 == 0, F.substring(word, 1, 2)).otherwise(F.substring(word, 2, 4))
+    q = (F.when(k % 50 == 7, F.lit("%")).when(k % 50 == 8, F.lit("__")).when(k % 50 == 9, F.concat(F.substring(word, 1, 1), F.lit("_"), F.substring(word, 3, 2)))
+         .when(k % 5 == 0, F.substring(word, 1, 2)).otherwise(F.substring(word, 2, 4)))
     return j.select(k.alias("query_id"), F.upper(q).alias("query"), (k % 4 + 2).cast("int").alias("lim"))
 
 
