@@ -390,8 +390,8 @@ o as (select *, case when sid is null or uid is null then 'INVALID_ARGUMENT' whe
 select event_id, session_text, user_text, outcome, coalesce(outcome = 'OK' and status = 'ACTIVE', false) as valid
 from o""")
 
-sql("accepted_help_requests", f"""
-with h as (
+_HELP = f"""
+hq as (
   select e.event_id, e.event_time, e.session_id, e.aisle_number, a.header_user_id,
          cast(e.session_id as varchar) as session_text,
          coalesce(cast(a.header_user_id as varchar), '') as user_text
@@ -399,12 +399,14 @@ with h as (
         from cart_events c left join (select user_id as u, min(session_id) as s from sessions group by user_id) f
           on f.u = c.session_id) e
   left join access_log a on a.event_id = e.event_id where e.kind = 'HELP'),
-j as (select h.*, s.user_id as owner, s.status,
-             {_PLONG.format(c='user_text')} as uid from h left join sessions s on s.session_id = h.session_id)
-select event_id, 'help.requested' as topic, cast(session_id as varchar) as key,
-       cast(json_object('sessionId', cast(session_id as varchar), 'aisleNumber', coalesce(aisle_number, 0),
-                        'userId', header_user_id, 'timestamp', {iso_sql('event_time')}) as varchar) as value
-from j where uid is not null and owner is not null and owner = uid and status = 'ACTIVE'""")
+hj as (select hq.*, s.user_id as owner, s.status,
+              {_PLONG.format(c='user_text')} as uid from hq left join sessions s on s.session_id = hq.session_id),
+helps as (
+  select event_id, 'help.requested' as topic, cast(session_id as varchar) as key,
+         cast(json_object('sessionId', cast(session_id as varchar), 'aisleNumber', coalesce(aisle_number, 0),
+                          'userId', header_user_id, 'timestamp', {iso_sql('event_time')}) as varchar) as value
+  from hj where uid is not null and owner is not null and owner = uid and status = 'ACTIVE')"""
+sql("accepted_help_requests", f"with {_HELP} select * from helps")
 
 sql("verify_owner", """
 select r.*, exists (select 1 from sessions s where s.session_id = r.session_id and s.user_id = r.user_id) as visible
@@ -974,7 +976,7 @@ from basketry.sources.tables import DRIVER_TABLES as _DT  # noqa: E402
 
 sql("scan_tables", "\nunion all\n".join(f"select '{t}' as table_name, count(*) as n_rows from {t}" for t in _DT))
 
-_FEED = f"""
+_FEED = _HELP + f""",
 names as (select barcode, name as product_name from catalog),
 feed as (
   select w.event_id, 'cart.item.added' as topic, cast(w.session_id as varchar) as key,
@@ -988,10 +990,7 @@ feed as (
                           'timestamp', {iso_sql('event_time')}) as varchar)
   from w1 where kind = 'REMOVE' and not rejected
   union all
-  select event_id, 'help.requested', cast(session_id as varchar),
-         cast(json_object('sessionId', cast(session_id as varchar), 'aisleNumber', coalesce(aisle_number, 0),
-                          'userId', cast(null as bigint), 'timestamp', {iso_sql('event_time')}) as varchar)
-  from cart_events where kind = 'HELP'
+  select * from helps
   union all
   select cast(null as bigint), 'session.paid', session_id,
          cast(json_object('sessionId', session_id, 'userId', user_id, 'paidAt', {iso_sql('event_time')}) as varchar)
@@ -1005,12 +1004,18 @@ sql("encode_events", f"with {_W1}, {_REPLAY}, {_FEED} select * from feed")
 
 _TS = "coalesce(json_extract_string(value, '$.timestamp'), json_extract_string(value, '$.paidAt'), " \
       "json_extract_string(value, '$.completedAt'))"
-sql("decode_topics", f"""
-with {_W1}, {_REPLAY}, {_FEED},
-cf as (select topic, key, case when coalesce(event_id % 50 = 0, false)
-                               then substring(value, 1, cast(length(value) / 2 as int)) else value end as value
+_CORRUPT = f"""
+cf as (select topic, key, case coalesce(event_id % 50, -1)
+                               when 0 then substring(value, 1, cast(length(value) / 2 as int))
+                               when 1 then regexp_replace(value, '"quantity":[0-9]+', '"quantity":"x"')
+                               when 2 then regexp_replace(value, '"timestamp":"[^"]*"', '"timestamp":"nope"') else value end as value
        from feed),
-d as (select *, coalesce(json_valid(value), false) as ok from cf)
+cd as (select topic, key, value, coalesce(
+         case when json_valid(value) then (json_extract_string(value, '$.quantity') is null
+                                           or try_cast(json_extract_string(value, '$.quantity') as int) is not null)
+              and try_cast(regexp_replace({_TS}, 'Z$', '') as timestamp) is not null end, false) as ok from cf)"""
+sql("decode_topics", f"""
+with {_W1}, {_REPLAY}, {_FEED}, {_CORRUPT}
 select topic, key,
        case when ok then json_extract_string(value, '$.sessionId') end as session_id,
        case when ok then json_extract_string(value, '$.barcode') end as barcode,
@@ -1020,8 +1025,8 @@ select topic, key,
        case when ok then try_cast(json_extract_string(value, '$.aisleNumber') as int) end as aisle_number,
        case when ok then try_cast(json_extract_string(value, '$.userId') as bigint) end as user_id,
        case when ok then try_cast(regexp_replace({_TS}, 'Z$', '') as timestamp) end as event_time,
-       not ok as malformed
-from d""")
+       not ok as malformed, value
+from cd""")
 
 
 # --- streaming -----------------------------------------------------------------------
@@ -1084,17 +1089,48 @@ w as (select key as session_id, min(event_time) as first_put, max(event_time) +
 select * from w where expires_at <= (select max(event_time) from a) - interval '1 hour'""")
 
 sql("stream_upsert_sink", f"""
-with {_STREAM_BASE}
-select session_id, barcode, event_time, quantity, price from (
-  select *, row_number() over (partition by session_id, barcode order by event_time desc, quantity desc,
-                                                                     price desc) as rn
-  from dec where topic = 'cart.item.added') x where rn = 1""")
-
-sql("stream_cart_state", f"with {_LIVE} select session_id, barcode, quantity, price from live")
+with {_STREAM_BASE},
+a as (select session_id, barcode, event_time, quantity, price from (
+        select *, row_number() over (partition by session_id, barcode order by event_time desc, quantity desc, price desc) as rn
+        from dec where topic = 'cart.item.added') x where rn = 1),
+r as (select a.session_id, a.barcode, count(*) as n from a join dec d on d.topic = 'cart.item.removed'
+        and d.session_id = a.session_id and d.barcode = a.barcode and d.event_time > a.event_time group by 1, 2)
+select a.session_id, a.barcode, a.event_time, cast(a.quantity - coalesce(r.n, 0) as int) as quantity, a.price
+from a left join r on r.session_id = a.session_id and r.barcode = a.barcode where a.quantity > coalesce(r.n, 0)""")
+
+sql("stream_quarantine", f"with {_W1}, {_REPLAY}, {_FEED}, {_CORRUPT} select topic, key, value from cd where not ok")
+
+# What a stream says is final up to its last watermark; a cart ends 24 hours after its last event.
+_SEEN = """
+mark as (select date_trunc('millisecond', max(event_time)) - interval '1' hour as w from cart_events where kind in ('ADD', 'REMOVE', 'CLEAR')),
+seen as (
+  select *, case when event_time > lag(event_time) over (partition by session_id order by event_time, event_id) + interval '24' hour
+                 then 1 else 0 end as ended
+  from cart_events, mark where kind in ('ADD', 'REMOVE', 'CLEAR') and event_time <= w)"""
+_LIVE_SEEN = _LIVE.replace("from cart_events where kind in ('ADD', 'REMOVE', 'CLEAR')", "from seen").replace(
+    "sum(case when kind = 'CLEAR' then 1 else 0 end)", "sum(ended + case when kind = 'CLEAR' then 1 else 0 end)")
+assert "from seen" in _LIVE_SEEN and "sum(ended" in _LIVE_SEEN
+sql("stream_cart_state", f"""
+with {_SEEN}, {_LIVE_SEEN},
+ends as (select session_id, max(event_time) + interval '24' hour as until from seen group by session_id)
+select l.session_id, l.barcode, l.quantity, l.price from live l join ends e on e.session_id = l.session_id, mark where e.until >= w""")
 
 sql("stream_session_state", f"""
-with {_REPLAY}
-select event_id, session_id, target, from_state, accepted, to_state from replay""")
+with {_REPLAY}, mark as (select date_trunc('millisecond', max(event_time)) - interval '1' hour as w from session_log)
+select event_id, session_id, target, from_state, accepted, to_state from replay, mark where event_time <= w""")
+
+# A fold over the lookups of a barcode: the time of the last load, and the loads so far.
+sql("stream_lookup_dedup", """
+with r as (
+  select b.request_id, b.barcode, e.ts as requested_at, epoch_us(e.ts) as us from barcode_requests b join events e on e.event_id = b.request_id),
+seen as (select * from r where requested_at <= (select date_trunc('millisecond', max(requested_at)) - interval '1' hour from r)),
+f as (
+  select barcode, list_reduce(list(cast(us as varchar) || ':' || cast(request_id as varchar) order by us, request_id),
+           lambda a, x: case when a = '' or cast(split_part(x, ':', 1) as bigint) >= cast(split_part(split_part(a, ',', -1), ':', 1) as bigint) + 3600000000
+                             then a || case when a = '' then '' else ',' end || x else a end, '') as loads
+  from seen group by barcode)
+select cast(split_part(l, ':', 2) as bigint) as request_id, barcode, make_timestamp(cast(split_part(l, ':', 1) as bigint)) as requested_at
+from f, unnest(string_split(loads, ',')) u(l)""")
 
 
 # --- the request path as one plan ----------------------------------------------------

@@ -556,7 +556,8 @@ def q_scan_tables(spark, sf_dir):
 
 def _feed(spark, v):
     fold = carts.cart_running_quantity(v.cart_events)
-    return topics.encode_events(fold, v.catalog, v.cart_events, sess.payment_receipts(v.session_log))
+    helps = carts.accepted_help_requests(help_events(v), v.access_log, v.sessions)
+    return topics.encode_events(fold, v.catalog, helps, sess.payment_receipts(v.session_log))
 
 
 @query("encode_events")
@@ -574,6 +575,11 @@ def q_decode_topics(spark, sf_dir):
 from basketry.streaming import queries as stream  # noqa: E402
 
 
+@query("stream_quarantine")
+def q_stream_quarantine(spark, sf_dir):
+    return stream.stream_quarantine(spark, topics.corrupt_some(_feed(spark, _v(spark, sf_dir))))
+
+
 @query("stream_scan_enrich")
 def q_stream_scan_enrich(spark, sf_dir):
     v = _v(spark, sf_dir)

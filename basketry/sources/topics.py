@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.functions.columns import iso_instant
 from basketry.schemas import CART_EVENT_SCHEMA
@@ -23,11 +24,12 @@ def _json(*cols: Column) -> Column:
     return F.to_json(F.struct(*cols), JSON_OPTS)
 
 
-def encode_events(fold: DataFrame, catalog: DataFrame, events: DataFrame, receipts: DataFrame) -> DataFrame:
+def encode_events(fold: DataFrame, catalog: DataFrame, helps: DataFrame, receipts: DataFrame) -> DataFrame:
     """The rows each topic would have received.
 
     ``fold``: W1 rows (accepted adds carry the quantity after the add);
-    ``catalog``: product names; ``events``: help requests; ``receipts``: T16."""
+    ``catalog``: product names; ``helps``: the accepted
+    help requests (J11); a refused one is never published; ``receipts``: T16."""
     names = catalog.select("barcode", F.col("name").alias("product_name"))
     ok = fold.where(~F.col("rejected"))
     sid = F.col("session_id").cast("string")
@@ -40,11 +42,7 @@ def encode_events(fold: DataFrame, catalog: DataFrame, events: DataFrame, receip
                  .select("event_id", F.lit("cart.item.removed").alias("topic"), sid.alias("key"),
                          _json(sid.alias("sessionId"), F.col("barcode"), iso_instant("event_time").alias("timestamp"))
                          .alias("value")))
-    helps = (events.where(F.col("kind") == "HELP")
-                   .select("event_id", F.lit("help.requested").alias("topic"), sid.alias("key"),
-                           _json(sid.alias("sessionId"), F.coalesce("aisle_number", F.lit(0)).alias("aisleNumber"),
-                                 F.lit(None).cast("bigint").alias("userId"),
-                                 iso_instant("event_time").alias("timestamp")).alias("value")))
+    helps = helps.select("event_id", F.lit("help.requested").alias("topic"), "key", "value")
     rs = receipts.select("session_id", "paid_event", "completed_event")
     paid = rs.select(F.lit(None).cast("bigint").alias("event_id"), F.lit("session.paid").alias("topic"),
                      F.col("session_id").alias("key"), F.col("paid_event").alias("value"))
@@ -54,31 +52,42 @@ def encode_events(fold: DataFrame, catalog: DataFrame, events: DataFrame, receip
 
 
 def corrupt_some(feed: DataFrame, every: int = 50) -> DataFrame:
-    """Deliveries cut in half (every ``every``-th cart event), to exercise the
-    quarantine path of ``decode_topics``."""
+    """Deliveries cut in half, with a quantity that is no number or a time that
+    is none (every ``every``-th cart event each), for the quarantine."""
     cut = F.substring(F.col("value"), 1, (F.length("value") / 2).cast("int"))
-    return feed.withColumn("value", F.when(F.coalesce(F.col("event_id") % every == 0, F.lit(False)), cut)
+    at = lambda k: F.coalesce(F.col("event_id") % every == k, F.lit(False))
+    return feed.withColumn("value", F.when(at(0), cut)
+                           .when(at(1), F.regexp_replace("value", '"quantity":[0-9]+', '"quantity":"x"'))
+                           .when(at(2), F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"nope"'))
                            .otherwise(F.col("value")))
 
 
+def decoded_time(value: str) -> Column:
+    """The time inside a JSON value, from timestamp / paidAt / completedAt."""
+    t = F.coalesce(*[F.get_json_object(value, f"$.{f}") for f in ("timestamp", "paidAt", "completedAt")])
+    return F.regexp_replace(t, "Z$", "").try_cast("timestamp_ntz")
+
+
 def decode_topics(feed: DataFrame) -> DataFrame:
     """Typed columns from each JSON value, one ``event_time`` from
-    timestamp / paidAt / completedAt, and ``malformed`` for values that are
-    not JSON (their typed columns are null: route them to quarantine)."""
-    ok = F.try_parse_json(F.col("value")).isNotNull()
-    j = F.from_json(F.col("value"), CART_EVENT_SCHEMA, {"mode": "PERMISSIVE"})
-    d = feed.select("topic", "key", "value", ok.alias("_ok"), j.alias("j"))
+    timestamp / paidAt / completedAt, and ``malformed`` for values that are not
+    JSON, hold a field of another type, or have no readable time. Their typed
+    columns are null; the raw ``value`` stays, so a quarantine can keep it."""
+    bad = T.StructField("_bad", T.StringType())
+    schema = T.StructType([*CART_EVENT_SCHEMA.fields, bad])
+    j = F.from_json(F.col("value"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    d = feed.select("topic", "key", "value", j.alias("j"))
     t = F.coalesce("j.timestamp", "j.paidAt", "j.completedAt")
-    good = F.col("_ok")
-    pick = lambda c: F.when(good, c)
+    d = d.withColumn("_at", F.regexp_replace(t, "Z$", "").try_cast("timestamp_ntz"))
+    good = F.col("j").isNotNull() & F.col("j._bad").isNull() & F.col("_at").isNotNull()
+    d = d.withColumn("malformed", ~good)
+    pick = lambda c: F.when(~F.col("malformed"), c)
     return d.select(
         "topic", "key",
         pick(F.col("j.sessionId")).alias("session_id"), pick(F.col("j.barcode")).alias("barcode"),
         pick(F.col("j.productName")).alias("product_name"), pick(F.col("j.price")).alias("price"),
         pick(F.col("j.quantity")).alias("quantity"), pick(F.col("j.aisleNumber")).alias("aisle_number"),
-        pick(F.col("j.userId")).alias("user_id"),
-        pick(F.regexp_replace(t, "Z$", "").try_cast("timestamp_ntz")).alias("event_time"),
-        (~good).alias("malformed"))
+        pick(F.col("j.userId")).alias("user_id"), pick(F.col("_at")).alias("event_time"), "malformed", "value")
 
 
 def write_kafka(feed: DataFrame, servers: str, checkpoint: str):

@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import sys
 import uuid
+from decimal import Decimal
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -21,9 +22,13 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from basketry.schemas import SESSION_EDGES
 from basketry.session import checkpoint_root
-from basketry.sources.topics import decode_topics
+from basketry.operators.scan import materialize
+from basketry.sources.topics import decode_topics, decoded_time
 
 FEED_SCHEMA = "event_id long, topic string, key string, value string"
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+#: Two files land for each slice of time; a slice is a micro-batch.
+FILES_PER_TRIGGER = 2
 
 # The state functions below run on executors; ship them by value so the
 # workers need no copy of this package on their import path.
@@ -35,10 +40,28 @@ def stream_home(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
 
 
-def land(df: DataFrame, path: str, order: str | None = None) -> None:
+def land(df: DataFrame, path: str, order: str = "event_time", files: int = 3) -> None:
     """Write rows as the JSON files a file-stream source will pick up (input
-    landing for tests; production reads the topics directly)."""
-    (df.orderBy(order) if order else df).write.mode("overwrite").json(path)
+    landing for tests; production reads the topics directly): ``files`` slices
+    of time, one write after the other, so that the source meets them in order
+    and a run has several micro-batches."""
+    d = materialize(df.withColumn("_at", F.unix_micros(F.col(order).cast("timestamp"))))
+    cuts = d.approxQuantile("_at", [k / files for k in range(1, files)], 0.01) if files > 1 else []
+    edges = [None, *cuts, None]
+    for low, high in zip(edges, edges[1:]):
+        part = d.where(F.lit(True) if low is None else F.col("_at") >= low)
+        part = part if high is None else part.where(F.col("_at") < high)
+        if low is None and high is not None:   # rows without a time come first
+            part = part.unionByName(d.where(F.col("_at").isNull()))
+        part.drop("_at").coalesce(1 if files == 1 else 2).write.mode("append").options(
+            timestampFormat=MICROS, timestampNTZFormat=MICROS).json(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """If a file or folder is there; any failure to look raises."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
 def run_available(sdf: DataFrame, home: str, mode: str = "append", foreach=None) -> str:
@@ -63,21 +86,37 @@ def _append_batches(out: str):
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """The decoded topic stream, event time as an instant for watermarks."""
-    raw = spark.readStream.schema(FEED_SCHEMA).json(path)
+    """The decoded topic stream, event time as an instant for watermarks.
+    Malformed rows are not lost: ``stream_quarantine`` keeps them."""
+    raw = spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", FILES_PER_TRIGGER).json(path)
     d = decode_topics(raw).where(~F.col("malformed"))
     return d.withColumn("event_time", F.col("event_time").cast("timestamp"))
 
 
+def land_feed(feed: DataFrame, path: str) -> None:
+    """Topic rows in order of the time in their value."""
+    timed = feed.select("event_id", "topic", "key", "value", decoded_time("value").alias("_time"))
+    land(timed, path, order="_time")
+
+
 def _ntz(c: str):
     return F.col(c).cast("timestamp_ntz")
 
 
 def _read_out(spark: SparkSession, out: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.parquet(out)
-    except Exception:  # noqa: BLE001 - an empty run leaves no files
+    """What a stream wrote; a run without any output leaves no folder."""
+    if not exists(spark, out):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(out)
+
+
+def stream_quarantine(spark: SparkSession, feed: DataFrame) -> DataFrame:
+    """The malformed rows of the topics, as they came, for repair and replay."""
+    home = stream_home(spark, "quarantine")
+    land(feed.withColumn("_time", F.lit(None).cast("timestamp")), f"{home}/in", order="_time", files=1)
+    raw = spark.readStream.schema(FEED_SCHEMA).json(f"{home}/in")
+    bad = decode_topics(raw).where("malformed").select("topic", "key", "value")
+    return _read_out(spark, run_available(bad, home), "topic string, key string, value string")
 
 
 # --- stateless / built-in stateful ------------------------------------------------------
@@ -85,7 +124,7 @@ def _read_out(spark: SparkSession, out: str, schema: str) -> DataFrame:
 def stream_scan_enrich(spark: SparkSession, feed: DataFrame, catalog: DataFrame) -> DataFrame:
     """ST5: added items joined to the (static) catalog; missing products flagged."""
     home = stream_home(spark, "scan_enrich")
-    land(feed, f"{home}/in")
+    land_feed(feed, f"{home}/in")
     s = read_feed(spark, f"{home}/in").where(F.col("topic") == "cart.item.added")
     j = s.join(catalog.select("barcode", F.col("name").alias("catalog_name")), "barcode", "left")
     out = j.select("session_id", "barcode", _ntz("event_time").alias("event_time"), "catalog_name",
@@ -98,7 +137,7 @@ def stream_help_by_aisle(spark: SparkSession, feed: DataFrame, slide: str | None
     30-minute watermark, append mode: a window is final once the watermark
     passes its end; later rows are dropped."""
     home = stream_home(spark, "help_by_aisle")
-    land(feed, f"{home}/in")
+    land_feed(feed, f"{home}/in")
     s = read_feed(spark, f"{home}/in").where(F.col("topic") == "help.requested")
     w = F.window("event_time", "15 minutes", slide) if slide else F.window("event_time", "15 minutes")
     agg = (s.withWatermark("event_time", "30 minutes").groupBy(w.alias("w"), "aisle_number")
@@ -114,7 +153,7 @@ def stream_paid_completed(spark: SparkSession, feed: DataFrame) -> DataFrame:
     minutes (stream-stream left outer join, both sides watermarked); a payment
     with no completion is emitted unpaired once the watermark passes."""
     home = stream_home(spark, "paid_completed")
-    land(feed, f"{home}/in")
+    land_feed(feed, f"{home}/in")
     s = read_feed(spark, f"{home}/in")
     paid = (s.where(F.col("topic") == "session.paid")
              .select(F.col("key").alias("paid_key"), F.col("event_time").alias("paid_at"))
@@ -142,7 +181,7 @@ def stream_event_dedup(spark: SparkSession, feed: DataFrame) -> DataFrame:
     """ST8: repeated deliveries dropped by (topic, key, event_time, barcode)
     within a 1-hour watermark (state is bounded by the watermark)."""
     home = stream_home(spark, "event_dedup")
-    land(redeliver(feed), f"{home}/in")
+    land_feed(redeliver(feed), f"{home}/in")
     s = read_feed(spark, f"{home}/in")
     d = (s.withWatermark("event_time", "1 hour")
           .dropDuplicatesWithinWatermark(["topic", "key", "event_time", "barcode"]))
@@ -151,23 +190,12 @@ def stream_event_dedup(spark: SparkSession, feed: DataFrame) -> DataFrame:
     return spark.read.parquet(run_available(out, home))
 
 
-def stream_lookup_dedup(spark: SparkSession, lookups: DataFrame) -> DataFrame:
-    """ST4: at most one product read per barcode per hour reaches the store
-    (``dropDuplicatesWithinWatermark``; approximates the cache's fixed TTL)."""
-    home = stream_home(spark, "lookup_dedup")
-    land(lookups, f"{home}/in")
-    s = (spark.readStream.schema("request_id long, barcode string, requested_at timestamp").json(f"{home}/in"))
-    d = s.withWatermark("requested_at", "1 hour").dropDuplicatesWithinWatermark(["barcode"])
-    out = d.select("request_id", "barcode", _ntz("requested_at").alias("requested_at"))
-    return spark.read.parquet(run_available(out, home))
-
-
 def stream_cart_expiry(spark: SparkSession, feed: DataFrame) -> DataFrame:
     """ST3: a cart key disappears 24 h after its last put: session windows with
     a 24-hour gap over the puts (item adds), emitted in append mode once the
     1-hour watermark passes the window end."""
     home = stream_home(spark, "cart_expiry")
-    land(feed, f"{home}/in")
+    land_feed(feed, f"{home}/in")
     s = read_feed(spark, f"{home}/in").where(F.col("topic") == "cart.item.added")
     g = (s.withWatermark("event_time", "1 hour")
           .groupBy("key", F.session_window("event_time", "24 hours").alias("w"))
@@ -178,109 +206,152 @@ def stream_cart_expiry(spark: SparkSession, feed: DataFrame) -> DataFrame:
                      "session_id string, first_put timestamp_ntz, expires_at timestamp_ntz, puts long")
 
 
+LINE_SCHEMA = "session_id string, barcode string, event_time timestamp_ntz, quantity int, price decimal(19,4), removed int"
+
+
+def _merge_lines(prev: DataFrame, batch: DataFrame) -> DataFrame:
+    """Line states after a batch: the newest add says the quantity, and each
+    remove after it takes one away. A remove older than the newest add is
+    already in that add's quantity."""
+    add = F.col("topic") == "cart.item.added"
+    news = batch.select("session_id", "barcode", "event_time", F.when(add, F.col("quantity")).alias("quantity"),
+                        F.when(add, F.col("price")).alias("price"), F.lit(0).alias("removed"), add.alias("is_add"))
+    both = prev.withColumn("is_add", F.lit(True)).unionByName(news)
+    last = both.where("is_add").groupBy("session_id", "barcode").agg(
+        F.max(F.struct("event_time", "quantity", "price", "removed")).alias("_l"))
+    gone = news.where("not is_add").select("session_id", "barcode", F.col("event_time").alias("_at"))
+    taken = (gone.join(last, ["session_id", "barcode"]).where(F.col("_at") > F.col("_l.event_time"))
+             .groupBy("session_id", "barcode").agg(F.count(F.lit(1)).cast("int").alias("_n")))
+    return last.join(taken, ["session_id", "barcode"], "left").select(
+        "session_id", "barcode", "_l.event_time", "_l.quantity", "_l.price",
+        (F.col("_l.removed") + F.coalesce("_n", F.lit(0))).alias("removed"))
+
+
 def stream_upsert_sink(spark: SparkSession, feed: DataFrame) -> DataFrame:
-    """ST9: latest line state per (session, barcode) kept as a keyed snapshot by
-    ``foreachBatch``: each batch is merged into the previous snapshot (newest
-    event wins) and written as a new snapshot folder named by batch id, so a
-    replayed batch rewrites the same folder (idempotent)."""
+    """ST9: live state per (session, barcode) kept as a keyed snapshot by
+    ``foreachBatch``: each batch's adds and removes are merged into the
+    previous snapshot and written as a new folder named by batch id, so a
+    replayed batch rewrites the same folder (idempotent). The pointer to the
+    newest folder is tested for existence; a snapshot that cannot be read
+    raises, so no earlier row is ever lost. Lines at 0 are not returned.
+    (Clears have no topic: their lines leave through ST3's expiry.)"""
     home = stream_home(spark, "upsert_sink")
-    land(feed, f"{home}/in")
-    s = read_feed(spark, f"{home}/in").where(F.col("topic") == "cart.item.added")
-    rows = s.select("session_id", "barcode", "quantity", "price", _ntz("event_time").alias("event_time"))
-
-    def sink(out: str):
-        def fn(batch: DataFrame, batch_id: int) -> None:
-            sp = batch.sparkSession
-            latest = batch.groupBy("session_id", "barcode").agg(
-                F.max(F.struct("event_time", "quantity", "price")).alias("_l"))
-            prev_path = f"{out}/_latest"
-            try:
-                prev_id = int(sp.read.text(prev_path).first()[0])
-                prev = sp.read.parquet(f"{out}/v={prev_id}")
-                if prev_id >= batch_id:
-                    return
-            except Exception:  # noqa: BLE001 - first batch: no snapshot yet
-                prev = None
-            cur = latest.select("session_id", "barcode", F.col("_l.event_time").alias("event_time"),
-                                F.col("_l.quantity").alias("quantity"), F.col("_l.price").alias("price"))
-            if prev is not None:
-                both = prev.unionByName(cur)
-                cur = (both.groupBy("session_id", "barcode")
-                           .agg(F.max(F.struct("event_time", "quantity", "price")).alias("_l"))
-                           .select("session_id", "barcode", F.col("_l.event_time").alias("event_time"),
-                                   F.col("_l.quantity").alias("quantity"), F.col("_l.price").alias("price")))
-            cur.write.mode("overwrite").parquet(f"{out}/v={batch_id}")
-            sp.createDataFrame([(str(batch_id),)], "value string").coalesce(1).write.mode("overwrite").text(prev_path)
-        return fn
-
-    out = run_available(rows, home, foreach=sink)
+    land_feed(feed, f"{home}/in")
+    s = read_feed(spark, f"{home}/in").where(F.col("topic").isin("cart.item.added", "cart.item.removed"))
+    rows = s.select("topic", "session_id", "barcode", "quantity", "price", _ntz("event_time").alias("event_time"))
+    out = run_available(rows, home, foreach=_snapshot_sink)
+    if not exists(spark, f"{out}/_latest"):
+        return spark.createDataFrame([], LINE_SCHEMA).drop("removed")
     last = int(spark.read.text(f"{out}/_latest").first()[0])
-    return spark.read.parquet(f"{out}/v={last}")
+    return (spark.read.schema(LINE_SCHEMA).parquet(f"{out}/v={last}").where("quantity > removed")
+            .select("session_id", "barcode", "event_time", (F.col("quantity") - F.col("removed")).alias("quantity"), "price"))
 
 
-# --- custom stateful (applyInPandasWithState) ---------------------------------------
+def _snapshot_sink(out: str):
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        sp = batch.sparkSession
+        pointer = f"{out}/_latest"
+        prev = sp.createDataFrame([], LINE_SCHEMA)
+        if exists(sp, pointer):
+            prev_id = int(sp.read.text(pointer).first()[0])
+            if prev_id >= batch_id:
+                return
+            prev = sp.read.schema(LINE_SCHEMA).parquet(f"{out}/v={prev_id}")
+        _merge_lines(prev, batch).write.mode("overwrite").parquet(f"{out}/v={batch_id}")
+        sp.createDataFrame([(str(batch_id),)], "value string").coalesce(1).write.mode("overwrite").text(pointer)
+    return fn
 
-CART_OUT = "session_id long, barcode string, quantity long, price decimal(19,4), event_time timestamp"
-CART_STATE = "lines string, epoch long"
-
-
-def _cart_fold(key, pdfs, state):
-    """Per session: a map barcode -> [quantity, price] folded over the events in
-    event-time order; add +1 (price fixed when the line comes into being),
-    remove -1 (rejected at 0), clear empties the cart. Emits the changed lines
-    (quantity 0 = removed). State expires 24 h (event time) after the last event."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    lines = json.loads(state.get[0]) if state.exists else {}
-    frames = [p for p in pdfs if len(p)]
-    if not frames:
-        return
-    batch = pd.concat(frames, ignore_index=True)
-    batch = batch.sort_values(["event_time", "event_id"], kind="mergesort")
-    touched: dict[str, object] = {}
-    last_ts = None
-    for kind, barcode, price, ts in zip(batch["kind"], batch["barcode"], batch["price"], batch["event_time"]):
-        last_ts = ts
-        if kind == "CLEAR":
-            for b in lines:
-                touched[b] = ts
+
+# --- custom stateful (applyInPandasWithState): rows in event-time order ----------------
+
+DAY_US, HOUR_US = 86_400_000_000, 3_600_000_000
+
+
+def _in_order(names: list[str], step, idle_us: int | None):
+    """A state function that hands a key's rows to ``step`` in event-time order.
+
+    Rows are held until the watermark has passed them, so input that is out of
+    order across micro-batches (within the watermark) gives the same result as
+    in order. The first of ``names`` is the time, the second breaks ties.
+    ``step(fold state or None, rows, idle)`` returns the new fold state (None: nothing
+    to keep) and output rows; ``idle`` is true once ``idle_us`` have passed since the last
+    row without a new one."""
+    def run(key, frames, state):
+        held, fold, last = json.loads(state.get[0]) if state.exists else ([], None, None)
+        if not state.hasTimedOut:
+            for p in frames:
+                us = ((p[names[0]] - pd.Timestamp(0)) // pd.Timedelta("1us")).tolist()
+                rest = [[None if pd.isna(v) else str(v) if isinstance(v, Decimal) else v for v in p[c].tolist()] for c in names[1:]]
+                held += [list(r) for r in zip(us, *rest)]
+        now = state.getCurrentWatermarkMs() * 1000
+        ready = sorted((r for r in held if r[0] <= now), key=lambda r: r[:2])
+        held = [r for r in held if r[0] > now]
+        last = ready[-1][0] if ready else last
+        idle = bool(idle_us is not None and not held and last is not None and last + idle_us < now)
+        fold, out = step(key, fold, ready, idle)
+        if not held and (fold is None or idle):
+            if state.exists:
+                state.remove()
+        else:
+            state.update((json.dumps([held, fold, last]),))
+            wake = min(r[0] for r in held) if held else None if idle_us is None else last + idle_us
+            if wake is not None:
+                state.setTimeoutTimestamp(max(wake // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        if out:
+            yield pd.DataFrame(out)
+    return run
+
+
+def _cart_step(key, fold, rows, idle):
+    """Lines of a cart, barcode -> [quantity, price], over adds (+1; the price is
+    that of the line's first add), removes (-1; rejected at 0) and clears. A
+    cart ends 24 hours after its last event: its lines go to 0."""
+    lines, last = fold or [{}, None]
+    touched = {}
+    for at, _, kind, barcode, price in rows:
+        if kind == "CLEAR" or last is not None and at > last + DAY_US:
+            touched.update(dict.fromkeys(lines, min(at, last + DAY_US) if last is not None else at))
             lines = {}
-        elif kind == "ADD":
+        if kind == "ADD":
             q, p = lines.get(barcode, [0, None])
-            lines[barcode] = [q + 1, p if q > 0 else (None if price is None else str(price))]
-            touched[barcode] = ts
-        elif kind == "REMOVE":
-            q, p = lines.get(barcode, [0, None])
-            if q > 0:
-                if q == 1:
-                    lines.pop(barcode)
-                else:
-                    lines[barcode] = [q - 1, p]
-                touched[barcode] = ts
-    state.update((json.dumps(lines), 0))
-    state.setTimeoutTimestamp(int(pd.Timestamp(last_ts).timestamp() * 1000) + 24 * 3600 * 1000)
-    from decimal import Decimal
-    rows = [(key[0], b, lines.get(b, [0, None])[0],
-             Decimal(lines[b][1]) if b in lines and lines[b][1] is not None else None, touched[b])
-            for b in touched]
-    if rows:
-        yield pd.DataFrame(rows, columns=["session_id", "barcode", "quantity", "price", "event_time"])
+            lines[barcode] = [q + 1, p if q else price]
+            touched[barcode] = at
+        elif kind == "REMOVE" and barcode in lines:
+            q, p = lines[barcode]
+            if q == 1:
+                del lines[barcode]
+            else:
+                lines[barcode] = [q - 1, p]
+            touched[barcode] = at
+        last = at
+    if idle:
+        touched.update(dict.fromkeys(lines, last + DAY_US))
+        lines = {}
+    out = [{"session_id": key[0], "barcode": b, "quantity": lines.get(b, [0])[0],
+            "price": Decimal(lines[b][1]) if b in lines and lines[b][1] is not None else None,
+            "event_time": pd.Timestamp(at, unit="us")} for b, at in touched.items()]
+    return [lines, last], out
+
+
+CART_OUT = "session_id long, barcode string, quantity long, price decimal(19,4), event_time timestamp"
 
 
 def stream_cart_state(spark: SparkSession, events: DataFrame) -> DataFrame:
     """ST1: live line quantities per session from the add/remove/clear stream
-    (clears come from the change feed, not the topics). Update-mode output has
-    several rows per line; the last one per line is returned, lines at 0
-    dropped. Events of one micro-batch are applied in event-time order; input
-    is assumed in order across micro-batches (late rows beyond the watermark
-    are dropped by Spark)."""
+    (clears come from the change feed, not the topics), up to the last
+    watermark. Update-mode output has several rows per line; the last one per
+    line is returned, lines at 0 dropped."""
     home = stream_home(spark, "cart_state")
     land(events.where(F.col("kind").isin("ADD", "REMOVE", "CLEAR")), f"{home}/in")
     s = (spark.readStream.schema("event_id long, event_time timestamp, session_id long, barcode string, "
-                                 "kind string, price decimal(19,4)").json(f"{home}/in"))
-    st = (s.withWatermark("event_time", "1 hour").groupBy("session_id")
-           .applyInPandasWithState(_cart_fold, CART_OUT, CART_STATE, "update", GroupStateTimeout.EventTimeTimeout))
+                                 "kind string, price decimal(19,4)").option("maxFilesPerTrigger", FILES_PER_TRIGGER).json(f"{home}/in"))
+    return cart_state_of(spark, s, home)
+
+
+def cart_state_of(spark: SparkSession, stream: DataFrame, home: str) -> DataFrame:
+    fold = _in_order(["event_time", "event_id", "kind", "barcode", "price"], _cart_step, DAY_US)
+    st = (stream.withWatermark("event_time", "1 hour").groupBy("session_id")
+          .applyInPandasWithState(fold, CART_OUT, "fold string", "update", GroupStateTimeout.EventTimeTimeout))
     out = run_available(st, home, mode="update", foreach=_append_batches)
     r = _read_out(spark, out, CART_OUT + ", batch_id long")
     last = (r.groupBy("session_id", "barcode")
@@ -297,40 +368,56 @@ for _f, _t in SESSION_EDGES:
 SESSION_OUT = "event_id long, session_id string, target string, from_state string, accepted boolean, to_state string"
 
 
-def _session_fold(key, pdfs, state):
-    """Per session: the current state; each command is accepted when its edge
-    is allowed, else refused (state unchanged). Terminal sessions keep a
-    marker until the 24-hour event-time timeout."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    cur = state.get[0] if state.exists else "CREATED"
-    frames = [p for p in pdfs if len(p)]
-    if not frames:
-        return
-    batch = pd.concat(frames, ignore_index=True)
-    batch = batch.sort_values(["event_time", "event_id"], kind="mergesort")
-    out = []
-    for eid, target in zip(batch["event_id"], batch["target"]):
+def _session_step(key, fold, rows, idle):
+    """The current state; each command is accepted when its edge is allowed, else
+    refused (state unchanged). A session's state is one word and is kept, so a
+    finished session never starts again."""
+    cur, out = fold or "CREATED", []
+    for _, eid, target in rows:
         ok = target in _ALLOWED.get(cur, set())
-        nxt = target if ok else cur
-        out.append((int(eid), key[0], target, cur, ok, nxt))
-        cur = nxt
-    state.update((cur,))
-    last = pd.Timestamp(batch["event_time"].iloc[-1])
-    state.setTimeoutTimestamp(int(last.timestamp() * 1000) + 24 * 3600 * 1000)
-    yield pd.DataFrame(out, columns=["event_id", "session_id", "target", "from_state", "accepted", "to_state"])
+        out.append({"event_id": eid, "session_id": key[0], "target": target, "from_state": cur, "accepted": ok,
+                    "to_state": target if ok else cur})
+        cur = target if ok else cur
+    return cur, out
 
 
 def stream_session_state(spark: SparkSession, log: DataFrame) -> DataFrame:
-    """ST2: the session state machine over a stream of commands; refused
-    commands are flagged. Equals the batch replay (T2) on in-order input."""
+    """ST2: the session state machine over a stream of commands, up to the last
+    watermark; refused commands are flagged. Equals the batch replay (T2)."""
     home = stream_home(spark, "session_state")
     land(log, f"{home}/in")
-    s = (spark.readStream.schema("event_id long, event_time timestamp, user_id long, session_id string, "
-                                 "target string").json(f"{home}/in"))
+    s = (spark.readStream.schema("event_id long, event_time timestamp, user_id long, session_id string, target string")
+         .option("maxFilesPerTrigger", FILES_PER_TRIGGER).json(f"{home}/in"))
     st = (s.withWatermark("event_time", "1 hour").groupBy("session_id")
-           .applyInPandasWithState(_session_fold, SESSION_OUT, "status string", "append",
+           .applyInPandasWithState(_in_order(["event_time", "event_id", "target"], _session_step, None), SESSION_OUT, "fold string", "append",
                                    GroupStateTimeout.EventTimeTimeout))
     out = run_available(st, home, mode="append", foreach=_append_batches)
     return _read_out(spark, out, SESSION_OUT + ", batch_id long").drop("batch_id")
+
+
+LOOKUP_OUT = "request_id long, barcode string, requested_at timestamp"
+
+
+def _lookup_step(key, fold, rows, idle):
+    """A product is loaded by the first lookup, and again by the first one at
+    least an hour after its last load; the others find it in the cache."""
+    out = []
+    for at, rid in rows:
+        if fold is None or at >= fold + HOUR_US:
+            fold = at
+            out.append({"request_id": rid, "barcode": key[0], "requested_at": pd.Timestamp(at, unit="us")})
+    return fold, out
+
+
+def stream_lookup_dedup(spark: SparkSession, lookups: DataFrame) -> DataFrame:
+    """ST4: the lookups that reach the store behind a cache with a fixed life of
+    an hour, up to the last watermark."""
+    home = stream_home(spark, "lookup_dedup")
+    land(lookups, f"{home}/in", order="requested_at")
+    s = (spark.readStream.schema("request_id long, barcode string, requested_at timestamp")
+         .option("maxFilesPerTrigger", FILES_PER_TRIGGER).json(f"{home}/in"))
+    st = (s.withWatermark("requested_at", "1 hour").groupBy("barcode")
+           .applyInPandasWithState(_in_order(["requested_at", "request_id"], _lookup_step, HOUR_US), LOOKUP_OUT, "fold string", "append",
+                                   GroupStateTimeout.EventTimeTimeout))
+    out = _read_out(spark, run_available(st, home), LOOKUP_OUT)
+    return out.withColumn("requested_at", _ntz("requested_at"))

@@ -55,19 +55,25 @@ def test_token_audit_against_python(spark):
 def test_long_tokens_are_read_whole(spark):
     from pyspark.sql import functions as F
     v = Views(spark, SF_SMALL)
-    users = v.users.withColumn("email", F.repeat(F.lit("e"), 100_001))
-    audit = tokens.token_audit(tokens.bearer_headers(v.access_log, users))
+    users = v.users.where("id < 10").withColumn("email", F.repeat(F.lit("e"), 100_001))
+    audit = tokens.token_audit(tokens.bearer_headers(v.access_log.where("event_id < 60"), users))
     assert audit.where("outcome = 'ok' and length(x_user_email) = 100001").count() > 0
 
 
-def test_lookup_dedup_one_read_per_barcode(spark):
-    from pyspark.sql import functions as F
+def test_lookup_dedup_loads_again_after_an_hour(spark):
+    """Several micro-batches, a late row and a tie, against a plain fold."""
+    import datetime as dt
 
     from basketry.streaming.queries import stream_lookup_dedup
-    v = Views(spark, SF_SMALL)
-    t = v.events.select(F.col("event_id").alias("request_id"), F.col("ts").alias("requested_at"))
-    req = v.barcode_requests.join(t, "request_id")
-    out = stream_lookup_dedup(spark, req)
-    n_distinct = req.select("barcode").distinct().count()
-    assert out.count() == n_distinct
-    assert out.select("barcode").distinct().count() == n_distinct
+    t0 = dt.datetime(2024, 1, 1)
+    at = [0, 10, 59, 60, 61, 119, 120, 121, 300, 300, 365, 900]
+    rows = [(i, f"b{b}", t0 + dt.timedelta(minutes=m + b)) for b in range(3) for i, m in enumerate(at, 100 * b)]
+    got = {(r["barcode"], r["request_id"]) for r in stream_lookup_dedup(
+        spark, spark.createDataFrame(rows, "request_id long, barcode string, requested_at timestamp_ntz")).collect()}
+    want, last = set(), {}
+    mark = max(r[2] for r in rows) - dt.timedelta(hours=1)
+    for i, b, t in sorted(rows, key=lambda r: (r[2], r[0])):
+        if t <= mark and (b not in last or t >= last[b] + dt.timedelta(hours=1)):
+            last[b] = t
+            want.add((b, i))
+    assert got == want and len(want) == 3 * 5

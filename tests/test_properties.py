@@ -61,12 +61,55 @@ def test_running_quantity_equals_sequential_fold(spark):
     assert all(q >= 0 for q, _ in got.values())
 
 
-def test_stream_cart_state_equals_batch(spark):
-    from basketry.streaming.queries import stream_cart_state
-    ev = Views(spark, SF_SMALL).cart_events
-    s = sorted(tuple(r) for r in stream_cart_state(spark, ev).collect())
-    b = sorted(tuple(r) for r in carts.live_lines(ev).select("session_id", "barcode", "quantity", "price").collect())
-    assert s == b
+def test_streams_do_not_depend_on_batches_order_or_restarts(spark):
+    """Rows out of order across micro-batches, a row that is too late, and a restart in between."""
+    import datetime as dt
+
+    from basketry.streaming import queries as st
+    t0 = dt.datetime(2024, 1, 1, 10)
+    m = lambda minutes: t0 + dt.timedelta(minutes=minutes)
+    schema = "event_id long, event_time timestamp, session_id long, barcode string, kind string, price decimal(19,4)"
+    first = [(1, m(2), 1, "a", "ADD", 1), (2, m(10), 2, "b", "ADD", 2), (3, m(20), 2, "b", "ADD", 3)]
+    second = [(4, m(1), 1, "a", "REMOVE", None), (5, m(25), 2, "b", "REMOVE", None), (6, m(600), 3, "z", "ADD", 1)]
+    third = [(7, m(5), 1, "a", "ADD", 9), (8, m(601), 3, "z", "ADD", 1), (9, m(1600), 4, "y", "ADD", 1)]   # 7 is too late
+    home = st.stream_home(spark, "restarts")
+    read = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    got = None
+    for rows in (first, second, third):
+        st.land(spark.createDataFrame([(*r[:5], None if r[5] is None else __import__("decimal").Decimal(r[5])) for r in rows], schema),
+                f"{home}/in", files=1)
+        got = st.cart_state_of(spark, read.json(f"{home}/in"), home)
+    # the remove at minute 1 comes before the add at minute 2 and is refused; carts 1 and 2 end after a day
+    assert [(r["session_id"], r["barcode"], r["quantity"]) for r in got.collect()] == [(3, "z", 2)]
+    zeros = spark.read.parquet(f"{home}/out").where("quantity = 0").select("session_id", "barcode").distinct().collect()
+    assert {tuple(r) for r in zeros} == {(1, "a"), (2, "b")}
+    seen = {(r["session_id"], r["barcode"], r["quantity"]) for r in spark.read.parquet(f"{home}/out").collect()}
+    assert (1, "a", 1) in seen and (2, "b", 1) in seen and (1, "a", 2) not in seen
+
+
+def test_a_snapshot_that_cannot_be_read_raises(spark):
+    import pytest
+
+    from basketry.streaming import queries as st
+    home = st.stream_home(spark, "broken")
+    fn = st._snapshot_sink(f"{home}/out")
+    batch = spark.createDataFrame([], "topic string, session_id string, barcode string, quantity int, price decimal(19,4), event_time timestamp_ntz")
+    fn(batch, 0)
+    fn(batch, 1)
+    spark.createDataFrame([("7",)], "value string").write.mode("overwrite").text(f"{home}/out/_latest")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        fn(batch, 8)
+
+
+def test_a_deep_tree_and_a_cycle(spark):
+    import pytest
+
+    from basketry.operators.catalog import category_tree
+    rows = [(str(i), str(i - 1) if i else None, f"n{i}") for i in range(70)]
+    got = {r["node_id"]: r for r in category_tree(spark, spark.createDataFrame(rows, "node_id string, parent_id string, name string")).collect()}
+    assert len(got) == 70 and got["69"]["depth"] == 69 and got["69"]["path"].startswith("n0/n1/") and got["0"]["depth"] == 0
+    with pytest.raises(ValueError, match="cycle"):
+        category_tree(spark, spark.createDataFrame([("a", "b", "a"), ("b", "a", "b")], "node_id string, parent_id string, name string")).collect()
 
 
 def test_replay_never_leaves_terminal_and_tokens_used_once(spark):
