@@ -128,7 +128,10 @@ def register_batch(spark: SparkSession, req: DataFrame, users: DataFrame) -> Dat
     return j.select("request_id", "email", "username", "outcome",
                     F.when(ok, F.lit(DEFAULT_ROLE)).alias("role"),
                     F.when(ok, F.col("requested_at")).alias("created_at"),
-                    F.lit(True).alias("enabled"))
+                    F.when(ok, F.lit(True)).alias("enabled"),
+                    F.when(F.col("outcome") == "email_taken", "Email already registered")
+                     .when(F.col("outcome") == "username_taken", "Username already taken")
+                     .when(~ok, "Validation failed").alias("reason"))
 
 
 def lookup_by_unique_key(req: DataFrame, users: DataFrame) -> DataFrame:

@@ -266,12 +266,13 @@ audit as (select event_id, event_time as transitioned_at, session_id, user_id, f
           from replay where accepted)"""
 
 sql("transition_chain_audit", f"""
-with {_EDGES}, {_AUDIT}
+with {_EDGES}, {_AUDIT},
+kept as (select * replace (case when event_id % 10 = 1 then 'CREATED' else to_state end as to_state) from audit where event_id % 9 <> 0)
 select a.event_id, a.transitioned_at, a.session_id, a.from_state, a.to_state,
        a.from_state = coalesce(lag(a.to_state) over (partition by a.session_id order by a.transitioned_at, a.event_id),
                                'CREATED') as chain_ok,
        exists (select 1 from edges e where e.from_state = a.from_state and e.to_state = a.to_state) as edge_ok
-from audit a""")
+from kept a""")
 
 sql("state_dwell_time", f"""
 with {_AUDIT},
@@ -626,7 +627,11 @@ sql("register_batch", f"""
 with {_REG}
 select r.request_id, r.email, r.username, r.outcome,
        case when r.outcome = 'registered' then 'ROLE_CUSTOMER' end as role,
-       case when r.outcome = 'registered' then s.requested_at end as created_at, true as enabled
+       case when r.outcome = 'registered' then s.requested_at end as created_at,
+       case when r.outcome = 'registered' then true end as enabled,
+       case r.outcome when 'email_taken' then 'Email already registered'
+                      when 'username_taken' then 'Username already taken'
+                      when 'invalid' then 'Validation failed' end as reason
 from reg r join signups s on s.request_id = r.request_id""")
 
 sql("lookup_by_unique_key", """
@@ -957,10 +962,9 @@ sql("domain_violations", "\nunion all\n".join(
     for table, src, key, rules in _DOM for rule, cond in rules))
 
 sql("schema_evolve", """
-select barcode, rtrim(rpad(currency_code, 3, ' ')) as currency_code,
-       nullif(rtrim(rpad(coalesce(nutriscore_grade, ''), 1, ' ')), '') as nutriscore_grade,
-       rtrim(rpad(category, 25, ' ')) as category
-from catalog""")
+select barcode, rtrim(currency_code) as currency_code, nullif(rtrim(nutriscore_grade), '') as nutriscore_grade,
+       rtrim(category) as category
+from landed_catalog""")
 
 sql("latest_version", """
 with w as (select barcode, cast(seq as bigint) as version, session_id as writer, price from cart_lines),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators import carts, sessions as sess
-from basketry.sources.tables import Views
+from basketry.sources.tables import Views, damaged_audit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -145,7 +145,7 @@ def q_session_replay(spark, sf_dir):
 
 @query("transition_chain_audit")
 def q_transition_chain_audit(spark, sf_dir):
-    return sess.transition_chain_audit(spark, sess.transition_audit(_v(spark, sf_dir).session_log))
+    return sess.transition_chain_audit(spark, damaged_audit(sess.transition_audit(_v(spark, sf_dir).session_log)))
 
 
 @query("state_dwell_time")
@@ -536,7 +536,7 @@ def q_domain_violations(spark, sf_dir):
 
 @query("schema_evolve")
 def q_schema_evolve(spark, sf_dir):
-    return qual.schema_evolve(_v(spark, sf_dir).catalog)
+    return qual.schema_evolve(_v(spark, sf_dir).landed_catalog)
 
 
 @query("latest_version")

@@ -139,6 +139,11 @@ select o_orderkey * 8 + i as request_id,
          when (o_orderkey + i) % 3 = 0 then '-1' else '-0' end as correlation_id,
        case when (o_orderstatus = 'F') = ((o_orderkey + i) % 5 = 0) then 'entry' else 'exit' end as gate
 from (select *, unnest(range(0, o_orderkey % 6 + 1)) as i from orders) o""",
+    "landed_catalog": """
+select lpad(cast(p_partkey as varchar), 13, '0') as barcode, rpad('EUR', 3, ' ') as currency_code,
+       rpad(case when p_partkey % 7 = 0 then '' else substring('abcde', cast(p_partkey % 5 + 1 as int), 1) end, 1, ' ') as nutriscore_grade,
+       rpad(p_type, 25, ' ') as category
+from part""",
     "signups": """
 select event_id as request_id, ts as requested_at,
        case when event_id % 6 = 0 then 'customer.' || lpad(cast(user_id as varchar), 9, '0') || '@example.org'

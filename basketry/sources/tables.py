@@ -308,6 +308,20 @@ def gate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((F.col("o_orderstatus") == "F") == ((k + i) % 5 == 0), "entry").otherwise("exit").alias("gate"))
 
 
+def landed_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog columns as a store of fixed-width text lands them."""
+    return catalog(spark, sf_dir).select(
+        "barcode", F.rpad("currency_code", 3, " ").alias("currency_code"),
+        F.rpad(F.coalesce("nutriscore_grade", F.lit("")), 1, " ").alias("nutriscore_grade"),
+        F.rpad("category", 25, " ").alias("category"))
+
+
+def damaged_audit(audit: DataFrame) -> DataFrame:
+    """An audit log with lost rows and rows whose target was altered."""
+    eid = F.col("event_id")
+    return audit.where(eid % 9 != 0).withColumn("to_state", F.when(eid % 10 == 1, "CREATED").otherwise(F.col("to_state")))
+
+
 def signups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registration requests from the ``signup`` events: some reuse an existing
     customer's e-mail or user name, some repeat within the batch, some break
@@ -334,6 +348,7 @@ ADAPTERS = {
     "tokens": tokens, "qr_tokens": qr_tokens, "users": users, "access_log": access_log,
     "raw_products": raw_products, "barcode_requests": barcode_requests,
     "access_requests": access_requests, "owner_requests": owner_requests,
+    "landed_catalog": landed_catalog,
     "search_requests": search_requests, "gate_sessions": gate_sessions, "gate_tokens": gate_tokens,
     "gate_requests": gate_requests,
     "signups": signups,
