@@ -8,12 +8,12 @@ event_time, family_id, token, kind PRESENT/LOGOUT).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import (b64url, b64url_to_text, epoch_micros, hmac_b64, parse_price,
                                         qr_verify, sha256_hex)
-from basketry.operators.scan import key_id, key_time, order_key, prefix_scan, prev_value
+from basketry.operators.scan import key_id, key_time, materialize, order_key, prefix_scan, prev_value
 from basketry.operators.sessions import DEFAULT_QR_SECRET, uuid_from
 from basketry.schemas import REFRESH_TOKEN_TTL
 
@@ -34,8 +34,9 @@ def stored_tokens(tokens: DataFrame) -> DataFrame:
     return tokens.withColumn("token_hash", sha256_hex("token"))
 
 
-def refresh_history(log: DataFrame, tokens: DataFrame, as_run: bool = False) -> DataFrame:
-    """T9 core: the outcome of every presentation and logout, in one pass.
+def token_states(log: DataFrame, tokens: DataFrame, as_run: bool = False) -> DataFrame:
+    """T9 core: one row per stored token, with the order keys that decide its
+    history and its family's.
 
     Closed form (all steps are monotone, so no sequential fold is needed):
     a known token's first presentation rotates it when the token was not
@@ -47,48 +48,43 @@ def refresh_history(log: DataFrame, tokens: DataFrame, as_run: bool = False) ->
     ``as_run=True`` keeps the effect of the rollback in the service: a reuse
     revokes nothing, only logouts compromise the family.
 
-    Per-token and per-family steps are grouped ``min`` aggregates (partial
-    aggregation map-side) joined back — a hot family or token never lands
-    whole in one window partition."""
-    st = stored_tokens(tokens).select("token_hash", F.col("family_id").alias("t_family"),
-                                      "user_id", "expires_at", F.col("revoked").alias("init_revoked"))
-    ev = log.withColumn("token_hash", sha256_hex("token")).join(st, "token_hash", "left")
-    known = F.col("t_family").isNotNull()
-    pres = ev.where((F.col("kind") == "PRESENT") & known)
+    One scan of the log: the first two events of each (token, kind) are a
+    ranked limit, which Spark applies before the exchange as well, so a hot
+    token sends two rows per map task. The rest works on one row per token."""
+    k = _k()
+    rank = F.row_number().over(Window.partitionBy("token", "kind").orderBy("_key"))
+    firsts = log.select("token", "kind", k.alias("_key")).withColumn("_rn", rank).where(F.col("_rn") <= 2)
+    at = lambda kind, n: F.min(F.when((F.col("kind") == kind) & (F.col("_rn") == n), F.col("_key")))
+    keys = (firsts.groupBy("token").agg(at("PRESENT", 1).alias("k1"), at("PRESENT", 2).alias("k2"), at("LOGOUT", 1).alias("c_logout"))
+            .withColumn("token_hash", sha256_hex("token")).drop("token"))
+    t = materialize(stored_tokens(tokens).join(keys, "token_hash", "left"))
+    first_ok = (~F.col("revoked")) & (key_time(F.col("k1")) <= F.col("expires_at"))
+    t = t.withColumn("first_ok", F.coalesce(first_ok, F.lit(False)))
+    reuse = F.when(F.col("revoked"), F.col("k1")).when(F.col("first_ok"), F.col("k2"))
+    fam = t.groupBy("family_id").agg(F.min("c_logout").alias("f_logout"), F.min(reuse).alias("f_reuse"))
+    comp = F.col("f_logout") if as_run else F.least("f_logout", "f_reuse")
+    fam = fam.select("family_id", comp.alias("compromised_at"),
+                     F.when(comp == F.col("f_logout"), "LOGOUT").when(comp.isNotNull(), "REUSE_DETECTED").alias("cause"))
+    t = t.join(fam, "family_id", "left")
+    rotated = F.col("first_ok") & (F.col("compromised_at").isNull() | (F.col("k1") < F.col("compromised_at")))
+    return t.withColumn("rotated", F.coalesce(rotated, F.lit(False)))
+
+
+def refresh_history(log: DataFrame, tokens: DataFrame, as_run: bool = False) -> DataFrame:
+    """The outcome of every presentation and logout: the log joined once with
+    ``token_states``."""
+    st = token_states(log, tokens, as_run).select(
+        "token_hash", "family_id", "user_id", "expires_at", F.col("revoked").alias("_revoked"), "k1", "compromised_at", "rotated")
+    j = log.select("event_id", "event_time", "kind", "token", sha256_hex("token").alias("token_hash")).join(st, "token_hash", "left")
     k = _k()
-    first = pres.groupBy("token_hash").agg(F.min(k).alias("k1"))
-    second = (pres.join(first, "token_hash").where(k > F.col("k1"))
-                  .groupBy("token_hash").agg(F.min(k).alias("k2")))
-    per_tok = first.join(second, "token_hash", "left")
-    pt = pres.join(per_tok, "token_hash")
-    first_ok = (~F.col("init_revoked")) & (key_time(F.col("k1")) <= F.col("expires_at"))
-    cand = [F.min(F.when((F.col("kind") == "LOGOUT") & known, k)).alias("c_logout")]
-    fam_logout = ev.groupBy(F.col("t_family").alias("family")).agg(*cand)
-    fam_reuse = (pt.where(k == F.col("k1"))
-                   .select(F.col("t_family").alias("family"),
-                           F.when(F.col("init_revoked"), F.col("k1"))
-                            .when(first_ok, F.col("k2")).alias("c"))
-                   .groupBy("family").agg(F.min("c").alias("c_reuse")))
-    fam = fam_logout.join(fam_reuse, "family", "full").where(F.col("family").isNotNull())
-    comp = F.col("c_logout") if as_run else F.least(F.col("c_logout"), F.col("c_reuse"))
-    fam = fam.select("family", comp.alias("compromised_at"),
-                     F.when(comp == F.col("c_logout"), "LOGOUT").when(comp.isNotNull(), "REUSE_DETECTED")
-                      .alias("cause"), "c_reuse")
-    j = (ev.join(per_tok, "token_hash", "left")
-           .join(fam, F.col("t_family") == F.col("family"), "left"))
-    rotated_first = first_ok & ((F.col("compromised_at").isNull()) | (F.col("k1") < F.col("compromised_at")))
-    after_c = F.coalesce(k > F.col("compromised_at"), F.lit(False))
-    expired = F.col("expires_at") < F.col("event_time")
-    outcome = (F.when(~known, "invalid")
+    outcome = (F.when(F.col("family_id").isNull(), "invalid")
                .when(F.col("kind") == "LOGOUT", "logged_out")
-               .when(F.col("init_revoked"), "reuse")
-               .when(after_c, "reuse")
-               .when((k != F.col("k1")) & rotated_first, "reuse")
-               .when(expired, "expired")
+               .when(F.col("_revoked"), "reuse")
+               .when(F.coalesce(k > F.col("compromised_at"), F.lit(False)), "reuse")
+               .when((k != F.col("k1")) & F.col("rotated"), "reuse")
+               .when(F.col("expires_at") < F.col("event_time"), "expired")
                .otherwise("rotate"))
-    return j.select("event_id", "event_time", "kind", "token", "token_hash",
-                    F.col("t_family").alias("family_id"), "user_id", outcome.alias("outcome"),
-                    "compromised_at", "cause", rotated_first.alias("_rotated_first"), "k1")
+    return j.select("event_id", "event_time", "kind", "token", "family_id", "user_id", outcome.alias("outcome"))
 
 
 def refresh_outcomes(log: DataFrame, tokens: DataFrame, as_run: bool = False) -> DataFrame:
@@ -99,18 +95,19 @@ def refresh_outcomes(log: DataFrame, tokens: DataFrame, as_run: bool = False) ->
 
 
 def reuse_detection(log: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Families compromised by reuse, and from when."""
-    h = refresh_history(log, tokens)
-    fams = (h.where(F.col("cause") == "REUSE_DETECTED")
-             .select("family_id", key_time(F.col("compromised_at")).alias("compromised_at"),
-                     key_id(F.col("compromised_at")).alias("reuse_event_id")).distinct())
-    return fams
+    """Families compromised by reuse, and from when (from the tokens' states, not the log)."""
+    return (token_states(log, tokens).where(F.col("cause") == "REUSE_DETECTED")
+            .groupBy("family_id").agg(F.min("compromised_at").alias("_at"))
+            .select("family_id", key_time(F.col("_at")).alias("compromised_at"), key_id(F.col("_at")).alias("reuse_event_id")))
 
 
 def logout_revocation(log: DataFrame, tokens: DataFrame) -> DataFrame:
-    """A logout revokes the whole family (reason LOGOUT); unknown token -> invalid."""
-    h = refresh_history(log, tokens)
-    return h.where(F.col("kind") == "LOGOUT").select(
+    """A logout revokes the whole family (reason LOGOUT); unknown token ->
+    invalid. Needs the token's family only, so the logouts meet the stored
+    tokens directly."""
+    st = stored_tokens(tokens).select("token_hash", "family_id")
+    out = log.where(F.col("kind") == "LOGOUT").withColumn("token_hash", sha256_hex("token"))
+    return out.drop("family_id").join(st, "token_hash", "left").select(
         "event_id", "event_time", "token", "family_id",
         F.when(F.col("family_id").isNull(), "invalid").otherwise("ok").alias("outcome"))
 
@@ -118,16 +115,11 @@ def logout_revocation(log: DataFrame, tokens: DataFrame) -> DataFrame:
 def family_revoke(log: DataFrame, tokens: DataFrame) -> DataFrame:
     """Final state of each stored token: rows of revoked families that were
     not yet revoked take the family's reason; earlier reasons stay."""
-    h = refresh_history(log, tokens)
-    fam = h.where(F.col("family_id").isNotNull()).select("family_id", "compromised_at", "cause").distinct()
-    rot = (h.where((F.col("kind") == "PRESENT") & F.col("_rotated_first") & (F.col("outcome") == "rotate"))
-             .select("token_hash", F.lit(True).alias("rotated")))
-    t = stored_tokens(tokens).join(rot, "token_hash", "left").join(fam, "family_id", "left")
     reason = (F.when(F.col("revoked"), F.col("revocation_reason"))
               .when(F.col("rotated"), F.lit("ROTATED"))
               .otherwise(F.col("cause")))
-    return t.select("token", "family_id", "user_id", reason.isNotNull().alias("revoked"),
-                    reason.alias("revocation_reason"))
+    return token_states(log, tokens).select("token", "family_id", "user_id", reason.isNotNull().alias("revoked"),
+                                            reason.alias("revocation_reason"))
 
 
 def revoked_per_family(log: DataFrame, tokens: DataFrame) -> DataFrame:
