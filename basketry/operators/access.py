@@ -28,28 +28,69 @@ def _rules() -> list[tuple[str, Column, str]]:
     ]
 
 
+def _request_rules() -> dict[str, list[tuple[str, Column, str]]]:
+    """The field rules of each kind of request, in annotation order."""
+    blank = lambda c: (c, is_blank(F.col(c)), "must not be blank")
+    e = F.col("email")
+    return {
+        "register": _rules(),
+        "login": [blank("email"), ("email", ~is_blank(e) & ~email_ok(e), "must be a well-formed email address"), blank("password")],
+        "refresh": [blank("refresh_token")], "logout": [blank("refresh_token")],
+        "add_item": [blank("barcode")], "gate": [blank("correlation_id")],
+    }
+
+
+def _errors(rules: list[tuple[str, Column, str]]) -> Column:
+    """Field errors in rule order, "field: message", comma separated ('' if none)."""
+    return F.concat_ws(", ", *[F.when(F.coalesce(bad, F.lit(False)), F.lit(f"{f}: {m}")) for f, bad, m in rules])
+
+
+def _field_map(rules: list[tuple[str, Column, str]], last_wins: bool = False) -> Column:
+    """Field -> message as a JSON object. Of several messages of a field the
+    first stays (the auth service's merge rule) or the last (the cart's)."""
+    fields: dict[str, list[Column]] = {}
+    for f, bad, m in rules:
+        fields.setdefault(f, []).append(F.when(F.coalesce(bad, F.lit(False)), F.lit(f'"{f}":"{m}"')))
+    entries = [F.coalesce(*(hits[::-1] if last_wins else hits)) for hits in fields.values()]
+    return F.concat(F.lit("{"), F.concat_ws(",", *entries), F.lit("}"))
+
+
 def validate_requests(req: DataFrame) -> DataFrame:
-    """Field errors per request, in rule order ("field: message", comma
-    separated) and a valid flag — one projection, no shuffle."""
-    errs = [F.when(F.coalesce(bad, F.lit(False)), F.lit(f"{f}: {m}")) for f, bad, m in _rules()]
-    joined = F.concat_ws(", ", *errs)
+    """P13 for sign-ups: field errors per request and a valid flag — one
+    projection, no shuffle."""
+    joined = _errors(_rules())
     return req.select("request_id", "email", "username", (joined == "").alias("valid"),
                       F.when(joined != "", joined).alias("errors"))
 
 
+def validate_all_requests(req: DataFrame) -> DataFrame:
+    """P13 and A5 for all kinds of request (``kind``: register, login, refresh,
+    logout, add_item, gate): field errors, valid flag and the error map of the
+    service that answers (the cart's map keeps a field's last message). One
+    projection, no shuffle."""
+    errs = maps = None
+    for kind, rules in _request_rules().items():
+        if not {f for f, _, _ in rules} <= set(req.columns):
+            continue   # the table holds no requests of this kind
+        here = F.col("kind") == kind
+        err, fmap = _errors(rules), _field_map(rules, last_wins=kind == "add_item")
+        errs = F.when(here, err) if errs is None else errs.when(here, err)
+        maps = F.when(here, fmap) if maps is None else maps.when(here, fmap)
+    out = req.select("request_id", "kind", errs.alias("_e"), maps.alias("_m"))
+    return out.select("request_id", "kind", (F.col("_e") == "").alias("valid"), F.when(F.col("_e") != "", F.col("_e")).alias("errors"),
+                      F.when(F.col("_e") != "", F.col("_m")).alias("field_errors"))
+
+
 def error_map(req: DataFrame) -> DataFrame:
-    """A5: field -> message as a JSON object, first message per field wins
-    (the auth service's merge rule)."""
-    entries = []
-    seen: dict[str, Column] = {}
-    for f, bad, m in _rules():
-        hit = F.coalesce(bad, F.lit(False))
-        earlier = seen.get(f, F.lit(False))
-        entries.append(F.when(hit & ~earlier, F.lit(f'"{f}":"{m}"')))
-        seen[f] = earlier | hit
-    body = F.concat_ws(",", *entries)
-    return req.select("request_id", F.concat(F.lit("{"), body, F.lit("}")).alias("field_errors")).where(
-        F.col("field_errors") != "{}")
+    """A5 for sign-ups: field -> message, first message per field wins."""
+    return req.select("request_id", _field_map(_rules()).alias("field_errors")).where(F.col("field_errors") != "{}")
+
+
+def lookup_by_key(requests: DataFrame, request_key: str, table: DataFrame, key: str, name: str) -> DataFrame:
+    """P8 for any unique key: (lookup, request_key, found) per request."""
+    t = table.select(F.col(key).cast("string").alias("request_key"), F.lit(True).alias("_hit"))
+    return (requests.select(F.col(request_key).cast("string").alias("request_key")).join(t, "request_key", "left")
+            .select(F.lit(name).alias("lookup"), "request_key", F.coalesce("_hit", F.lit(False)).alias("found")))
 
 
 def registration_outcomes(spark: SparkSession, req: DataFrame, users: DataFrame) -> DataFrame:
@@ -231,7 +272,7 @@ def outcome_counts(spark: SparkSession, parts: dict[str, DataFrame]) -> DataFram
     c = u.groupBy("source", "exception").agg(F.count(F.lit(1)).alias("n"))
     codes = error_codes_df(spark)
     svc = {"signups": "auth", "refresh": "auth", "logout": "auth", "cart_access": "cart", "scans": "cart", "removes": "cart",
-           "gates": "session", "replay": "session", "owners": "session"}
+           "gates": "session", "replay": "session", "owners": "session", "fields": "auth", "cart_fields": "cart", "logins": "auth"}
     c = c.withColumn("service", F.element_at(F.create_map(*[x for k, v in svc.items()
                                                             for x in (F.lit(k), F.lit(v))]), F.col("source")))
     return (c.join(codes, ["service", "exception"])
@@ -271,8 +312,14 @@ def outcome_sources(spark: SparkSession, v) -> dict[str, DataFrame]:
         F.when(F.col("outcome") != "ok", "ProductNotFoundException").alias("exception"))
     removes = carts.cart_running_quantity(v.cart_events).select(
         F.when(F.col("rejected"), "CartItemNotFoundException").alias("exception"))
+    fields = v.field_requests
+    checked = validate_all_requests(fields).where("not valid")
+    auth_bad = checked.where(F.col("kind").isin("login", "refresh", "logout")).select(F.lit("MethodArgumentNotValidException").alias("exception"))
+    cart_bad = checked.where(F.col("kind") == "add_item").select(F.lit("MethodArgumentNotValidException").alias("exception"))
+    logins = fields.where((F.col("kind") == "login") & ~is_blank(F.col("password")) & email_ok("email")).join(
+        v.users.select("email"), "email", "left_anti").select(F.lit("BadCredentialsException").alias("exception"))
     owners = sess.verify_owner(v.owner_requests, v.sessions).select(
         F.when(~F.col("visible"), "SessionNotFoundException").alias("exception"))
     return {"signups": reg, "refresh": ref, "logout": out, "cart_access": cart, "scans": scans, "removes": removes,
-            "gates": gates, "replay": rep, "owners": owners}
+            "gates": gates, "replay": rep, "owners": owners, "fields": auth_bad, "cart_fields": cart_bad, "logins": logins}
 

@@ -85,6 +85,14 @@ def cart_lines_by_session(access: DataFrame, lines: DataFrame) -> DataFrame:
         "event_id", "session_id", "barcode", "quantity", "price", "seq")
 
 
+def cart_line_by_session_product(requests: DataFrame, lines: DataFrame) -> DataFrame:
+    """P9 by (session, product): the stored lines of each requested pair, or a
+    row without a quantity when there is none."""
+    stored = lines.select("session_id", "barcode", "seq", "quantity", "price")
+    return requests.join(stored, ["session_id", "barcode"], "left").select(
+        "session_id", "barcode", "seq", "quantity", "price", F.col("quantity").isNotNull().alias("found"))
+
+
 # --- J1: scans enriched from the catalog ------------------------------------------
 
 def enrich_scans(requests: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -161,10 +161,11 @@ def issue_refresh_tokens(access: DataFrame, log: DataFrame, tokens: DataFrame) -
 
 
 def token_with_session(qr: DataFrame, sessions: DataFrame, tokens: DataFrame | None = None,
-                       users: DataFrame | None = None) -> DataFrame:
+                       users: DataFrame | None = None, audit: DataFrame | None = None) -> DataFrame:
     """Many-to-one hops as inner equi joins: QR token -> its session
-    (status), and refresh token -> its user (e-mail), in one schema
-    (hop, child_key, parent_key, parent_label)."""
+    (status), refresh token -> its user (e-mail), and transition (``audit``:
+    request_id, session_id) -> its session, in one schema (hop, child_key,
+    parent_key, parent_label)."""
     s = sessions.select("session_id", F.col("status").alias("parent_label"))
     out = (qr.select("correlation_id", "session_id").join(s, "session_id", "inner")
              .select(F.lit("qr_token").alias("hop"), F.col("correlation_id").alias("child_key"),
@@ -175,6 +176,10 @@ def token_with_session(qr: DataFrame, sessions: DataFrame, tokens: DataFrame | N
                     .select(F.lit("refresh_token").alias("hop"), F.col("token").alias("child_key"),
                             F.col("user_id").cast("string").alias("parent_key"), "parent_label"))
         out = out.unionByName(rt)
+    if audit is not None:
+        out = out.unionByName(audit.select("request_id", "session_id").join(s, "session_id", "inner").select(
+            F.lit("transition").alias("hop"), F.col("request_id").cast("string").alias("child_key"),
+            F.col("session_id").cast("string").alias("parent_key"), "parent_label"))
     return out
 
 

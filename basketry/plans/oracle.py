@@ -60,6 +60,11 @@ with req as (
 select r.event_id, r.session_id, l.barcode, l.quantity, l.price, l.seq
 from req r join cart_lines l on l.session_id = r.session_id""")
 
+sql("cart_line_by_session_product", """
+with asked as (select distinct session_id, case when session_id % 3 = 0 then '0000000000000' else barcode end as barcode from cart_lines)
+select a.session_id, a.barcode, c.seq, c.quantity, c.price, c.quantity is not null as found
+from asked a left join cart_lines c on c.session_id = a.session_id and c.barcode = a.barcode""")
+
 sql("enrich_scans", """
 select r.request_id, r.barcode, c.name, c.price,
        case when c.name is null then 'product_not_found' else 'ok' end as outcome
@@ -522,13 +527,17 @@ select event_id, sha256({uuid_sql("'refresh:' || cast(event_id as varchar)")}) a
        event_time as created_at, event_time + interval '7' day as expires_at, false as revoked
 from both_""")
 
-sql("token_with_session", """
+sql("token_with_session", f"""
+with {_GATES}
 select 'qr_token' as hop, q.correlation_id as child_key, cast(q.session_id as varchar) as parent_key,
        s.status as parent_label
 from qr_tokens q join sessions s on s.session_id = q.session_id
 union all
 select 'refresh_token', t.token, cast(t.user_id as varchar), u.email
-from tokens t join users u on u.id = t.user_id""")
+from tokens t join users u on u.id = t.user_id
+union all
+select 'transition', cast(g.request_id as varchar), cast(g.session_id as varchar), s.status
+from gates g join sessions s on s.session_id = g.session_id where g.gate = 'entry' and g.result = 'ok'""")
 
 sql("tokens_by_family", """
 select * from tokens t
@@ -590,6 +599,50 @@ sql("error_map", f"""
 select * from (select request_id, '{{' || concat_ws(',', {', '.join(_entries)}) || '}}' as field_errors from signups) x
 where field_errors <> '{{}}'""")
 
+_EMAIL_RULES = [("email", _blank("email"), "must not be blank"),
+                ("email", f"not {_blank('email')} and not {_EMAIL_OK}", "must be a well-formed email address")]
+_KINDS = {"login": [*_EMAIL_RULES, ("password", _blank("password"), "must not be blank")],
+          "refresh": [("refresh_token", _blank("refresh_token"), "must not be blank")],
+          "logout": [("refresh_token", _blank("refresh_token"), "must not be blank")],
+          "add_item": [("barcode", _blank("barcode"), "must not be blank")],
+          "gate": [("correlation_id", _blank("correlation_id"), "must not be blank")]}
+
+
+# No two rules of one field can fail together here, so first and last message are the same.
+def _said(form: str, sep: str) -> str:
+    return "case kind " + " ".join(
+        f"when '{k}' then concat_ws('{sep}', " + ", ".join(f"case when coalesce({c}, false) then '{form.format(f, m)}' end" for f, c, m in rules) + ")"
+        for k, rules in _KINDS.items()) + " end"
+
+
+_ASKED = f"""asked as (
+  select *, {_said("{}: {}", ", ")} as e, {_said('"{}":"{}"', ",")} as m from field_requests)"""
+sql("validate_all_requests", f"""
+with {_ASKED}
+select request_id, kind, e = '' as valid, nullif(e, '') as errors, case when e <> '' then '{{' || m || '}}' end as field_errors from asked""")
+
+sql("lookups_by_key", """
+select 'token_hash' as lookup, sha256(l.token) as request_key, exists (select 1 from tokens t where t.token = l.token) as found from token_log l
+union all
+select 'correlation_id', r.correlation_id, exists (select 1 from gate_tokens t where t.correlation_id = r.correlation_id) from gate_requests r
+union all
+select 'user_id', cast(a.header_user_id as varchar), exists (select 1 from users u where u.id = a.header_user_id) from access_log a
+union all
+select 'role_name', u.role, u.role in ('ROLE_CUSTOMER', 'ROLE_WORKER', 'ROLE_ADMIN') from users u""")
+
+_U = "'session:' || {}"
+sql("session_access_check_uuid", f"""
+with s as (select {uuid_sql(_U.format("cast(session_id as varchar)"))} as sid, user_id, status from sessions),
+r as (
+  select event_id, user_text, {_PLONG.format(c='user_text')} as uid,
+         case when session_text = 'x' then session_text when event_id % 2 = 0 then upper({uuid_sql(_U.format("session_text"))})
+              else {uuid_sql(_U.format("session_text"))} end as session_text
+  from access_requests),
+j as (select r.*, s.user_id as owner, s.status from r left join s on s.sid = lower(r.session_text)),
+o as (select *, case when session_text = 'x' or uid is null then 'INVALID_ARGUMENT' when owner is null then 'NOT_FOUND'
+                     when owner <> uid then 'PERMISSION_DENIED' else 'OK' end as outcome from j)
+select event_id, session_text, user_text, outcome, coalesce(outcome = 'OK' and status = 'ACTIVE', false) as valid from o""")
+
 _Q = "split_part(a, ';', {})"
 _REG = f"""
 rq as (
@@ -696,7 +749,7 @@ _FOLD_T = _re.sub(r"\bstored\b", "tstored", _re.sub(r"\bper\b", "tper", _FOLD))
 _W1_C = _re.sub(r"\bev\b", "cev", _W1)
 _REPLAY_S = _re.sub(r"\bper\b", "sper", _REPLAY)
 sql("outcome_counts", f"""
-with {_FOLD_T}, {_GATES}, {_REPLAY_S}, {_REG}, {_W1_C},
+with {_FOLD_T}, {_GATES}, {_REPLAY_S}, {_REG}, {_W1_C}, {_ASKED},
 cart as (
   select {_PLONG.format(c='session_text')} as sid, {_PLONG.format(c='user_text')} as uid
   from access_requests),
@@ -713,6 +766,11 @@ ex as (
   union all
   select 'auth', 'InvalidTokenException' from hist where kind = 'LOGOUT' and family_id is null
   union all
+  select case kind when 'add_item' then 'cart' else 'auth' end, 'MethodArgumentNotValidException' from asked where e <> '' and kind <> 'gate'
+  union all
+  select 'auth', 'BadCredentialsException' from asked a
+  where e = '' and kind = 'login' and not exists (select 1 from users u where u.email = a.email)
+  union all
   select 'cart', 'ProductNotFoundException' from barcode_requests r where not exists (select 1 from catalog c where c.barcode = r.barcode)
   union all
   select 'cart', 'CartItemNotFoundException' from w1 where rejected

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators import carts, sessions as sess
+from basketry.functions.columns import sha256_hex
 from basketry.sources.tables import Views, damaged_audit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +62,14 @@ def q_cart_lines_by_session(spark, sf_dir):
     return carts.cart_lines_by_session(v.access_log, v.cart_lines)
 
 
+@query("cart_line_by_session_product")
+def q_cart_line_by_session_product(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    asked = v.cart_lines.select("session_id", F.when(F.col("session_id") % 3 == 0, F.lit("0000000000000"))
+                                .otherwise(F.col("barcode")).alias("barcode")).distinct()
+    return carts.cart_line_by_session_product(asked, v.cart_lines)
+
+
 @query("enrich_scans")
 def q_enrich_scans(spark, sf_dir):
     v = _v(spark, sf_dir)
@@ -286,7 +295,7 @@ def q_issue_refresh_tokens(spark, sf_dir):
 @query("token_with_session")
 def q_token_with_session(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return tok.token_with_session(v.qr_tokens, v.sessions, v.tokens, v.users)
+    return tok.token_with_session(v.qr_tokens, v.sessions, v.tokens, v.users, sess.gate_entry(gate_history(v)).where("token_used"))
 
 
 @query("tokens_by_family")
@@ -326,6 +335,35 @@ def q_validate_requests(spark, sf_dir):
     return acc.validate_requests(_v(spark, sf_dir).signups)
 
 
+@query("validate_all_requests")
+def q_validate_all_requests(spark, sf_dir):
+    return acc.validate_all_requests(_v(spark, sf_dir).field_requests)
+
+
+@query("lookups_by_key")
+def q_lookups_by_key(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    shown = v.token_log.select(sha256_hex("token").alias("h"))
+    stored = tok.hash_tokens(v.tokens)
+    roles = acc.roles_df(spark)
+    return (acc.lookup_by_key(shown, "h", stored, "token_hash", "token_hash")
+            .unionByName(acc.lookup_by_key(v.gate_requests, "correlation_id", v.gate_tokens, "correlation_id", "correlation_id"))
+            .unionByName(acc.lookup_by_key(v.access_log, "header_user_id", v.users, "id", "user_id"))
+            .unionByName(acc.lookup_by_key(v.users, "role", roles, "role_name", "role_name")))
+
+
+@query("session_access_check_uuid")
+def q_session_access_check_uuid(spark, sf_dir):
+    """J2 with the ids the service has: UUID text, any case."""
+    v = _v(spark, sf_dir)
+    of = lambda c: sess.uuid_from(F.concat(F.lit("session:"), c.cast("string")))
+    sessions = v.sessions.withColumn("session_id", of(F.col("session_id")))
+    text = F.col("session_text")
+    asked = v.access_requests.drop("event_time").withColumn("session_text", F.when(text == "x", text).when(
+        F.col("event_id") % 2 == 0, F.upper(of(text))).otherwise(of(text)))
+    return sess.session_access_check(asked, sessions, id_format="uuid")
+
+
 @query("error_map")
 def q_error_map(spark, sf_dir):
     return acc.error_map(_v(spark, sf_dir).signups)

@@ -139,6 +139,16 @@ select o_orderkey * 8 + i as request_id,
          when (o_orderkey + i) % 3 = 0 then '-1' else '-0' end as correlation_id,
        case when (o_orderstatus = 'F') = ((o_orderkey + i) % 5 = 0) then 'entry' else 'exit' end as gate
 from (select *, unnest(range(0, o_orderkey % 6 + 1)) as i from orders) o""",
+    "field_requests": """
+select event_id as request_id,
+       case event_type when 'view' then 'add_item' when 'click' then 'gate' when 'purchase' then 'login' when 'signup' then 'refresh' else 'logout' end as kind,
+       case when event_id % 8 = 0 then '' when event_id % 8 = 1 then '  ' when event_id % 8 = 2 then null when event_id % 8 = 3 then 'not-an-email' when event_id % 8 = 4 then 'nobody@example.org'
+            else 'customer.' || lpad(cast(user_id as varchar), 9, '0') || '@example.org' end as email,
+       case when event_id % 7 = 0 then '' else 'secret' end as password,
+       case when event_id % 8 = 0 then '' when event_id % 8 = 1 then '  ' when event_id % 8 = 2 then null else 'x' || cast(event_id as varchar) end as refresh_token,
+       case when event_id % 8 = 0 then '' when event_id % 8 = 1 then '  ' when event_id % 8 = 2 then null else 'x' || cast(event_id as varchar) end as barcode,
+       case when event_id % 8 = 0 then '' when event_id % 8 = 1 then '  ' when event_id % 8 = 2 then null else 'x' || cast(event_id as varchar) end as correlation_id
+from events""",
     "landed_catalog": """
 select lpad(cast(p_partkey as varchar), 13, '0') as barcode, rpad('EUR', 3, ' ') as currency_code,
        rpad(case when p_partkey % 7 = 0 then '' else substring('abcde', cast(p_partkey % 5 + 1 as int), 1) end, 1, ' ') as nutriscore_grade,

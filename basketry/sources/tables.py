@@ -308,6 +308,22 @@ def gate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((F.col("o_orderstatus") == "F") == ((k + i) % 5 == 0), "entry").otherwise("exit").alias("gate"))
 
 
+def field_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of five kinds with their fields, some blank, missing or malformed."""
+    e = read_table(spark, sf_dir, "events")
+    eid, et = F.col("event_id"), F.col("event_type")
+    bad = F.when(eid % 8 == 0, F.lit("")).when(eid % 8 == 1, F.lit("  ")).when(eid % 8 == 2, F.lit(None).cast("string"))
+    customer = F.concat(F.lit("customer."), F.lpad(F.col("user_id").cast("string"), 9, "0"), F.lit("@example.org"))
+    kind = (F.when(et == "view", "add_item").when(et == "click", "gate").when(et == "purchase", "login")
+            .when(et == "signup", "refresh").otherwise("logout"))
+    return e.select(eid.alias("request_id"), kind.alias("kind"),
+                    F.when(eid % 8 < 3, bad).when(eid % 8 == 3, F.lit("not-an-email")).when(eid % 8 == 4, F.lit("nobody@example.org"))
+                     .otherwise(customer).alias("email"),
+                    F.when(eid % 7 == 0, F.lit("")).otherwise(F.lit("secret")).alias("password"),
+                    *[F.when(eid % 8 < 3, bad).otherwise(F.concat(F.lit("x"), eid.cast("string"))).alias(c)
+                      for c in ("refresh_token", "barcode", "correlation_id")])
+
+
 def landed_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog columns as a store of fixed-width text lands them."""
     return catalog(spark, sf_dir).select(
@@ -348,7 +364,7 @@ ADAPTERS = {
     "tokens": tokens, "qr_tokens": qr_tokens, "users": users, "access_log": access_log,
     "raw_products": raw_products, "barcode_requests": barcode_requests,
     "access_requests": access_requests, "owner_requests": owner_requests,
-    "landed_catalog": landed_catalog,
+    "landed_catalog": landed_catalog, "field_requests": field_requests,
     "search_requests": search_requests, "gate_sessions": gate_sessions, "gate_tokens": gate_tokens,
     "gate_requests": gate_requests,
     "signups": signups,
