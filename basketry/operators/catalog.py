@@ -243,23 +243,19 @@ def seed_dimensions(spark: SparkSession, catalog: DataFrame) -> DataFrame:
     return cat.unionByName(seed.join(cat.select("barcode"), "barcode", "left_anti"))
 
 
-def price_updates(part: DataFrame) -> DataFrame:
-    """Updates to apply to the catalog: a 10% price rise on every third part
-    and a rename of every fifth (derived from ``part``)."""
-    k = F.col("p_partkey")
-    return (part.where((k % 3 == 0) | (k % 5 == 0))
-                .select(F.lpad(k.cast("string"), 13, "0").alias("barcode"),
-                        F.when(k % 5 == 0, F.upper("p_name")).alias("name"),
-                        F.when(k % 3 == 0, (F.col("p_retailprice") * 1.1).cast(MONEY)).alias("price")))
-
-
-def upsert_by_key(old: DataFrame, new: DataFrame, key: str = "barcode",
-                  cols: tuple[str, ...] = ("name", "price")) -> DataFrame:
+def upsert_by_key(old: DataFrame, new: DataFrame, now: Column, key: str = "barcode",
+                  cols: tuple[str, ...] = ("name", "price"), order: str = "seq") -> DataFrame:
     """Insert-or-update by unique key. Only non-null new values are applied
     (a partial update); the version moves on when something changed; rows
-    whose new values equal the old ones are kept unchanged."""
-    o = old.select(key, *[F.col(c).alias("o_" + c) for c in cols], F.col("version").alias("o_version"))
-    n = new.select(key, *[F.col(c).alias("n_" + c) for c in cols], F.lit(True).alias("_new"))
+    whose new values equal the old ones are kept unchanged. ``created_at`` is
+    set by the insert and kept for ever, ``updated_at`` moves with each change.
+
+    Several new rows of one key are one change: each column takes its last
+    non-null value by ``order`` (a grouped aggregate, combined on the map
+    side), so no row is multiplied by the join."""
+    o = old.select(key, *[F.col(c).alias("o_" + c) for c in cols], F.col("version").alias("o_version"), "created_at", "updated_at")
+    n = (new.groupBy(key).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias("n_" + c) for c in cols])
+         .withColumn("_new", F.lit(True)))
     j = o.join(n, key, "full")
     changed = F.lit(False)
     for c in cols:
@@ -269,7 +265,8 @@ def upsert_by_key(old: DataFrame, new: DataFrame, key: str = "barcode",
     version = (F.when(op == "insert", F.lit(0).cast("bigint"))
                .when(op == "update", F.col("o_version") + 1).otherwise(F.col("o_version")))
     return j.select(key, *[F.coalesce("n_" + c, "o_" + c).alias(c) for c in cols], version.alias("version"),
-                    op.alias("op"))
+                    F.when(op == "insert", now).otherwise(F.col("created_at")).alias("created_at"),
+                    F.when(op == "keep", F.col("updated_at")).otherwise(now).alias("updated_at"), op.alias("op"))
 
 
 def assign_surrogate_ids(spark: SparkSession, new_rows: DataFrame, current_max: DataFrame,

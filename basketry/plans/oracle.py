@@ -919,8 +919,11 @@ sql("upsert_by_key", """
 with n as (
   select lpad(cast(p_partkey as varchar), 13, '0') as barcode,
          case when p_partkey % 5 = 0 then upper(p_name) end as name,
-         case when p_partkey % 3 = 0 then cast(p_retailprice * 1.1 as decimal(19,4)) end as price
-  from part where p_partkey % 3 = 0 or p_partkey % 5 = 0),
+         case when p_partkey % 15 = 0 then cast(p_retailprice * 1.2 as decimal(19,4))
+              when p_partkey % 3 = 0 then cast(p_retailprice * 1.1 as decimal(19,4)) end as price
+  from part where p_partkey % 3 = 0 or p_partkey % 5 = 0
+  union all
+  select '9' || lpad(cast(p_partkey as varchar), 13, '0'), p_name, cast(p_retailprice as decimal(19,4)) from part where p_partkey % 50 = 7),
 j as (
   select coalesce(o.barcode, n.barcode) as barcode, o.name as o_name, o.price as o_price, o.version as o_version,
          n.name as n_name, n.price as n_price, n.barcode is not null as is_new
@@ -932,7 +935,9 @@ k as (
                  else 'keep' end as op
   from j)
 select barcode, coalesce(n_name, o_name) as name, coalesce(n_price, o_price) as price,
-       case op when 'insert' then cast(0 as bigint) when 'update' then o_version + 1 else o_version end as version, op
+       case op when 'insert' then cast(0 as bigint) when 'update' then o_version + 1 else o_version end as version,
+       case op when 'insert' then timestamp '2024-01-01' else timestamp '2023-01-01' end as created_at,
+       case op when 'keep' then timestamp '2023-06-01' else timestamp '2024-01-01' end as updated_at, op
 from k""")
 
 sql("assign_surrogate_ids", f"""
@@ -974,7 +979,10 @@ from catalog group by aisle_number, category""")
 _UQ = [("users.email", "users", "cast(email as varchar)"), ("users.username", "users", "cast(username as varchar)"),
        ("refresh_tokens.token_hash", "tokens", "sha256(token)"), ("products.barcode", "catalog", "barcode"),
        ("cart_items.session_product", "cart_lines", "cast(session_id as varchar) || '|' || barcode"),
-       ("qr_tokens.correlation_id", "qr_tokens", "correlation_id")]
+       ("qr_tokens.correlation_id", "qr_tokens", "correlation_id"),
+       ("categories.name", "(select distinct category from catalog)", "category"),
+       ("users_roles.user_role", "users", "concat_ws('|', cast(id as varchar), role)"),
+       ("gate_tokens.correlation_id", "gate_tokens", "correlation_id")]
 sql("unique_violations", "\nunion all\n".join(
     f"select {e} as key_value, count(*) as n, '{n}' as constraint_name from {t} group by 1 having count(*) > 1"
     for n, t, e in _UQ))
@@ -986,7 +994,9 @@ _FK = [("cart_events.barcode", "(select * from cart_events where kind in ('ADD',
        ("qr_tokens.session_id", "qr_tokens", "session_id", "sessions", "session_id"),
        ("refresh_tokens.user_id", "tokens", "user_id", "users", "id"),
        ("sessions.user_id", "sessions", "user_id", "users", "id"),
-       ("scan_requests.barcode", "barcode_requests", "barcode", "catalog", "barcode")]
+       ("scan_requests.barcode", "barcode_requests", "barcode", "catalog", "barcode"),
+       ("gate_tokens.session_id", "gate_tokens", "session_id", "gate_sessions", "session_id"),
+       ("owner_requests.session_id", "owner_requests", "session_id", "sessions", "session_id")]
 sql("fk_orphans", "\nunion all\n".join(
     f"select '{n}' as fk_name, cast(c.{ck} as varchar) as child_key, count(*) as n_rows from {child} c "
     f"where c.{ck} is not null and not exists (select 1 from {parent} p where p.{pk} = c.{ck}) group by c.{ck}"

@@ -498,7 +498,9 @@ def q_seed_dimensions(spark, sf_dir):
 @query("upsert_by_key")
 def q_upsert_by_key(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return cat.upsert_by_key(v.catalog, cat.price_updates(v.part))
+    at = lambda t: F.expr(f"TIMESTAMP_NTZ'{t} 00:00:00'")
+    stored = v.catalog.withColumns({"created_at": at("2023-01-01"), "updated_at": at("2023-06-01")})
+    return cat.upsert_by_key(stored, v.price_updates, at("2024-01-01"))
 
 
 @query("assign_surrogate_ids")
@@ -540,6 +542,9 @@ def _unique_keys(v):
         "products.barcode": (v.catalog, ["barcode"]),
         "cart_items.session_product": (v.cart_lines, ["session_id", "barcode"]),
         "qr_tokens.correlation_id": (v.qr_tokens, ["correlation_id"]),
+        "categories.name": (v.catalog.select("category").distinct(), ["category"]),
+        "users_roles.user_role": (v.users, ["id", "role"]),
+        "gate_tokens.correlation_id": (v.gate_tokens, ["correlation_id"]),
     }
 
 
@@ -553,6 +558,8 @@ def _fks(v):
         "refresh_tokens.user_id": (v.tokens, "user_id", v.users, "id"),
         "sessions.user_id": (v.sessions, "user_id", v.users, "id"),
         "scan_requests.barcode": (v.barcode_requests, "barcode", v.catalog, "barcode"),
+        "gate_tokens.session_id": (v.gate_tokens, "session_id", v.gate_sessions, "session_id"),
+        "owner_requests.session_id": (v.owner_requests, "session_id", v.sessions, "session_id"),
     }
 
 

@@ -324,6 +324,22 @@ def field_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
                       for c in ("refresh_token", "barcode", "correlation_id")])
 
 
+def price_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates to the catalog: a 10% price rise on every third part, a rename of
+    every fifth, a second rise for some, and new products."""
+    p = read_table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    rows = p.where((k % 3 == 0) | (k % 5 == 0)).select(
+        barcode_of(k).alias("barcode"), F.when(k % 5 == 0, F.upper("p_name")).alias("name"),
+        F.when(k % 3 == 0, (F.col("p_retailprice") * 1.1).cast(MONEY)).alias("price"), F.lit(1).alias("seq"))
+    again = p.where(k % 15 == 0).select(
+        barcode_of(k).alias("barcode"), F.lit(None).cast("string").alias("name"),
+        (F.col("p_retailprice") * 1.2).cast(MONEY).alias("price"), F.lit(2).alias("seq"))
+    fresh = p.where(k % 50 == 7).select(F.concat(F.lit("9"), barcode_of(k)).alias("barcode"), F.col("p_name").alias("name"),
+                                        F.col("p_retailprice").cast(MONEY).alias("price"), F.lit(1).alias("seq"))
+    return rows.unionByName(again).unionByName(fresh)
+
+
 def landed_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog columns as a store of fixed-width text lands them."""
     return catalog(spark, sf_dir).select(
@@ -364,7 +380,7 @@ ADAPTERS = {
     "tokens": tokens, "qr_tokens": qr_tokens, "users": users, "access_log": access_log,
     "raw_products": raw_products, "barcode_requests": barcode_requests,
     "access_requests": access_requests, "owner_requests": owner_requests,
-    "landed_catalog": landed_catalog, "field_requests": field_requests,
+    "landed_catalog": landed_catalog, "price_updates": price_updates, "field_requests": field_requests,
     "search_requests": search_requests, "gate_sessions": gate_sessions, "gate_tokens": gate_tokens,
     "gate_requests": gate_requests,
     "signups": signups,
