@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.functions.columns import blank_to_null, is_blank
-from basketry.schemas import DEFAULTS, MONEY, SEARCH_DEFAULT_LIMIT, SEED_CATEGORIES, SEED_PRODUCTS
+from basketry.schemas import COLUMN_LIMITS, DEFAULTS, MONEY, SEARCH_DEFAULT_LIMIT, SEED_CATEGORIES, SEED_PRODUCTS
 from basketry.session import checkpoint_root
 
 
@@ -171,7 +171,8 @@ _RAW_SCHEMA = T.StructType([
 def product_json_normalize(raw: DataFrame) -> DataFrame:
     """S3: landed product documents -> catalog rows: keep status 1; name default
     'Unknown'; blank text -> null; price 0, stock 0, rfid false; the five
-    nutriments read as numbers with 0 for absent or non-numeric values."""
+    nutriments read as numbers with 0 for absent or non-numeric values. A grade
+    longer than its one-character column is null, and said so."""
     d = raw.select("barcode", F.from_json("body", _RAW_SCHEMA).alias("j"))
     status = F.col("j.status").try_cast("double").cast("int")
     d = d.where(status == 1)
@@ -179,23 +180,24 @@ def product_json_normalize(raw: DataFrame) -> DataFrame:
     cols = [F.when(nut.isNotNull(), F.coalesce(F.element_at(nut, src).try_cast("double"), F.lit(0.0)))
             .alias(dst) for dst, src in NUTRIMENT_KEYS]
     name = F.col("j.product.product_name")
+    grade = blank_to_null(F.col("j.product.nutriscore_grade"))
     return d.select(
         "barcode",
         F.when(is_blank(name), F.lit("Unknown")).otherwise(name).alias("name"),
         blank_to_null(F.col("j.product.brands")).alias("brand"),
         blank_to_null(F.col("j.product.image_url")).alias("image_url"),
-        blank_to_null(F.col("j.product.nutriscore_grade")).alias("nutriscore_grade"),
+        F.when(F.char_length(grade) <= COLUMN_LIMITS["nutriscore_grade"], grade).alias("nutriscore_grade"),
+        F.coalesce(F.char_length(grade) > COLUMN_LIMITS["nutriscore_grade"], F.lit(False)).alias("grade_rejected"),
         F.lit(0).cast(MONEY).alias("price"), F.lit(0).alias("stock_quantity"),
         F.lit(False).alias("rfid_security_required"), *cols)
 
 
 def apply_defaults(rows: DataFrame) -> DataFrame:
-    """Entity defaults for absent fields (currency, aisle, version, stock, rfid)."""
-    out = rows
-    for c in ["currency_code", "aisle_number", "version", "stock_quantity", "rfid_security_required"]:
-        dflt = F.lit(DEFAULTS[c])
-        out = out.withColumn(c, F.coalesce(F.col(c), dflt) if c in rows.columns else dflt)
-    return out.withColumn("version", F.col("version").cast("bigint"))
+    """Entity defaults for absent fields: each column of ``rows`` that has a
+    default (store, aisle, currency, stock, rfid, status, quantity, version)
+    takes it where it is null."""
+    return rows.withColumns({c: F.coalesce(F.col(c), F.lit(d).cast(rows.schema[c].dataType))
+                             for c, d in DEFAULTS.items() if c in rows.columns})
 
 
 def catalog_fallback(requests: DataFrame, catalog: DataFrame, raw: DataFrame) -> DataFrame:
@@ -214,7 +216,9 @@ def catalog_fallback(requests: DataFrame, catalog: DataFrame, raw: DataFrame) ->
 def write_through(requests: DataFrame, catalog: DataFrame, raw: DataFrame) -> DataFrame:
     """Fallback hits that the lookup adds to the catalog (new barcodes only)."""
     hits = catalog_fallback(requests, catalog, raw).where(F.col("source") == "fallback").select("barcode").distinct()
-    rows = apply_defaults(product_json_normalize(raw)).join(hits, "barcode", "left_semi")
+    found = product_json_normalize(raw).withColumns({
+        c: F.lit(None).cast(t) for c, t in (("currency_code", "string"), ("aisle_number", "int"), ("version", "bigint"))})
+    rows = apply_defaults(found).join(hits, "barcode", "left_semi")
     return rows.join(catalog.select("barcode"), "barcode", "left_anti")
 
 

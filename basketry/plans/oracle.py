@@ -873,15 +873,19 @@ _NORM = f"""norm as (
               else json_extract_string(body, '$.product.product_name') end as name,
          {_blank_null("json_extract_string(body, '$.product.brands')")} as brand,
          {_blank_null("json_extract_string(body, '$.product.image_url')")} as image_url,
-         {_blank_null("json_extract_string(body, '$.product.nutriscore_grade')")} as nutriscore_grade,
+         case when length(json_extract_string(body, '$.product.nutriscore_grade')) <= 1
+              then {_blank_null("json_extract_string(body, '$.product.nutriscore_grade')")} end as nutriscore_grade,
+         coalesce(length({_blank_null("json_extract_string(body, '$.product.nutriscore_grade')")}) > 1, false) as grade_rejected,
          cast(0 as decimal(19,4)) as price, 0 as stock_quantity, false as rfid_security_required, {_NUT}
   from raw_products
   where cast(try_cast(json_extract_string(body, '$.status') as double) as int) = 1)"""
 
 sql("product_json_normalize", f"with {_NORM} select * from norm")
-sql("apply_defaults", f"""
-with {_NORM}
-select *, 'EUR' as currency_code, 0 as aisle_number, cast(0 as bigint) as version from norm""")
+sql("apply_defaults", """
+select barcode, coalesce(store_id, 1) as store_id, coalesce(aisle_number, 0) as aisle_number, coalesce(currency_code, 'EUR') as currency_code,
+       coalesce(stock_quantity, 100) as stock_quantity, coalesce(rfid_security_required, false) as rfid_security_required,
+       coalesce(status, 'CREATED') as status, coalesce(quantity, 1) as quantity, coalesce(version, 0) as version
+from partial_rows""")
 
 sql("catalog_fallback", f"""
 with {_NORM}

@@ -481,7 +481,7 @@ def q_product_json_normalize(spark, sf_dir):
 
 @query("apply_defaults")
 def q_apply_defaults(spark, sf_dir):
-    return cat.apply_defaults(cat.product_json_normalize(_v(spark, sf_dir).raw_products))
+    return cat.apply_defaults(_v(spark, sf_dir).partial_rows)
 
 
 @query("catalog_fallback")

@@ -98,6 +98,7 @@ select lpad(cast(p_partkey + 1000000 as varchar), 13, '0') as barcode,
        '{"status":' || case when p_partkey % 9 = 0 then '0' else '1' end || ',"product":{' ||
        case when p_partkey % 4 = 0 then '' else '"product_name":"' || p_name || '",' end ||
        '"brands":"' || case when p_partkey % 6 = 0 then ' ' else p_brand end ||
+       '","nutriscore_grade":"' || case when p_partkey % 8 = 3 then 'unknown' when p_partkey % 8 = 4 then '' else 'b' end ||
        '","nutriments":{"energy-kcal_100g":' ||
        case when p_partkey % 5 = 0 then '"n/a"' else cast(p_size as varchar) end || '}}}' as body
 from part""",
@@ -149,6 +150,13 @@ select event_id as request_id,
        case when event_id % 8 = 0 then '' when event_id % 8 = 1 then '  ' when event_id % 8 = 2 then null else 'x' || cast(event_id as varchar) end as barcode,
        case when event_id % 8 = 0 then '' when event_id % 8 = 1 then '  ' when event_id % 8 = 2 then null else 'x' || cast(event_id as varchar) end as correlation_id
 from events""",
+    "partial_rows": """
+select lpad(cast(p_partkey as varchar), 13, '0') as barcode, case when p_partkey % 2 <> 0 then p_partkey % 9 end as store_id,
+       case when p_partkey % 3 <> 0 then p_size end as aisle_number, case when p_partkey % 4 <> 0 then 'USD' end as currency_code,
+       case when p_partkey % 5 <> 0 then cast(p_partkey % 50 as int) end as stock_quantity,
+       case when p_partkey % 6 <> 0 then true end as rfid_security_required, case when p_partkey % 7 <> 0 then 'ACTIVE' end as status,
+       case when p_partkey % 8 <> 0 then cast(p_partkey % 4 as int) end as quantity, case when p_partkey % 9 <> 0 then p_partkey % 11 end as version
+from part""",
     "landed_catalog": """
 select lpad(cast(p_partkey as varchar), 13, '0') as barcode, rpad('EUR', 3, ' ') as currency_code,
        rpad(case when p_partkey % 7 = 0 then '' else substring('abcde', cast(p_partkey % 5 + 1 as int), 1) end, 1, ' ') as nutriscore_grade,

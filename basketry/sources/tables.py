@@ -234,6 +234,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"product":{'),
         F.when(k % 4 == 0, F.lit("")).otherwise(F.concat(F.lit('"product_name":"'), F.col("p_name"), F.lit('",'))),
         F.lit('"brands":"'), F.when(k % 6 == 0, F.lit(" ")).otherwise(F.col("p_brand")),
+        F.lit('","nutriscore_grade":"'), F.when(k % 8 == 3, F.lit("unknown")).when(k % 8 == 4, F.lit("")).otherwise(F.lit("b")),
         F.lit('","nutriments":{"energy-kcal_100g":'),
         F.when(k % 5 == 0, F.lit('"n/a"')).otherwise(F.col("p_size").cast("string")),
         F.lit("}}}"),
@@ -340,6 +341,17 @@ def price_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(again).unionByName(fresh)
 
 
+def partial_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with every column that has a default, each null in part of them."""
+    k = F.col("p_partkey")
+    gap = lambda n, c: F.when(k % n != 0, c)
+    return read_table(spark, sf_dir, "part").select(
+        barcode_of(k).alias("barcode"), gap(2, k % 9).alias("store_id"), gap(3, F.col("p_size")).alias("aisle_number"),
+        gap(4, F.lit("USD")).alias("currency_code"), gap(5, (k % 50).cast("int")).alias("stock_quantity"),
+        gap(6, F.lit(True)).alias("rfid_security_required"), gap(7, F.lit("ACTIVE")).alias("status"),
+        gap(8, (k % 4).cast("int")).alias("quantity"), gap(9, k % 11).alias("version"))
+
+
 def landed_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog columns as a store of fixed-width text lands them."""
     return catalog(spark, sf_dir).select(
@@ -380,7 +392,7 @@ ADAPTERS = {
     "tokens": tokens, "qr_tokens": qr_tokens, "users": users, "access_log": access_log,
     "raw_products": raw_products, "barcode_requests": barcode_requests,
     "access_requests": access_requests, "owner_requests": owner_requests,
-    "landed_catalog": landed_catalog, "price_updates": price_updates, "field_requests": field_requests,
+    "landed_catalog": landed_catalog, "partial_rows": partial_rows, "price_updates": price_updates, "field_requests": field_requests,
     "search_requests": search_requests, "gate_sessions": gate_sessions, "gate_tokens": gate_tokens,
     "gate_requests": gate_requests,
     "signups": signups,
