@@ -59,6 +59,24 @@ def arrow_pass(df: DataFrame, fn: Callable, schema: str, batch_rows: int = BATCH
     return df.mapInArrow(fn, schema)
 
 
+class Memory:
+    """What a worker has met, bounded: entries in use survive in one of two generations of up to ``most`` each."""
+
+    def __init__(self, most: int):
+        self.most, self.now, self.before = most, {}, {}
+
+    def missing(self, keys: set) -> set:
+        """The keys not met so far; those met are in ``now`` afterwards."""
+        if len(self.now) > self.most:
+            self.before, self.now = self.now, {}
+        new = keys.difference(self.now)
+        if self.before:
+            old = [k for k in new if k in self.before]
+            self.now.update((k, self.before[k]) for k in old)
+            new.difference_update(old)
+        return new
+
+
 def batch_of(columns: dict, types: dict[str, pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[k], type=t) for k, t in types.items()], names=list(types))
 

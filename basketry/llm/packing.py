@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ from basketry.llm.tokens import ALPHABET, CALL_BYTES, KEPT_CHARS, by_bytes, load
 SIMPLE = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([.,;:?]?)")
 #: Marks that compose with the letter before them: there lower case and composition may not commute.
 COMBINING = re.compile("[̀-ͯ]")
-KEPT_WORDS = 400_000
+KEPT_WORDS = 300_000
 SEQUENCE, OPEN_BINS = 2048, 256
 #: Tokens that one packing task gets, at least: some 4,000 sequences.
 TASK_TOKENS = 8_000_000
@@ -52,32 +53,32 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.word = self.tokenizer.model.tokenize
-        self.kept: dict[bytes, bytes] = {}
+        self.kept = common.Memory(KEPT_WORDS)
+        self.marks: dict[bytes, bytes] = {}
 
     def ids(self, codes: list[int]) -> bytes:
         return np.array(codes, dtype="<u4").tobytes()
 
-    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        found, rest, marks = {}, [], {}
+    def learn(self, words: set[bytes]) -> None:
+        """Put the ids of new words into ``kept.now``."""
+        now, rest, simple, marks = self.kept.now, [], SIMPLE.fullmatch, self.marks
         for w in words:
-            m = SIMPLE.fullmatch(w)
+            m = simple(w)
             if m and len(w) <= KEPT_CHARS:
                 letters, mark = m.groups()
-                of = self.kept.get(letters) or found.get(letters)
+                of = now.get(letters)
                 if of is None:
-                    of = self.ids([t.id for t in self.word(letters.decode() if letters.isascii()
-                                                           else letters.decode("latin-1").translate(ALPHABET))])
-                    found[letters] = of
+                    text = letters.decode() if letters.isascii() else letters.decode("latin-1").translate(ALPHABET)
+                    of = now[letters] = array("I", [t.id for t in self.word(text)]).tobytes()
                 if mark:
                     if mark not in marks:
                         marks[mark] = self.ids([t.id for t in self.word(mark.decode())])
-                    found[w] = of + marks[mark]
+                    now[w] = of + marks[mark]
             else:
                 rest.append(w)
         for batch in by_bytes(rest, CALL_BYTES):
             codes = self.tokenizer.encode_batch_fast([w.decode() for w in batch], add_special_tokens=False)
-            found.update(zip(batch, (self.ids(c.ids) for c in codes), strict=True))
-        return found
+            now.update(zip(batch, (self.ids(c.ids) for c in codes), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = []
@@ -85,16 +86,14 @@ class Encoder:
             data = t.encode()
             # lower case first makes more words equal; not where special strings or combining marks could tell
             cut.append((data if "<|" in t or not t.isascii() and COMBINING.search(t) else data.lower()).split())
-        met = set().union(*cut)
-        found = self.learn(met.difference(self.kept))
-        if len(self.kept) + len(found) > KEPT_WORDS:
-            self.kept = {w: self.kept[w] for w in met.difference(found)}
-        self.kept.update(found)
-        get = self.kept.__getitem__
+        new = self.kept.missing(set().union(*cut))
+        self.learn(new)
+        now = self.kept.now
+        get = now.__getitem__
         out = [b"".join(map(get, words)) for words in cut]
-        for w in found:
+        for w in new:
             if len(w) > KEPT_CHARS:
-                del self.kept[w]
+                del now[w]
         return out
 
 
