@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.scan import first_by_order, prefix_scan, prefix_sums, prev_value
+from basketry.schemas import CART_TTL
 
 
 # --- A1 / A3 / A2 / O1 / P6 / P9 over stored lines --------------------------------
@@ -231,13 +232,13 @@ def cart_ttl_view(events: DataFrame, bucket_us: int = 3_600_000_000) -> DataFram
     p = prev_value(puts.select("event_id", "event_time", *keys), keys, "event_time", "event_id", ["event_time"],
                    bucket_us=bucket_us)
     gap = F.col("prev_event_time").isNull() | (F.col("event_time") >= F.col("prev_event_time")
-                                               + F.expr("INTERVAL 24 HOURS"))
+                                               + F.expr(f"INTERVAL {CART_TTL}"))
     n = prefix_scan(p, keys, "event_time", "event_id", F.when(gap, 1).otherwise(0), "window_no", bucket_us)
     g = (n.groupBy(*keys, "window_no")
           .agg(F.min("event_time").alias("first_put"), F.max("event_time").alias("last_put"),
                F.count(F.lit(1)).alias("puts")))
     return g.select("session_id", "epoch", "first_put", "last_put", "puts",
-                    (F.col("last_put") + F.expr("INTERVAL 24 HOURS")).alias("expires_at"))
+                    (F.col("last_put") + F.expr(f"INTERVAL {CART_TTL}")).alias("expires_at"))
 
 
 def delete_by_key(events: DataFrame, lines: DataFrame, bucket_us: int = 3_600_000_000) -> DataFrame:

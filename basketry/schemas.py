@@ -20,7 +20,6 @@ SESSION_STATES = ["CREATED", "ACTIVE", "PAYING", "COMPLETED", "CANCELLED"]
 TERMINAL_STATES = ["COMPLETED", "CANCELLED"]
 QR_STATUSES = ["ACTIVE", "USED", "EXPIRED", "REVOKED"]
 QR_TYPES = ["ENTRY", "EXIT"]
-REVOCATION_REASONS = ["ROTATED", "REUSE_DETECTED", "LOGOUT", "ADMIN"]
 
 # allowed (from_state, to_state) edges of the session state machine
 SESSION_EDGES = [
@@ -85,8 +84,6 @@ DEFAULT_QR_SECRET = "dev-fallback-hmac-signing-key"
 SESSION_TTL = "24 hours"
 QR_TTL = "24 hours"
 CART_TTL = "24 hours"
-PRODUCT_CACHE_TTL = "1 hour"
-ACCESS_TOKEN_TTL_MS = 900_000
 REFRESH_TOKEN_TTL = "7 days"
 SEARCH_DEFAULT_LIMIT = 10
 
@@ -142,9 +139,6 @@ CART_EVENT_SCHEMA = T.StructType([
     T.StructField("completedAt", T.StringType()),
 ])
 
-TOPICS = ["cart.item.added", "cart.item.removed", "help.requested",
-          "session.paid", "session.completed"]
-
 
 def literal_df(spark: SparkSession, rows, schema: str) -> DataFrame:
     """A small literal table (bounded size; safe to broadcast)."""
@@ -164,14 +158,5 @@ def privileges_df(spark: SparkSession) -> DataFrame:
                       "privilege_id long, privilege_name string")
 
 
-def grant_rules_df(spark: SparkSession) -> DataFrame:
-    rows = [(role, p) for role, privs in GRANT_RULES for p in privs]
-    return literal_df(spark, rows, "role_name string, privilege_rule string")
-
-
-def routes_df(spark: SparkSession) -> DataFrame:
-    return literal_df(spark, ROUTES, "route_id string, prefix string")
-
-
 def error_codes_df(spark: SparkSession) -> DataFrame:
     return literal_df(spark, ERROR_CODES, "service string, exception string, code string, http_status int")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -60,7 +61,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
-            if not spark.sparkContext.master.startswith("local["):
+            if not re.match(r"local($|\[)", spark.sparkContext.master):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             d = tempfile.mkdtemp(prefix="basketry-ckpt-")
         spark.sparkContext.setCheckpointDir(d)

@@ -80,7 +80,7 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "O", "ACTIVE").when(F.col("o_orderstatus") == "P", "PAYING")
          .otherwise("COMPLETED").alias("status"),
         F.col("o_orderdate").alias("created_at"),
-        (F.col("o_orderdate") + F.expr("INTERVAL 24 HOURS")).alias("expires_at"),
+        (F.col("o_orderdate") + F.expr(f"INTERVAL {QR_TTL}")).alias("expires_at"),
     )
 
 
@@ -161,7 +161,7 @@ def qr_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 10 == 0).alias("tampered"),
         F.when(pr == "1-URGENT", "USED").when(pr == "5-LOW", "REVOKED").otherwise("ACTIVE").alias("status"),
         F.col("o_orderdate").alias("created_at"),
-        (F.col("o_orderdate") + F.expr("INTERVAL 24 HOURS")).alias("expires_at"),
+        (F.col("o_orderdate") + F.expr(f"INTERVAL {QR_TTL}")).alias("expires_at"),
     )
 
 
