@@ -32,7 +32,7 @@ ODD = re.compile(" (?![!-~¡-ᙿ、-퟿])")
 #: A Latin word, with one mark behind it at most: the only shape that skips the library's regular expression.
 SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:?]?)")
 #: Bytes of one call of the library, parts and longest part that are kept in a worker.
-CALL_BYTES, KEPT_PARTS, KEPT_CHARS = 1 << 18, 500_000, 64
+CALL_BYTES, KEPT_PARTS, KEPT_CHARS = 1 << 18, 400_000, 64
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -79,7 +79,7 @@ class Counter:
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.word = self.tokenizer.model.tokenize
-        self.kept: dict[str, int] = {}
+        self.kept = common.Memory(KEPT_PARTS)
 
     def learn(self, parts: set[str]) -> dict[str, int]:
         """Counts of parts that each follow a space."""
@@ -100,18 +100,14 @@ class Counter:
     def counts(self, texts: list[str]) -> list[int]:
         cut = [pieces_of(t) for t in texts]
         heads = self.tokenizer.encode_batch_fast([c[0] for c in cut], add_special_tokens=False)
-        new = set().union(*(c[1:] for c in cut)) if cut else set()
-        new.difference_update(self.kept)
-        found = self.learn(new)
-        if len(self.kept) + len(found) > KEPT_PARTS:
-            met = set().union(*(c[1:] for c in cut)).difference(found)
-            self.kept = {p: self.kept[p] for p in met}
-        self.kept.update(found)
-        get = self.kept.__getitem__
+        new = self.kept.missing(set().union(*(c[1:] for c in cut)))
+        now = self.kept.now
+        now.update(self.learn(new))
+        get = now.__getitem__
         out = [len(h.ids) + sum(map(get, c[1:])) for h, c in zip(heads, cut, strict=True)]
-        for p in found:
+        for p in new:
             if len(p) > KEPT_CHARS:
-                del self.kept[p]
+                del now[p]
         return out
 
 
