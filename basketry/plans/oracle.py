@@ -1082,7 +1082,7 @@ _TS = "coalesce(json_extract_string(value, '$.timestamp'), json_extract_string(v
       "json_extract_string(value, '$.completedAt'))"
 _CORRUPT = f"""
 cf as (select topic, key, case coalesce(event_id % 50, -1)
-                               when 0 then substring(value, 1, cast(length(value) / 2 as int))
+                               when 0 then substring(value, 1, length(value) // 2)
                                when 1 then regexp_replace(value, '"quantity":[0-9]+', '"quantity":"x"')
                                when 2 then regexp_replace(value, '"timestamp":"[^"]*"', '"timestamp":"nope"') else value end as value
        from feed),

@@ -274,8 +274,8 @@ def _in_order(names: list[str], step, idle_us: int | None):
     order across micro-batches (within the watermark) gives the same result as
     in order. The first of ``names`` is the time, the second breaks ties.
     ``step(fold state or None, rows, idle)`` returns the new fold state (None: nothing
-    to keep) and output rows; ``idle`` is true once ``idle_us`` have passed since the last
-    row without a new one."""
+    to keep) and output rows; ``idle`` is true once the watermark is ``idle_us`` past the
+    last row handed over."""
     def run(key, frames, state):
         held, fold, last = json.loads(state.get[0]) if state.exists else ([], None, None)
         if not state.hasTimedOut:
@@ -287,16 +287,16 @@ def _in_order(names: list[str], step, idle_us: int | None):
         ready = sorted((r for r in held if r[0] <= now), key=lambda r: r[:2])
         held = [r for r in held if r[0] > now]
         last = ready[-1][0] if ready else last
-        idle = bool(idle_us is not None and not held and last is not None and last + idle_us < now)
+        idle = bool(idle_us is not None and last is not None and last + idle_us < now)
         fold, out = step(key, fold, ready, idle)
         if not held and (fold is None or idle):
             if state.exists:
                 state.remove()
         else:
             state.update((json.dumps([held, fold, last]),))
-            wake = min(r[0] for r in held) if held else None if idle_us is None else last + idle_us
-            if wake is not None:
-                state.setTimeoutTimestamp(max(wake // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+            wakes = [r[0] for r in held] + ([last + idle_us] if idle_us is not None and last is not None and not idle else [])
+            if wakes:
+                state.setTimeoutTimestamp(max(min(wakes) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         if out:
             yield pd.DataFrame(out)
     return run
