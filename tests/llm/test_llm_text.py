@@ -274,6 +274,49 @@ def test_licenses(spark):
     assert licenses.license_scan(no_docs(spark)).collect() == []
 
 
+WRAPPED = {
+    "mit": "# Permission is hereby granted, free of charge, to any person obtaining a copy of\n# this software and associated documentation files (the \"Software\")\n",
+    "gpl": " * This program is free software; you can redistribute it and/or\n * modify it under the terms of the GNU General\n * Public License",
+    "bsd": "x = 1\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:\n",
+    "cc-by-nc": "licensed\nunder\r\nCC\nBY\nNC\n4",
+}
+
+
+def plain_blocks(text, length):
+    """Lines, and windows of ``length`` words of the text, as sets of words."""
+    find = lambda s: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(s))
+    w = find(text)
+    return [set(find(line)) for line in text.split("\n")] + [set(w[i:i + length]) for i in range(max(1, len(w) - length + 1))]
+
+
+def test_wrapped_notices(spark):
+    rows = list(WRAPPED.values()) + ["Permission is hereby granted " + "x " * 20 + "\nto any person obtaining a copy of this software"]
+    got = {r.doc_id: r for r in licenses.license_scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert [got[i].labels for i in range(len(rows))] == [*WRAPPED, ""]
+    assert [got[i].score for i in (0, 2)] == [1.0, 1.0] and got[4].score == 0
+
+    rng, known = random.Random(3), [t.split() for t in licenses.TEMPLATES]
+    rows = list(WRAPPED.values())
+    for _ in range(300):
+        text = ["x"] * rng.randint(0, 12)
+        for t in rng.sample(known, rng.randint(1, 2)):
+            text += [rng.choice([w] * 12 + ["x", "", "x y", w + " " + w]) for w in t] + ["the"] * rng.randint(0, 9)
+        rows.append("".join(w + rng.choice("     \n") for w in text))
+    got = {r.doc_id: r for r in licenses.license_scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    some = 0
+    for i, text in enumerate(rows):
+        labels, share = set(filter(None, got[i].base_labels.split(","))), 0.0
+        for p, lab in licenses.TEMPLATES.items():
+            n = len(set(p.split()))
+            both = max(len(b & set(p.split())) for b in plain_blocks(text, len(p.split())))
+            if both >= 0.8 * n:
+                labels.add(lab)
+                share = max(share, both / n)
+        assert (got[i].labels, got[i].score) == (",".join(sorted(labels)), 1.0 if got[i].n_base else share), text
+        some += 0 < share < 1
+    assert some > 30
+
+
 def test_the_license_scan_runs_no_python(spark):
     plan = licenses.license_scan(odd_docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
