@@ -149,6 +149,42 @@ def test_pii(spark):
     assert text == "Mail <EMAIL> or <PHONE>, card <CARD>, ip <IP>."
 
 
+GREEDY = re.compile(r"(?<![0-9A-Za-z])(?:\+|00)?\(?[0-9]{1,19}\)?(?:[ ./()‐-–-]{1,3}[0-9]{1,19}){0,6}(?![0-9A-Za-z])")
+
+
+def plain_runs(text):
+    """(kind, digits' start, digits' end) of every part of a text that is digit groups with separators and has a fitting number of digits."""
+    run, edge = re.compile(r"[0-9]+(?:\)?[ ./()‐-–-]{1,3}[0-9]+)*"), re.compile("[0-9A-Za-z]")
+    for a in range(len(text)):
+        for b in range(a + 7, len(text) + 1):
+            if run.fullmatch(text, a, b) and not edge.match(text[a - 1:a]) and not edge.match(text[b:b + 1]):
+                n = len(re.sub("[^0-9]", "", text[a:b]))
+                yield from ((k, a, b) for k, low, high in ((3, 7, 15), (2, 13, 19)) if low <= n <= high)
+
+
+def test_every_run_of_digit_groups_is_proposed():
+    for text, kind, part in (("card 4111/1111/1111/1111 12/27", 2, "4111/1111/1111/1111"), ("2024 4111.1111.1111.1111", 2, "4111.1111.1111.1111"),
+                             ("tel 555-123-4567 555-987-6543 555-111-2222", 3, "555-987-6543"), ("2024-01-02 555-123-4567", 3, "555-123-4567"),
+                             ("12 (514) 555-8389 7", 3, "(514) 555-8389")):
+        assert (kind, part) in {(k, text[a:b]) for k, a, b in pii.proposals(text)}, text
+    rng = random.Random(4)
+    for _ in range(5000):
+        text = "".join(rng.choice(["123", "4567", "12", "9", "12345678901234567890", "5551234", " ", "-", ") ", " (", "+", "a", ", ", "  -  "]) for _ in range(rng.randint(0, 14)))
+        got = list(pii.numbers(text))
+        assert sorted((k, a + len(s) - len(s.lstrip("+(")), a + len(s.rstrip(")"))) for k, a, b in got for s in [text[a:b]]) == sorted(plain_runs(text)), text
+        for m in GREEDY.finditer(text):
+            n = len(re.sub("[^0-9]", "", m.group()))
+            assert not 7 <= n <= 15 or (3, *m.span()) in got, text
+            assert not 13 <= n <= 19 or (2, *m.span()) in got, text
+
+
+def test_numbers_beside_numbers_are_redacted(spark):
+    detector = pii.train(common.table(spark, SF_CHECK, "documents"))
+    for text, want in (("card 4111/1111/1111/1111 12/27", "card <CARD> 12/27"), ("2024 4111.1111.1111.1111", "2024 <CARD>"),
+                       ("call (555) 123-4567 12.50", "call <PHONE> 12.50")):
+        assert pii.redacted(text, detector.spans(text)[1]) == want
+
+
 def test_base_spans_of_random_texts():
     rng = random.Random(1)
     for _ in range(30_000):
