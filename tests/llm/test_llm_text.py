@@ -275,6 +275,30 @@ def test_pieces_against_all_segmentations():
         assert len({ids for _, ids in got}) == len(got) and all(m.decode(list(ids)) == w for _, ids in got)
 
 
+def test_pieces_of_runs_of_spaces():
+    of = pieces.loaded(public_tokenizers.path("piece_bpe_32k.model"), 2)
+    assert sum("▁" in p[1:] for p in of.pieces) == 14
+
+    def plain(text):
+        """The best score over all pieces of the file, by places; a literal mark is no space."""
+        s, best = ("▁" + text.replace("▁", "\0").replace(" ", "▁")) if text else "", [0.0]
+        for j in range(1, len(s) + 1):
+            raw = [] if s[j - 1] in of.pieces else [best[j - 1] + of.floor * len(s[j - 1].replace("\0", "▁").encode())]
+            best.append(max(raw + [best[i] + of.pieces[s[i:j]][1] for i in range(max(0, j - 48), j) if s[i:j] in of.pieces]))
+        return best[-1]
+
+    rng = random.Random(6)
+    texts = ["x\n    return y", "    ", " a  b   ", "▁ ▁  ▁", "a" + " " * 40 + "b", "  "]
+    texts += ["".join(rng.choice([" ", "  ", "    ", "\n", "return", "x", "é", "▁", "\t"]) for _ in range(rng.randint(0, 12))) for _ in range(300)]
+    for t, units in zip(texts, of.units(texts), strict=True):
+        assert np.isclose(sum(u[1] for u in units), plain(t), rtol=1e-12) and all(u[3] for u in units), t
+        score, ids = of.nbest(t, 1)[0]
+        assert np.isclose(score, plain(t), rtol=1e-12) and of.decode(list(ids)) == t
+
+    small = pieces.Pieces({"▁": (300, -1.0), "▁▁": (301, -1.5), "a▁b": (302, -0.5), "a": (303, -1.0), "b": (304, -1.0), "▁▁a": (305, -1.2)}, list(range(256)), 2)
+    assert small.nbest("a b  a", 2)[0] == (-1.0 - 0.5 - 1.2, (300, 302, 305))
+
+
 def test_pieces_round_trip(spark):
     for docs in (common.table(spark, SF_SMALL, "documents"), odd_docs(spark)):
         enc = pieces.encode(docs, with_ids=True)
