@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -35,6 +36,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def parked(df: DataFrame) -> DataFrame:
+    """The frame, written once as Parquet into the shared checkpoint folder and read again: compressed, and cut from its lineage."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/parked-{uuid.uuid4()}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the workers this package, as ``--py-files`` would, once for each Spark context."""
     name = "basketry-workers.zip"
