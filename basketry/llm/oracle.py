@@ -51,8 +51,52 @@ select d.doc_id, case when gone is null then t else coalesce(array_to_string(lis
 from d left join g on d.doc_id = g.doc_id
 """
 
+OP11 = """
+with v as (
+  select row_number() over () as r, vec_id, embedding::double[] as e from embeddings
+), x as (
+  select r, vec_id, list_transform(e, lambda y: floor(256 * y)) as e from v
+  where vec_id is not null and e is not null and len(list_filter(e, lambda y: y is null or not isfinite(y))) = 0
+), p as (
+  select q.r, q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score, c.r as c
+  from x q join x c on len(q.e) = len(c.e) and q.r <> c.r where q.vec_id % 50 = 0
+)
+select query_id, row_number() over (partition by r order by score desc, vec_id, c)::int as rank, vec_id, score
+from p qualify rank <= 5
+"""
+
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+OP12 = rf"""
+with p as (
+  select row_number() over () as r, lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws
+  from (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}') as t from documents) d,
+       unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) u(piece)
+), g as (
+  select lang, k, array_to_string(ws[i : i + k - 1], ' ') as phrase from p, unnest(range(1, len(ws) + 1)) u(i), (values (1), (2), (3), (4)) v(k)
+  where i + k - 1 <= len(ws)
+), f as (
+  select lang, k, phrase, count(*) as f from g group by all
+), n as (
+  select lang, sum(f)::bigint as n from f where k = 1 group by lang
+), c as (
+  select lang, k, phrase, string_split(phrase, ' ') as ws, f as a from f where k >= 2 and f >= 30
+), cuts as (
+  select c.lang, c.phrase, a, cut, l.f as l, r.f as r, (2000000::hugeint * a) // (l.f::hugeint + r.f) as score
+  from c, unnest(range(1, k)) u(cut), f l, f r
+  where l.lang = c.lang and r.lang = c.lang and l.phrase = array_to_string(ws[1 : cut], ' ') and r.phrase = array_to_string(ws[cut + 1 :], ' ')
+), low as (
+  select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+), around as (
+  select lang, array_to_string(ws[s : s + w - 1], ' ') as phrase, max(a) as longer
+  from c, (values (2), (3)) v(w), unnest(range(1, k - w + 2)) u(s) where w < k group by all
+), kept as (
+  select low.* from low left join around using (lang, phrase) where coalesce(longer, 0)::hugeint * 100 < a::hugeint * 80
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score::bigint as score
+from kept join n using (lang) qualify rank <= 2000
+"""
+
 
 def _values(texts: dict[str, str]) -> str:
     return ", ".join(f"('{t}', '{label}')" for t, label in texts.items())
@@ -86,4 +130,4 @@ from w left join b on w.r = b.r left join s on w.r = s.r
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_embedding_dedup": OP3, "op4_line_dedup": OP4, "op9_exact_dedup": OP9, "op10_licenses": OP10}
+    return {"op11_top_k": OP11, "op12_collocations": OP12, "op3_embedding_dedup": OP3, "op4_line_dedup": OP4, "op9_exact_dedup": OP9, "op10_licenses": OP10}

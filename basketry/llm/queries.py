@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import alignment, embeddings, exact, language, licenses, lines, packing, pieces, pii, simhash, tokens
+from basketry.llm import (alignment, embeddings, exact, language, licenses, lines, packing, phrases, pieces, pii, simhash, tokens,
+                          topk)
 from basketry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,11 +54,19 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"), least=0.8)
 
 
+def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), every=50, k=5, scale=256.0)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=30, most=2000, covered=80)
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_tokenizers(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (op1_simhash, op2_token_counts, op3_embedding_dedup, op4_line_dedup, op5_best_fit_packing, op6_pii,
-                            op7_language_id, op8_pieces, op9_exact_dedup, op10_licenses, op13_alignment)
+                            op7_language_id, op8_pieces, op9_exact_dedup, op10_licenses, op11_top_k, op12_collocations, op13_alignment)
 }
