@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators.scan import first_by_order, prefix_scan, prefix_sums, prev_value
+from basketry.operators import cart_history
+from basketry.operators.asof import holding
+from basketry.operators.scan import HOUR_US, materialize
 from basketry.schemas import CART_TTL
 
 
@@ -107,56 +109,25 @@ def enrich_scans(requests: DataFrame, catalog: DataFrame) -> DataFrame:
                     F.when(F.col("name").isNull(), "product_not_found").otherwise("ok").alias("outcome"))
 
 
-# --- W1 / W2 / W3: the add/remove/clear fold ---------------------------------------
+# --- W1 / W2 / W3: the add/remove/clear fold (see cart_history) ---------------------
 
-def _with_epoch(events: DataFrame, bucket_us: int) -> DataFrame:
-    ev = events.where(F.col("kind").isin("ADD", "REMOVE", "CLEAR"))
-    return prefix_scan(ev, ["session_id"], "event_time", "event_id",
-                       F.when(F.col("kind") == "CLEAR", 1).otherwise(0), "epoch", bucket_us)
-
-
-def cart_running_quantity(events: DataFrame, bucket_us: int = 3_600_000_000) -> DataFrame:
+def cart_running_quantity(events: DataFrame, bucket_us: int = HOUR_US) -> DataFrame:
     """Line quantity after each add/remove; a remove at 0 is rejected and a
-    clear starts a new epoch for the whole session.
-
-    With S = running Σ(±1) per (session, barcode, epoch), the clamped walk is
-    q = S - min(0, min S so far); a remove is rejected when the quantity
-    before it was 0, i.e. S + 1 equals the minimum before the row."""
-    ev = _with_epoch(events, bucket_us).where(F.col("kind") != "CLEAR")
-    step = F.when(F.col("kind") == "ADD", 1).otherwise(-1)
-    s = prefix_scan(ev, ["session_id", "barcode", "epoch"], "event_time", "event_id", step, "s",
-                    bucket_us, with_min=True)
-    q_before = F.col("s") - step - F.col("s_min_before")
-    return s.select(
-        "event_id", "event_time", "session_id", "barcode", "kind", "epoch", "price",
-        (F.col("s") - F.col("s_min")).cast("int").alias("quantity"),
-        ((F.col("kind") == "REMOVE") & (q_before == 0)).alias("rejected"),
-    )
-
-
-def _fold(events: DataFrame, bucket_us: int) -> DataFrame:
-    """W1 rows with the line life (count of 0 -> 1 steps) and that life's price."""
-    w1 = cart_running_quantity(events, bucket_us)
-    starts = (F.col("kind") == "ADD") & (F.col("quantity") == 1)
-    lives = prefix_scan(w1, ["session_id", "barcode", "epoch"], "event_time", "event_id",
-                        F.when(starts, 1).otherwise(0), "life", bucket_us)
-    firsts = first_by_order(lives.where(starts), ["session_id", "barcode", "epoch", "life"],
-                            "event_time", "event_id", ["price"], prefix="line_")
-    return lives.join(firsts, ["session_id", "barcode", "epoch", "life"], "left")
+    clear starts a new epoch for the whole session."""
+    return cart_history.quantities(events, bucket_us)
 
 
-def price_at_addition(events: DataFrame, bucket_us: int = 3_600_000_000) -> DataFrame:
+def price_at_addition(events: DataFrame, bucket_us: int = HOUR_US) -> DataFrame:
     """The price a line keeps is the price of the add that created it; a line
     removed to 0 and added again starts a new life with the new price."""
-    out = _fold(events, bucket_us)
-    return out.select(
+    return cart_history.history(events, bucket_us).select(
         "event_id", "event_time", "session_id", "barcode", "kind", "epoch", "life", "quantity",
         "rejected", F.col("price").alias("event_price"),
         F.when(F.col("quantity") > 0, F.col("line_price")).alias("price_at_addition"),
     )
 
 
-def price_drift(events: DataFrame, bucket_us: int = 3_600_000_000) -> DataFrame:
+def price_drift(events: DataFrame, bucket_us: int = HOUR_US) -> DataFrame:
     """Accepted adds whose event price differs from the price the line keeps."""
     w2 = price_at_addition(events, bucket_us)
     return (w2.where((F.col("kind") == "ADD") & (F.col("event_price") != F.col("price_at_addition")))
@@ -164,48 +135,32 @@ def price_drift(events: DataFrame, bucket_us: int = 3_600_000_000) -> DataFrame:
                       (F.col("event_price") - F.col("price_at_addition")).alias("drift")))
 
 
-def cart_change_feed(events: DataFrame, bucket_us: int = 3_600_000_000) -> DataFrame:
+def change_rows(history: DataFrame) -> DataFrame:
+    """S6 of a history with clears: one row per accepted change (see ``cart_change_feed``)."""
+    clear = F.col("kind") == "CLEAR"
+    return history.where(~F.col("rejected")).select(
+        "event_id", "event_time", "session_id",
+        F.when(clear, "CLEARED").when(F.col("kind") == "ADD", "ITEM_ADDED").otherwise("ITEM_REMOVED").alias("event_type"),
+        F.when(~clear, F.col("barcode")).alias("barcode"), F.col("quantity").alias("line_quantity"), "item_count", "total",
+        F.concat(F.lit("/topic/cart/"), F.col("session_id").cast("string")).alias("destination"))
+
+
+def cart_change_feed(events: DataFrame, bucket_us: int = HOUR_US) -> DataFrame:
     """S6 (flat): one row per accepted change with the destination, the event
     type and the snapshot after it — the changed line's quantity plus the
     cart's item count and exact total. A clear gives an empty snapshot.
 
-    Totals are running sums per (session, epoch) of the accepted deltas, so
-    nothing is re-gathered per event (no all-pairs snapshot rebuild)."""
-    w2 = _fold(events, bucket_us).where(~F.col("rejected"))
-    delta_q = F.when(F.col("kind") == "ADD", 1).otherwise(-1)
-    changes = w2.select("event_id", "event_time", "session_id", "barcode", "kind", "epoch",
-                        "quantity", delta_q.alias("dq"), (delta_q * F.col("line_price")).alias("dm"))
-    c = prefix_sums(changes, ["session_id", "epoch"], "event_time", "event_id",
-                    {"item_count": F.col("dq"), "total": F.col("dm")}, bucket_us)
-    changed = c.select(
-        "event_id", "event_time", "session_id",
-        F.when(F.col("kind") == "ADD", "ITEM_ADDED").otherwise("ITEM_REMOVED").alias("event_type"),
-        "barcode", F.col("quantity").alias("line_quantity"),
-        F.col("item_count").cast("bigint").alias("item_count"),
-        F.col("total").cast("decimal(38,4)").alias("total"))
-    clears = (events.where(F.col("kind") == "CLEAR")
-                    .select("event_id", "event_time", "session_id", F.lit("CLEARED").alias("event_type"),
-                            F.lit(None).cast("string").alias("barcode"), F.lit(None).cast("int").alias("line_quantity"),
-                            F.lit(0).cast("bigint").alias("item_count"), F.lit(0).cast("decimal(38,4)").alias("total")))
-    feed = changed.unionByName(clears)
-    return feed.withColumn("destination", F.concat(F.lit("/topic/cart/"), F.col("session_id").cast("string")))
-
-
-def live_lines(events: DataFrame, bucket_us: int = 3_600_000_000) -> DataFrame:
-    """Current cart lines from the fold: the last state of each line in the
-    session's last epoch, kept while its quantity is above 0."""
-    w2 = price_at_addition(events, bucket_us)
-    last = (w2.groupBy("session_id", "barcode")
-              .agg(F.max(F.struct("event_time", "event_id", "epoch", "quantity", "price_at_addition")).alias("_l")))
-    last_epoch = (events.where(F.col("kind").isin("ADD", "REMOVE", "CLEAR")).groupBy("session_id")
-                        .agg(F.count_if(F.col("kind") == "CLEAR").alias("last_epoch")))
-    j = last.join(last_epoch, "session_id")
-    return (j.where((F.col("_l.epoch") == F.col("last_epoch")) & (F.col("_l.quantity") > 0))
-             .select("session_id", "barcode", F.col("_l.quantity").cast("bigint").alias("quantity"),
-                     F.col("_l.price_at_addition").alias("price")))
+    Totals come from the fold itself, so nothing is gathered again per event."""
+    return change_rows(cart_history.history(events, bucket_us, with_clears=True))
 
 
-def cart_read_through(events: DataFrame, lines: DataFrame, bucket_us: int = 3_600_000_000) -> DataFrame:
+def live_lines(events: DataFrame, bucket_us: int = HOUR_US) -> DataFrame:
+    """Current cart lines from the fold: states that no later change or clear of the log ends."""
+    return (cart_history.line_states(events, bucket_us).where(F.col("until").isNull())
+            .select("session_id", "barcode", "quantity", "price"))
+
+
+def cart_read_through(events: DataFrame, lines: DataFrame, bucket_us: int = HOUR_US) -> DataFrame:
     """Per session the cached (live) lines when any exist, else the stored lines."""
     cache = live_lines(events, bucket_us).withColumn("source", F.lit("cache"))
     stored = scan_merge(lines).select("session_id", "barcode", "quantity",
@@ -215,33 +170,56 @@ def cart_read_through(events: DataFrame, lines: DataFrame, bucket_us: int = 3_60
     return cache.unionByName(rest)
 
 
-def cart_ttl_view(events: DataFrame, bucket_us: int = 3_600_000_000) -> DataFrame:
+def cart_ttl_view(events: DataFrame, bucket_us: int = HOUR_US) -> DataFrame:
     """Lifetimes of the keyed cart map. Every put (an accepted add, or a
     remove that leaves the line above 0) refreshes 24 h for the whole session;
-    a delete to 0 does not refresh; a clear drops the key (new epoch).
-
-    Sessionised with a 24 h gap, skew-safe: the gap to the previous put comes
-    from a two-level lag, window numbers from a two-level running count of
-    "gap >= 24 h" flags, and each window closes with a partial-aggregated
-    group-by. (Spark's batch ``session_window`` merges a key's rows in one task
-    after the shuffle, so a hot session would land whole in one task.) Expiry
-    is the last put + 24 h."""
+    a delete to 0 does not refresh; a clear drops the key (new epoch). Expiry
+    is the last put + 24 h.
+
+    Lifetimes follow from the first and last put per hour (one partial
+    aggregate), so a hot session never lands whole in one task, as it would
+    with Spark's batch ``session_window``."""
     w1 = cart_running_quantity(events, bucket_us)
-    puts = w1.where(~F.col("rejected") & ((F.col("kind") == "ADD") | (F.col("quantity") > 0)))
-    keys = ["session_id", "epoch"]
-    p = prev_value(puts.select("event_id", "event_time", *keys), keys, "event_time", "event_id", ["event_time"],
-                   bucket_us=bucket_us)
-    gap = F.col("prev_event_time").isNull() | (F.col("event_time") >= F.col("prev_event_time")
-                                               + F.expr(f"INTERVAL {CART_TTL}"))
-    n = prefix_scan(p, keys, "event_time", "event_id", F.when(gap, 1).otherwise(0), "window_no", bucket_us)
-    g = (n.groupBy(*keys, "window_no")
-          .agg(F.min("event_time").alias("first_put"), F.max("event_time").alias("last_put"),
-               F.count(F.lit(1)).alias("puts")))
-    return g.select("session_id", "epoch", "first_put", "last_put", "puts",
-                    (F.col("last_put") + F.expr(f"INTERVAL {CART_TTL}")).alias("expires_at"))
-
-
-def delete_by_key(events: DataFrame, lines: DataFrame, bucket_us: int = 3_600_000_000) -> DataFrame:
+    return cart_history.lifetimes(w1.where("not rejected and quantity > 0"), bucket_us)
+
+
+def _cached(requests: DataFrame, states: DataFrame) -> DataFrame:
+    held = states.select("session_id", "barcode", "quantity", "price", F.col("since").alias("_since"),
+                         F.least("until", "expires_at").alias("_until"))
+    return holding(requests.select("request_id", "session_id", "as_of"), held, ["session_id"], "as_of", "_since", "_until").drop("_until")
+
+
+def cart_as_of(requests: DataFrame, events: DataFrame, bucket_us: int = HOUR_US) -> DataFrame:
+    """S7 at any time: the lines of the keyed cart map at each requested (session, time).
+
+    A line is there from its put until its next change, the next clear or the
+    end of the map (24 h without a put in the session); ``expires_at`` is when
+    the map would end if nothing followed: the session's last put so far + 24 h.
+    Requests of empty or expired maps give no row. A change at the very time
+    counts; an expiry at the very time has happened."""
+    states = materialize(cart_history.line_states(events, bucket_us))
+    cached = _cached(requests, states)
+    puts = states.groupBy("session_id", F.col("since").alias("_put")).agg(F.max("expires_at").alias("_end"))
+    ends = holding(cached.select("request_id", "session_id", "as_of").distinct(), cart_history.put_spans(puts, bucket_us), ["session_id"],
+                   "as_of", "_put", "_next_put")
+    ends = ends.select("request_id", (F.col("_put") + F.expr(f"INTERVAL {CART_TTL}")).alias("expires_at"))
+    return cached.join(ends, "request_id").select("request_id", "session_id", "as_of", "barcode", "quantity", "price", "expires_at")
+
+
+def cart_read_through_as_of(requests: DataFrame, events: DataFrame, bucket_us: int = HOUR_US) -> DataFrame:
+    """J7 at any time: the cached lines of each requested (session, time) when the
+    map holds any, else the stored lines, which do not expire. Both come from one
+    fold, so ids are shared. A read does not fill the map here: requests are
+    independent of each other."""
+    states = materialize(cart_history.line_states(events, bucket_us))
+    cached = materialize(_cached(requests, states).drop("_since"))
+    held = states.select("session_id", "barcode", "quantity", "price", "since", "until")
+    rest = requests.select("request_id", "session_id", "as_of").join(cached.select("request_id").distinct(), "request_id", "left_anti")
+    stored = holding(rest, held, ["session_id"], "as_of", "since", "until").drop("since", "until")
+    return cached.withColumn("source", F.lit("cache")).unionByName(stored.withColumn("source", F.lit("store")))
+
+
+def delete_by_key(events: DataFrame, lines: DataFrame, bucket_us: int = HOUR_US) -> DataFrame:
     """Stored lines left after deleting whole sessions (clears) and single
     (session, product) lines (removes that took a line to 0)."""
     clears = events.where(F.col("kind") == "CLEAR").select("session_id").distinct()

@@ -12,7 +12,9 @@ levels instead:
    a window over the small summary table, bounded by buckets per key;
 3. the chunk offsets are joined back on (key, bucket) and added.
 
-The result equals the one-level window exactly (checked in tests).
+The result equals the one-level window exactly (checked in tests). Nulls in a
+key are a key of their own, rows without a time come first (as null sorts
+first), so no row is lost.
 
 Both the per-chunk window and the per-chunk summary read the bucketed input,
 so it is checkpointed first (eagerly, into the shared folder named by
@@ -41,6 +43,23 @@ def materialize(d: DataFrame) -> DataFrame:
     return d.checkpoint(eager=True)
 
 
+#: Bucket of rows without a time: before all others, as nulls sort first.
+NO_TIME = -(1 << 62)
+
+
+def time_bucket(ts: str, bucket_us: int) -> Column:
+    return F.coalesce(F.floor(epoch_micros(ts) / F.lit(bucket_us)), F.lit(NO_TIME))
+
+
+def join_back(rows: DataFrame, summary: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys meet null keys, so no row of a null session, line or time is lost."""
+    s = summary.select(*[F.col(c).alias("_on_" + c) if c in on else F.col(c) for c in summary.columns])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col("_on_" + c))
+    return rows.join(s, cond, how).drop(*["_on_" + c for c in on])
+
+
 def prefix_scan(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, value: Column | str,
                 out: str, bucket_us: int = HOUR_US, with_min: bool = False) -> DataFrame:
     """Add ``out`` = running sum of ``value`` per ``keys`` ordered by (ts, tiebreak).
@@ -51,7 +70,7 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, valu
     keys = list(keys)
     v = F.col(value) if isinstance(value, str) else value
     b = "_bkt_" + out
-    d = materialize(df.withColumn(b, F.floor(epoch_micros(ts) / F.lit(bucket_us))).withColumn("_v_" + out, v))
+    d = materialize(df.withColumn(b, time_bucket(ts, bucket_us)).withColumn("_v_" + out, v))
     order = [F.col(ts), F.col(tiebreak)]
     w_local = Window.partitionBy(*keys, b).orderBy(*order)
     run = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -71,7 +90,7 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, valu
         summary = summary.withColumn("_cmin", F.min(F.col("_off") + F.col("_bmin")).over(w_b))
     summary = summary.drop("_tot", "_bmin")
 
-    j = d.join(summary, on=[*keys, b], how="inner")
+    j = join_back(d, summary, [*keys, b])
     j = j.withColumn(out, F.col("_off") + F.col("_loc_" + out))
     if with_min:
         j = (j.withColumn(out + "_min", F.least(F.lit(0), F.col("_cmin"), F.col("_off") + F.col("_lmin_" + out)))
@@ -83,16 +102,6 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, valu
     return j.drop(*drop)
 
 
-def first_by_order(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
-                   cols: Sequence[str], prefix: str = "first_") -> DataFrame:
-    """Per key, the values of ``cols`` on the earliest row (by ts, then the
-    numeric tie-break): ``min_by`` on one decimal order key per column — a
-    partial hash aggregate, so hot keys are pre-aggregated map-side."""
-    k = order_key(ts, tiebreak)
-    g = df.groupBy(*keys).agg(*[F.min_by(F.col(c), k).alias(prefix + c) for c in cols])
-    return g.select(*keys, *[prefix + c for c in cols])
-
-
 def prev_value(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, cols: Sequence[str],
                prefix: str = "prev_", bucket_us: int = HOUR_US) -> DataFrame:
     """``lag`` of ``cols`` per key ordered by (ts, tiebreak), in two levels like
@@ -101,7 +110,7 @@ def prev_value(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, cols:
     per-bucket summary)."""
     keys = list(keys)
     b = "_pb"
-    d = materialize(df.withColumn(b, F.floor(epoch_micros(ts) / F.lit(bucket_us))))
+    d = materialize(df.withColumn(b, time_bucket(ts, bucket_us)))
     w = Window.partitionBy(*keys, b).orderBy(F.col(ts), F.col(tiebreak))
     d = d.withColumn("_pfirst", F.lag(F.lit(1)).over(w).isNull())
     for c in cols:
@@ -110,37 +119,12 @@ def prev_value(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, cols:
                                                   *[F.col(c).alias(c) for c in cols])).alias("_plast"))
     wb = Window.partitionBy(*keys).orderBy(b)
     carry = last.withColumn("_pcarry", F.lag("_plast").over(wb)).drop("_plast")
-    j = d.join(carry, on=[*keys, b], how="inner")
+    j = join_back(d, carry, [*keys, b])
     for c in cols:
         j = j.withColumn(prefix + c, F.when(F.col("_pfirst"), F.col("_pcarry." + c)).otherwise(F.col("_plag_" + c)))
     return j.drop(b, "_pfirst", "_pcarry", *["_plag_" + c for c in cols])
 
 
-def prefix_sums(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, values: dict[str, Column],
-                bucket_us: int = HOUR_US) -> DataFrame:
-    """Several running sums over the same key and order in one two-level pass
-    (one exchange, one summary) — ``prefix_scan`` for many columns."""
-    keys = list(keys)
-    b = "_bkt_multi"
-    d = df.withColumn(b, F.floor(epoch_micros(ts) / F.lit(bucket_us)))
-    for out, v in values.items():
-        d = d.withColumn("_v_" + out, v)
-    d = materialize(d)
-    run = Window.partitionBy(*keys, b).orderBy(F.col(ts), F.col(tiebreak)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    for out in values:
-        d = d.withColumn("_loc_" + out, F.sum("_v_" + out).over(run))
-    summary = d.groupBy(*keys, b).agg(*[F.sum("_v_" + o).alias("_tot_" + o) for o in values])
-    w_b = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    for o in values:
-        summary = summary.withColumn("_off_" + o, F.coalesce(F.sum("_tot_" + o).over(w_b), F.lit(0)))
-    summary = summary.drop(*["_tot_" + o for o in values])
-    j = d.join(summary, on=[*keys, b], how="inner")
-    for o in values:
-        j = j.withColumn(o, F.col("_off_" + o) + F.col("_loc_" + o))
-    return j.drop(b, *[p + o for o in values for p in ("_v_", "_loc_", "_off_")])
-
-
 # (time, id) as one DECIMAL(38,0): time_us * 1e20 + (id + 2^63). It orders
 # exactly like the pair, and unlike a struct its min/max run in a hash
 # aggregate (decimals are updatable in place), not a sort aggregate.

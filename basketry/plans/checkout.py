@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators import carts
+from basketry.operators import cart_history
 from basketry.operators.sessions import session_access_check
 
 
@@ -47,14 +47,10 @@ def cart_request_flow(commands: DataFrame, sessions: DataFrame, catalog: DataFra
     passing = (c.where(F.col("_pre").isNull())
                 .select("event_id", "event_time", "session_id", "barcode", "kind",
                         F.col("_cat_price").alias("price")))
-    fold = carts.cart_running_quantity(passing, bucket_us)
-    not_found = fold.where(F.col("rejected")).select(
-        "event_id", "session_id", "kind", F.lit("cart_item_not_found").alias("outcome"),
-        F.lit(None).cast("string").alias("event_type"), F.lit(None).cast("bigint").alias("item_count"),
-        F.lit(None).cast("decimal(38,4)").alias("total"))
-    feed = carts.cart_change_feed(passing, bucket_us)
-    kinds = F.when(F.col("event_type") == "ITEM_ADDED", "ADD").when(F.col("event_type") == "ITEM_REMOVED", "REMOVE") \
-        .otherwise("CLEAR")
-    ok = feed.select("event_id", "session_id", kinds.alias("kind"), F.lit("ok").alias("outcome"), "event_type",
-                     "item_count", "total")
-    return refused.unionByName(not_found).unionByName(ok)
+    rows = cart_history.history(passing, bucket_us, with_clears=True)
+    ok = ~F.col("rejected")
+    done = rows.select(
+        "event_id", "session_id", "kind", F.when(ok, "ok").otherwise("cart_item_not_found").alias("outcome"),
+        F.when(ok, F.when(F.col("kind") == "ADD", "ITEM_ADDED").when(F.col("kind") == "REMOVE", "ITEM_REMOVED").otherwise("CLEARED")).alias("event_type"),
+        F.when(ok, F.col("item_count")).alias("item_count"), F.when(ok, F.col("total")).alias("total"))
+    return refused.unionByName(done)

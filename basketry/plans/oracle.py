@@ -170,6 +170,38 @@ select session_id, epoch, min(event_time) as first_put, max(event_time) as last_
        max(event_time) + interval '24' hour as expires_at
 from g group by session_id, epoch, grp""")
 
+_AS_OF = _W2 + """,
+gone as (select session_id, event_time from cart_events where kind = 'CLEAR'),
+asked as (select r.*, (select count(*) from gone c where c.session_id = r.session_id and c.event_time <= r.as_of) as epoch_now from cart_reads r),
+puts as (
+  select *, sum(case when prev is null or event_time >= prev + interval '24' hour then 1 else 0 end) over (
+           partition by session_id, epoch order by event_time, event_id rows between unbounded preceding and current row) as grp
+  from (select *, lag(event_time) over (partition by session_id, epoch order by event_time, event_id) as prev
+        from w2 where not rejected and quantity > 0) x),
+lastput as (
+  select a.request_id, arg_max(struct_pack(grp := p.grp, t := p.event_time), (p.event_time, p.event_id)) as lp
+  from asked a join puts p on p.session_id = a.session_id and p.epoch = a.epoch_now and p.event_time <= a.as_of group by a.request_id),
+linenow as (
+  select a.request_id, a.session_id, a.as_of, w.barcode, w.event_id, w.quantity, w.line_price
+  from asked a join w2 w on w.session_id = a.session_id and w.epoch = a.epoch_now and w.event_time <= a.as_of
+  qualify row_number() over (partition by a.request_id, w.barcode order by w.event_time desc, w.event_id desc) = 1),
+stored as (select * from linenow where quantity > 0),
+cached as (
+  select s.*, l.lp.t + interval '24' hour as expires_at
+  from stored s join puts p on p.event_id = s.event_id join lastput l on l.request_id = s.request_id
+  where p.grp = l.lp.grp and s.as_of < l.lp.t + interval '24' hour)"""
+
+sql("cart_as_of", f"""
+with {_AS_OF}
+select request_id, session_id, as_of, barcode, cast(quantity as bigint) as quantity, line_price as price, expires_at from cached""")
+
+sql("cart_read_through_as_of", f"""
+with {_AS_OF}
+select request_id, session_id, as_of, barcode, cast(quantity as bigint) as quantity, line_price as price, 'cache' as source from cached
+union all
+select request_id, session_id, as_of, barcode, cast(quantity as bigint), line_price, 'store' from stored s
+where not exists (select 1 from cached c where c.request_id = s.request_id)""")
+
 sql("delete_by_key", f"""
 with {_W1}
 select * from cart_lines l

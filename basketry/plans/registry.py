@@ -78,15 +78,12 @@ def q_enrich_scans(spark, sf_dir):
 
 @query("cart_running_quantity")
 def q_cart_running_quantity(spark, sf_dir):
-    out = carts.cart_running_quantity(_v(spark, sf_dir).cart_events)
-    return out.withColumn("epoch", F.col("epoch").cast("bigint"))
+    return carts.cart_running_quantity(_v(spark, sf_dir).cart_events)
 
 
 @query("price_at_addition")
 def q_price_at_addition(spark, sf_dir):
-    out = carts.price_at_addition(_v(spark, sf_dir).cart_events)
-    return (out.withColumn("epoch", F.col("epoch").cast("bigint"))
-               .withColumn("life", F.col("life").cast("bigint")))
+    return carts.price_at_addition(_v(spark, sf_dir).cart_events)
 
 
 @query("price_drift")
@@ -107,8 +104,19 @@ def q_cart_read_through(spark, sf_dir):
 
 @query("cart_ttl_view")
 def q_cart_ttl_view(spark, sf_dir):
-    out = carts.cart_ttl_view(_v(spark, sf_dir).cart_events)
-    return out.withColumn("epoch", F.col("epoch").cast("bigint"))
+    return carts.cart_ttl_view(_v(spark, sf_dir).cart_events)
+
+
+@query("cart_as_of")
+def q_cart_as_of(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return carts.cart_as_of(v.cart_reads, v.cart_events)
+
+
+@query("cart_read_through_as_of")
+def q_cart_read_through_as_of(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return carts.cart_read_through_as_of(v.cart_reads, v.cart_events)
 
 
 @query("delete_by_key")
@@ -207,11 +215,6 @@ def q_gate_exit(spark, sf_dir):
     return sess.gate_exit(gate_history(_v(spark, sf_dir)))
 
 
-def _cart_access(v):
-    a = v.access_log.where(F.col("path").startswith("/api/cart/"))
-    return a.select("event_id", "session_text", "user_text")
-
-
 @query("session_access_check")
 def q_session_access_check(spark, sf_dir):
     v = _v(spark, sf_dir)

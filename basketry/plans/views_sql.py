@@ -37,6 +37,9 @@ select event_id, ts as event_time, user_id as session_id,
        cast(value as decimal(19,4)) as price,
        cast(regexp_extract(props, '[0-9]+', 0) as int) as aisle_number
 from events""",
+    "cart_reads": """
+select event_id as request_id, user_id as session_id, ts + to_hours(cast(event_id % 60 as int)) as as_of
+from events where event_type = 'error'""",
     "session_log": """
 select event_id, ts as event_time, user_id,
        cast(user_id as varchar) || '-' || cast(cast(ts as date) as varchar) as session_id,

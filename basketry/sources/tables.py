@@ -101,6 +101,14 @@ def cart_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cart_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads of carts at a time: staff look into a cart some hours (up to 59) after each help request."""
+    e = read_table(spark, sf_dir, "events")
+    return e.where(F.col("event_type") == "error").select(
+        F.col("event_id").alias("request_id"), F.col("user_id").alias("session_id"),
+        F.timestamp_add("HOUR", (F.col("event_id") % 60).cast("int"), F.col("ts")).alias("as_of"))
+
+
 def session_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events")
     et = F.col("event_type")
@@ -388,7 +396,7 @@ def signups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ADAPTERS = {
     "catalog": catalog, "cart_lines": cart_lines, "sessions": sessions,
-    "cart_events": cart_events, "session_log": session_log, "token_log": token_log,
+    "cart_events": cart_events, "cart_reads": cart_reads, "session_log": session_log, "token_log": token_log,
     "tokens": tokens, "qr_tokens": qr_tokens, "users": users, "access_log": access_log,
     "raw_products": raw_products, "barcode_requests": barcode_requests,
     "access_requests": access_requests, "owner_requests": owner_requests,
