@@ -286,7 +286,7 @@ def _exc(col: Column, mapping: dict[str, str]) -> Column:
     return out
 
 
-def outcome_sources(spark: SparkSession, v) -> dict[str, DataFrame]:
+def outcome_sources(spark: SparkSession, v, secret: str) -> dict[str, DataFrame]:
     """The outcome rows A6 counts, each mapped to the exception it raises."""
     from basketry.operators import carts
     from basketry.operators import sessions as sess
@@ -302,7 +302,7 @@ def outcome_sources(spark: SparkSession, v) -> dict[str, DataFrame]:
         F.when(F.col("outcome") == "invalid", "InvalidTokenException").alias("exception"))
     cart = sess.session_access_check(
         v.access_requests, v.sessions).select(F.when(~F.col("valid"), "InvalidSessionException").alias("exception"))
-    gates = sess.gate_history(v.gate_requests, v.gate_tokens, v.gate_sessions).where(F.col("gate") == "entry").select(
+    gates = sess.gate_history(v.gate_requests, v.gate_tokens, v.gate_sessions, secret).where(F.col("gate") == "entry").select(
         _exc(F.col("result"), {"not_found": "InvalidQrTokenException", "not_active": "InvalidQrTokenException",
                                "bad_signature": "InvalidQrTokenException", "expired": "QrTokenExpiredException",
                                "illegal_transition": "IllegalStateTransitionException"}).alias("exception"))

@@ -89,13 +89,6 @@ def schema_evolve(landed: DataFrame) -> DataFrame:
                          F.when(grade != "", grade).alias("nutriscore_grade"), F.rtrim("category").alias("category"))
 
 
-def version_log(lines: DataFrame) -> DataFrame:
-    """Writes to products with the version each writer produced (from the
-    stored lines: a line is a write to its product at version = line number)."""
-    return lines.select("barcode", F.col("seq").cast("bigint").alias("version"),
-                        F.col("session_id").alias("writer"), "price")
-
-
 def latest_version(writes: DataFrame) -> DataFrame:
     """The current row of each key is its highest version (ties: writer);
     two writers producing the same version from one base are a conflict.

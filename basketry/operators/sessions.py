@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from basketry.functions.columns import (epoch_millis, iso_instant, parse_long, parse_uuid, qr_sign,
                                         qr_verify)
 from basketry.operators.scan import key_time, materialize, order_key, prev_value
-from basketry.schemas import DEFAULT_QR_SECRET, DEFAULTS, QR_TTL, SESSION_TTL, TERMINAL_STATES, edges_df
+from basketry.schemas import DEFAULTS, QR_TTL, SESSION_TTL, TERMINAL_STATES, edges_df
 
 
 def _k() -> Column:
@@ -151,7 +151,7 @@ def stuck_payments(log: DataFrame, as_of: str, older_than: str = "15 minutes") -
              .select("session_id", key_time(F.col("aP")).alias("paying_since")))
 
 
-def payment_receipts(log: DataFrame, secret: str = DEFAULT_QR_SECRET) -> DataFrame:
+def payment_receipts(log: DataFrame, secret: str) -> DataFrame:
     """Each accepted completion -> the session.paid and session.completed
     event values and the signed exit token."""
     r = session_replay(log).where(F.col("accepted") & (F.col("target") == "COMPLETED"))
@@ -187,7 +187,7 @@ def issue_token_cols(session_col: str, user_col: str, token_type: Column, now: C
             expires.alias("expires_at"), F.lit("ACTIVE").alias("status")]
 
 
-def issue_tokens(sessions: DataFrame, secret: str = DEFAULT_QR_SECRET) -> DataFrame:
+def issue_tokens(sessions: DataFrame, secret: str) -> DataFrame:
     """T4: an entry token for live sessions, an exit token for completed ones."""
     tt = F.when(F.col("status") == "COMPLETED", "EXIT").otherwise("ENTRY")
     return sessions.select("session_id", "user_id",
@@ -201,7 +201,7 @@ def resolve_user(access: DataFrame) -> DataFrame:
                          F.when(u.isNull(), "missing_user").otherwise("ok").alias("outcome"))
 
 
-def start_sessions(access: DataFrame, secret: str = DEFAULT_QR_SECRET) -> DataFrame:
+def start_sessions(access: DataFrame, secret: str) -> DataFrame:
     """Session-start requests -> new session rows (the request's store, else
     1; CREATED, +24 h) with their signed entry token; requests without a user
     are left out."""
@@ -218,14 +218,7 @@ def start_sessions(access: DataFrame, secret: str = DEFAULT_QR_SECRET) -> DataFr
 
 # --- T5 / T6 / T7: gates --------------------------------------------------------------
 
-def stored_qr_tokens(qr: DataFrame, secret: str = DEFAULT_QR_SECRET) -> DataFrame:
-    """The QR table with the signature it was stored with: over the payload, or
-    over altered text when ``tampered``."""
-    signed = F.when(F.col("tampered"), F.concat(F.col("payload"), F.lit("#"))).otherwise(F.col("payload"))
-    return qr.withColumn("vault_signature", qr_sign(signed, secret))
-
-
-def validate_tokens(requests: DataFrame, qr: DataFrame, secret: str = DEFAULT_QR_SECRET) -> DataFrame:
+def validate_tokens(requests: DataFrame, qr: DataFrame, secret: str) -> DataFrame:
     """T5: a request against its token as stored; first failing check wins: not
     found -> not active -> expired (requested_at > expires_at, strict) -> bad
     signature -> ok."""
@@ -240,7 +233,7 @@ def validate_tokens(requests: DataFrame, qr: DataFrame, secret: str = DEFAULT_QR
 
 
 def gate_history(requests: DataFrame, qr: DataFrame, sessions: DataFrame,
-                 secret: str = DEFAULT_QR_SECRET, as_run: bool = False) -> DataFrame:
+                 secret: str, as_run: bool = False) -> DataFrame:
     """All requests of both gates as one history per session, in order of
     (requested_at, request_id): what each finds and does.
 
@@ -354,8 +347,8 @@ def verify_owner(requests: DataFrame, sessions: DataFrame) -> DataFrame:
         requests["*"], F.coalesce(F.col("_owner") == F.col("user_id"), F.lit(False)).alias("visible"))
 
 
-def exit_token_eligibility(requests: DataFrame, sessions: DataFrame, id_format: str = "long",
-                           secret: str = DEFAULT_QR_SECRET) -> DataFrame:
+def exit_token_eligibility(requests: DataFrame, sessions: DataFrame, secret: str,
+                           id_format: str = "long") -> DataFrame:
     """Malformed -> INVALID_ARGUMENT; unknown -> NOT_FOUND; not COMPLETED ->
     FAILED_PRECONDITION; else a signed exit token with expiry in epoch millis."""
     r = requests.withColumn("_sid", parse_session_id(F.col("session_text"), id_format))

@@ -14,11 +14,9 @@ from pyspark.sql import functions as F
 from basketry.functions.columns import (b64url, b64url_to_text, epoch_micros, hmac_b64, parse_price,
                                         qr_verify, sha256_hex)
 from basketry.operators.scan import key_id, key_time, materialize, order_key, prefix_scan, prev_value
-from basketry.operators.sessions import DEFAULT_QR_SECRET, uuid_from
+from basketry.operators.sessions import uuid_from
 from basketry.schemas import REFRESH_TOKEN_TTL
 
-# Fallback gateway/auth signing secret for access tokens; pass the deployment's own.
-DEFAULT_JWT_SECRET = "dev-secret-key-that-is-at-least-512-bits-long-for-hs512-signing-keys"
 
 
 def _k() -> Column:
@@ -189,49 +187,20 @@ def tokens_by_family(log: DataFrame, tokens: DataFrame) -> DataFrame:
     return tokens.join(fams, "family_id", "left_semi")
 
 
-def sign_verify(qr: DataFrame, secret: str = DEFAULT_QR_SECRET) -> DataFrame:
+def sign_verify(qr: DataFrame, secret: str) -> DataFrame:
     """F16: verify each stored QR signature (hmac: prefix, recomputed HMAC)."""
     return qr.select("correlation_id", "vault_signature",
                      qr_verify("payload", "vault_signature", secret).alias("valid"))
 
 
-def parse_prices(part: DataFrame) -> DataFrame:
-    """F7 over price texts as a product service would send them (plain, padded,
-    non-numeric, blank) -> DECIMAL(19,4), malformed -> 0."""
-    k = F.col("p_partkey")
-    plain = F.col("p_retailprice").cast("decimal(19,2)").cast("string")
-    text = (F.when(k % 4 == 0, plain).when(k % 4 == 1, F.concat(F.lit(" "), plain, F.lit(" ")))
-            .when(k % 4 == 2, F.lit("n/a")).otherwise(F.lit("")))
-    return part.select(k.alias("p_partkey"), text.alias("price_text"), parse_price(text).alias("price"))
+def parse_prices(rows: DataFrame) -> DataFrame:
+    """``price_text`` -> DECIMAL(19,4), malformed -> 0."""
+    return rows.withColumn("price", parse_price(F.col("price_text")))
 
 
 # --- T13: access-token audit ---------------------------------------------------------
 
-def bearer_headers(access: DataFrame, users: DataFrame, secret: str = DEFAULT_JWT_SECRET) -> DataFrame:
-    """Authorization headers for the access log, as the auth service would have
-    issued them (HS512 JWT with sub/email/role, 15 min life): some requests
-    carry none, a wrong scheme or a forged signature (derived from event ids)."""
-    u = users.select(F.col("id").alias("header_user_id"), "email", "role")
-    a = access.join(u, "header_user_id", "left")
-    iat = F.floor(epoch_micros("event_time") / 1_000_000).cast("bigint")
-    eid = F.col("event_id")
-    iat = F.when(eid % 11 == 0, iat - 3600).otherwise(iat)
-    alg = F.when(eid % 31 == 0, "none").when(eid % 37 == 0, "HS256").otherwise("HS512")
-    head = b64url(F.base64(F.concat(F.lit('{"alg":"'), alg, F.lit('"}')).cast("binary")))
-    claims = F.to_json(F.struct(F.col("header_user_id").cast("string").alias("sub"), F.col("email"),
-                                F.col("role"), iat.alias("iat"), (iat + 900).alias("exp")))
-    body = b64url(F.regexp_replace(F.base64(claims.cast("binary")), r"[\r\n]", ""))
-    signing_input = F.concat(head, F.lit("."), body)
-    sig = b64url(F.when(eid % 37 == 0, hmac_b64(signing_input, secret, 256)).otherwise(hmac_b64(signing_input, secret, 512)))
-    sig = F.when(eid % 23 == 0, F.reverse(sig)).otherwise(sig)
-    jwt = F.concat(signing_input, F.lit("."), sig)
-    header = (F.when(F.col("header_user_id").isNull(), F.lit(None).cast("string"))
-              .when(eid % 29 == 0, F.concat(F.lit("Basic "), jwt))
-              .otherwise(F.concat(F.lit("Bearer "), jwt)))
-    return a.select("event_id", "event_time", "path", header.alias("authorization"))
-
-
-def token_audit(requests: DataFrame, secret: str = DEFAULT_JWT_SECRET) -> DataFrame:
+def token_audit(requests: DataFrame, secret: str) -> DataFrame:
     """Per request: open path / missing header / wrong scheme / bad
     signature / expired / ok, with sub, email, role ('' when absent). The
     digest is the one the token's own header names (HS256 or HS512; any other

@@ -251,7 +251,7 @@ def token_cols_sql(session: str, user: str, ttype: str, now: str, secret: str) -
 
 
 from basketry.plans.registry import LOG_AS_OF, SESSIONS_AS_OF  # noqa: E402
-from basketry.schemas import DEFAULT_QR_SECRET as _QS  # noqa: E402
+from basketry.sources.fixtures import QR_SECRET as _QS  # noqa: E402
 
 _EDGES = """edges as (select * from (values ('CREATED', 'ACTIVE'), ('CREATED', 'CANCELLED'), ('ACTIVE', 'PAYING'),
   ('ACTIVE', 'CANCELLED'), ('PAYING', 'COMPLETED'), ('PAYING', 'CANCELLED')) t(from_state, to_state))"""

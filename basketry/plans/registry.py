@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from basketry.operators import carts, sessions as sess
 from basketry.functions.columns import sha256_hex
+from basketry.sources import fixtures
+from basketry.sources.fixtures import QR_SECRET
 from basketry.sources.tables import Views, damaged_audit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,12 +179,12 @@ def q_stuck_payments(spark, sf_dir):
 
 @query("payment_receipts")
 def q_payment_receipts(spark, sf_dir):
-    return sess.payment_receipts(_v(spark, sf_dir).session_log)
+    return sess.payment_receipts(_v(spark, sf_dir).session_log, QR_SECRET)
 
 
 @query("issue_tokens")
 def q_issue_tokens(spark, sf_dir):
-    return sess.issue_tokens(_v(spark, sf_dir).sessions)
+    return sess.issue_tokens(_v(spark, sf_dir).sessions, QR_SECRET)
 
 
 @query("resolve_user")
@@ -192,17 +194,17 @@ def q_resolve_user(spark, sf_dir):
 
 @query("start_sessions")
 def q_start_sessions(spark, sf_dir):
-    return sess.start_sessions(_v(spark, sf_dir).access_log)
+    return sess.start_sessions(_v(spark, sf_dir).access_log, QR_SECRET)
 
 
 @query("validate_tokens")
 def q_validate_tokens(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return sess.validate_tokens(v.gate_requests, v.gate_tokens)
+    return sess.validate_tokens(v.gate_requests, v.gate_tokens, QR_SECRET)
 
 
 def gate_history(v):
-    return sess.gate_history(v.gate_requests, v.gate_tokens, v.gate_sessions)
+    return sess.gate_history(v.gate_requests, v.gate_tokens, v.gate_sessions, QR_SECRET)
 
 
 @query("gate_entry")
@@ -230,7 +232,7 @@ def q_verify_owner(spark, sf_dir):
 @query("exit_token_eligibility")
 def q_exit_token_eligibility(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return sess.exit_token_eligibility(v.access_requests.drop("user_text"), v.sessions)
+    return sess.exit_token_eligibility(v.access_requests.drop("user_text"), v.sessions, QR_SECRET)
 
 
 @query("session_view")
@@ -314,18 +316,18 @@ def q_hash_tokens(spark, sf_dir):
 
 @query("sign_verify")
 def q_sign_verify(spark, sf_dir):
-    return tok.sign_verify(sess.stored_qr_tokens(_v(spark, sf_dir).qr_tokens))
+    return tok.sign_verify(fixtures.stored_qr_tokens(_v(spark, sf_dir).qr_tokens), QR_SECRET)
 
 
 @query("parse_price")
 def q_parse_price(spark, sf_dir):
-    return tok.parse_prices(_v(spark, sf_dir).part)
+    return tok.parse_prices(fixtures.price_texts(_v(spark, sf_dir).part))
 
 
 @query("token_audit")
 def q_token_audit(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return tok.token_audit(tok.bearer_headers(v.access_log, v.users))
+    return tok.token_audit(fixtures.bearer_headers(v.access_log, v.users), fixtures.JWT_SECRET)
 
 
 # --- access ------------------------------------------------------------------------
@@ -423,7 +425,7 @@ def q_open_path_filter(spark, sf_dir):
 
 @query("outcome_counts")
 def q_outcome_counts(spark, sf_dir):
-    return acc.outcome_counts(spark, acc.outcome_sources(spark, _v(spark, sf_dir)))
+    return acc.outcome_counts(spark, acc.outcome_sources(spark, _v(spark, sf_dir), QR_SECRET))
 
 
 # --- catalog -----------------------------------------------------------------------
@@ -589,7 +591,7 @@ def q_schema_evolve(spark, sf_dir):
 
 @query("latest_version")
 def q_latest_version(spark, sf_dir):
-    return qual.latest_version(qual.version_log(_v(spark, sf_dir).cart_lines))
+    return qual.latest_version(fixtures.version_log(_v(spark, sf_dir).cart_lines))
 
 
 @query("scan_tables")
@@ -605,7 +607,7 @@ def q_scan_tables(spark, sf_dir):
 def _feed(spark, v):
     fold = carts.cart_running_quantity(v.cart_events)
     helps = carts.accepted_help_requests(help_events(v), v.access_log, v.sessions)
-    return topics.encode_events(fold, v.catalog, helps, sess.payment_receipts(v.session_log))
+    return topics.encode_events(fold, v.catalog, helps, sess.payment_receipts(v.session_log, QR_SECRET))
 
 
 @query("encode_events")
@@ -615,7 +617,7 @@ def q_encode_events(spark, sf_dir):
 
 @query("decode_topics")
 def q_decode_topics(spark, sf_dir):
-    return topics.decode_topics(topics.corrupt_some(_feed(spark, _v(spark, sf_dir))))
+    return topics.decode_topics(fixtures.corrupt_some(_feed(spark, _v(spark, sf_dir))))
 
 
 # --- streaming ---------------------------------------------------------------------
@@ -625,7 +627,7 @@ from basketry.streaming import queries as stream  # noqa: E402
 
 @query("stream_quarantine")
 def q_stream_quarantine(spark, sf_dir):
-    return stream.stream_quarantine(spark, topics.corrupt_some(_feed(spark, _v(spark, sf_dir))))
+    return stream.stream_quarantine(spark, fixtures.corrupt_some(_feed(spark, _v(spark, sf_dir))))
 
 
 @query("stream_scan_enrich")
@@ -651,7 +653,7 @@ def q_stream_paid_completed(spark, sf_dir):
 
 @query("stream_event_dedup")
 def q_stream_event_dedup(spark, sf_dir):
-    return stream.stream_event_dedup(spark, _feed(spark, _v(spark, sf_dir)))
+    return stream.stream_event_dedup(spark, fixtures.redeliver(_feed(spark, _v(spark, sf_dir))))
 
 
 @query("stream_lookup_dedup")

@@ -77,9 +77,6 @@ DEFAULTS = {
     "rfid_security_required": False, "status": "CREATED", "quantity": 1, "version": 0,
 }
 
-# Fallback HMAC secret for QR signatures; pass the deployment's own secret.
-DEFAULT_QR_SECRET = "dev-fallback-hmac-signing-key"
-
 # durations
 SESSION_TTL = "24 hours"
 QR_TTL = "24 hours"

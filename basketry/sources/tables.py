@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import qr_sign
-from basketry.schemas import DEFAULT_QR_SECRET, MONEY, QR_TTL
+from basketry.schemas import MONEY, QR_TTL
+from basketry.sources.fixtures import QR_SECRET
 
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -289,7 +290,7 @@ def gate_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.concat(F.lit('{"sessionId":"'), k.cast("string"), F.lit('","userId":'), F.col("o_custkey").cast("string"),
                        F.lit(',"no":'), no.cast("string"), F.lit("}"))
     created = F.timestamp_add("HOUR", (k * 5 % 600 + no).cast("int"), F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'"))
-    signed = qr_sign(F.when(k % 10 == 9, F.concat(payload, F.lit("#"))).otherwise(payload), DEFAULT_QR_SECRET)
+    signed = qr_sign(F.when(k % 10 == 9, F.concat(payload, F.lit("#"))).otherwise(payload), QR_SECRET)
     return o.select(
         F.concat(F.lit("gate-"), k.cast("string"), F.lit("-"), no.cast("string")).alias("correlation_id"),
         k.alias("session_id"),

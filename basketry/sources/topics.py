@@ -51,17 +51,6 @@ def encode_events(fold: DataFrame, catalog: DataFrame, helps: DataFrame, receipt
     return added.unionByName(removed).unionByName(helps).unionByName(paid).unionByName(done)
 
 
-def corrupt_some(feed: DataFrame, every: int = 50) -> DataFrame:
-    """Deliveries cut in half, with a quantity that is no number or a time that
-    is none (every ``every``-th cart event each), for the quarantine."""
-    cut = F.substring(F.col("value"), 1, (F.length("value") / 2).cast("int"))
-    at = lambda k: F.coalesce(F.col("event_id") % every == k, F.lit(False))
-    return feed.withColumn("value", F.when(at(0), cut)
-                           .when(at(1), F.regexp_replace("value", '"quantity":[0-9]+', '"quantity":"x"'))
-                           .when(at(2), F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"nope"'))
-                           .otherwise(F.col("value")))
-
-
 def decoded_time(value: str) -> Column:
     """The time inside a JSON value, from timestamp / paidAt / completedAt."""
     t = F.coalesce(*[F.get_json_object(value, f"$.{f}") for f in ("timestamp", "paidAt", "completedAt")])

@@ -7,6 +7,7 @@ import json
 
 from basketry.operators import tokens
 from basketry.schemas import OPEN_PATHS
+from basketry.sources import fixtures
 from basketry.sources.tables import Views
 from conftest import SF_SMALL
 
@@ -17,9 +18,9 @@ def _b64url_decode(s):
 
 def test_token_audit_against_python(spark):
     v = Views(spark, SF_SMALL)
-    hdr = tokens.bearer_headers(v.access_log, v.users)
-    audit = {r["event_id"]: r for r in tokens.token_audit(hdr).collect()}
-    key = tokens.DEFAULT_JWT_SECRET.encode()
+    hdr = fixtures.bearer_headers(v.access_log, v.users)
+    audit = {r["event_id"]: r for r in tokens.token_audit(hdr, fixtures.JWT_SECRET).collect()}
+    key = fixtures.JWT_SECRET.encode()
     seen = set()
     for r in hdr.collect():
         path, h = r["path"], r["authorization"]
@@ -56,7 +57,7 @@ def test_long_tokens_are_read_whole(spark):
     from pyspark.sql import functions as F
     v = Views(spark, SF_SMALL)
     users = v.users.where("id < 10").withColumn("email", F.repeat(F.lit("e"), 100_001))
-    audit = tokens.token_audit(tokens.bearer_headers(v.access_log.where("event_id < 60"), users))
+    audit = tokens.token_audit(fixtures.bearer_headers(v.access_log.where("event_id < 60"), users), fixtures.JWT_SECRET)
     assert audit.where("outcome = 'ok' and length(x_user_email) = 100001").count() > 0
 
 

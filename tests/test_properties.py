@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators import carts
 from basketry.operators.scan import prefix_scan, prev_value
+from basketry.sources import fixtures
 from basketry.sources.tables import Views
 from conftest import SF_SMALL
 
@@ -118,7 +119,7 @@ def test_replay_never_leaves_terminal_and_tokens_used_once(spark):
     r = sessions.session_replay(v.session_log)
     bad = r.where(F.col("from_state").isin("COMPLETED", "CANCELLED") & F.col("accepted"))
     assert bad.count() == 0
-    h = sessions.gate_history(v.gate_requests, v.gate_tokens, v.gate_sessions)
+    h = sessions.gate_history(v.gate_requests, v.gate_tokens, v.gate_sessions, fixtures.QR_SECRET)
     seen = {(r["gate"], r["result"]) for r in h.select("gate", "result").distinct().collect()}
     results = {"ok", "not_found", "not_active", "expired", "bad_signature"}
     assert seen == {("entry", x) for x in results | {"illegal_transition"}} | {("exit", x) for x in results | {"not_completed"}}

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from basketry.sources import fixtures
 from basketry.operators import access, carts, catalog, sessions, tokens
 
 T0 = dt.datetime(2024, 3, 1, 10, 0, 0)
@@ -70,14 +71,14 @@ def test_entry_twice_and_exit_twice(spark):
         ("c-out", 2, "EXIT", '{"s":2}', False, "ACTIVE", T0, T0 + dt.timedelta(hours=24)),
     ], "correlation_id string, session_id long, token_type string, payload string, tampered boolean, "
        "status string, created_at timestamp_ntz, expires_at timestamp_ntz")
-    qr = sessions.stored_qr_tokens(qr)
+    qr = fixtures.stored_qr_tokens(qr)
     sess = spark.createDataFrame([(1, 5, "CREATED"), (2, 5, "COMPLETED")],
                                  "session_id long, user_id long, status string")
     req = spark.createDataFrame([
         (1, _t(10), "c-in", "entry"), (2, _t(20), "c-in", "entry"),
         (3, _t(30), "c-out", "exit"), (4, _t(40), "c-out", "exit"),
     ], "request_id long, requested_at timestamp_ntz, correlation_id string, gate string")
-    hist = sessions.gate_history(req, qr, sess)
+    hist = sessions.gate_history(req, qr, sess, fixtures.QR_SECRET)
     entry = {r["request_id"]: r["outcome"] for r in sessions.gate_entry(hist).collect()}
     assert entry == {1: "ok", 2: "not_active"}
     exit_ = {r["request_id"]: r["valid"] for r in sessions.gate_exit(hist).collect()}
@@ -90,7 +91,7 @@ def test_tampered_token_fails_signature(spark):
                                "tampered boolean, status string, created_at timestamp_ntz, expires_at timestamp_ntz")
     req = spark.createDataFrame([(1, T0, "c1", "entry")],
                                 "request_id long, requested_at timestamp_ntz, correlation_id string, gate string")
-    out = sessions.validate_tokens(req, sessions.stored_qr_tokens(qr)).first()
+    out = sessions.validate_tokens(req, fixtures.stored_qr_tokens(qr), fixtures.QR_SECRET).first()
     assert out["verdict"] == "bad_signature"
 
 
