@@ -26,8 +26,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import chain
-from operator import eq
+from itertools import chain, compress
+from operator import not_
 
 import numpy as np
 import public_tokenizers
@@ -42,10 +42,10 @@ from basketry.llm.tokens import ALPHABET
 #: A cut: a lone space before a printable character of the usual scripts. No token of B spans it (see Aligner).
 CUT = re.compile("(?<! ) (?=[!-~¡-ᙿ、-퟿])")
 #: Text of a block, units that a worker keeps, and the length up to which they are kept.
-BLOCK_BYTES, KEPT_UNITS, KEPT_CHARS = 1 << 24, 150_000, 64
+BLOCK_BYTES, KEPT_UNITS, KEPT_CHARS = 1 << 24, 200_000, 64
 #: Pairs of the identity map are written as their id of A, other pairs as (a + 1) * WIDE + b.
 WIDE = 1 << 16
-NOTHING = (0, 0, 0, 0, "", ())
+NOTHING = (0, 0, 0, "", b"")
 
 
 def units_of(text: str) -> list[str]:
@@ -74,60 +74,60 @@ class Aligner:
             raise ValueError("vocabularies below 65,536 ids, without pieces that hold a space after a letter, are needed")
         by_bytes = {x: i for i, x in reversed(list(enumerate(self.b_bytes))) if not self.b.is_byte(i)}
         by_bytes = {x: i for i, x in enumerate(self.b_bytes) if self.b.is_byte(i)} | by_bytes
-        self.same = [by_bytes.get(x, -1) for x in self.a_bytes]
+        self.same = np.array([by_bytes.get(x, -1) for x in self.a_bytes])
+        self.a_size, self.b_size = (np.array([len(x) for x in v]) for v in (self.a_bytes, self.b_bytes))
+        self.numbers = [str(i) for i in range(WIDE)]
         self.kept = common.Memory(KEPT_UNITS)
 
-    def align(self, unit: str, a: list[int], b: list[int]) -> tuple | None:
-        """(tokens of A, of B, groups, links, groups as text, codes of the links); None where bytes differ."""
-        whole = (" " + unit).encode()
-        if len(a) == len(b) and all(map(eq, map(self.same.__getitem__, a), b)):  # one-to-one throughout
-            if b"".join(map(self.a_bytes.__getitem__, a)) != whole:
-                return None
-            return len(a), len(a), len(a), len(a), ";".join(map("%d|%d".__mod__, zip(a, b))), tuple(a)
-        la, lb = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(la) != whole or b"".join(lb) != whole:
-            return None
-        text, codes, groups = [], [], 0
-        i = j = 0
-        while i < len(a):
-            i0, j0 = i, j
-            end_a, end_b = len(la[i]), len(lb[j])
-            i, j = i + 1, j + 1
-            while end_a != end_b:
-                if end_a < end_b:
-                    end_a += len(la[i])
-                    i += 1
-                else:
-                    end_b += len(lb[j])
-                    j += 1
-            groups += 1
-            if i - i0 == 1 and j - j0 == 1:
-                x, y = a[i0], b[j0]
-                text.append(f"{x}|{y}")
-                codes.append(x if self.same[x] == y else (x + 1) * WIDE + y)
-            else:
-                ga, gb = a[i0:i], b[j0:j]
-                text.append(f"{','.join(map(str, ga))}|{','.join(map(str, gb))}")
-                codes.extend(x if self.same[x] == y else (x + 1) * WIDE + y for x in ga for y in gb)
-        return len(a), len(b), groups, len(codes), ";".join(text), tuple(codes)
+    def learn(self, units: list[str]) -> dict[str, tuple | None]:
+        """Of each unit: (tokens of A, of B, groups, groups as text, codes of the links as bytes); None where bytes differ.
+
+        The units stand one behind the other, so their byte offsets are cut into groups in one go.
+        """
+        a = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
+        b = self.b.encode(units, num_threads=1)
+        raw = [(" " + u).encode() for u in units]
+        fine = [b"".join(map(self.a_bytes.__getitem__, x)) == t == b"".join(map(self.b_bytes.__getitem__, y)) for x, y, t in zip(a, b, raw)]
+        out: dict[str, tuple | None] = dict.fromkeys(compress(units, map(not_, fine)))
+        units, a, b, raw = (list(compress(v, fine)) for v in (units, a, b, raw))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(v), dtype=np.int64) for v in (a, b))
+        ends_a, ends_b = np.cumsum(self.a_size[ids_a]), np.cumsum(self.b_size[ids_b])
+        last_a, last_b = np.flatnonzero(np.isin(ends_a, ends_b, assume_unique=True)), np.flatnonzero(np.isin(ends_b, ends_a, assume_unique=True))
+        first_a, first_b = (np.concatenate([[0], v[:-1] + 1])[:len(v)] for v in (last_a, last_b))
+        n_a, n_b = last_a - first_a + 1, last_b - first_b + 1
+        number = self.numbers
+        text = [number[x] + "|" + number[y] for x, y in zip(ids_a[last_a].tolist(), ids_b[last_b].tolist())]
+        odd = np.flatnonzero((n_a > 1) | (n_b > 1))
+        of_a, of_b = ids_a.tolist(), ids_b.tolist()
+        for g, i, j, k, m in zip(*(v.tolist() for v in (odd, first_a[odd], last_a[odd], first_b[odd], last_b[odd]))):
+            text[g] = ",".join([number[x] for x in of_a[i:j + 1]]) + "|" + ",".join([number[y] for y in of_b[k:m + 1]])
+        links = np.cumsum(n_a * n_b)
+        group = np.repeat(np.arange(len(links)), n_a * n_b)
+        place = np.arange(len(group)) - (links - n_a * n_b)[group]
+        x, y = ids_a[first_a[group] + place // n_b[group]], ids_b[first_b[group] + place % n_b[group]]
+        codes = np.where(self.same[x] == y, x, (x + 1) * WIDE + y).tobytes()
+        upto = np.searchsorted(ends_a[last_a], np.cumsum([len(t) for t in raw]), side="right")
+        bytes_upto = (8 * np.concatenate([[0], links])[upto]).tolist()
+        g0 = c0 = 0
+        for u, x, y, g, c in zip(units, a, b, upto.tolist(), bytes_upto):
+            out[u] = (len(x), len(y), g - g0, ";".join(text[g0:g]), codes[c0:c])
+            g0, c0 = g, c
+        return out
 
     def documents(self, texts: list[str]) -> list[tuple]:
-        """The same of whole texts; the codes as one iterable."""
+        """(tokens of A, of B, groups, groups as text, codes of the links) of whole texts."""
         cut = [units_of(t) if t else [] for t in texts]
         new = list(self.kept.missing(set().union(*cut)))
         now = self.kept.now
-        a = self.a.encode_batch_fast([" " + u for u in new], add_special_tokens=False)
-        b = self.b.encode(new, num_threads=1)
-        for u, x, y in zip(new, a, b, strict=True):
-            now[u] = self.align(u, x.ids, y)
+        now.update(self.learn(new))
         out = []
         for units in cut:
             met = [now[u] for u in units]
             if not met or None in met:
                 out.append(NOTHING)
             else:
-                n_a, n_b, groups, links, text, codes = zip(*met, strict=True)
-                out.append((sum(n_a), sum(n_b), sum(groups), sum(links), ";".join(text), chain.from_iterable(codes)))
+                n_a, n_b, groups, text, codes = zip(*met)
+                out.append((sum(n_a), sum(n_b), sum(groups), ";".join(text), b"".join(codes)))
         for u in new:
             if len(u) > KEPT_CHARS:
                 del now[u]
@@ -174,9 +174,9 @@ class Block:
 
     def add(self, doc_id: int | None, size: int, found: tuple, vector: np.ndarray) -> None:
         *numbers, text, codes = found
-        code, times = np.unique(np.fromiter(codes, dtype=np.int64), return_counts=True)
+        code, times = np.unique(np.frombuffer(codes, dtype=np.int64), return_counts=True)
         vector[code[:np.searchsorted(code, WIDE)]] += 1
-        self.rows.append((doc_id, *numbers, hashlib.sha256(text.encode()).hexdigest() if text else ""))
+        self.rows.append((doc_id, *numbers, len(codes) // 8, hashlib.sha256(text.encode()).hexdigest() if text else ""))
         self.codes.append(code)
         self.times.append(times)
         self.size += size
