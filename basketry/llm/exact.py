@@ -132,7 +132,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     else:
         rows = rows.withColumn("split", F.lit(""))
     key = ["fp", "n_bytes", "split"]
-    order = F.struct("n_chars", F.col("doc_id").isNotNull().alias("known"), -F.col("doc_id"), -F.col("row_id"))
+    order = F.struct("n_chars", F.col("doc_id").isNotNull().alias("known"), F.bitwise_not("doc_id"), F.bitwise_not("row_id"))  # ~x: smaller first, for every long
     groups = common.stored(rows.groupBy(*key).agg(F.max(F.struct(order.alias("o"), "doc_id", "row_id")).alias("first"),
                                                   F.count(F.lit(1)).alias("group_size"))
                            .select(*key, F.col("first.doc_id").alias("keep_id"), F.col("first.row_id").alias("keep_row"), "group_size"))

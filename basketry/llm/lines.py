@@ -2,16 +2,16 @@
 
 Every three consecutive lines of a text are a window, known by a 128-bit hash.
 Windows that occur more than once are found globally; all occurrences but the
-first (by doc_id, then place) are later ones, and the lines they cover are
-merged and removed. Only DataFrame functions: hashes are counted with partial
+first (by doc_id, then row, then place) are later ones, and the lines they cover
+are merged and removed. Only DataFrame functions: hashes are counted with partial
 aggregation, and only repeated windows are joined back (two exchanged sides,
 so that a hot window is split by the skew join).
 
 Defined results: a null text counts as empty; a text has one line more than
 line feeds and is never dropped, though all its lines may go (an empty text is
-left); texts of fewer lines than a window stay; rows that repeat a doc_id and
-a text are one occurrence and get the same text; a null doc_id comes after all
-others; other columns do not matter; an empty table gives an empty result.
+left); texts of fewer lines than a window stay; rows that share a doc_id are
+documents of their own, in the order stored (so are rows without one, which come
+after all others); other columns do not matter; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,26 +24,26 @@ from basketry.llm import common
 
 def line_dedup(docs: DataFrame, window: int = 3) -> DataFrame:
     """One row per document: doc_id, text (what is left), n_lines, n_removed."""
-    own = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    # ids in order as one number, nulls last: the first occurrence is a minimum
-    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "at")
+    own = common.parked(docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+                        .withColumn("row_id", F.monotonically_increasing_id()))
+    # rows in order as one value, null ids last: the first occurrence is a minimum
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_id", "at")
 
     def hashed(at: Column) -> Column:
         near = [F.get("lines", at + i) for i in range(window)]
         return F.struct(at.alias("at"), F.xxhash64(*near).alias("h1"), F.xxhash64(F.lit("second"), *near[::-1]).alias("h2"))
 
     windows = common.stored(
-        own.select("doc_id", "text_hash", F.split("text", "\n").alias("lines")).where(F.size("lines") >= window)
-        .select("doc_id", "text_hash", F.explode(F.transform(F.sequence(F.lit(0), F.size("lines") - window), hashed)).alias("w"))
-        .select("doc_id", "text_hash", "w.at", "w.h1", "w.h2"))
+        own.select("doc_id", "row_id", F.split("text", "\n").alias("lines")).where(F.size("lines") >= window)
+        .select("doc_id", "row_id", F.explode(F.transform(F.sequence(F.lit(0), F.size("lines") - window), hashed)).alias("w"))
+        .select("doc_id", "row_id", "w.at", "w.h1", "w.h2"))
     repeated = common.stored(windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
-    later = windows.join(repeated, ["h1", "h2"]).where(place != F.col("first"))
-    covered = (later.select("doc_id", "text_hash", F.explode(F.sequence("at", F.col("at") + F.lit(window - 1))).alias("line"))
-               .groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("covered")))
-    covered = covered.select(F.col("doc_id").alias("covered_id"), F.col("text_hash").alias("covered_hash"), "covered")
+    later = windows.join(repeated, ["h1", "h2"]).where(F.struct("row_id", "at") != F.struct("first.row_id", "first.at"))
+    covered = (later.select("row_id", F.explode(F.sequence("at", F.col("at") + F.lit(window - 1))).alias("line"))
+               .groupBy("row_id").agg(F.collect_set("line").alias("covered")))
     lines = F.split("text", "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("covered"))
-    return (own.join(covered, F.col("doc_id").eqNullSafe(F.col("covered_id")) & (F.col("text_hash") == F.col("covered_hash")), "left")
+    return (own.join(covered, "row_id", "left")
             .select("doc_id",
                     F.when(F.col("covered").isNull(), F.col("text")).otherwise(
                         F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")).alias("text"),

@@ -36,19 +36,19 @@ from v left join n on v.vec_id = n.a left join r on v.vec_id = r.a
 
 OP4 = """
 with d as (
-  select doc_id, coalesce(text, '') as t, string_split(coalesce(text, ''), chr(10)) as l from documents
+  select row_number() over () as r, doc_id, coalesce(text, '') as t, string_split(coalesce(text, ''), chr(10)) as l from documents
 ), w as (
-  select doc_id, i, [l[i], l[i + 1], l[i + 2]] as k from d, unnest(range(1, len(l) - 1)) u(i)
+  select r, doc_id, i, [l[i], l[i + 1], l[i + 2]] as k from d, unnest(range(1, len(l) - 1)) u(i)
 ), f as (
-  select doc_id, i, row_number() over (partition by k order by doc_id, i) as nth from w
+  select r, i, row_number() over (partition by k order by doc_id nulls last, r, i) as nth from w
 ), c as (
-  select distinct doc_id, i + x as line from f, (values (0), (1), (2)) s(x) where nth > 1
+  select distinct r, i + x as line from f, (values (0), (1), (2)) s(x) where nth > 1
 ), g as (
-  select doc_id, list(line) as gone from c group by doc_id
+  select r, list(line) as gone from c group by r
 )
 select d.doc_id, case when gone is null then t else coalesce(array_to_string(list_filter(l, lambda x, i: not list_contains(gone, i)), chr(10)), '') end as text,
        len(l) as n_lines, coalesce(len(gone), 0) as n_removed
-from d left join g on d.doc_id = g.doc_id
+from d left join g on d.r = g.r
 """
 
 OP11 = """

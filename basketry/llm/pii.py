@@ -95,7 +95,7 @@ def base_spans(text: str) -> list[Span]:
 
 # Generators of high recall: each names the kind it proposes.
 AT = re.compile(r" ?(?:[\[({<] ?(?:at|@) ?[\])}>]|\bat\b|@) ?", re.I)
-SPELT_DOMAIN = re.compile(r"[A-Za-z0-9-]{1,63}(?:(?:\.| ?(?:[\[({<](?:dot|\.)[\])}>]|\bdot\b) ?)[A-Za-z0-9-]{1,63}){1,6}", re.I)
+SPELT_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:(?:\.| ?(?:[\[({<](?:dot|\.)[\])}>]|\bdot\b) ?)[A-Za-z0-9-]+)+", re.I)
 QUAD = re.compile(r"(?<![0-9])[0-9]{1,3}(?: ?(?:\.|\[\.\]|\(\.\)|,|:) ?[0-9]{1,3}){3}(?![0-9])")
 GROUP = re.compile(r"(?<![0-9A-Za-z])[0-9]{1,19}(?![0-9A-Za-z])")
 SEPARATOR = r"\)?[ ./()‐-–-]{1,3}"
@@ -106,11 +106,15 @@ DIGIT = re.compile("[0-9]")
 
 
 def spelt(text: str) -> Iterator[Span]:
-    """Addresses written out, from each "at" outwards."""
+    """Addresses written out, from each "at" outwards; runs are read whole, and no run twice."""
+    before, known = 0, 0  # the last "at", and where the run of letters that ends there starts
     for m in AT.finditer(text):
         start = m.start()
-        while start and text[start - 1] in LOCAL and m.start() - start < 64:
+        while start > before and text[start - 1] in LOCAL:
             start -= 1
+        if start == before:
+            start = known
+        before, known = m.start(), start
         domain = SPELT_DOMAIN.match(text, m.end()) if start < m.start() else None
         if domain:
             yield 0, start, domain.end()

@@ -141,15 +141,13 @@ def test_fingerprints_compose():
 
 def plain_lines(rows):
     cut = [(d, (t or "").split("\n")) for d, t in rows]
-    order = sorted({(d is None, d or 0, i, tuple(x[i:i + 3])) for d, x in cut for i in range(len(x) - 2)})
-    first = {}
-    for unknown, d, i, w in order:
-        first.setdefault(w, (unknown, d, i))
-    out = []
-    for d, x in cut:
-        gone = {j for i in range(len(x) - 2) if first[tuple(x[i:i + 3])] != (d is None, d or 0, i) for j in range(i, i + 3)}
-        out.append((d, "\n".join(v for j, v in enumerate(x) if j not in gone), len(x), len(gone)))
-    return Counter(out)
+    first, gone = {}, [set() for _ in cut]
+    for r in sorted(range(len(cut)), key=lambda r: (cut[r][0] is None, cut[r][0] or 0, r)):
+        x = cut[r][1]
+        for i in range(len(x) - 2):
+            if first.setdefault(tuple(x[i:i + 3]), (r, i)) != (r, i):
+                gone[r].update(range(i, i + 3))
+    return Counter((d, "\n".join(v for j, v in enumerate(x) if j not in g), len(x), len(g)) for (d, x), g in zip(cut, gone))
 
 
 def test_line_dedup(spark):
@@ -161,6 +159,22 @@ def test_line_dedup(spark):
     assert Counter(map(tuple, lines.line_dedup(docs).collect())) == plain_lines([tuple(r) for r in docs.collect()])
 
 
+def test_line_dedup_of_rows_that_share_an_id_or_have_none(spark):
+    """Each row is a document: of two rows with one id, or without one, the second loses the shared lines."""
+    rows = [(8, "a\nb\nc\nmine"), (8, "a\nb\nc\nother"), (None, "d\ne\nf\n1"), (None, "d\ne\nf\n2"), (-2**63, "g\nh\ni"), (2**63 - 1, "g\nh\ni"),
+            (5, "k\nl\nm"), (5, "k\nl\nm")]
+    got = Counter(map(tuple, lines.line_dedup(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()))
+    assert got == plain_lines(rows)
+    assert sorted(n for _, _, _, n in got.elements()) == [0, 0, 0, 0, 3, 3, 3, 3]
+
+
+def test_exact_dedup_of_extreme_ids(spark):
+    rows = [(-2**63, "same text"), (2**63 - 1, "sametext"), (-2**63, "same  text"), (0, "other"), (-1, "other"), (None, "other")]
+    got = exact.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in got} == {(-2**63, -2**63, 3), (2**63 - 1, -2**63, 3), (0, -1, 3), (-1, -1, 3), (None, -1, 3)}
+    assert sum(r.kept for r in got) == 2
+
+
 def check_embeddings(rows, out, least=0.93):
     fine = [v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v) and lab is not None and i is not None for i, v, lab in rows]
     pairs = []

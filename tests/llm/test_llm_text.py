@@ -384,3 +384,12 @@ def test_the_license_scan_runs_no_python(spark):
 
 def test_the_odd_texts_are_odd():
     assert None in TEXTS and "" in TEXTS and max(len(t or "") for t in TEXTS) > 200_000
+
+
+def test_spelt_addresses_are_read_whole():
+    """Long local parts and domains of many labels are not cut; many "at"s in one run are read once."""
+    local, domain = "x" * 70 + ".y", ".".join(["l" * 70] * 9)
+    for text in (f"write to {local} at {domain} now", f"{local} (at) {domain}"):
+        assert [text[a:b] for _, a, b in pii.spelt(text) if text[a:b].startswith("x")] == [text[text.index("x"):text.index(domain) + len(domain)]]
+    assert list(pii.spelt("at." * 200_000)) == []
+    assert [s[1:] for s in pii.spelt("joe.smith at mail dot com")] == [(0, 25)]
