@@ -12,12 +12,9 @@ from pyspark.sql import functions as F
 
 from basketry.functions.columns import (epoch_millis, iso_instant, parse_long, parse_uuid, qr_sign,
                                         qr_verify)
-from basketry.operators.scan import key_time, materialize, order_key, prev_value
-from basketry.schemas import DEFAULTS, QR_TTL, SESSION_TTL, TERMINAL_STATES, edges_df
-
-
-def _k() -> Column:
-    return order_key("event_time", "event_id")
+from basketry.operators.scan import materialize, order_key, prev_value
+from basketry.operators.replay import replay
+from basketry.schemas import DEFAULTS, QR_TTL, SESSION_EDGES, SESSION_STATES, SESSION_TTL, TERMINAL_STATES, edges_df
 
 
 # --- T1 / U2 / W4: edges --------------------------------------------------------------
@@ -50,60 +47,12 @@ def illegal_edges(spark: SparkSession, pairs: DataFrame) -> DataFrame:
 
 # --- T2: replay ---------------------------------------------------------------------------
 
-def replay_milestones(log: DataFrame) -> DataFrame:
-    """Per session the accepted command keys (time, id) of each step.
-
-    The machine only moves forward (CREATED -> ACTIVE -> PAYING -> COMPLETED,
-    CANCELLED from any live state), so the fold has a closed form: the
-    accepted ACTIVE is the first ACTIVE; PAYING the first after it; COMPLETED
-    the first after that; CANCELLED the first cancel; each is accepted only if
-    it comes before the state turned terminal. Each step is a grouped ``min``
-    (partial aggregation: a hot session is pre-aggregated map-side) — no
-    per-session list is gathered."""
-    k = _k()
-    s1 = log.groupBy("session_id").agg(
-        F.min(F.when(F.col("target") == "ACTIVE", k)).alias("tA"),
-        F.min(F.when(F.col("target") == "CANCELLED", k)).alias("tX"))
-    pay = (log.where(F.col("target") == "PAYING").join(s1.select("session_id", "tA"), "session_id")
-              .where(k > F.col("tA")).groupBy("session_id").agg(F.min(k).alias("tP")))
-    comp = (log.where(F.col("target") == "COMPLETED").join(pay, "session_id")
-               .where(k > F.col("tP")).groupBy("session_id").agg(F.min(k).alias("tC")))
-    m = s1.join(pay, "session_id", "left").join(comp, "session_id", "left")
-    before_x = lambda t: F.when(F.col("tX").isNull() | (F.col(t) < F.col("tX")), F.col(t))
-    return m.select(
-        "session_id",
-        before_x("tA").alias("aA"), before_x("tP").alias("aP"), before_x("tC").alias("aC"),
-        F.when(F.col("tC").isNull() | (F.col("tX") < F.col("tC")), F.col("tX")).alias("aX"))
-
-
-def _state_before(k: Column) -> Column:
-    return (F.when(F.col("aX") < k, "CANCELLED").when(F.col("aC") < k, "COMPLETED")
-            .when(F.col("aP") < k, "PAYING").when(F.col("aA") < k, "ACTIVE").otherwise("CREATED"))
-
-
-def _final_state() -> Column:
-    return (F.when(F.col("aX").isNotNull(), "CANCELLED").when(F.col("aC").isNotNull(), "COMPLETED")
-            .when(F.col("aP").isNotNull(), "PAYING").when(F.col("aA").isNotNull(), "ACTIVE")
-            .otherwise("CREATED"))
-
-
 def session_replay(log: DataFrame) -> DataFrame:
     """Per command the state before it, accepted or not (rejected ones leave
-    the state unchanged), the state after it, and the session's final state."""
-    m = replay_milestones(log)
-    j = log.join(m, "session_id")
-    k = _k()
-    t = F.col("target")
-    accepted = F.coalesce(
-        ((t == "ACTIVE") & (k == F.col("aA"))) | ((t == "PAYING") & (k == F.col("aP")))
-        | ((t == "COMPLETED") & (k == F.col("aC"))) | ((t == "CANCELLED") & (k == F.col("aX"))),
-        F.lit(False))
-    before = _state_before(k)
-    return j.select(
-        "event_id", "event_time", "session_id", "user_id", "target",
-        before.alias("from_state"), accepted.alias("accepted"),
-        F.when(accepted, t).otherwise(before).alias("to_state"),
-        _final_state().alias("final_state"))
+    the state unchanged), the state after it, and the session's final state.
+    One pass over the log: see ``operators/replay.py``."""
+    return replay(log, "session_id", "target", SESSION_STATES, SESSION_EDGES).select(
+        "event_id", "event_time", "session_id", "user_id", "target", "from_state", "accepted", "to_state", "final_state")
 
 
 def transition_audit(log: DataFrame) -> DataFrame:
@@ -144,11 +93,11 @@ def state_dwell_time(audit: DataFrame) -> DataFrame:
 def stuck_payments(log: DataFrame, as_of: str, older_than: str = "15 minutes") -> DataFrame:
     """Sessions whose last state is PAYING, entered more than ``older_than``
     before ``as_of`` (payment is two transactions, so PAYING can stick)."""
-    m = replay_milestones(log)
     cut = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {older_than}")
-    return (m.where(F.col("aP").isNotNull() & F.col("aC").isNull() & F.col("aX").isNull()
-                    & (key_time(F.col("aP")) < cut))
-             .select("session_id", key_time(F.col("aP")).alias("paying_since")))
+    entered = session_replay(log).where(F.col("accepted") & (F.col("to_state") == "PAYING") & (F.col("final_state") == "PAYING"))
+    # the last entry counts, also where an edge table lets a session come back
+    last = entered.groupBy("session_id").agg(F.max("event_time").alias("paying_since"))
+    return last.where(F.col("paying_since") < cut).select("session_id", "paying_since")
 
 
 def payment_receipts(log: DataFrame, secret: str) -> DataFrame:
