@@ -3,13 +3,13 @@ gateway routing, error maps and outcome counts."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import email_ok, is_blank, length_between
+from basketry.operators.scan import materialize
 from basketry.schemas import (DEFAULT_ROLE, GRANT_RULES, OPEN_PATHS, PRIVILEGES, error_codes_df, literal_df,
                               privileges_df, roles_df)
-from basketry.session import checkpoint_root
 
 # field rules of a registration, in annotation order: (field, failed-when, message)
 _SIZE = "size must be between {} and {}"
@@ -93,61 +93,76 @@ def lookup_by_key(requests: DataFrame, request_key: str, table: DataFrame, key:
             .select(F.lit(name).alias("lookup"), "request_key", F.coalesce("_hit", F.lit(False)).alias("found")))
 
 
+def _first_two(rows: DataFrame, key: str) -> DataFrame:
+    """(key, first, second): the two smallest request ids of each key; a hot key is cut to two rows before the exchange."""
+    w = Window.partitionBy(key).orderBy("request_id")
+    two = rows.select(key, "request_id").withColumn("_n", F.row_number().over(w)).where("_n <= 2")
+    return two.groupBy(key).agg(F.min(F.when(F.col("_n") == 1, F.col("request_id"))).alias(f"{key}_1"),
+                                F.min(F.when(F.col("_n") == 2, F.col("request_id"))).alias(f"{key}_2"))
+
+
+def _accepted(open_rows: DataFrame) -> list[DataFrame]:
+    """The sign-ups that are registered of rows (request_id, email, username) that
+    collide with each other only, as parts.
+
+    A row waits for earlier undecided rows of its e-mail and of its user name. A
+    row that waits for none is registered. A row that waits for exactly one is
+    registered if and only if that one is not, so along a chain of such rows
+    the fate alternates: the distance to the chain's head is found by pointer
+    doubling, in as many joins as the log of the longest chain. Rows that wait
+    for several come in the next round; most have lost to a decided row by then."""
+    parts: list[DataFrame] = []
+    rid = F.col("request_id")
+    while not open_rows.isEmpty():
+        j = open_rows.join(_first_two(open_rows, "email"), "email").join(_first_two(open_rows, "username"), "username")
+        first = {k: rid == F.col(f"{k}_1") for k in ("email", "username")}
+        second = {k: rid == F.col(f"{k}_2") for k in ("email", "username")}
+        one = (F.when(first["email"] & second["username"], F.col("username_1")).when(second["email"] & first["username"], F.col("email_1"))
+               .when(second["email"] & second["username"] & (F.col("email_1") == F.col("username_1")), F.col("email_1")))
+        nodes = materialize(j.select("request_id", "email", "username", (first["email"] & first["username"]).alias("_head"), one.alias("_to")))
+        heads = nodes.where("_head").select("request_id", "email", "username")
+        links = nodes.where("_to is not null").select("request_id", "email", "username", "_to", F.lit(1).alias("_odd"))
+        moving = not links.isEmpty()
+        while moving:
+            step = links.select(F.col("request_id").alias("_to"), F.col("_to").alias("_next"), F.col("_odd").alias("_more"))
+            links = materialize(links.join(step, "_to", "left").select(
+                "request_id", "email", "username", F.coalesce("_next", "_to").alias("_to"),
+                ((F.col("_odd") + F.coalesce("_more", F.lit(0))) % 2).alias("_odd"), F.col("_next").isNotNull().alias("_moved")))
+            moving = not links.where("_moved").isEmpty()
+        settled = links.join(heads.select(F.col("request_id").alias("_to")), "_to", "left_semi")
+        new = materialize(heads.unionByName(settled.where("_odd = 0").select("request_id", "email", "username")))
+        parts.append(new)
+        rest = nodes.where("not _head").select("request_id", "email", "username")
+        rest = rest.join(settled.where("_odd = 1").select("request_id"), "request_id", "left_anti")
+        open_rows = materialize(rest.join(new.select("email"), "email", "left_anti").join(new.select("username"), "username", "left_anti"))
+    return parts
+
+
 def registration_outcomes(spark: SparkSession, req: DataFrame, users: DataFrame) -> DataFrame:
     """P12 core: outcome per sign-up, processed in request order as the service
     does: invalid -> 400; e-mail taken (existing user, or an earlier sign-up
     of this batch that was registered) -> 409; then user name taken -> 409;
     else registered.
 
-    Exact and distributed: each round settles only rows whose fate is certain
-    — rejections against already registered rows, then acceptance of rows that
-    come first, among the undecided, for both their e-mail and user name. The
-    earliest undecided row is always settled, so the loop ends. A round reads
-    only the still-undecided rows and the registered ones (settled rows never
-    change), with grouped ``min`` aggregates and joins; each round is
-    checkpointed to the shared checkpoint folder so the lineage stays short."""
-    checkpoint_root(spark)
+    Exact and distributed: rows that stored users decide are settled first, the
+    registered ones among the rest are found by ``_accepted``, and one join with
+    those gives every refused row its reason."""
     v = validate_requests(req).select("request_id", "email", "username", "valid")
-    ex_e = users.select(F.col("email")).distinct().withColumn("email_exists", F.lit(True))
-    ex_u = users.select(F.col("username")).distinct().withColumn("username_exists", F.lit(True))
-    r = (v.join(ex_e, "email", "left").join(ex_u, "username", "left")
-          .select("request_id", "email", "username",
-                  F.coalesce(F.col("username_exists"), F.lit(False)).alias("user_exists"),
-                  F.when(~F.col("valid"), "invalid")
-                   .when(F.col("email_exists"), "email_taken").alias("outcome")))
-    r = r.checkpoint()
-    settled = [r.where(F.col("outcome").isNotNull()).drop("user_exists")]
-    und = r.where(F.col("outcome").isNull())
-    accepted = None
-    rid = F.col("request_id")
-    while und.limit(1).count() > 0:
-        und_e = und.groupBy("email").agg(F.min("request_id").alias("und_e"))
-        und_u = und.groupBy("username").agg(F.min("request_id").alias("und_u"))
-        j = und.join(und_e, "email", "left").join(und_u, "username", "left")
-        if accepted is not None:
-            acc_e = accepted.groupBy("email").agg(F.min("request_id").alias("acc_e"))
-            acc_u = accepted.groupBy("username").agg(F.min("request_id").alias("acc_u"))
-            j = j.join(acc_e, "email", "left").join(acc_u, "username", "left")
-        else:
-            j = j.withColumn("acc_e", F.lit(None).cast("long")).withColumn("acc_u", F.lit(None).cast("long"))
-        email_hit = F.coalesce(F.col("acc_e") < rid, F.lit(False))
-        user_hit = F.coalesce(F.col("acc_u") < rid, F.lit(False)) | F.col("user_exists")
-        email_open = F.coalesce(F.col("und_e") < rid, F.lit(False))
-        first_both = (F.col("und_e") == rid) & (F.col("und_u") == rid)
-        decided = (F.when(email_hit, "email_taken")
-                   .when(user_hit & ~email_open, "username_taken")
-                   .when(first_both & ~user_hit, "registered"))
-        step = j.select("request_id", "email", "username", "user_exists", decided.alias("outcome")).checkpoint()
-        now = step.where(F.col("outcome").isNotNull()).drop("user_exists")
-        settled.append(now)
-        new_acc = now.where(F.col("outcome") == "registered").select("request_id", "email", "username")
-        # a union of checkpointed round results: shallow lineage, no extra job
-        accepted = new_acc if accepted is None else accepted.unionByName(new_acc)
-        und = step.where(F.col("outcome").isNull())
-    out = settled[0]
-    for d in settled[1:]:
-        out = out.unionByName(d)
-    return out
+    ex_e = users.select("email").distinct().withColumn("email_exists", F.lit(True))
+    ex_u = users.select("username").distinct().withColumn("username_exists", F.lit(True))
+    r = materialize(v.join(ex_e, "email", "left").join(ex_u, "username", "left"))
+    known = F.when(~F.col("valid"), "invalid").when(F.col("email_exists"), "email_taken")
+    open_rows = r.where(known.isNull() & F.col("username_exists").isNull()).select("request_id", "email", "username")
+    registered = None
+    for part in _accepted(open_rows):
+        registered = part if registered is None else registered.unionByName(part)
+    if registered is None:
+        registered = open_rows.where("false")
+    by_email = registered.select("email", F.col("request_id").alias("_email_of"))
+    mine = registered.select("request_id", F.lit(True).alias("_mine"))
+    j = r.join(by_email, "email", "left").join(mine, "request_id", "left")
+    outcome = (known.when(F.col("_mine"), "registered").when(F.col("_email_of") < F.col("request_id"), "email_taken").otherwise("username_taken"))
+    return j.select("request_id", "email", "username", outcome.alias("outcome"))
 
 
 def registration_conflicts(spark: SparkSession, req: DataFrame, users: DataFrame) -> DataFrame:
