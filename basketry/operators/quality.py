@@ -6,79 +6,115 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.columns import email_ok
-from basketry.schemas import QR_STATUSES, QR_TYPES, SESSION_STATES
-
-
-def unique_violations(keys: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
-    """Q1: values that occur more than once under each declared unique key.
-    One two-phase grouped count per key, unioned."""
-    out = None
-    for name, (df, cols) in keys.items():
-        k = F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
-        g = (df.select(k.alias("key_value")).groupBy("key_value").agg(F.count(F.lit(1)).alias("n"))
-               .where(F.col("n") > 1).withColumn("constraint_name", F.lit(name)))
-        out = g if out is None else out.unionByName(g)
-    return out
+from basketry.operators.scan import materialize
+from basketry.schemas import DOMAINS, FOREIGN_KEYS, ROW_KEYS, UNIQUE_KEYS
 
 
-def fk_orphans(fks: dict[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """Q2: child keys whose parent is missing, with their row counts. The child
-    is counted per key first (map-side combine), then one anti join per key
-    keeps those without a parent; the parent needs no distinct for that."""
-    out = None
-    for name, (child, ck, parent, pk) in fks.items():
-        keys = (child.select(F.col(ck).alias("_ck")).where(F.col("_ck").isNotNull())
-                     .groupBy("_ck").agg(F.count(F.lit(1)).alias("n_rows")))
-        g = (keys.join(parent.select(F.col(pk).alias("_pk")), F.col("_ck") == F.col("_pk"), "left_anti")
-                 .select(F.lit(name).alias("fk_name"), F.col("_ck").cast("string").alias("child_key"), "n_rows"))
-        out = g if out is None else out.unionByName(g)
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 
-def _len_over(c: str, n: int) -> Column:
-    return F.coalesce(F.char_length(F.col(c)) > n, F.lit(False))
-
-
-def domain_violations(catalog: DataFrame, sessions: DataFrame, qr: DataFrame, users: DataFrame) -> DataFrame:
-    """Q3: NOT NULL, length, enum and range rules as one rule column per table,
-    turned into long form (table, row key, rule) for the rows that fail."""
-    specs = [
-        ("products", catalog, "barcode", [
-            ("barcode_not_null", F.col("barcode").isNull()),
-            ("barcode_len_14", _len_over("barcode", 14)),
-            ("name_not_null", F.col("name").isNull()),
-            ("name_len_255", _len_over("name", 255)),
-            ("brand_len_150", _len_over("brand", 150)),
-            ("currency_len_3", _len_over("currency_code", 3)),
-            ("nutriscore_len_1", _len_over("nutriscore_grade", 1)),
-            ("price_range", F.coalesce((F.col("price") < 0) | (F.col("price") >= F.lit(10 ** 15)), F.lit(True))),
-        ]),
-        ("shopping_sessions", sessions, "session_id", [
-            ("status_enum", ~F.coalesce(F.col("status").isin(*SESSION_STATES), F.lit(False))),
-            ("status_len_16", _len_over("status", 16)),
-            ("user_not_null", F.col("user_id").isNull()),
-        ]),
-        ("qr_tokens", qr, "correlation_id", [
-            ("status_enum", ~F.coalesce(F.col("status").isin(*QR_STATUSES), F.lit(False))),
-            ("type_enum", ~F.coalesce(F.col("token_type").isin(*QR_TYPES), F.lit(False))),
-            ("correlation_len_36", _len_over("correlation_id", 36)),
-            ("payload_not_null", F.col("payload").isNull()),
-        ]),
-        ("users", users, "id", [
-            ("email_len_100", _len_over("email", 100)),
-            ("username_len_50", _len_over("username", 50)),
-            ("email_not_null", F.col("email").isNull()),
-            ("email_format", ~F.coalesce(email_ok("email"), F.lit(False))),
-        ]),
-    ]
-    out = None
-    for table, df, key, rules in specs:
-        failed = F.filter(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules]), lambda x: x.isNotNull())
-        d = (df.select(F.col(key).cast("string").alias("row_key"), F.explode(failed).alias("rule"))
-               .withColumn("table_name", F.lit(table)))
-        out = d if out is None else out.unionByName(d)
-    return out
+def _row_key(table: str) -> Column:
+    return F.concat_ws("|", *[F.col(c).cast("string") for c in ROW_KEYS.get(table, ["id"])])
+
+
+def unique_violations(tables: dict[str, DataFrame], keys: dict[str, dict[str, list[str]]] = UNIQUE_KEYS) -> DataFrame:
+    """Q1: values that occur more than once under a declared unique key.
+
+    Each row is expanded to its (constraint, key) pairs, so all keys of a table
+    take one scan, and all tables one exchange of partial counts. As in SQL, a
+    key with a null in it equals nothing."""
+    parts = []
+    for table, named in keys.items():
+        pairs = []
+        for name, cols in named.items():
+            whole = F.lit(True)
+            for c in cols:
+                whole = whole & F.col(c).isNotNull()
+            pairs.append(F.when(whole, F.struct(F.lit(name).alias("constraint_name"), F.array(*[F.col(c).cast("string") for c in cols]).alias("key"))))
+        parts.append(tables[table].select(F.explode(F.array(*pairs)).alias("p")).where("p is not null").select("p.constraint_name", "p.key"))
+    g = _union(parts).groupBy("constraint_name", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return g.select("constraint_name", F.concat_ws("|", "key").alias("key_value"), "n")
+
+
+def fk_orphans(tables: dict[str, DataFrame], fks=FOREIGN_KEYS) -> DataFrame:
+    """Q2: child keys whose parent is missing, with their row counts.
+
+    Every row names the keys it offers as a parent and those it refers to as a
+    child; both sides of all foreign keys are counted together per referred key
+    (combined on the map side), so each table is scanned once and a hot key is
+    one row per map task. Null references are no orphans."""
+    parts = []
+    for table, df in tables.items():
+        offers = sorted({(p, pc) for _, _, p, pc, _ in fks if p == table})
+        refers = [(c, p, pc) for t, c, p, pc, _ in fks if t == table]
+        pairs = [F.struct(F.lit(f"{p}.{pc}").alias("ref"), F.lit(None).cast("string").alias("fk_name"), F.col(pc).cast("string").alias("key")) for p, pc in offers]
+        pairs += [F.struct(F.lit(f"{p}.{pc}").alias("ref"), F.lit(f"{table}.{c}").alias("fk_name"), F.col(c).cast("string").alias("key")) for c, p, pc in refers]
+        if pairs:
+            parts.append(df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where("key is not null"))
+    counted = _union(parts).groupBy("ref", "key", "fk_name").agg(F.count(F.lit(1)).alias("n"))
+    keys = counted.groupBy("ref", "key").agg(F.max(F.col("fk_name").isNull()).alias("_held"),
+                                             F.collect_list(F.struct("fk_name", "n")).alias("_by"))  # one per foreign key
+    return (keys.where("not _held").select("key", F.explode("_by").alias("b"))
+            .select("b.fk_name", F.col("key").alias("child_key"), F.col("b.n").alias("n_rows")))
+
+
+def domain_violations(tables: dict[str, DataFrame], domains: dict = DOMAINS) -> DataFrame:
+    """Q3: NOT NULL, length, allowed-value and range rules of every table, as one
+    projection per table turned into long form (table, row key, rule)."""
+    parts = []
+    for table, columns in domains.items():
+        rules = []
+        for c, (required, longest, allowed, least) in columns.items():
+            col = F.col(c)
+            if required:
+                rules.append((f"{c}_not_null", col.isNull()))
+            if longest:
+                rules.append((f"{c}_len_{longest}", F.char_length(col) > longest))
+            if allowed:
+                rules.append((f"{c}_enum", ~col.isin(*allowed)))
+            if least is not None:
+                rules.append((f"{c}_range", col < least))
+        failed = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules]))
+        parts.append(tables[table].select(F.lit(table).alias("table_name"), _row_key(table).alias("row_key"), F.explode(failed).alias("rule")))
+    return _union(parts)
+
+
+def cascade(tables: dict[str, DataFrame], deleted: dict[str, DataFrame], fks=FOREIGN_KEYS) -> DataFrame:
+    """(table_name, row_key) of every row that goes when rows are deleted, along
+    the foreign keys that delete children with their parents, to the fixpoint.
+
+    ``deleted``: of some tables, the values of ``id`` to delete. Each round
+    follows the rows found in the round before; a chain of any length ends, a
+    cycle too. Keys without rows in the graph cost nothing."""
+    edges = [f for f in fks if f[4]]
+    names = {t for f in edges for t in (f[0], f[2])} | set(deleted)
+    rows = {}
+    for t in sorted(names & set(tables)):
+        used = sorted({f[1] for f in edges if f[0] == t} | {f[3] for f in edges if f[2] == t} | ({"id"} if t in deleted else set()))
+        rows[t] = materialize(tables[t].select(*used, _row_key(t).alias("row_key")).withColumn("_row", F.monotonically_increasing_id()))
+    front = {t: rows[t].join(ids.select("id").distinct(), "id", "left_semi") for t, ids in deleted.items()}
+    gone: dict[str, list[DataFrame]] = {t: [] for t in rows}
+    while front:
+        new: dict[str, list[DataFrame]] = {}
+        for t, found in front.items():
+            gone[t].append(found)
+            for child, col, parent, pcol, _ in edges:
+                if parent == t and child in rows:
+                    keys = found.select(F.col(pcol).alias("_key")).distinct()
+                    new.setdefault(child, []).append(rows[child].join(keys, F.col(col) == F.col("_key"), "left_semi"))
+        front = {}
+        for t, found in new.items():
+            fresh = _union(found).dropDuplicates(["_row"])
+            if gone[t]:
+                fresh = fresh.join(_union(gone[t]).select("_row"), "_row", "left_anti")
+            fresh = materialize(fresh)
+            if not fresh.isEmpty():
+                front[t] = fresh
+    return _union([g.select(F.lit(t).alias("table_name"), "row_key") for t, found in gone.items() for g in found])
 
 
 def schema_evolve(landed: DataFrame) -> DataFrame:

@@ -1012,58 +1012,50 @@ from catalog group by aisle_number, category""")
 
 # --- quality, scans and topics -------------------------------------------------------
 
-_UQ = [("users.email", "users", "cast(email as varchar)"), ("users.username", "users", "cast(username as varchar)"),
-       ("refresh_tokens.token_hash", "tokens", "sha256(token)"), ("products.barcode", "catalog", "barcode"),
-       ("cart_items.session_product", "cart_lines", "cast(session_id as varchar) || '|' || barcode"),
-       ("qr_tokens.correlation_id", "qr_tokens", "correlation_id"),
-       ("categories.name", "(select distinct category from catalog)", "category"),
-       ("users_roles.user_role", "users", "concat_ws('|', cast(id as varchar), role)"),
-       ("gate_tokens.correlation_id", "gate_tokens", "correlation_id")]
-sql("unique_violations", "\nunion all\n".join(
-    f"select {e} as key_value, count(*) as n, '{n}' as constraint_name from {t} group by 1 having count(*) > 1"
-    for n, t, e in _UQ))
-
-_FK = [("cart_events.barcode", "(select * from cart_events where kind in ('ADD', 'REMOVE'))", "barcode",
-        "catalog", "barcode"),
-       ("cart_lines.barcode", "cart_lines", "barcode", "catalog", "barcode"),
-       ("cart_lines.session_id", "cart_lines", "session_id", "sessions", "session_id"),
-       ("qr_tokens.session_id", "qr_tokens", "session_id", "sessions", "session_id"),
-       ("refresh_tokens.user_id", "tokens", "user_id", "users", "id"),
-       ("sessions.user_id", "sessions", "user_id", "users", "id"),
-       ("scan_requests.barcode", "barcode_requests", "barcode", "catalog", "barcode"),
-       ("gate_tokens.session_id", "gate_tokens", "session_id", "gate_sessions", "session_id"),
-       ("owner_requests.session_id", "owner_requests", "session_id", "sessions", "session_id")]
-sql("fk_orphans", "\nunion all\n".join(
-    f"select '{n}' as fk_name, cast(c.{ck} as varchar) as child_key, count(*) as n_rows from {child} c "
-    f"where c.{ck} is not null and not exists (select 1 from {parent} p where p.{pk} = c.{ck}) group by c.{ck}"
-    for n, child, ck, parent, pk in _FK))
-
-
-def _lo(c: str, n: int) -> str:
-    return f"coalesce(length({c}) > {n}, false)"
-
-
-_DOM = [
-    ("products", "catalog", "barcode", [
-        ("barcode_not_null", "barcode is null"), ("barcode_len_14", _lo("barcode", 14)),
-        ("name_not_null", "name is null"), ("name_len_255", _lo("name", 255)), ("brand_len_150", _lo("brand", 150)),
-        ("currency_len_3", _lo("currency_code", 3)), ("nutriscore_len_1", _lo("nutriscore_grade", 1)),
-        ("price_range", "coalesce(price < 0 or price >= 1000000000000000, true)")]),
-    ("shopping_sessions", "sessions", "session_id", [
-        ("status_enum", "not coalesce(status in ('CREATED', 'ACTIVE', 'PAYING', 'COMPLETED', 'CANCELLED'), false)"),
-        ("status_len_16", _lo("status", 16)), ("user_not_null", "user_id is null")]),
-    ("qr_tokens", "qr_tokens", "correlation_id", [
-        ("status_enum", "not coalesce(status in ('ACTIVE', 'USED', 'EXPIRED', 'REVOKED'), false)"),
-        ("type_enum", "not coalesce(token_type in ('ENTRY', 'EXIT'), false)"),
-        ("correlation_len_36", _lo("correlation_id", 36)), ("payload_not_null", "payload is null")]),
-    ("users", "users", "id", [
-        ("email_len_100", _lo("email", 100)), ("username_len_50", _lo("username", 50)),
-        ("email_not_null", "email is null"),
-        ("email_format", f"not coalesce({_EMAIL_OK}, false)")]),
-]
-sql("domain_violations", "\nunion all\n".join(
-    f"select cast({key} as varchar) as row_key, '{rule}' as rule, '{table}' as table_name from {src} where {cond}"
-    for table, src, key, rules in _DOM for rule, cond in rules))
+from basketry.schemas import DOMAINS as _DOMAINS, FOREIGN_KEYS as _FKS, ROW_KEYS as _ROW_KEYS, UNIQUE_KEYS as _UNIQUE  # noqa: E402
+from basketry.sources.relations import relation_ctes as _relation_ctes  # noqa: E402
+
+
+def _row_key_sql(table: str) -> str:
+    return "concat_ws('|', " + ", ".join(f"cast({c} as varchar)" for c in _ROW_KEYS.get(table, ["id"])) + ")"
+
+
+def _rules_sql(table: str) -> str:
+    rules = []
+    for c, (required, longest, allowed, least) in _DOMAINS[table].items():
+        rules += [(f"{c}_not_null", f"{c} is null")] if required else []
+        rules += [(f"{c}_len_{longest}", f"length({c}) > {longest}")] if longest else []
+        rules += [(f"{c}_enum", f"{c} not in ({', '.join(repr(x) for x in allowed)})")] if allowed else []
+        rules += [(f"{c}_range", f"{c} < {least}")] if least is not None else []
+    return "\nunion all\n".join(f"select '{table}' as table_name, {_row_key_sql(table)} as row_key, '{r}' as rule from rel_{table} where {cond}"
+                                for r, cond in rules)
+
+
+sql("unique_violations", f"with {_relation_ctes()}\n" + "\nunion all\n".join(
+    f"select '{name}' as constraint_name, concat_ws('|', {', '.join(f'cast({c} as varchar)' for c in cols)}) as key_value, count(*) as n "
+    f"from rel_{t} where {' and '.join(f'{c} is not null' for c in cols)} group by {', '.join(cols)} having count(*) > 1"
+    for t, named in _UNIQUE.items() for name, cols in named.items()))
+
+sql("fk_orphans", f"with {_relation_ctes()}\n" + "\nunion all\n".join(
+    f"select '{c}.{col}' as fk_name, cast(x.{col} as varchar) as child_key, count(*) as n_rows from rel_{c} x "
+    f"where x.{col} is not null and not exists (select 1 from rel_{p} y where y.{pcol} = x.{col}) group by x.{col}"
+    for c, col, p, pcol, _ in _FKS))
+
+sql("domain_violations", f"with {_relation_ctes()}\n" + "\nunion all\n".join(_rules_sql(t) for t in _DOMAINS))
+
+sql("cascade_graph", f"""
+with {_relation_ctes()},
+u as (select * from rel_users where email is null or not contains(email, '@')),
+r as (select * from rel_roles where id % 9 = 0),
+p as (select * from rel_privileges where id % 4 = 2)
+select 'users' as table_name, cast(id as varchar) as row_key from u
+union all select 'roles', cast(id as varchar) from r
+union all select 'privileges', cast(id as varchar) from p
+union all select 'users_roles', {_row_key_sql('users_roles')} from rel_users_roles
+  where user_id in (select id from u) or role_id in (select id from r)
+union all select 'roles_privileges', {_row_key_sql('roles_privileges')} from rel_roles_privileges
+  where role_id in (select id from r) or privilege_id in (select id from p)
+union all select 'refresh_tokens', cast(id as varchar) from rel_refresh_tokens where user_id in (select id from u)""")
 
 sql("schema_evolve", """
 select barcode, rtrim(currency_code) as currency_code, nullif(rtrim(nutriscore_grade), '') as nutriscore_grade,

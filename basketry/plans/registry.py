@@ -537,51 +537,30 @@ def q_catalog_by_aisle_category(spark, sf_dir):
 
 from basketry.operators import quality as qual  # noqa: E402
 from basketry.sources import topics  # noqa: E402
+from basketry.sources.relations import relations  # noqa: E402
 from basketry.sources.tables import DRIVER_TABLES, read_table  # noqa: E402
 
 
-def _unique_keys(v):
-    return {
-        "users.email": (v.users, ["email"]), "users.username": (v.users, ["username"]),
-        "refresh_tokens.token_hash": (tok.stored_tokens(v.tokens), ["token_hash"]),
-        "products.barcode": (v.catalog, ["barcode"]),
-        "cart_items.session_product": (v.cart_lines, ["session_id", "barcode"]),
-        "qr_tokens.correlation_id": (v.qr_tokens, ["correlation_id"]),
-        "categories.name": (v.catalog.select("category").distinct(), ["category"]),
-        "users_roles.user_role": (v.users, ["id", "role"]),
-        "gate_tokens.correlation_id": (v.gate_tokens, ["correlation_id"]),
-    }
-
-
-def _fks(v):
-    return {
-        "cart_events.barcode": (v.cart_events.where(F.col("kind").isin("ADD", "REMOVE")), "barcode",
-                                v.catalog, "barcode"),
-        "cart_lines.barcode": (v.cart_lines, "barcode", v.catalog, "barcode"),
-        "cart_lines.session_id": (v.cart_lines, "session_id", v.sessions, "session_id"),
-        "qr_tokens.session_id": (v.qr_tokens, "session_id", v.sessions, "session_id"),
-        "refresh_tokens.user_id": (v.tokens, "user_id", v.users, "id"),
-        "sessions.user_id": (v.sessions, "user_id", v.users, "id"),
-        "scan_requests.barcode": (v.barcode_requests, "barcode", v.catalog, "barcode"),
-        "gate_tokens.session_id": (v.gate_tokens, "session_id", v.gate_sessions, "session_id"),
-        "owner_requests.session_id": (v.owner_requests, "session_id", v.sessions, "session_id"),
-    }
-
-
 @query("unique_violations")
 def q_unique_violations(spark, sf_dir):
-    return qual.unique_violations(_unique_keys(_v(spark, sf_dir)))
+    return qual.unique_violations(relations(spark, sf_dir))
 
 
 @query("fk_orphans")
 def q_fk_orphans(spark, sf_dir):
-    return qual.fk_orphans(_fks(_v(spark, sf_dir)))
+    return qual.fk_orphans(relations(spark, sf_dir))
 
 
 @query("domain_violations")
 def q_domain_violations(spark, sf_dir):
-    v = _v(spark, sf_dir)
-    return qual.domain_violations(v.catalog, v.sessions, v.qr_tokens, v.users)
+    return qual.domain_violations(relations(spark, sf_dir))
+
+
+@query("cascade_graph")
+def q_cascade_graph(spark, sf_dir):
+    r = relations(spark, sf_dir)
+    return qual.cascade(r, {"users": r["users"].where("email is null or not contains(email, '@')").select("id"),
+                            "roles": r["roles"].where("id % 9 = 0").select("id"), "privileges": r["privileges"].where("id % 4 = 2").select("id")})
 
 
 @query("schema_evolve")

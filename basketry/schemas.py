@@ -20,6 +20,7 @@ SESSION_STATES = ["CREATED", "ACTIVE", "PAYING", "COMPLETED", "CANCELLED"]
 TERMINAL_STATES = ["COMPLETED", "CANCELLED"]
 QR_STATUSES = ["ACTIVE", "USED", "EXPIRED", "REVOKED"]
 QR_TYPES = ["ENTRY", "EXIT"]
+REVOCATION_REASONS = ["ROTATED", "LOGOUT", "REUSE_DETECTED", "ADMIN_REVOKE"]
 
 # allowed (from_state, to_state) edges of the session state machine
 SESSION_EDGES = [
@@ -71,6 +72,54 @@ ERROR_CODES = [
     ("session", "QrTokenExpiredException", "qr_token_expired", 410),
 ]
 
+# declared keys and value rules of the twelve tables
+UNIQUE_KEYS = {
+    "users": {"users.email": ["email"], "users.username": ["username"]},
+    "roles": {"roles.name": ["name"]},
+    "privileges": {"privileges.name": ["name"]},
+    "users_roles": {"users_roles.primary": ["user_id", "role_id"]},
+    "roles_privileges": {"roles_privileges.primary": ["role_id", "privilege_id"]},
+    "refresh_tokens": {"refresh_tokens.token_hash": ["token_hash"]},
+    "categories": {"categories.slug": ["slug"]},
+    "products": {"products.barcode": ["barcode"]},
+    "cart_items": {"cart_items.session_product": ["session_id", "product_id"]},
+    "qr_tokens": {"qr_tokens.correlation_id": ["correlation_id"]},
+}
+# what names a row; "id" where nothing else is said
+ROW_KEYS = {"users_roles": ["user_id", "role_id"], "roles_privileges": ["role_id", "privilege_id"], "cart_items": ["session_id", "product_id"]}
+# (child table, column, parent table, its column, are children deleted with the parent)
+FOREIGN_KEYS = [
+    ("users_roles", "user_id", "users", "id", True), ("users_roles", "role_id", "roles", "id", True),
+    ("roles_privileges", "role_id", "roles", "id", True), ("roles_privileges", "privilege_id", "privileges", "id", True),
+    ("refresh_tokens", "user_id", "users", "id", True), ("categories", "parent_id", "categories", "id", False),
+    ("products", "category_id", "categories", "id", False),
+    ("session_state_transitions", "session_id", "shopping_sessions", "id", False),
+    ("qr_tokens", "session_id", "shopping_sessions", "id", False),
+]
+# table -> column -> (required, longest text, allowed values, smallest number)
+DOMAINS = {
+    "users": {"email": (True, 100, None, None), "username": (True, 50, None, None), "password": (True, 255, None, None),
+              "enabled": (True, None, None, None)},
+    "roles": {"name": (True, 50, None, None)},
+    "privileges": {"name": (True, 100, None, None)},
+    "users_roles": {"user_id": (True, None, None, None), "role_id": (True, None, None, None)},
+    "refresh_tokens": {"token_hash": (True, 64, None, None), "family_id": (True, None, None, None), "user_id": (True, None, None, None),
+                       "revoked": (True, None, None, None),
+                       "revocation_reason": (False, 32, REVOCATION_REASONS, None)},
+    "categories": {"name": (True, 250, None, None), "slug": (True, 255, None, None)},
+    "products": {"barcode": (True, 14, None, None), "name": (True, 255, None, None), "brand": (False, 150, None, None),
+                 "price": (True, None, None, 0), "currency_code": (True, 3, None, None), "nutriscore_grade": (False, 1, None, None),
+                 "stock_quantity": (True, None, None, None)},
+    "cart_items": {"session_id": (True, None, None, None), "product_id": (True, None, None, None), "quantity": (True, None, None, 1),
+                   "price_at_addition": (True, None, None, 0)},
+    "shopping_sessions": {"user_id": (True, None, None, None), "store_id": (True, None, None, None),
+                          "status": (True, 16, SESSION_STATES, None)},
+    "session_state_transitions": {"session_id": (True, None, None, None), "from_state": (True, 16, SESSION_STATES, None),
+                                  "to_state": (True, 16, SESSION_STATES, None)},
+    "qr_tokens": {"correlation_id": (True, 36, None, None), "session_id": (True, None, None, None), "token_type": (True, 10, QR_TYPES, None),
+                  "payload": (True, None, None, None), "status": (True, 16, QR_STATUSES, None)},
+}
+
 # field defaults applied when a value is absent
 DEFAULTS = {
     "store_id": 1, "aisle_number": 0, "currency_code": "EUR", "stock_quantity": 100,
