@@ -1004,6 +1004,13 @@ select r.query_id, c.barcode from req r join catalog c
   on json_extract_string(c.attributes, '$.type') = r.want_type
  and cast(json_extract_string(c.attributes, '$.size') as int) = r.want_size""")
 
+from basketry.sources.relations import attribute_ctes as _attribute_ctes  # noqa: E402
+
+sql("attribute_containment", f"""
+with {_attribute_ctes()}
+select query_id, barcode from attribute_wants w, rich_products p
+where json_valid(p.attributes) and json_contains(case when json_valid(p.attributes) then p.attributes::json end, w.want::json)""")
+
 sql("catalog_by_aisle_category", """
 select aisle_number, category, count(*) as products, cast(sum(stock_quantity) as bigint) as stock,
        count(*) filter (where rfid_security_required) as rfid_products

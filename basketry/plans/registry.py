@@ -430,7 +430,8 @@ def q_outcome_counts(spark, sf_dir):
 
 # --- catalog -----------------------------------------------------------------------
 
-from basketry.operators import catalog as cat  # noqa: E402
+from basketry.operators import catalog as cat, containment  # noqa: E402
+from basketry.sources.relations import attribute_view  # noqa: E402
 
 SEARCH_QUERY = "red"
 
@@ -528,6 +529,11 @@ def q_attribute_filter(spark, sf_dir):
     return cat.attribute_filter(cat.attribute_requests(v.supplier, v.part), v.catalog)
 
 
+@query("attribute_containment")
+def q_attribute_containment(spark, sf_dir):
+    return containment.contained(attribute_view(spark, sf_dir, "attribute_wants"), attribute_view(spark, sf_dir, "rich_products"))
+
+
 @query("catalog_by_aisle_category")
 def q_catalog_by_aisle_category(spark, sf_dir):
     return cat.catalog_by_aisle_category(_v(spark, sf_dir).catalog)
