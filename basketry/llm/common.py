@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from basketry.session import checkpoint_root
 
-#: Rows of one Arrow batch; texts of some 100 kB make it some 25 MB at most in practice.
+#: Rows of one slice of an Arrow batch; texts of some 100 kB make it some 25 MB at most in practice.
 BATCH_ROWS = 256
 #: Broadcast a side only below so many rows of a few numbers each (some 4 MB).
 BROADCAST_ROWS = 100_000
@@ -60,12 +60,16 @@ def ship(spark: SparkSession) -> None:
 
 
 def arrow_pass(df: DataFrame, fn: Callable, schema: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """mapInArrow with small batches: rows with long texts must not add up in a worker."""
+    """mapInArrow over small slices: rows with long texts must not add up in a worker.
+
+    Spark bounds the bytes of its own batches (spark.sql.execution.arrow.maxBytesPerBatch,
+    64 MB); the session's settings stay as they are."""
     ship(df.sparkSession)
-    conf = df.sparkSession.conf
-    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > batch_rows:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        return fn(b.slice(s, batch_rows) for b in batches for s in range(0, max(1, b.num_rows), batch_rows))
+
+    return df.mapInArrow(run, schema)
 
 
 class Memory:

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from conftest import SF_SMALL
 from llm_frames import lower, no_docs, odd_docs
@@ -72,11 +73,11 @@ def made(seed):
 def test_made_texts(spark, monkeypatch, trigger, step):
     """Any trigger and any step give the same counts; a crowded bitmap too."""
     monkeypatch.setattr(phrases, "TRIGGER", trigger)
-    monkeypatch.setattr(phrases, "STEP_WORDS", step)
+    monkeypatch.setattr(phrases, "STEP_GRAMS", step)
+    monkeypatch.setattr(phrases, "SEGMENT", step)
     if trigger == 3:
         monkeypatch.setattr(phrases, "LEAST_BITS", 64)
         monkeypatch.setattr(phrases, "MOST_BITS", 64)
-        monkeypatch.setattr(phrases, "HELD_CHUNKS", 10)
     rows = made(trigger)
     docs = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(rows)], "doc_id long, text string, lang string").repartition(5)
     for least in (2, 12):
@@ -84,13 +85,34 @@ def test_made_texts(spark, monkeypatch, trigger, step):
 
 
 def test_parse_overlaps_and_covers():
+    """The own parts of the chunks of a piece, in order, are its words; repeated chunks count."""
     rng = random.Random(4)
     for _ in range(200):
-        words = [rng.choice([b"a", b"b", b"c", b"d"]) for _ in range(rng.randint(1, 80))]
-        chunks = list(phrases.chunks_of(words, {}))
-        assert [last for _, last in chunks] == [False] * (len(chunks) - 1) + [True]
-        back = []
-        for c, last in chunks:
-            part = c.split(b" ")
-            back += part if last else part[:-phrases.SHARED]
-        assert back == words
+        words = [rng.choice(["a", "B", "c", "é"]) for _ in range(rng.randint(1, 80))]
+        code, chunks, last, own, times = phrases.parse([" ".join(words).encode(), b"", b"  .\t!"], np.array([0, 1, 2]))
+        assert set(code) == {0} and sum(times[last]) == 1 and sum(own * times) == len(words)
+        met = Counter()
+        for chunk, mine, n in zip(chunks.to_pylist(), own, times):
+            part = chunk.split(" ")
+            for k in range(1, 5):
+                for i in range(mine):
+                    if i + k <= len(part):
+                        met[tuple(part[i:i + k])] += n
+        low = [w.lower() if w.isascii() else w for w in words]
+        assert met == Counter(tuple(low[i:i + k]) for k in range(1, 5) for i in range(len(low) - k + 1))
+
+
+def test_long_texts_are_cut_between_pieces(monkeypatch):
+    monkeypatch.setattr(phrases, "SEGMENT", 50)
+    text = b"".join(b"word%d and more of it. " % i for i in range(40)) + b"x" * 200
+    parts = list(phrases.segments(["en", "de"], [text, b"short"]))
+    assert b"".join(t for _, some in parts for t in some) == text + b"short"
+    assert all(p.endswith(b".") for p in [t for _, some in parts for t in some][:-2])
+
+
+def test_hashes_of_stretches():
+    buffer = np.frombuffer(b"abc abc  abd" * 3, dtype=np.uint8)
+    for base in phrases.BASES:
+        r = phrases.Rolling(buffer, base)
+        h = r.of(np.array([0, 4, 9, 12, 0]), np.array([3, 7, 12, 15, 0]))
+        assert h[0] == h[1] == h[3] != h[2]
