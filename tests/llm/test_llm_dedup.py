@@ -200,7 +200,7 @@ def test_embeddings_with_crowds(spark, limit):
             rows.append((len(rows), [float(v) for v in x + 0.08 * rng.normal(size=16)], c % 2))
         rows += [(len(rows) + k, rows[-1][1], c % 2) for k in range(5)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
-    check_embeddings([tuple(r) for r in frame.collect()], embeddings.embedding_dedup(frame, limit=limit, pivot_count=16, nearest=8))
+    check_embeddings([tuple(r) for r in frame.collect()], embeddings.embedding_dedup(frame, limit=limit, nearest=8))
 
 
 def test_embeddings_odd_rows(spark):
@@ -212,14 +212,45 @@ def test_embeddings_odd_rows(spark):
     assert embeddings.embedding_dedup(frame.where("false")).collect() == []
 
 
-def test_embedding_recall_at_the_threshold():
-    """Pairs whose cosine is just enough share two of their nearest pivots nearly always."""
-    rng = np.random.default_rng(0)
-    x = rng.normal(size=(3000, 64))
+def test_embeddings_of_extreme_sizes(spark):
+    """Tiny and huge doubles have a cosine as any others."""
+    rows = [(1, [1e-200, 1e-200], 1), (2, [1e-200, -1e-200], 1), (3, [1e300, 1e300], 1), (4, [2e-310, 2e-310], 1), (5, [1e300, -1e300], 1), (6, [5.0, 5.1], 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (3, 1), 3: (3, 1), 4: (3, 1), 6: (3, 1), 2: (1, 2), 5: (1, 2)}
+
+
+def planted(kind, n, dims, rng):
+    """Vectors of which each tenth has a neighbour of a cosine just above the threshold."""
+    x = rng.normal(size=(n, dims))
+    if kind == "common mean":
+        x += 1.7 * rng.normal(size=dims)
+    elif kind == "clusters":
+        x = rng.normal(size=(n // 300, dims))[rng.integers(0, n // 300, n)] + 0.6 * x
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    n = rng.normal(size=x.shape)
-    n -= (n * x).sum(1, keepdims=True) * x
-    y = 0.93 * x + np.sqrt(1 - 0.93**2) * n / np.linalg.norm(n, axis=1, keepdims=True)
-    p = x[rng.permutation(len(x))[:256]]
-    near = embeddings.nearest_pivots(list(x), p, 7), embeddings.nearest_pivots(list(y), p, 7)
-    assert np.mean([len(set(a) & set(b)) >= 2 for a, b in zip(*near)]) > 0.98
+    some = rng.choice(n, n // 10, replace=False)
+    noise = rng.normal(size=(len(some), dims))
+    noise -= (noise * x[some]).sum(1, keepdims=True) * x[some]
+    cos = rng.uniform(0.93, 0.96, size=(len(some), 1))
+    return np.concatenate([x, cos * x[some] + np.sqrt(1 - cos**2) * noise / np.linalg.norm(noise, axis=1, keepdims=True)])
+
+
+@pytest.mark.parametrize("kind, most", [("isotropic", 0.05), ("common mean", 0.05), ("clusters", 1.0)])
+def test_embedding_recall_and_cost(spark, kind, most):
+    """End to end against all pairs; the lists compare a small share of them, and never more than all."""
+    x = planted(kind, 5500, 64, np.random.default_rng(0))
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    want = (x @ x.T >= 0.93).sum(axis=1) - 1
+    got = {r.vec_id: r.n_links for r in embeddings.embedding_dedup(frame).collect()}
+    found = np.array([got[i] for i in range(len(x))])
+    assert (found <= want).all() and found.sum() >= 0.95 * want.sum() > 500
+    classes = frame.selectExpr("vec_id as rep", "'1' as label", "64 as dim", "1L as size", "embedding as vec")
+    lists = embeddings.postings(classes, 8, 1024, 0.5).groupBy("label", "p", "q").count().collect()
+    assert sum(r["count"] ** 2 for r in lists) <= most * len(x) ** 2
+
+
+def test_a_label_whose_lists_are_too_long_is_one_list(spark):
+    """Vectors on a line through the mean: no index can cut them, so all pairs are compared once."""
+    rng = np.random.default_rng(1)
+    x = np.array([1.0, 2.0, 3.0]) + 0.01 * rng.normal(size=(300, 1)) * np.array([1.0, -1.0, 0.5])
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    assert {r.n_links for r in embeddings.embedding_dedup(frame, limit=20).collect()} == {299}
