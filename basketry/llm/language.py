@@ -127,20 +127,26 @@ class Model:
         return lang, score, unsure
 
 
+#: Most sample rows in all: their n-gram counts (16 KB each) go to the driver.
+MOST_ROWS = 20_000
+
+
 def held_out() -> Column:
     """Never learned from: crc32 of the id as text, mod 4, is 2 (or there is no id)."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(True))
 
 
 def train(docs: DataFrame, per_language: int = 400) -> Model:
-    """Fit on about ``per_language`` rows of each language, chosen by a hash of the id."""
+    """Fit on about ``per_language`` rows of each language, fewer where more than 50 languages share ``MOST_ROWS``,
+    chosen by a hash of the id."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", "lang").where("lang is not null").where(~held_out())
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return Model([], np.zeros((0, 1 << SIZE_BITS), dtype=np.float32), np.zeros(0, dtype=int))
-    pick = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20))
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, int(min(1.0, per_language / n) * (1 << 20)))])
-    chosen = rows.where(pick < F.element_at(share, F.col("lang")))
+    per_language = max(4, min(per_language, MOST_ROWS // len(sizes)))
+    pick = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 62))
+    share = docs.sparkSession.createDataFrame([(k, int(min(1.0, per_language / n) * (1 << 62))) for k, n in sizes.items()], "_lang string, _share long")
+    chosen = rows.join(share, F.col("lang") == F.col("_lang")).where(pick < F.col("_share")).drop("_lang", "_share")
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
@@ -185,7 +191,13 @@ def language_id(docs: DataFrame, per_language: int = 400) -> DataFrame:
             .select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous"))
 
 
-def keep_known(docs: DataFrame, per_language: int = 400) -> DataFrame:
-    """The documents whose text has a language, columns unchanged."""
+def keep_known(docs: DataFrame, per_language: int = 400, wanted: list[str] | None = None) -> DataFrame:
+    """The documents whose predicted language is wanted (None: any but ``und``), columns unchanged.
+
+    A document without ``lang`` gets the predicted one; an ambiguous prediction
+    neither rejects a document nor fills it in."""
     named = with_language(docs, train(docs, per_language))
-    return named.where(F.col(named.columns[-3]) != UND).select(*docs.columns)
+    pred, _, unsure = named.columns[-3:]
+    fits = F.col(pred) != UND if wanted is None else F.col(unsure) | F.col(pred).isin(*wanted)
+    lang = F.coalesce(F.col("lang"), F.when(~F.col(unsure), F.col(pred)).cast(docs.schema["lang"].dataType))
+    return named.where((F.col(pred) != UND) & fits).select(*[lang.alias(c) if c == "lang" else F.col(c) for c in docs.columns])

@@ -39,7 +39,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.language_id(table(spark, sf_dir, "documents")).drop("ambiguous")
+    return language.language_id(table(spark, sf_dir, "documents"))
 
 
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,13 @@
 
 A text is cut at safe boundaries: before a space that is followed by a visible
 character. A byte-level pre-tokenizer always starts a word there, so counts of
-the parts add up to the count of the whole, and a text of any length is never
-one call. Parts repeat a lot; each worker keeps the counts of the parts it has
-met (a bounded table) and encodes only new ones, in batches balanced by bytes.
+the parts add up to the count of the whole. A part that is still long (text
+without spaces, such as lists or Chinese) is cut on at the other edges where
+words always end: between letters, digits and marks and behind a lone line feed,
+never behind an apostrophe and never inside a special token. So no call gets
+more than some ``CALL_BYTES``, unless one word alone is longer. Parts repeat a
+lot; each worker keeps the counts of the parts it has met (a bounded table) and
+encodes only new ones, in batches balanced by their bytes.
 
 Defined results: a null text counts as empty and has 0 tokens; strings of
 special tokens inside a text are single tokens, the library's default;
@@ -20,6 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +34,12 @@ from basketry.llm import common
 CUT = re.compile(" (?=[!-~¡-ᙿ、-퟿])")
 #: A space that is no cut.
 ODD = re.compile(" (?![!-~¡-ᙿ、-퟿])")
-#: A Latin word, with one mark behind it at most: the only shape that skips the library's regular expression.
-SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:?]?)")
+#: Edges inside a part where a word of the pre-tokenizer always ends.
+EDGE = regex.compile(r"(?<=\p{L})(?=[^\s\p{L}])|(?<=\p{N})(?=[^\s\p{N}])|(?<=[^\s\p{L}\p{N}'])(?=[\p{L}\p{N}])|(?<=\S\n)(?=\S)")
 #: Bytes of one call of the library, parts and longest part that are kept in a worker.
 CALL_BYTES, KEPT_PARTS, KEPT_CHARS = 1 << 18, 400_000, 64
+#: Characters after which a part without spaces is cut at the next edge.
+STRETCH = 4096
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -56,14 +63,15 @@ def load(path: str):
 
 
 def by_bytes(parts: Iterable[str], most: int) -> Iterator[list[str]]:
-    """Batches of about ``most`` bytes; a longer part is a batch of its own."""
+    """Batches of at most ``most`` bytes; a longer part is a batch of its own."""
     batch, size = [], 0
     for p in parts:
-        if batch and size + len(p) > most:
+        n = len(p) if p.isascii() else len(p.encode("utf-8", "surrogatepass"))
+        if batch and size + n > most:
             yield batch
             batch, size = [], 0
         batch.append(p)
-        size += len(p)
+        size += n
     if batch:
         yield batch
 
@@ -78,33 +86,48 @@ class Counter:
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
-        self.word = self.tokenizer.model.tokenize
         self.kept = common.Memory(KEPT_PARTS)
-
-    def learn(self, parts: set[str]) -> dict[str, int]:
-        """Counts of parts that each follow a space."""
-        found, rest = {}, []
-        for p in parts:
-            m = SIMPLE.fullmatch(p)
-            if m and len(p) <= KEPT_CHARS:
-                w, mark = m.groups()
-                n = len(self.word(ALPHABET[32] + (w if w.isascii() else w.encode().decode("latin-1").translate(ALPHABET))))
-                found[p] = n + len(mark)
-            else:
-                rest.append(p)
-        for batch in by_bytes(rest, CALL_BYTES):
-            codes = self.tokenizer.encode_batch_fast([" " + p for p in batch], add_special_tokens=False)
-            found.update(zip(batch, (len(c.ids) for c in codes), strict=True))
-        return found
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+
+    def cut(self, text: str) -> list[str]:
+        """A long part, cut into stretches of about ``STRETCH`` characters at its edges."""
+        if len(text) <= STRETCH:
+            return [text]
+        out = []
+        for i, run in enumerate(self.special.split(text) if self.special else [text]):
+            if i % 2:  # a special token
+                out.append(run)
+                continue
+            start = 0
+            while len(run) - start > STRETCH:
+                edge = EDGE.search(run, start + STRETCH)
+                if edge is None:
+                    break
+                out.append(run[start:edge.start()])
+                start = edge.start()
+            out.append(run[start:])
+        return [x for x in out if x]
+
+    def encoded(self, texts: list[str]) -> list[int]:
+        """Counts of texts as they are, long ones in parts."""
+        parts = [self.cut(t) for t in texts]
+        n = [len(c.ids) for batch in by_bytes((p for x in parts for p in x), CALL_BYTES)
+             for c in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
+        out, at = [], 0
+        for x in parts:
+            out.append(sum(n[at:at + len(x)]))
+            at += len(x)
+        return out
 
     def counts(self, texts: list[str]) -> list[int]:
         cut = [pieces_of(t) for t in texts]
-        heads = self.tokenizer.encode_batch_fast([c[0] for c in cut], add_special_tokens=False)
-        new = self.kept.missing(set().union(*(c[1:] for c in cut)))
+        heads = self.encoded([c[0] for c in cut])
+        new = list(self.kept.missing(set().union(*(c[1:] for c in cut))))
         now = self.kept.now
-        now.update(self.learn(new))
+        now.update(zip(new, self.encoded([" " + p for p in new]), strict=True))
         get = now.__getitem__
-        out = [len(h.ids) + sum(map(get, c[1:])) for h, c in zip(heads, cut, strict=True)]
+        out = [h + sum(map(get, c[1:])) for h, c in zip(heads, cut, strict=True)]
         for p in new:
             if len(p) > KEPT_CHARS:
                 del now[p]

@@ -8,8 +8,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from conftest import SF_CHECK, SF_SMALL
 from llm_frames import TEXTS, lower, no_docs, odd_docs
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from basketry.llm import common, language, licenses, packing, pieces, pii, tokens
@@ -39,7 +41,22 @@ def test_token_counts_of_hard_texts():
 
 def test_batches_are_balanced_by_bytes():
     got = list(tokens.by_bytes(["a" * n for n in (5, 5, 5, 40, 1, 1)], 12))
-    assert [sum(map(len, b)) for b in got] == [10, 5, 40, 2]
+    assert [[len(p) for p in b] for b in got] == [[5, 5], [5], [40], [1, 1]]
+    assert [len(b) for b in tokens.by_bytes(["漢" * 4] * 5, 24)] == [2, 2, 1]
+
+
+@pytest.mark.parametrize("stretch", [3, 20, 4096])
+def test_texts_without_spaces_are_cut_at_safe_edges(monkeypatch, stretch):
+    """Lists, Chinese, code, special tokens, contractions: the counts of the whole, and no long call."""
+    monkeypatch.setattr(tokens, "STRETCH", stretch)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole, of, rng = Tokenizer.from_file(path), tokens.Counter(path), random.Random(stretch)
+    bits = [" ", "  ", "\n", "\t", "\r\n", "a", "The", "'s", "'ll", "'", "12", "é", "漢字", "。", "<|endoftext|>", "<|endof", "text|>", "\xa0", "🙂", "Ⅳ", "²", ".", ",", "=="]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(1, 60))) for _ in range(1500)]
+    texts += ["x\n" * 30_000, "漢字。\n" * 30_000, "key=12;" * 9_000]
+    assert of.counts(texts) == [len(c.ids) for c in whole.encode_batch_fast(texts, add_special_tokens=False)]
+    assert max(len(p) for t in texts for p in of.cut(t)) <= 2 * max(stretch, 60)
+
 
 
 def test_ids_of_hard_texts():
@@ -393,3 +410,54 @@ def test_spelt_addresses_are_read_whole():
         assert [text[a:b] for _, a, b in pii.spelt(text) if text[a:b].startswith("x")] == [text[text.index("x"):text.index(domain) + len(domain)]]
     assert list(pii.spelt("at." * 200_000)) == []
     assert [s[1:] for s in pii.spelt("joe.smith at mail dot com")] == [(0, 25)]
+
+
+def plain_decode(model, text):
+    """Loss-weighted decoding of one text with loops."""
+    x = language.counts(text)
+    loss = []
+    for k in range(len(model.langs)):
+        total = 0.0
+        for j in range(model.code.shape[1]):
+            f = float(np.dot(x.astype(np.float64), model.w[:, j].astype(np.float64)) + model.b[j])
+            total += float(np.ravel(np.broadcast_to(model.weights, model.code.shape)[k])[j]) * np.log1p(np.exp(-model.code[k, j] * f))
+        loss.append(total)
+    share = [np.exp(-4 * (v - min(loss))) for v in loss]
+    order = sorted(loss)
+    return model.langs[loss.index(min(loss))], max(share) / sum(share), order[1] - order[0] < 0.05
+
+
+def many_languages(spark, n):
+    """Documents in ``n`` made-up languages, each with favourite letters."""
+    rng = random.Random(6)
+    letters = {f"l{i:02}": "".join(chr(97 + (i * 7 + k * k + k) % 26) for k in range(7)) + "aeiou"[i % 5] * 4 for i in range(n)}
+    rows = [(i, " ".join("".join(rng.choice(letters[g]) for _ in range(rng.randint(2, 8))) for _ in range(60)), g)
+            for i, g in enumerate(list(letters) * 60)]
+    return spark.createDataFrame([(*r, "x", None, None) for r in rows], "doc_id long, text string, lang string, source string, ambiguous int, score string")
+
+
+@pytest.mark.parametrize("n", [3, 11])
+def test_decoding_against_a_plain_decoder(spark, n):
+    """Every prediction, score and flag is the plain decoder's; held-out rows are named right, with more than seven languages too."""
+    docs = many_languages(spark, n)
+    model = language.train(docs)
+    rows = docs.collect()
+    got = {r.doc_id: r for r in language.language_id(docs).collect()}
+    right = 0
+    for r in rows[:400]:
+        lang, score, unsure = plain_decode(model, r.text)
+        assert got[r.doc_id].lang_pred == lang and got[r.doc_id].ambiguous == unsure
+        assert abs(got[r.doc_id].score - score) < 1e-4
+        right += lang == r.lang
+    assert right >= 0.95 * min(400, len(rows))
+    assert {r.held_out for r in got.values()} == {True, False}
+
+
+def test_documents_of_wanted_languages_stay(spark):
+    docs = many_languages(spark, 3)
+    kept = language.keep_known(docs, wanted=["l01"])
+    assert kept.columns == docs.columns
+    assert 55 <= kept.where("lang = 'l01'").count() <= kept.count() <= 70
+    blank = docs.withColumn("lang", F.when(F.col("doc_id") % 5 != 0, F.col("lang")))
+    filled = {r.doc_id: r.lang for r in language.keep_known(blank).collect()}
+    assert len(filled) == 180 and sum(filled[r.doc_id] == r.lang for r in docs.collect()) >= 175
