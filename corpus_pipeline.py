@@ -20,7 +20,7 @@ from basketry.session import checkpoint_root
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no text, or no letters in it) go."""
+    """Documents without a language (no text, or no letters in it) go; a missing ``lang`` is filled in where the prediction is clear."""
     return language.keep_known(docs)
 
 
@@ -56,7 +56,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the rows of the last."""
+    """All stages over ``documents``; the rows of the last.
+
+    The stages' tables stay in the checkpoint folder (one folder a run), as the
+    result reads the last of them; clearing it is the caller's."""
     folder = f"{checkpoint_root(spark)}/pipeline-{uuid.uuid4()}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
