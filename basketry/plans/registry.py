@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.operators import carts, sessions as sess
+from basketry.operators import cart_history, carts, sessions as sess
 from basketry.functions.columns import sha256_hex
 from basketry.sources import fixtures
 from basketry.sources.fixtures import QR_SECRET
@@ -633,7 +633,7 @@ def q_stream_help_by_aisle_sliding(spark, sf_dir):
 
 @query("stream_paid_completed")
 def q_stream_paid_completed(spark, sf_dir):
-    return stream.stream_paid_completed(spark, _feed(spark, _v(spark, sf_dir)))
+    return stream.stream_paid_completed(spark, fixtures.unpaired(_feed(spark, _v(spark, sf_dir))))
 
 
 @query("stream_event_dedup")
@@ -650,12 +650,17 @@ def q_stream_lookup_dedup(spark, sf_dir):
 
 @query("stream_cart_expiry")
 def q_stream_cart_expiry(spark, sf_dir):
-    return stream.stream_cart_expiry(spark, _feed(spark, _v(spark, sf_dir)))
+    return stream.stream_cart_expiry(spark, _v(spark, sf_dir).cart_events)
+
+
+def _line_changes(events):
+    return cart_history.history(events, with_clears=True).where("not rejected").select(
+        "event_id", "event_time", "session_id", "barcode", "kind", F.col("quantity").cast("bigint").alias("quantity"), F.col("line_price").alias("price"))
 
 
 @query("stream_upsert_sink")
 def q_stream_upsert_sink(spark, sf_dir):
-    return stream.stream_upsert_sink(spark, _feed(spark, _v(spark, sf_dir)))
+    return stream.stream_upsert_sink(spark, _line_changes(_v(spark, sf_dir).cart_events))
 
 
 @query("stream_cart_state")

@@ -27,8 +27,8 @@ from basketry.sources.topics import decode_topics, decoded_time
 
 FEED_SCHEMA = "event_id long, topic string, key string, value string"
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-#: Two files land for each slice of time; a slice is a micro-batch.
-FILES_PER_TRIGGER = 2
+#: Rows of one landed file; at least two files land for each slice of time, and a slice is a micro-batch.
+ROWS_PER_FILE = 500_000
 
 # The state functions below run on executors; ship them by value so the
 # workers need no copy of this package on their import path.
@@ -40,12 +40,14 @@ def stream_home(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
 
 
-def land(df: DataFrame, path: str, order: str = "event_time", files: int = 3) -> None:
+def land(df: DataFrame, path: str, order: str = "event_time", files: int = 3) -> int:
     """Write rows as the JSON files a file-stream source will pick up (input
     landing for tests; production reads the topics directly): ``files`` slices
     of time, one write after the other, so that the source meets them in order
-    and a run has several micro-batches."""
+    and a run has several micro-batches. Returns the files of a slice, which
+    follow its size: the source takes so many at a time."""
     d = materialize(df.withColumn("_at", F.unix_micros(F.col(order).cast("timestamp"))))
+    each = max(1 if files == 1 else 2, -(-d.count() // (files * ROWS_PER_FILE)))
     cuts = d.approxQuantile("_at", [k / files for k in range(1, files)], 0.01) if files > 1 else []
     edges = [None, *cuts, None]
     for low, high in zip(edges, edges[1:]):
@@ -53,8 +55,9 @@ def land(df: DataFrame, path: str, order: str = "event_time", files: int = 3) ->
         part = part if high is None else part.where(F.col("_at") < high)
         if low is None and high is not None:   # rows without a time come first
             part = part.unionByName(d.where(F.col("_at").isNull()))
-        part.drop("_at").coalesce(1 if files == 1 else 2).write.mode("append").options(
+        part.drop("_at").repartition(each).write.mode("append").options(
             timestampFormat=MICROS, timestampNTZFormat=MICROS).json(path)
+    return each
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -85,18 +88,18 @@ def _append_batches(out: str):
     return fn
 
 
-def read_feed(spark: SparkSession, path: str) -> DataFrame:
+def read_feed(spark: SparkSession, path: str, files: int) -> DataFrame:
     """The decoded topic stream, event time as an instant for watermarks.
     Malformed rows are not lost: ``stream_quarantine`` keeps them."""
-    raw = spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", FILES_PER_TRIGGER).json(path)
+    raw = spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", files).json(path)
     d = decode_topics(raw).where(~F.col("malformed"))
     return d.withColumn("event_time", F.col("event_time").cast("timestamp"))
 
 
-def land_feed(feed: DataFrame, path: str) -> None:
+def land_feed(feed: DataFrame, path: str) -> int:
     """Topic rows in order of the time in their value."""
     timed = feed.select("event_id", "topic", "key", "value", decoded_time("value").alias("_time"))
-    land(timed, path, order="_time")
+    return land(timed, path, order="_time")
 
 
 def _ntz(c: str):
@@ -124,8 +127,8 @@ def stream_quarantine(spark: SparkSession, feed: DataFrame) -> DataFrame:
 def stream_scan_enrich(spark: SparkSession, feed: DataFrame, catalog: DataFrame) -> DataFrame:
     """ST5: added items joined to the (static) catalog; missing products flagged."""
     home = stream_home(spark, "scan_enrich")
-    land_feed(feed, f"{home}/in")
-    s = read_feed(spark, f"{home}/in").where(F.col("topic") == "cart.item.added")
+    files = land_feed(feed, f"{home}/in")
+    s = read_feed(spark, f"{home}/in", files).where(F.col("topic") == "cart.item.added")
     j = s.join(catalog.select("barcode", F.col("name").alias("catalog_name")), "barcode", "left")
     out = j.select("session_id", "barcode", _ntz("event_time").alias("event_time"), "catalog_name",
                    F.col("catalog_name").isNotNull().alias("found"))
@@ -137,8 +140,8 @@ def stream_help_by_aisle(spark: SparkSession, feed: DataFrame, slide: str | None
     30-minute watermark, append mode: a window is final once the watermark
     passes its end; later rows are dropped."""
     home = stream_home(spark, "help_by_aisle")
-    land_feed(feed, f"{home}/in")
-    s = read_feed(spark, f"{home}/in").where(F.col("topic") == "help.requested")
+    files = land_feed(feed, f"{home}/in")
+    s = read_feed(spark, f"{home}/in", files).where(F.col("topic") == "help.requested")
     w = F.window("event_time", "15 minutes", slide) if slide else F.window("event_time", "15 minutes")
     agg = (s.withWatermark("event_time", "30 minutes").groupBy(w.alias("w"), "aisle_number")
             .agg(F.count(F.lit(1)).alias("requests")))
@@ -153,8 +156,8 @@ def stream_paid_completed(spark: SparkSession, feed: DataFrame) -> DataFrame:
     minutes (stream-stream left outer join, both sides watermarked); a payment
     with no completion is emitted unpaired once the watermark passes."""
     home = stream_home(spark, "paid_completed")
-    land_feed(feed, f"{home}/in")
-    s = read_feed(spark, f"{home}/in")
+    files = land_feed(feed, f"{home}/in")
+    s = read_feed(spark, f"{home}/in", files)
     paid = (s.where(F.col("topic") == "session.paid")
              .select(F.col("key").alias("paid_key"), F.col("event_time").alias("paid_at"))
              .withWatermark("paid_at", "10 minutes"))
@@ -174,8 +177,8 @@ def stream_event_dedup(spark: SparkSession, feed: DataFrame) -> DataFrame:
     """ST8: repeated deliveries dropped by (topic, key, event_time, barcode)
     within a 1-hour watermark (state is bounded by the watermark)."""
     home = stream_home(spark, "event_dedup")
-    land_feed(feed, f"{home}/in")
-    s = read_feed(spark, f"{home}/in")
+    files = land_feed(feed, f"{home}/in")
+    s = read_feed(spark, f"{home}/in", files)
     d = (s.withWatermark("event_time", "1 hour")
           .dropDuplicatesWithinWatermark(["topic", "key", "event_time", "barcode"]))
     out = d.select("topic", "key", "session_id", "barcode", "price", "quantity", "aisle_number", "user_id",
@@ -183,75 +186,71 @@ def stream_event_dedup(spark: SparkSession, feed: DataFrame) -> DataFrame:
     return spark.read.parquet(run_available(out, home))
 
 
-def stream_cart_expiry(spark: SparkSession, feed: DataFrame) -> DataFrame:
-    """ST3: a cart key disappears 24 h after its last put: session windows with
-    a 24-hour gap over the puts (item adds), emitted in append mode once the
-    1-hour watermark passes the window end."""
-    home = stream_home(spark, "cart_expiry")
-    land_feed(feed, f"{home}/in")
-    s = read_feed(spark, f"{home}/in").where(F.col("topic") == "cart.item.added")
-    g = (s.withWatermark("event_time", "1 hour")
-          .groupBy("key", F.session_window("event_time", "24 hours").alias("w"))
-          .agg(F.count(F.lit(1)).alias("puts")))
-    out = g.select(F.col("key").alias("session_id"), F.col("w.start").cast("timestamp_ntz").alias("first_put"),
-                   F.col("w.end").cast("timestamp_ntz").alias("expires_at"), "puts")
-    return _read_out(spark, run_available(out, home),
-                     "session_id string, first_put timestamp_ntz, expires_at timestamp_ntz, puts long")
-
-
-LINE_SCHEMA = "session_id string, barcode string, event_time timestamp_ntz, quantity int, price decimal(19,4), removed int"
-
-
-def _merge_lines(prev: DataFrame, batch: DataFrame) -> DataFrame:
-    """Line states after a batch: the newest add says the quantity, and each
-    remove after it takes one away. A remove older than the newest add is
-    already in that add's quantity."""
-    add = F.col("topic") == "cart.item.added"
-    news = batch.select("session_id", "barcode", "event_time", F.when(add, F.col("quantity")).alias("quantity"),
-                        F.when(add, F.col("price")).alias("price"), F.lit(0).alias("removed"), add.alias("is_add"))
-    both = prev.withColumn("is_add", F.lit(True)).unionByName(news)
-    last = both.where("is_add").groupBy("session_id", "barcode").agg(
-        F.max(F.struct("event_time", "quantity", "price", "removed")).alias("_l"))
-    gone = news.where("not is_add").select("session_id", "barcode", F.col("event_time").alias("_at"))
-    taken = (gone.join(last, ["session_id", "barcode"]).where(F.col("_at") > F.col("_l.event_time"))
-             .groupBy("session_id", "barcode").agg(F.count(F.lit(1)).cast("int").alias("_n")))
-    return last.join(taken, ["session_id", "barcode"], "left").select(
-        "session_id", "barcode", "_l.event_time", "_l.quantity", "_l.price",
-        (F.col("_l.removed") + F.coalesce("_n", F.lit(0))).alias("removed"))
-
-
-def stream_upsert_sink(spark: SparkSession, feed: DataFrame) -> DataFrame:
-    """ST9: live state per (session, barcode) kept as a keyed snapshot by
-    ``foreachBatch``: each batch's adds and removes are merged into the
-    previous snapshot and written as a new folder named by batch id, so a
-    replayed batch rewrites the same folder (idempotent). The pointer to the
-    newest folder is tested for existence; a snapshot that cannot be read
-    raises, so no earlier row is ever lost. Lines at 0 are not returned.
-    (Clears have no topic: their lines leave through ST3's expiry.)"""
+STATE_OUT = "session_id long, barcode string, event_time timestamp_ntz, event_id long, quantity long, price decimal(19,4)"
+STATE_IN = "event_id long, event_time timestamp, session_id long, barcode string, kind string, quantity long, price decimal(19,4)"
+
+
+def stream_upsert_sink(spark: SparkSession, states: DataFrame, parts: int = 16) -> DataFrame:
+    """ST9: the newest state of each (session, barcode) kept as a keyed snapshot.
+
+    ``states``: what each cart change leaves (event_id, event_time, session_id,
+    barcode, kind, quantity, price); a CLEAR ends the lines of its session. The
+    snapshot is dealt into ``parts`` by session; a manifest names the newest
+    file version of each part, and a batch reads and writes only the parts that
+    its sessions fall into. Newest is by (event_time, event_id), so order
+    across batches does not matter. A replayed batch changes nothing; a part
+    that cannot be read raises, so no earlier row is ever lost. Lines at 0 are
+    not returned."""
     home = stream_home(spark, "upsert_sink")
-    land_feed(feed, f"{home}/in")
-    s = read_feed(spark, f"{home}/in").where(F.col("topic").isin("cart.item.added", "cart.item.removed"))
-    rows = s.select("topic", "session_id", "barcode", "quantity", "price", _ntz("event_time").alias("event_time"))
-    out = run_available(rows, home, foreach=_snapshot_sink)
-    if not exists(spark, f"{out}/_latest"):
-        return spark.createDataFrame([], LINE_SCHEMA).drop("removed")
-    last = int(spark.read.text(f"{out}/_latest").first()[0])
-    return (spark.read.schema(LINE_SCHEMA).parquet(f"{out}/v={last}").where("quantity > removed")
-            .select("session_id", "barcode", "event_time", (F.col("quantity") - F.col("removed")).alias("quantity"), "price"))
-
-
-def _snapshot_sink(out: str):
+    files = land(states, f"{home}/in")
+    rows = spark.readStream.schema(STATE_IN).option("maxFilesPerTrigger", files).json(f"{home}/in")
+    out = run_available(rows.withColumn("event_time", _ntz("event_time")), home, foreach=lambda o: _snapshot_sink(o, parts))
+    return read_snapshot(spark, out).where("barcode is not null and quantity > 0").drop("event_id")
+
+
+def _manifest(sp: SparkSession, out: str) -> tuple[int, dict[int, int]]:
+    """The last batch and the newest version of each part (at most as many rows as there are parts)."""
+    if not exists(sp, f"{out}/_latest"):
+        return -1, {}
+    last = int(sp.read.text(f"{out}/_latest").first()[0])
+    return last, {r.part: r.version for r in sp.read.schema("part int, version long").json(f"{out}/manifest/v={last}").collect()}
+
+
+def _part_paths(out: str, versions: dict[int, int]) -> list[str]:
+    return [f"{out}/data/v={v}/part={p}" for p, v in sorted(versions.items())]
+
+
+def read_snapshot(sp: SparkSession, out: str) -> DataFrame:
+    """The rows of the newest version of every part; a clear has no barcode."""
+    _, versions = _manifest(sp, out)
+    if not versions:
+        return sp.createDataFrame([], STATE_OUT)
+    return sp.read.schema(STATE_OUT).parquet(*_part_paths(out, versions))
+
+
+def _snapshot_sink(out: str, parts: int = 16):
     def fn(batch: DataFrame, batch_id: int) -> None:
         sp = batch.sparkSession
-        pointer = f"{out}/_latest"
-        prev = sp.createDataFrame([], LINE_SCHEMA)
-        if exists(sp, pointer):
-            prev_id = int(sp.read.text(pointer).first()[0])
-            if prev_id >= batch_id:
-                return
-            prev = sp.read.schema(LINE_SCHEMA).parquet(f"{out}/v={prev_id}")
-        _merge_lines(prev, batch).write.mode("overwrite").parquet(f"{out}/v={batch_id}")
-        sp.createDataFrame([(str(batch_id),)], "value string").coalesce(1).write.mode("overwrite").text(pointer)
+        last, versions = _manifest(sp, out)
+        if last >= batch_id:
+            return
+        clear = F.col("kind") == "CLEAR"
+        news = materialize(batch.where(F.col("session_id").isNotNull() & F.col("event_time").isNotNull() & (clear | F.col("barcode").isNotNull())).select(
+            "session_id", F.when(~clear, F.col("barcode")).alias("barcode"), "event_time", "event_id",
+            F.when(~clear, F.col("quantity")).alias("quantity"), "price", F.pmod(F.xxhash64("session_id"), F.lit(parts)).cast("int").alias("part")))
+        touched = {r.part for r in news.select("part").distinct().collect()}
+        old = {p: v for p, v in versions.items() if p in touched}
+        part = F.pmod(F.xxhash64("session_id"), F.lit(parts)).cast("int").alias("part")
+        both = news if not old else news.unionByName(sp.read.schema(STATE_OUT).parquet(*_part_paths(out, old)).select("*", part))
+        newest = both.groupBy("part", "session_id", "barcode").agg(F.max(F.struct("event_time", "event_id", "quantity", "price")).alias("l"))
+        cleared = newest.where("barcode is null").select(F.col("session_id").alias("_s"), F.struct("l.event_time", "l.event_id").alias("_c"))
+        kept = (newest.join(cleared, F.col("session_id") == F.col("_s"), "left")
+                .where(F.col("barcode").isNull() | F.col("_c").isNull() | (F.struct("l.event_time", "l.event_id") > F.col("_c"))))
+        rows = kept.select("session_id", "barcode", "l.event_time", "l.event_id", "l.quantity", "l.price", "part")
+        rows.repartition(max(1, len(touched)), "part").write.partitionBy("part").mode("overwrite").parquet(f"{out}/data/v={batch_id}")
+        held = sorted((versions | dict.fromkeys(touched, batch_id)).items())
+        sp.createDataFrame(held, "part int, version long").coalesce(1).write.mode("overwrite").json(f"{out}/manifest/v={batch_id}")
+        sp.createDataFrame([(str(batch_id),)], "value string").coalesce(1).write.mode("overwrite").text(f"{out}/_latest")
     return fn
 
 
@@ -260,17 +259,17 @@ def _snapshot_sink(out: str):
 DAY_US, HOUR_US = 86_400_000_000, 3_600_000_000
 
 
-def _in_order(names: list[str], step, idle_us: int | None):
+def _in_order(names: list[str], step):
     """A state function that hands a key's rows to ``step`` in event-time order.
 
     Rows are held until the watermark has passed them, so input that is out of
     order across micro-batches (within the watermark) gives the same result as
     in order. The first of ``names`` is the time, the second breaks ties.
-    ``step(fold state or None, rows, idle)`` returns the new fold state (None: nothing
-    to keep) and output rows; ``idle`` is true once the watermark is ``idle_us`` past the
-    last row handed over."""
+    ``step(key, fold state or None, rows, watermark)`` returns the new fold state
+    (None: nothing to keep), output rows, and the time at which it wants to be
+    called again though no row comes (None: never). Times are microseconds."""
     def run(key, frames, state):
-        held, fold, last = json.loads(state.get[0]) if state.exists else ([], None, None)
+        held, fold = json.loads(state.get[0]) if state.exists else ([], None)
         if not state.hasTimedOut:
             for p in frames:
                 us = ((p[names[0]] - pd.Timestamp(0)) // pd.Timedelta("1us")).tolist()
@@ -279,15 +278,13 @@ def _in_order(names: list[str], step, idle_us: int | None):
         now = state.getCurrentWatermarkMs() * 1000
         ready = sorted((r for r in held if r[0] <= now), key=lambda r: r[:2])
         held = [r for r in held if r[0] > now]
-        last = ready[-1][0] if ready else last
-        idle = bool(idle_us is not None and last is not None and last + idle_us < now)
-        fold, out = step(key, fold, ready, idle)
-        if not held and (fold is None or idle):
+        fold, out, wake = step(key, fold, ready, now)
+        if not held and fold is None:
             if state.exists:
                 state.remove()
         else:
-            state.update((json.dumps([held, fold, last]),))
-            wakes = [r[0] for r in held] + ([last + idle_us] if idle_us is not None and last is not None and not idle else [])
+            state.update((json.dumps([held, fold]),))
+            wakes = [r[0] for r in held] + ([wake] if wake is not None else [])
             if wakes:
                 state.setTimeoutTimestamp(max(min(wakes) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         if out:
@@ -295,7 +292,7 @@ def _in_order(names: list[str], step, idle_us: int | None):
     return run
 
 
-def _cart_step(key, fold, rows, idle):
+def _cart_step(key, fold, rows, now):
     """Lines of a cart, barcode -> [quantity, price], over adds (+1; the price is
     that of the line's first add), removes (-1; rejected at 0) and clears. A
     cart ends 24 hours after its last event: its lines go to 0."""
@@ -317,13 +314,73 @@ def _cart_step(key, fold, rows, idle):
                 lines[barcode] = [q - 1, p]
             touched[barcode] = at
         last = at
-    if idle:
-        touched.update(dict.fromkeys(lines, last + DAY_US))
+    ended = last is None or last + DAY_US < now
+    if ended:
+        touched.update(dict.fromkeys(lines, last and last + DAY_US))
         lines = {}
     out = [{"session_id": key[0], "barcode": b, "quantity": lines.get(b, [0])[0],
             "price": Decimal(lines[b][1]) if b in lines and lines[b][1] is not None else None,
             "event_time": pd.Timestamp(at, unit="us")} for b, at in touched.items()]
-    return [lines, last], out
+    return (None, out, None) if ended else ([lines, last], out, last + DAY_US)
+
+
+def cart_stream(spark: SparkSession, events: DataFrame, home: str) -> DataFrame:
+    """The cart events, landed and read again as a stream."""
+    files = land(events.where(F.col("kind").isin("ADD", "REMOVE", "CLEAR")), f"{home}/in")
+    return (spark.readStream.schema("event_id long, event_time timestamp, session_id long, barcode string, kind string, price decimal(19,4)")
+            .option("maxFilesPerTrigger", files).json(f"{home}/in"))
+
+
+EXPIRY_OUT = "session_id long, first_put timestamp, expires_at timestamp, puts long"
+#: Stored lines of a cart that nobody has touched for so long are forgotten by the stream.
+LINES_US = 30 * DAY_US
+
+
+def _expiry_step(key, fold, rows, now):
+    """Lifetimes of the keyed cart map, 24 hours after the last put: an add is a
+    put, a remove that leaves the line above 0 too; a remove to 0 is none, one at
+    0 is refused, and a clear ends the map. Lines outlive the map, as stored
+    lines do."""
+    lines, life, last = fold or [{}, None, None]
+    out = []
+
+    def end():
+        out.append({"session_id": key[0], "first_put": pd.Timestamp(life[0], unit="us"),
+                    "expires_at": pd.Timestamp(life[1] + DAY_US, unit="us"), "puts": life[2]})
+
+    for at, _, kind, barcode in rows:
+        last = at
+        if life and at >= life[1] + DAY_US:
+            end()
+            life = None
+        q, name = 0, json.dumps(barcode)
+        if kind == "CLEAR":
+            if life:
+                end()
+            lines, life = {}, None
+        else:
+            q = lines.get(name, 0) + (1 if kind == "ADD" else -1)
+            if q > 0:
+                lines[name] = q
+                life = [at, at, 1] if life is None else [life[0], at, life[2] + 1]
+            else:
+                lines.pop(name, None)
+    if life and life[1] + DAY_US <= now:
+        end()
+        life = None
+    if not life and (not lines or last + LINES_US < now):
+        return None, out, None
+    return [lines, life, last], out, life[1] + DAY_US if life else last + LINES_US
+
+
+def stream_cart_expiry(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """ST3: the lifetimes of the cart map (S7) as they end, up to the last watermark."""
+    home = stream_home(spark, "cart_expiry")
+    fold = _in_order(["event_time", "event_id", "kind", "barcode"], _expiry_step)
+    st = (cart_stream(spark, events, home).withWatermark("event_time", "1 hour").groupBy("session_id")
+          .applyInPandasWithState(fold, EXPIRY_OUT, "fold string", "append", GroupStateTimeout.EventTimeTimeout))
+    out = _read_out(spark, run_available(st, home), EXPIRY_OUT)
+    return out.withColumns({"first_put": _ntz("first_put"), "expires_at": _ntz("expires_at")})
 
 
 CART_OUT = "session_id long, barcode string, quantity long, price decimal(19,4), event_time timestamp"
@@ -335,14 +392,11 @@ def stream_cart_state(spark: SparkSession, events: DataFrame) -> DataFrame:
     watermark. Update-mode output has several rows per line; the last one per
     line is returned, lines at 0 dropped."""
     home = stream_home(spark, "cart_state")
-    land(events.where(F.col("kind").isin("ADD", "REMOVE", "CLEAR")), f"{home}/in")
-    s = (spark.readStream.schema("event_id long, event_time timestamp, session_id long, barcode string, "
-                                 "kind string, price decimal(19,4)").option("maxFilesPerTrigger", FILES_PER_TRIGGER).json(f"{home}/in"))
-    return cart_state_of(spark, s, home)
+    return cart_state_of(spark, cart_stream(spark, events, home), home)
 
 
 def cart_state_of(spark: SparkSession, stream: DataFrame, home: str) -> DataFrame:
-    fold = _in_order(["event_time", "event_id", "kind", "barcode", "price"], _cart_step, DAY_US)
+    fold = _in_order(["event_time", "event_id", "kind", "barcode", "price"], _cart_step)
     st = (stream.withWatermark("event_time", "1 hour").groupBy("session_id")
           .applyInPandasWithState(fold, CART_OUT, "fold string", "update", GroupStateTimeout.EventTimeTimeout))
     out = run_available(st, home, mode="update", foreach=_append_batches)
@@ -361,29 +415,39 @@ for _f, _t in SESSION_EDGES:
 SESSION_OUT = "event_id long, session_id string, target string, from_state string, accepted boolean, to_state string"
 
 
-def _session_step(key, fold, rows, idle):
+def _session_step(ttl_us):
     """The current state; each command is accepted when its edge is allowed, else
-    refused (state unchanged). A session's state is one word and is kept, so a
-    finished session never starts again."""
-    cur, out = fold or "CREATED", []
-    for _, eid, target in rows:
-        ok = target in _ALLOWED.get(cur, set())
-        out.append({"event_id": eid, "session_id": key[0], "target": target, "from_state": cur, "accepted": ok,
-                    "to_state": target if ok else cur})
-        cur = target if ok else cur
-    return cur, out
-
-
-def stream_session_state(spark: SparkSession, log: DataFrame) -> DataFrame:
+    refused (state unchanged). The state, a terminal one too, is kept until the
+    session has had no command for ``ttl_us``: until then a finished session
+    never starts again."""
+    def step(key, fold, rows, now):
+        (cur, last), out = fold or ("CREATED", None), []
+        for at, eid, target in rows:
+            ok = target in _ALLOWED.get(cur, set())
+            out.append({"event_id": eid, "session_id": key[0], "target": target, "from_state": cur, "accepted": ok,
+                        "to_state": target if ok else cur})
+            cur, last = target if ok else cur, at
+        if last is None or last + ttl_us < now:
+            return None, out, None
+        return [cur, last], out, last + ttl_us
+    return step
+
+
+def stream_session_state(spark: SparkSession, log: DataFrame, ttl_us: int = 2 * DAY_US) -> DataFrame:
     """ST2: the session state machine over a stream of commands, up to the last
-    watermark; refused commands are flagged. Equals the batch replay (T2)."""
+    watermark; refused commands are flagged. Equals the batch replay (T2) of
+    sessions whose commands are never ``ttl_us`` apart (a session lives a day)."""
     home = stream_home(spark, "session_state")
-    land(log, f"{home}/in")
+    files = land(log, f"{home}/in")
     s = (spark.readStream.schema("event_id long, event_time timestamp, user_id long, session_id string, target string")
-         .option("maxFilesPerTrigger", FILES_PER_TRIGGER).json(f"{home}/in"))
-    st = (s.withWatermark("event_time", "1 hour").groupBy("session_id")
-           .applyInPandasWithState(_in_order(["event_time", "event_id", "target"], _session_step, None), SESSION_OUT, "fold string", "append",
-                                   GroupStateTimeout.EventTimeTimeout))
+         .option("maxFilesPerTrigger", files).json(f"{home}/in"))
+    return session_state_of(spark, s, home, ttl_us)
+
+
+def session_state_of(spark: SparkSession, stream: DataFrame, home: str, ttl_us: int) -> DataFrame:
+    st = (stream.withWatermark("event_time", "1 hour").groupBy("session_id")
+          .applyInPandasWithState(_in_order(["event_time", "event_id", "target"], _session_step(ttl_us)), SESSION_OUT, "fold string", "append",
+                                  GroupStateTimeout.EventTimeTimeout))
     out = run_available(st, home, mode="append", foreach=_append_batches)
     return _read_out(spark, out, SESSION_OUT + ", batch_id long").drop("batch_id")
 
@@ -391,7 +455,7 @@ def stream_session_state(spark: SparkSession, log: DataFrame) -> DataFrame:
 LOOKUP_OUT = "request_id long, barcode string, requested_at timestamp"
 
 
-def _lookup_step(key, fold, rows, idle):
+def _lookup_step(key, fold, rows, now):
     """A product is loaded by the first lookup, and again by the first one at
     least an hour after its last load; the others find it in the cache."""
     out = []
@@ -399,18 +463,20 @@ def _lookup_step(key, fold, rows, idle):
         if fold is None or at >= fold + HOUR_US:
             fold = at
             out.append({"request_id": rid, "barcode": key[0], "requested_at": pd.Timestamp(at, unit="us")})
-    return fold, out
+    if fold is None or fold + HOUR_US < now:
+        return None, out, None
+    return fold, out, fold + HOUR_US
 
 
 def stream_lookup_dedup(spark: SparkSession, lookups: DataFrame) -> DataFrame:
     """ST4: the lookups that reach the store behind a cache with a fixed life of
     an hour, up to the last watermark."""
     home = stream_home(spark, "lookup_dedup")
-    land(lookups, f"{home}/in", order="requested_at")
+    files = land(lookups, f"{home}/in", order="requested_at")
     s = (spark.readStream.schema("request_id long, barcode string, requested_at timestamp")
-         .option("maxFilesPerTrigger", FILES_PER_TRIGGER).json(f"{home}/in"))
+         .option("maxFilesPerTrigger", files).json(f"{home}/in"))
     st = (s.withWatermark("requested_at", "1 hour").groupBy("barcode")
-           .applyInPandasWithState(_in_order(["requested_at", "request_id"], _lookup_step, HOUR_US), LOOKUP_OUT, "fold string", "append",
+           .applyInPandasWithState(_in_order(["requested_at", "request_id"], _lookup_step), LOOKUP_OUT, "fold string", "append",
                                    GroupStateTimeout.EventTimeTimeout))
     out = _read_out(spark, run_available(st, home), LOOKUP_OUT)
     return out.withColumn("requested_at", _ntz("requested_at"))

@@ -88,20 +88,6 @@ def test_streams_do_not_depend_on_batches_order_or_restarts(spark):
     assert (1, "a", 1) in seen and (2, "b", 1) in seen and (1, "a", 2) not in seen
 
 
-def test_a_snapshot_that_cannot_be_read_raises(spark):
-    import pytest
-
-    from basketry.streaming import queries as st
-    home = st.stream_home(spark, "broken")
-    fn = st._snapshot_sink(f"{home}/out")
-    batch = spark.createDataFrame([], "topic string, session_id string, barcode string, quantity int, price decimal(19,4), event_time timestamp_ntz")
-    fn(batch, 0)
-    fn(batch, 1)
-    spark.createDataFrame([("7",)], "value string").write.mode("overwrite").text(f"{home}/out/_latest")
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        fn(batch, 8)
-
-
 def test_a_deep_tree_and_a_cycle(spark):
     import pytest
 
