@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from basketry.schemas import SESSION_EDGES
@@ -292,36 +293,97 @@ def _in_order(names: list[str], step):
     return run
 
 
-def _cart_step(key, fold, rows, now):
-    """Lines of a cart, barcode -> [quantity, price], over adds (+1; the price is
-    that of the line's first add), removes (-1; rejected at 0) and clears. A
-    cart ends 24 hours after its last event: its lines go to 0."""
-    lines, last = fold or [{}, None]
-    touched = {}
-    for at, _, kind, barcode, price in rows:
-        if kind == "CLEAR" or last is not None and at > last + DAY_US:
-            touched.update(dict.fromkeys(lines, min(at, last + DAY_US) if last is not None else at))
-            lines = {}
-        if kind == "ADD":
-            q, p = lines.get(barcode, [0, None])
-            lines[barcode] = [q + 1, p if q else price]
-            touched[barcode] = at
-        elif kind == "REMOVE" and barcode in lines:
-            q, p = lines[barcode]
-            if q == 1:
-                del lines[barcode]
-            else:
-                lines[barcode] = [q - 1, p]
-            touched[barcode] = at
-        last = at
-    ended = last is None or last + DAY_US < now
-    if ended:
-        touched.update(dict.fromkeys(lines, last and last + DAY_US))
-        lines = {}
-    out = [{"session_id": key[0], "barcode": b, "quantity": lines.get(b, [0])[0],
-            "price": Decimal(lines[b][1]) if b in lines and lines[b][1] is not None else None,
-            "event_time": pd.Timestamp(at, unit="us")} for b, at in touched.items()]
-    return (None, out, None) if ended else ([lines, last], out, last + DAY_US)
+def cart_rows(session, touched):
+    """Output rows from barcode -> (quantity, price text, time)."""
+    plain = {"session_id": [session] * len(touched), "barcode": list(touched), "quantity": [q for q, _, _ in touched.values()],
+             "price": [None if p is None else Decimal(p) for _, p, _ in touched.values()]}
+    out = pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in plain.items()})
+    return out.assign(event_time=pd.to_datetime([t for _, _, t in touched.values()], unit="us"))
+
+
+class CartProcessor(StatefulProcessor):
+    """Lines of a cart over adds (+1; the price is that of the line's first add),
+    removes (-1; refused at 0) and clears. A cart ends 24 hours after its last
+    event: its lines go to 0 and its state leaves.
+
+    Rows wait in a list, which a batch only appends to; an event-time timer at
+    the earliest of them hands over, in order, those that the watermark has
+    passed. Lines are a map of their own, so a batch touches only its own lines."""
+
+    def init(self, handle):
+        self.handle = handle
+        self.held = handle.getListState("held", "at long, event_id long, kind string, barcode string, price string")
+        self.lines = handle.getMapState("lines", "barcode string", "quantity long, price string")
+        self.last = handle.getValueState("last", "at long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        first = None
+        for p in rows:
+            us = ((p["event_time"] - pd.Timestamp(0)) // pd.Timedelta("1us")).tolist()
+            text = [[None if pd.isna(v) else str(v) for v in p[c].tolist()] for c in ("kind", "barcode", "price")]
+            self.held.appendList(list(zip(us, [int(e) for e in p["event_id"].tolist()], *text)))
+            first = min([*us, first] if first is not None else us)
+        if first is not None:
+            self._call_at(first, timerValues)
+        yield cart_rows(key[0], {})
+
+    def _call_at(self, us, timerValues):
+        self.handle.registerTimer(max(us // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        ready, rest = [], []
+        for row in self.held.get() if self.held.exists() else ():
+            (ready if row[0] <= now else rest).append(tuple(row))
+        if ready:
+            self.held.put(rest) if rest else self.held.clear()
+        last = self.last.get()[0] if self.last.exists() else None
+        touched = {}
+        seen: dict = {}  # lines read or changed in this call: (quantity, price), None where there is none
+
+        def line(barcode):
+            if barcode not in seen:
+                seen[barcode] = self.lines.getValue((barcode,)) if self.lines.containsKey((barcode,)) else None
+            return seen[barcode]
+
+        def end(when):
+            for stored in self.lines.keys():
+                line(stored[0])
+            for barcode in [b for b, v in seen.items() if v is not None]:
+                seen[barcode] = None
+                touched[barcode] = (0, None, when)
+
+        for when, _, kind, barcode, price in sorted(ready, key=lambda r: r[:2]):
+            if kind == "CLEAR" or last is not None and when > last + DAY_US:
+                end(min(when, last + DAY_US) if last is not None else when)
+            if kind == "ADD":
+                q, p = line(barcode) or (0, price)
+                seen[barcode] = (q + 1, p)
+                touched[barcode] = (q + 1, p, when)
+            elif kind == "REMOVE" and line(barcode) is not None:
+                q, p = line(barcode)
+                seen[barcode] = (q - 1, p) if q > 1 else None
+                touched[barcode] = (q - 1, p if q > 1 else None, when)
+            last = when
+        over = last is not None and last + DAY_US < now
+        if over:
+            end(last + DAY_US)
+        for barcode in touched:  # what changed is written once
+            if seen[barcode] is not None:
+                self.lines.updateValue((barcode,), seen[barcode])
+            elif self.lines.containsKey((barcode,)):
+                self.lines.removeKey((barcode,))
+        if over:
+            self.last.clear()
+        elif last is not None:
+            self.last.update((last,))
+            self._call_at(last + DAY_US, timerValues)
+        if rest:
+            self._call_at(min(r[0] for r in rest), timerValues)
+        yield cart_rows(key[0], touched)
+
+    def close(self):
+        pass
 
 
 def cart_stream(spark: SparkSession, events: DataFrame, home: str) -> DataFrame:
@@ -384,6 +446,8 @@ def stream_cart_expiry(spark: SparkSession, events: DataFrame) -> DataFrame:
 
 
 CART_OUT = "session_id long, barcode string, quantity long, price decimal(19,4), event_time timestamp"
+#: The state store that lists, maps and timers need.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def stream_cart_state(spark: SparkSession, events: DataFrame) -> DataFrame:
@@ -396,10 +460,15 @@ def stream_cart_state(spark: SparkSession, events: DataFrame) -> DataFrame:
 
 
 def cart_state_of(spark: SparkSession, stream: DataFrame, home: str) -> DataFrame:
-    fold = _in_order(["event_time", "event_id", "kind", "barcode", "price"], _cart_step)
     st = (stream.withWatermark("event_time", "1 hour").groupBy("session_id")
-          .applyInPandasWithState(fold, CART_OUT, "fold string", "update", GroupStateTimeout.EventTimeTimeout))
-    out = run_available(st, home, mode="update", foreach=_append_batches)
+          .transformWithStateInPandas(CartProcessor(), CART_OUT, "update", "eventTime"))
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        out = run_available(st, home, mode="update", foreach=_append_batches)
+    finally:
+        spark.conf.set(name, before)
     r = _read_out(spark, out, CART_OUT + ", batch_id long")
     last = (r.groupBy("session_id", "barcode")
              .agg(F.max(F.struct("batch_id", "event_time", "quantity", "price")).alias("_l")))

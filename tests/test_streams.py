@@ -106,3 +106,21 @@ def test_landing_follows_the_size(spark, monkeypatch):
     assert st.land(d, f"{home}/in") == 5
     assert len(glob.glob(f"{home.removeprefix('file:')}/in/*.json")) >= 13
     assert spark.read.json(f"{home}/in").count() == 300
+
+
+def test_a_hot_cart_with_many_held_rows(spark):
+    """100,000 rows of one cart arrive before the watermark moves; a batch later they are all in, and the state is small."""
+    schema = "event_id long, event_time timestamp, session_id long, barcode string, kind string, price decimal(19,4)"
+    n = 100_000
+    rows = spark.range(n).select(
+        F.col("id").alias("event_id"), F.timestamp_add("MICROSECOND", F.col("id") * 30_000, F.lit(T0)).cast("timestamp").alias("event_time"),
+        F.lit(1).cast("long").alias("session_id"), F.concat(F.lit("b"), (F.col("id") % 50).cast("string")).alias("barcode"),
+        F.when(F.floor(F.col("id") / 50) % 3 == 2, "REMOVE").otherwise("ADD").alias("kind"), F.lit(1).cast("decimal(19,4)").alias("price"))
+    home = st.stream_home(spark, "hot")
+    read = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    st.land(rows, f"{home}/in", files=1)
+    assert st.cart_state_of(spark, read.json(f"{home}/in"), home).count() == 0  # all within the hour that rows may be late
+    st.land(spark.createDataFrame([(n, at(600), 2, "z", "ADD", Decimal(1))], schema), f"{home}/in", files=1)
+    got = st.cart_state_of(spark, read.json(f"{home}/in"), home)
+    want = sum(-1 if i % 3 == 2 else 1 for i in range(n // 50))
+    assert {(r.session_id, r.barcode, r.quantity) for r in got.collect()} == {(1, f"b{i}", want) for i in range(50)}
