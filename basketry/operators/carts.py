@@ -103,9 +103,10 @@ def enrich_scans(requests: DataFrame, catalog: DataFrame) -> DataFrame:
 
     The catalog grows with the data, so no broadcast is forced: AQE turns the
     join into a broadcast only when the measured catalog side is small."""
-    cat = catalog.select("barcode", "name", "price")
+    image = F.col("image_url") if "image_url" in catalog.columns else F.lit(None).cast("string").alias("image_url")
+    cat = catalog.select("barcode", "name", "price", image)
     j = requests.join(cat, "barcode", "left")
-    return j.select("request_id", "barcode", "name", "price",
+    return j.select("request_id", "barcode", "name", "price", "image_url",
                     F.when(F.col("name").isNull(), "product_not_found").otherwise("ok").alias("outcome"))
 
 

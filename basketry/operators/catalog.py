@@ -27,15 +27,21 @@ def products_by_barcodes(requests: DataFrame, catalog: DataFrame) -> DataFrame:
     return catalog.join(keys, "barcode", "left_semi").select("barcode", "name", "brand", "price")
 
 
-def product_dto(catalog: DataFrame) -> DataFrame:
-    """The 17-field product view (no created_at / updated_at / version)."""
-    return catalog.select(
-        "barcode", "name", "brand", "price", "currency_code", F.col("category").alias("category_name"),
-        "aisle_number", F.lit(None).cast("string").alias("image_url"), "nutriscore_grade",
-        F.lit(None).cast("short").alias("nova_group"), F.lit(None).cast("string").alias("ingredients_text"),
-        F.lit(None).cast(T.ArrayType(T.StringType())).alias("allergen_codes"), "stock_quantity",
-        "rfid_security_required", F.lit(None).cast("string").alias("nutriments"), "attributes",
-        (F.col("barcode").cast("bigint") + 1).alias("id"))
+def product_dto(products: DataFrame) -> DataFrame:
+    """The 17-field product view (no created_at / updated_at / version); nutriments as JSON text."""
+    return products.select(
+        "id", "barcode", "name", "brand", "price", "currency_code", "category_id", "aisle_number", "image_url", "nutriscore_grade",
+        "nova_group", "ingredients_text", "allergen_codes", "stock_quantity", "rfid_security_required",
+        F.to_json("nutriments").alias("nutriments"), "attributes")
+
+
+def product_nutrition(products: DataFrame) -> DataFrame:
+    """list and map columns read: is an allergen in the list, its number of codes, a nutriment by key (0 if absent)."""
+    return products.select(
+        "barcode", F.coalesce(F.array_contains("allergen_codes", "milk"), F.lit(False)).alias("has_milk"),
+        F.coalesce(F.array_size("allergen_codes"), F.lit(0)).alias("n_allergens"),
+        F.coalesce(F.element_at("nutriments", F.lit("sugar")), F.lit(0.0)).alias("sugar"),
+        F.coalesce(F.element_at("nutriments", F.lit("salt")), F.lit(0.0)).alias("salt"))
 
 
 def product_wire_row(catalog: DataFrame) -> DataFrame:

@@ -90,10 +90,15 @@ def state_dwell_time(audit: DataFrame) -> DataFrame:
         F.min("us").alias("min_micros"), F.max("us").alias("max_micros"))
 
 
-def stuck_payments(log: DataFrame, as_of: str, older_than: str = "15 minutes") -> DataFrame:
+def moment(as_of: str | None) -> Column:
+    """A given time, or now."""
+    return F.localtimestamp() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
+
+
+def stuck_payments(log: DataFrame, as_of: str | None = None, older_than: str = "15 minutes") -> DataFrame:
     """Sessions whose last state is PAYING, entered more than ``older_than``
     before ``as_of`` (payment is two transactions, so PAYING can stick)."""
-    cut = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {older_than}")
+    cut = moment(as_of) - F.expr(f"INTERVAL {older_than}")
     entered = session_replay(log).where(F.col("accepted") & (F.col("to_state") == "PAYING") & (F.col("final_state") == "PAYING"))
     # the last entry counts, also where an edge table lets a session come back
     last = entered.groupBy("session_id").agg(F.max("event_time").alias("paying_since"))
@@ -115,32 +120,36 @@ def payment_receipts(log: DataFrame, secret: str) -> DataFrame:
 
 # --- T3 / T4: new sessions and tokens ---------------------------------------------------
 
-def uuid_from(text: Column) -> Column:
-    """Deterministic UUID-shaped id from a key (tests); production uses uuid()."""
+def uuid_from(text: Column, random: bool = False) -> Column:
+    """UUID of a new row: from its key, so that a retried job gives the same one, or a random one.
+
+    Random ids differ between reads of a frame; write it before reading it twice."""
+    if random:
+        return F.uuid()
     h = F.sha2(text, 256)
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
                        F.substring(h, 17, 4), F.substring(h, 21, 12))
 
 
 def issue_token_cols(session_col: str, user_col: str, token_type: Column, now: Column,
-                     secret: str) -> list[Column]:
+                     secret: str, random_ids: bool = False) -> list[Column]:
     """T4 columns: correlation id, payload JSON, signature, expiry (+24 h),
     status ACTIVE, key version 1."""
     expires = now + F.expr(f"INTERVAL {QR_TTL}")
     payload = F.to_json(F.struct(F.col(session_col).cast("string").alias("sessionId"),
                                  F.col(user_col).alias("userId"), token_type.alias("type"),
                                  iso_instant(expires).alias("expiresAt")))
-    corr = uuid_from(F.concat(F.lit("qr:"), F.col(session_col).cast("string"), F.lit(":"), token_type))
+    corr = uuid_from(F.concat(F.lit("qr:"), F.col(session_col).cast("string"), F.lit(":"), token_type), random_ids)
     return [corr.alias("correlation_id"), token_type.alias("token_type"), payload.alias("payload"),
             qr_sign(payload, secret).alias("signature"), F.lit(1).alias("key_version"),
             expires.alias("expires_at"), F.lit("ACTIVE").alias("status")]
 
 
-def issue_tokens(sessions: DataFrame, secret: str) -> DataFrame:
+def issue_tokens(sessions: DataFrame, secret: str, random_ids: bool = False) -> DataFrame:
     """T4: an entry token for live sessions, an exit token for completed ones."""
     tt = F.when(F.col("status") == "COMPLETED", "EXIT").otherwise("ENTRY")
     return sessions.select("session_id", "user_id",
-                           *issue_token_cols("session_id", "user_id", tt, F.col("created_at"), secret))
+                           *issue_token_cols("session_id", "user_id", tt, F.col("created_at"), secret, random_ids))
 
 
 def resolve_user(access: DataFrame) -> DataFrame:
@@ -150,18 +159,18 @@ def resolve_user(access: DataFrame) -> DataFrame:
                          F.when(u.isNull(), "missing_user").otherwise("ok").alias("outcome"))
 
 
-def start_sessions(access: DataFrame, secret: str) -> DataFrame:
+def start_sessions(access: DataFrame, secret: str, random_ids: bool = False) -> DataFrame:
     """Session-start requests -> new session rows (the request's store, else
     1; CREATED, +24 h) with their signed entry token; requests without a user
     are left out."""
     req = resolve_user(access.where(F.col("path").startswith("/api/sessions/"))).where(F.col("outcome") == "ok")
     req = req.join(access.select("event_id", "event_time", "store_id"), "event_id")
-    sid = uuid_from(F.concat(F.lit("session:"), F.col("event_id").cast("string")))
+    sid = uuid_from(F.concat(F.lit("session:"), F.col("event_id").cast("string")), random_ids)
     s = req.select("event_id", sid.alias("session_id"), "user_id",
                    F.coalesce(F.col("store_id"), F.lit(DEFAULTS["store_id"])).cast("bigint").alias("store_id"),
                    F.lit(DEFAULTS["status"]).alias("status"), F.col("event_time").alias("created_at"),
                    (F.col("event_time") + F.expr(f"INTERVAL {SESSION_TTL}")).alias("expires_at"))
-    *token, expires, status = issue_token_cols("session_id", "user_id", F.lit("ENTRY"), F.col("created_at"), secret)
+    *token, expires, status = issue_token_cols("session_id", "user_id", F.lit("ENTRY"), F.col("created_at"), secret, random_ids)
     return s.select("*", *token, expires.alias("token_expires_at"), status.alias("token_status"))
 
 
@@ -324,8 +333,8 @@ def sessions_by_user_status(users: DataFrame, sessions: DataFrame, status: str =
     return sessions.where(F.col("status") == status).join(users.select(F.col("id").alias("user_id")), "user_id", "left_semi")
 
 
-def expired_sessions(sessions: DataFrame, as_of: str) -> DataFrame:
+def expired_sessions(sessions: DataFrame, as_of: str | None = None) -> DataFrame:
     """Sessions past expires_at that are still not terminal (filter pushed
     to the scan where the column is stored)."""
-    now = F.lit(as_of).cast("timestamp_ntz")
+    now = moment(as_of)
     return sessions.where((F.col("expires_at") < now) & ~F.col("status").isin(*TERMINAL_STATES))

@@ -66,9 +66,9 @@ select a.session_id, a.barcode, c.seq, c.quantity, c.price, c.quantity is not nu
 from asked a left join cart_lines c on c.session_id = a.session_id and c.barcode = a.barcode""")
 
 sql("enrich_scans", """
-select r.request_id, r.barcode, c.name, c.price,
+select r.request_id, r.barcode, c.name, c.price, c.image_url,
        case when c.name is null then 'product_not_found' else 'ok' end as outcome
-from barcode_requests r left join catalog c on c.barcode = r.barcode""")
+from barcode_requests r left join full_products c on c.barcode = r.barcode""")
 
 _W1 = """
 ev as (
@@ -865,11 +865,15 @@ select barcode, name, price from catalog where lower(name) like '%{SEARCH_QUERY}
 sql("first_page", "select barcode, name, price from catalog order by barcode limit 10")
 
 sql("product_dto", """
-select barcode, name, brand, price, currency_code, category as category_name, aisle_number,
-       cast(null as varchar) as image_url, nutriscore_grade, cast(null as smallint) as nova_group,
-       cast(null as varchar) as ingredients_text, cast(null as varchar[]) as allergen_codes, stock_quantity,
-       rfid_security_required, cast(null as varchar) as nutriments, attributes, cast(barcode as bigint) + 1 as id
-from catalog""")
+select id, barcode, name, brand, price, currency_code, category_id, aisle_number, image_url, nutriscore_grade, nova_group, ingredients_text,
+       allergen_codes, stock_quantity, rfid_security_required,
+       case when energy is not null then '{"energy":' || cast(energy::double as varchar) || ',"sugar":' || cast(sugar::double as varchar) || '}' end as nutriments, attributes
+from full_products""")
+
+sql("product_nutrition", """
+select barcode, coalesce(list_contains(allergen_codes, 'milk'), false) as has_milk, cast(coalesce(len(allergen_codes), 0) as int) as n_allergens,
+       coalesce(sugar, 0)::double as sugar, 0.0::double as salt
+from full_products""")
 
 sql("product_wire_row", """
 select barcode, name, coalesce(brand, '') as brand, cast(price as varchar) as price,

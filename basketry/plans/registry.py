@@ -75,7 +75,7 @@ def q_cart_line_by_session_product(spark, sf_dir):
 @query("enrich_scans")
 def q_enrich_scans(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return carts.enrich_scans(v.barcode_requests, v.catalog)
+    return carts.enrich_scans(v.barcode_requests, v.full_products)
 
 
 @query("cart_running_quantity")
@@ -460,7 +460,12 @@ def q_first_page(spark, sf_dir):
 
 @query("product_dto")
 def q_product_dto(spark, sf_dir):
-    return cat.product_dto(_v(spark, sf_dir).catalog)
+    return cat.product_dto(_v(spark, sf_dir).full_products)
+
+
+@query("product_nutrition")
+def q_product_nutrition(spark, sf_dir):
+    return cat.product_nutrition(_v(spark, sf_dir).full_products)
 
 
 @query("product_wire_row")

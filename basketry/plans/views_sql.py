@@ -80,9 +80,6 @@ select event_id, ts as event_time,
        case event_type when 'view' then '/api/products/' when 'click' then '/api/cart/'
             when 'purchase' then '/api/sessions/' when 'signup' then '/api/auth/' else '/other/' end
          || cast(event_id as varchar) as path,
-       case when event_id % 13 = 0 then '' when event_id % 17 = 0 then 'abc'
-            else cast(event_id % 1500 as varchar) end as user_text,
-       case when event_id % 19 = 0 then 'x' else cast(event_id % 20000 as varchar) end as session_text,
        case when event_id % 5 = 0 then null else user_id end as header_user_id,
        case when event_id % 7 = 0 then null else user_id end as param_user_id,
        case when event_id % 3 = 0 then null else event_id % 4 + 1 end as store_id
@@ -97,7 +94,7 @@ from events left join (select o_custkey, max(o_orderkey) as own from orders grou
 select event_id, case when event_id % 3 = 0 then own else event_id end as session_id, user_id
 from events left join (select o_custkey, max(o_orderkey) as own from orders group by o_custkey) o on o_custkey = user_id""",
     "raw_products": """
-select lpad(cast(p_partkey + 1000000 as varchar), 13, '0') as barcode,
+select '9' || lpad(cast(p_partkey as varchar), 12, '0') as barcode,
        '{"status":' || case when p_partkey % 9 = 0 then '0' else '1' end || ',"product":{' ||
        case when p_partkey % 4 = 0 then '' else '"product_name":"' || p_name || '",' end ||
        '"brands":"' || case when p_partkey % 6 = 0 then ' ' else p_brand end ||
@@ -107,9 +104,21 @@ select lpad(cast(p_partkey + 1000000 as varchar), 13, '0') as barcode,
 from part""",
     "barcode_requests": """
 select event_id as request_id,
-       lpad(cast(case when event_id % 3 = 0 then user_id + 1000000 when event_id % 3 = 1 then user_id
-                      else user_id + 5000000 end as varchar), 13, '0') as barcode
+       case event_id % 3 when 0 then '9' when 1 then '0' else '8' end
+         || lpad(cast(case when event_id % 5 < 2 then event_id % 4 else event_id * 7919 % ((select max(p_partkey) from part) + 1) end as varchar), 12, '0') as barcode
 from events""",
+    "full_products": """
+select p_partkey + 1 as id, lpad(cast(p_partkey as varchar), 13, '0') as barcode, p_name as name, p_brand as brand,
+       cast(p_retailprice as decimal(19,4)) as price, 'EUR' as currency_code, p_partkey % 5 + 1 as category_id, p_size as aisle_number,
+       case when p_partkey % 6 <> 0 then 'https://img.example.org/' || lpad(cast(p_partkey as varchar), 13, '0') || '.jpg' end as image_url,
+       case when p_partkey % 7 <> 0 then substring('abcde', cast(p_partkey % 5 + 1 as int), 1) end as nutriscore_grade,
+       case when p_partkey % 8 <> 0 then cast(p_partkey % 4 + 1 as smallint) end as nova_group,
+       case when p_partkey % 9 <> 0 then 'made of ' || p_name end as ingredients_text,
+       case when p_partkey % 10 <> 0 then ['gluten', 'milk', 'nuts', 'soy', 'egg'][1 : p_partkey % 4] end as allergen_codes,
+       100 as stock_quantity, p_partkey % 20 = 0 as rfid_security_required,
+       case when p_partkey % 11 <> 0 then p_size end as energy, case when p_partkey % 11 <> 0 then p_partkey % 30 end as sugar,
+       '{"type":"' || p_type || '"}' as attributes
+from part""",
     "search_requests": """
 select s.s_suppkey as query_id,
        upper(case when s.s_suppkey % 50 = 7 then '%' when s.s_suppkey % 50 = 8 then '__'

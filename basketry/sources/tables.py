@@ -199,9 +199,6 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         eid,
         F.col("ts").alias("event_time"),
         F.concat(prefix, eid.cast("string")).alias("path"),
-        F.when(eid % 13 == 0, F.lit("")).when(eid % 17 == 0, F.lit("abc"))
-         .otherwise((eid % 1500).cast("string")).alias("user_text"),
-        F.when(eid % 19 == 0, F.lit("x")).otherwise((eid % 20000).cast("string")).alias("session_text"),
         F.when(eid % 5 == 0, F.lit(None).cast("bigint")).otherwise(F.col("user_id")).alias("header_user_id"),
         F.when(eid % 7 == 0, F.lit(None).cast("bigint")).otherwise(F.col("user_id")).alias("param_user_id"),
         F.when(eid % 3 == 0, F.lit(None).cast("bigint")).otherwise(eid % 4 + 1).alias("store_id"),
@@ -248,16 +245,38 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 5 == 0, F.lit('"n/a"')).otherwise(F.col("p_size").cast("string")),
         F.lit("}}}"),
     )
-    return p.select(barcode_of(k + 1000000).alias("barcode"), body.alias("body"))
+    return p.select(F.concat(F.lit("9"), F.lpad(k.cast("string"), 12, "0")).alias("barcode"), body.alias("body"))
 
 
 def barcode_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product lookups by barcode: a third hit the catalog, a third only the
-    fallback source, a third nothing (derived from ``events``)."""
+    """Product lookups by barcode, two in five of a few popular ones, the rest spread over all
+    parts: a third hit the catalog, a third only the fallback source (barcodes with a 9 in
+    front), a third nothing (an 8)."""
     e = read_table(spark, sf_dir, "events")
-    eid, uid = F.col("event_id"), F.col("user_id")
-    key = (F.when(eid % 3 == 0, uid + 1000000).when(eid % 3 == 1, uid).otherwise(uid + 5000000))
-    return e.select(eid.alias("request_id"), barcode_of(key).alias("barcode"))
+    every = read_table(spark, sf_dir, "part").agg(F.max("p_partkey")).first()[0] or 0   # one number: keys are drawn from all parts
+    eid = F.col("event_id")
+    key = F.lpad(F.when(eid % 5 < 2, eid % 4).otherwise(eid * 7919 % (every + 1)).cast("string"), 12, "0")
+    return e.select(eid.alias("request_id"), F.concat(F.when(eid % 3 == 0, "9").when(eid % 3 == 1, "0").otherwise("8"), key).alias("barcode"))
+
+
+def full_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products with all stored columns: texts, list and map as well."""
+    p = read_table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    codes = F.split(F.lit("gluten,milk,nuts,soy,egg"), ",")
+    return p.select(
+        (k + 1).alias("id"), barcode_of(k).alias("barcode"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"),
+        F.col("p_retailprice").cast(MONEY).alias("price"), F.lit("EUR").alias("currency_code"), (k % 5 + 1).alias("category_id"),
+        F.col("p_size").alias("aisle_number"),
+        F.when(k % 6 != 0, F.concat(F.lit("https://img.example.org/"), barcode_of(k), F.lit(".jpg"))).alias("image_url"),
+        F.when(k % 7 != 0, F.substring(F.lit("abcde"), (k % 5 + 1).cast("int"), 1)).alias("nutriscore_grade"),
+        F.when(k % 8 != 0, (k % 4 + 1).cast("smallint")).alias("nova_group"),
+        F.when(k % 9 != 0, F.concat(F.lit("made of "), F.col("p_name"))).alias("ingredients_text"),
+        F.when(k % 10 != 0, F.slice(codes, 1, (k % 4).cast("int"))).alias("allergen_codes"),
+        F.lit(100).alias("stock_quantity"), (k % 20 == 0).alias("rfid_security_required"),
+        F.when(k % 11 != 0, F.map_from_arrays(F.array(F.lit("energy"), F.lit("sugar")), F.array(F.col("p_size").cast("double"), (k % 30).cast("double"))))
+         .alias("nutriments"),
+        F.concat(F.lit('{"type":"'), F.col("p_type"), F.lit('"}')).alias("attributes"), F.lit(0).cast("bigint").alias("version"))
 
 
 def search_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,7 +418,7 @@ ADAPTERS = {
     "catalog": catalog, "cart_lines": cart_lines, "sessions": sessions,
     "cart_events": cart_events, "cart_reads": cart_reads, "session_log": session_log, "token_log": token_log,
     "tokens": tokens, "qr_tokens": qr_tokens, "users": users, "access_log": access_log,
-    "raw_products": raw_products, "barcode_requests": barcode_requests,
+    "raw_products": raw_products, "full_products": full_products, "barcode_requests": barcode_requests,
     "access_requests": access_requests, "owner_requests": owner_requests,
     "landed_catalog": landed_catalog, "partial_rows": partial_rows, "price_updates": price_updates, "field_requests": field_requests,
     "search_requests": search_requests, "gate_sessions": gate_sessions, "gate_tokens": gate_tokens,

@@ -131,3 +131,14 @@ def test_register_duplicate_and_bad_input(spark):
     assert out == {1: "email_taken", 2: "username_taken", 3: "invalid", 4: "registered", 5: "email_taken"}
     errs = access.validate_requests(req).where("request_id = 3").first()["errors"]
     assert errs.count(":") == 3
+
+
+def test_random_ids_and_the_current_time(spark):
+    """Issued ids are random UUIDs on request, else the same for the same key; a missing time is now."""
+    import re
+    rows = spark.createDataFrame([(i, 7, "ACTIVE", dt.datetime(2024, 1, 1)) for i in range(50)], "session_id long, user_id long, status string, created_at timestamp_ntz")
+    ids = [[r.correlation_id for r in sessions.issue_tokens(rows, fixtures.QR_SECRET, random_ids=x).collect()] for x in (True, True, False, False)]
+    assert len(set(ids[0] + ids[1])) == 100 and ids[2] == ids[3] and len(set(ids[2])) == 50
+    assert all(re.fullmatch(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", x) for x in ids[0] + ids[2])
+    live = spark.createDataFrame([("old", "ACTIVE", dt.datetime(2020, 1, 1)), ("new", "ACTIVE", dt.datetime(2999, 1, 1))], "session_id string, status string, expires_at timestamp_ntz")
+    assert [r.session_id for r in sessions.expired_sessions(live).collect()] == ["old"]
