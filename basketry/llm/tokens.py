@@ -62,11 +62,11 @@ def load(path: str):
     return _LOADED[path]
 
 
-def by_bytes(parts: Iterable[str], most: int) -> Iterator[list[str]]:
+def by_bytes(parts: Iterable[str | bytes], most: int) -> Iterator[list]:
     """Batches of at most ``most`` bytes; a longer part is a batch of its own."""
     batch, size = [], 0
     for p in parts:
-        n = len(p) if p.isascii() else len(p.encode("utf-8", "surrogatepass"))
+        n = len(p) if isinstance(p, bytes) or p.isascii() else len(p.encode("utf-8", "surrogatepass"))
         if batch and size + n > most:
             yield batch
             batch, size = [], 0
