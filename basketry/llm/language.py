@@ -146,7 +146,8 @@ def train(docs: DataFrame, per_language: int = 400) -> Model:
     per_language = max(4, min(per_language, MOST_ROWS // len(sizes)))
     pick = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 62))
     share = docs.sparkSession.createDataFrame([(k, int(min(1.0, per_language / n) * (1 << 62))) for k, n in sizes.items()], "_lang string, _share long")
-    chosen = rows.join(share, F.col("lang") == F.col("_lang")).where(pick < F.col("_share")).drop("_lang", "_share")
+    side = F.broadcast(share) if len(sizes) <= common.BROADCAST_ROWS else share
+    chosen = rows.join(side, F.col("lang") == F.col("_lang")).where(pick < F.col("_share")).drop("_lang", "_share")
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
