@@ -73,10 +73,11 @@ def quantities(events: DataFrame, bucket_us: int = HOUR_US) -> DataFrame:
     return _lines(chunks, _epochs(chunks)).select("event_id", "event_time", "session_id", "barcode", "kind", "epoch", "price", "quantity", "rejected")
 
 
-def history(events: DataFrame, bucket_us: int = HOUR_US, with_clears: bool = False) -> DataFrame:
+def history(events: DataFrame, bucket_us: int = HOUR_US, with_clears: bool = False, with_totals: bool = True) -> DataFrame:
     """``quantities`` with ``life`` (starts of the line in its epoch so far), ``line_price``
     (the price of the life's first add) and, of the whole cart after the row, ``item_count``
-    and ``total``. With ``with_clears``, clears come as rows too (null quantity, empty cart)."""
+    and ``total`` (unless ``with_totals`` is off). With ``with_clears``, clears come as rows
+    too (null quantity, empty cart)."""
     chunks = _chunks(events, bucket_us)
     epochs = _epochs(chunks)
     d = _lines(chunks, epochs)
@@ -89,28 +90,32 @@ def history(events: DataFrame, bucket_us: int = HOUR_US, with_clears: bool = Fal
         F.sum(F.when(F.col("_paid").isNull(), F.col("_dq"))).alias("_early"), F.sum(F.col("_dq") * F.col("_paid.price")).alias("_money"))
     w = Window.partitionBy("session_id", "barcode", "epoch").orderBy("_b").rowsBetween(*BEFORE)
     parts = parts.withColumns({"_lives": F.coalesce(F.sum("_n").over(w), F.lit(0)), "_carried": F.last("_last", ignorenulls=True).over(w)})
-    worth = F.coalesce("_money", F.lit(0)) + F.coalesce(F.col("_early") * F.col("_carried.price"), F.lit(0))
-    carts = parts.groupBy("session_id", "_b", "_cleared", "epoch").agg(F.sum("_items").alias("_items"), F.sum(worth).alias("_worth"))
-    w = Window.partitionBy("session_id", "epoch").orderBy("_b").rowsBetween(*BEFORE)
-    carts = carts.select("session_id", "_b", "_cleared", F.coalesce(F.sum("_items").over(w), F.lit(0)).alias("_items0"),
-                         F.coalesce(F.sum("_worth").over(w), F.lit(0)).alias("_worth0"))
-    starts = join_back(parts.select(*LINE, "_lives", "_carried"), carts, ["session_id", "_b", "_cleared"])
+    starts = parts.select(*LINE, "_lives", "_carried")
+    if with_totals:
+        worth = F.coalesce("_money", F.lit(0)) + F.coalesce(F.col("_early") * F.col("_carried.price"), F.lit(0))
+        carts = parts.groupBy("session_id", "_b", "_cleared", "epoch").agg(F.sum("_items").alias("_items"), F.sum(worth).alias("_worth"))
+        w = Window.partitionBy("session_id", "epoch").orderBy("_b").rowsBetween(*BEFORE)
+        carts = carts.select("session_id", "_b", "_cleared", F.coalesce(F.sum("_items").over(w), F.lit(0)).alias("_items0"),
+                             F.coalesce(F.sum("_worth").over(w), F.lit(0)).alias("_worth0"))
+        starts = join_back(starts, carts, ["session_id", "_b", "_cleared"])
     d = join_back(d, starts, LINE)
     d = d.withColumns({"life": (F.col("_lives") + F.col("_starts")).cast("bigint"),
                        "line_price": F.coalesce("_paid", "_carried").getField("price")})
-    cart = Window.partitionBy("session_id", "_b", "_cleared").orderBy("event_time", "event_id").rowsBetween(*UPTO)
-    columns = ["event_id", "event_time", "session_id", "barcode", "kind", "epoch", "price", "quantity", "rejected", "life", "line_price",
-               "item_count", "total"]
-    out = d.withColumns({
-        "item_count": (F.col("_items0") + F.sum("_dq").over(cart)).cast("bigint"),
-        "total": (F.col("_worth0") + F.coalesce(F.sum(F.col("_dq") * F.col("line_price")).over(cart), F.lit(0))).cast("decimal(38,4)")}).select(*columns)
+    columns = ["event_id", "event_time", "session_id", "barcode", "kind", "epoch", "price", "quantity", "rejected", "life", "line_price"]
+    if with_totals:
+        cart = Window.partitionBy("session_id", "_b", "_cleared").orderBy("event_time", "event_id").rowsBetween(*UPTO)
+        d = d.withColumns({
+            "item_count": (F.col("_items0") + F.sum("_dq").over(cart)).cast("bigint"),
+            "total": (F.col("_worth0") + F.coalesce(F.sum(F.col("_dq") * F.col("line_price")).over(cart), F.lit(0))).cast("decimal(38,4)")})
+        columns += ["item_count", "total"]
+    out = d.select(*columns)
     if not with_clears:
         return out
+    empty = [F.lit(0).cast("bigint").alias("item_count"), F.lit(0).cast("decimal(38,4)").alias("total")] if with_totals else []
     clears = join_back(chunks.where("kind = 'CLEAR'"), epochs, ["session_id", "_b"]).select(
         "event_id", "event_time", "session_id", "barcode", "kind", (F.col("_epochs") + F.col("_cleared")).cast("bigint").alias("epoch"), "price",
         F.lit(None).cast("int").alias("quantity"), F.lit(False).alias("rejected"), F.lit(None).cast("bigint").alias("life"),
-        F.lit(None).cast(out.schema["line_price"].dataType).alias("line_price"), F.lit(0).cast("bigint").alias("item_count"),
-        F.lit(0).cast("decimal(38,4)").alias("total"))
+        F.lit(None).cast(out.schema["line_price"].dataType).alias("line_price"), *empty)
     return out.unionByName(clears)
 
 
@@ -157,7 +162,7 @@ def line_states(events: DataFrame, bucket_us: int = HOUR_US) -> DataFrame:
     """What each line is from when until when: session_id, barcode, quantity, price,
     ``since``, ``until`` (the next change of the line or clear of the session; null
     while it stands) and ``expires_at``, when the map that the state was put into ends."""
-    rows = history(events, bucket_us, with_clears=True).withColumn("_b", time_bucket("event_time", bucket_us))
+    rows = history(events, bucket_us, with_clears=True, with_totals=False).withColumn("_b", time_bucket("event_time", bucket_us))
     rows = materialize(rows)
     lines = rows.where("kind <> 'CLEAR'")
     in_part = Window.partitionBy("session_id", "_b", "barcode", "epoch").orderBy("event_time", "event_id")

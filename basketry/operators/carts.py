@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators import cart_history
 from basketry.operators.asof import holding
-from basketry.operators.scan import HOUR_US, materialize
+from basketry.operators.scan import HOUR_US, join_back, materialize
 from basketry.schemas import CART_TTL
 
 
@@ -156,9 +156,14 @@ def cart_change_feed(events: DataFrame, bucket_us: int = HOUR_US) -> DataFrame:
 
 
 def live_lines(events: DataFrame, bucket_us: int = HOUR_US) -> DataFrame:
-    """Current cart lines from the fold: states that no later change or clear of the log ends."""
-    return (cart_history.line_states(events, bucket_us).where(F.col("until").isNull())
-            .select("session_id", "barcode", "quantity", "price"))
+    """Current cart lines from the fold: the last state of each line in the
+    session's last epoch, kept while its quantity is above 0."""
+    rows = materialize(cart_history.history(events, bucket_us, with_clears=True, with_totals=False))
+    last = (rows.where("kind <> 'CLEAR'").groupBy("session_id", "barcode")
+                .agg(F.max(F.struct("event_time", "event_id", "epoch", "quantity", "line_price")).alias("_l")))
+    j = join_back(last, rows.groupBy("session_id").agg(F.max("epoch").alias("_now")), ["session_id"])
+    return (j.where((F.col("_l.epoch") == F.col("_now")) & (F.col("_l.quantity") > 0))
+             .select("session_id", "barcode", F.col("_l.quantity").cast("bigint").alias("quantity"), F.col("_l.line_price").alias("price")))
 
 
 def cart_read_through(events: DataFrame, lines: DataFrame, bucket_us: int = HOUR_US) -> DataFrame:
