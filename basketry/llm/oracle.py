@@ -75,21 +75,23 @@ with p as (
 ), g as (
   select lang, k, array_to_string(ws[i : i + k - 1], ' ') as phrase from p, unnest(range(1, len(ws) + 1)) u(i), (values (1), (2), (3), (4)) v(k)
   where i + k - 1 <= len(ws)
-), f as (
+), f as materialized (
   select lang, k, phrase, count(*) as f from g group by all
 ), n as (
   select lang, sum(f)::bigint as n from f where k = 1 group by lang
 ), c as (
   select lang, k, phrase, string_split(phrase, ' ') as ws, f as a from f where k >= 2 and f >= 30
+), parts as materialized (
+  select lang, phrase, a, cut, array_to_string(ws[1 : cut], ' ') as head, array_to_string(ws[cut + 1 :], ' ') as tail
+  from (select *, unnest(range(1, k)) as cut from c) x
 ), cuts as (
-  select c.lang, c.phrase, a, cut, l.f as l, r.f as r, (2000000::hugeint * a) // (l.f::hugeint + r.f) as score
-  from c, unnest(range(1, k)) u(cut), f l, f r
-  where l.lang = c.lang and r.lang = c.lang and l.phrase = array_to_string(ws[1 : cut], ' ') and r.phrase = array_to_string(ws[cut + 1 :], ' ')
+  select p.lang, p.phrase, p.a, p.cut, l.f as l, r.f as r, (2000000::hugeint * p.a) // (l.f::hugeint + r.f) as score
+  from parts p join f l on l.lang = p.lang and l.phrase = p.head join f r on r.lang = p.lang and r.phrase = p.tail
 ), low as (
   select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1
 ), around as (
   select lang, array_to_string(ws[s : s + w - 1], ' ') as phrase, max(a) as longer
-  from c, (values (2), (3)) v(w), unnest(range(1, k - w + 2)) u(s) where w < k group by all
+  from (select *, unnest(range(1, k - w + 2)) as s from c, (values (2), (3)) v(w) where w < k) x group by all
 ), kept as (
   select low.* from low left join around using (lang, phrase) where coalesce(longer, 0)::hugeint * 100 < a::hugeint * 80
 )
