@@ -24,10 +24,10 @@ empty result.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
-from itertools import chain, compress
-from operator import not_
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -43,6 +43,8 @@ from basketry.llm.tokens import ALPHABET
 CUT = re.compile("(?<! ) (?=[!-~¡-ᙿ、-퟿])")
 #: Text of a block, units that a worker keeps, and the length up to which they are kept.
 BLOCK_BYTES, KEPT_UNITS, KEPT_CHARS = 1 << 24, 200_000, 64
+#: Units of one call of A.
+JOINED = 256
 #: Pairs of the identity map are written as their id of A, other pairs as (a + 1) * WIDE + b.
 WIDE = 1 << 16
 NOTHING = (0, 0, 0, "", b"")
@@ -58,6 +60,7 @@ class Aligner:
     """Aligns units under both tokenizers; keeps what it has met."""
 
     def __init__(self, a_file: str, b_file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # no threads beside Spark's own
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -77,40 +80,70 @@ class Aligner:
         self.same = np.array([by_bytes.get(x, -1) for x in self.a_bytes])
         self.a_size, self.b_size = (np.array([len(x) for x in v]) for v in (self.a_bytes, self.b_bytes))
         self.numbers = [str(i) for i in range(WIDE)]
+        self.alone = [f"{i}|{x}" for i, x in enumerate(self.same.tolist())]  # a one-to-one group of the identity map, as text
         self.kept = common.Memory(KEPT_UNITS)
 
+    @staticmethod
+    def fits(ids: np.ndarray, count: np.ndarray, token_bytes: list[bytes], token_size: np.ndarray, raw: list[bytes], size: np.ndarray) -> bool:
+        """Are the tokens' bytes those of the units, of each?"""
+        upto = np.concatenate([[0], np.cumsum(token_size[ids])])
+        return bool((upto[np.cumsum(count)] == np.cumsum(size)).all()) and b"".join(map(token_bytes.__getitem__, ids.tolist())) == b"".join(raw)
+
+    def ids_a(self, units: list[str], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all units, how many each has) under A; ``size``: bytes of each unit and its space.
+
+        Many units make one call: a token ends wherever one ends, so the calls' ids are dealt out by their bytes."""
+        texts = ["".join([" " + u for u in units[i:i + JOINED]]) for i in range(0, len(units), JOINED)]
+        ids = np.fromiter(chain.from_iterable(e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)), dtype=np.int64)
+        ends, upto = np.cumsum(self.a_size[ids]), np.cumsum(size)
+        last = np.searchsorted(ends, upto)
+        if len(units) and (len(ends) <= last[-1] or (ends[last] != upto).any()):  # no unit of its own here: each for itself
+            found = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(found), dtype=np.int64), np.array([len(x) for x in found])
+        return ids, np.diff(last, prepend=-1)
+
     def learn(self, units: list[str]) -> dict[str, tuple | None]:
         """Of each unit: (tokens of A, of B, groups, groups as text, codes of the links as bytes); None where bytes differ.
 
         The units stand one behind the other, so their byte offsets are cut into groups in one go.
         """
-        a = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
-        b = self.b.encode(units, num_threads=1)
+        out: dict[str, tuple | None] = {}
+        odd = [u for u in units if not u or u[0].isspace() or u[-1].isspace()]  # white space may join that of a neighbour
+        if odd and len(units) > 1:
+            for u in odd:
+                out |= self.learn([u])
+            gone = set(odd)
+            units = [u for u in units if u not in gone]
         raw = [(" " + u).encode() for u in units]
-        fine = [b"".join(map(self.a_bytes.__getitem__, x)) == t == b"".join(map(self.b_bytes.__getitem__, y)) for x, y, t in zip(a, b, raw)]
-        out: dict[str, tuple | None] = dict.fromkeys(compress(units, map(not_, fine)))
-        units, a, b, raw = (list(compress(v, fine)) for v in (units, a, b, raw))
-        ids_a, ids_b = (np.fromiter(chain.from_iterable(v), dtype=np.int64) for v in (a, b))
+        size = np.array([len(t) for t in raw], dtype=np.int64)
+        ids_a, count_a = self.ids_a(units, size)
+        b = self.b.encode(units, num_threads=1)
+        ids_b, count_b = np.fromiter(chain.from_iterable(b), dtype=np.int64), np.array([len(x) for x in b], dtype=np.int64)
+        if not (self.fits(ids_a, count_a, self.a_bytes, self.a_size, raw, size) and self.fits(ids_b, count_b, self.b_bytes, self.b_size, raw, size)):
+            if len(units) > 1:  # some unit does not come back: halves find it
+                half = len(units) // 2
+                return out | self.learn(units[:half]) | self.learn(units[half:])
+            return out | dict.fromkeys(units)
         ends_a, ends_b = np.cumsum(self.a_size[ids_a]), np.cumsum(self.b_size[ids_b])
         last_a, last_b = np.flatnonzero(np.isin(ends_a, ends_b, assume_unique=True)), np.flatnonzero(np.isin(ends_b, ends_a, assume_unique=True))
         first_a, first_b = (np.concatenate([[0], v[:-1] + 1])[:len(v)] for v in (last_a, last_b))
         n_a, n_b = last_a - first_a + 1, last_b - first_b + 1
         number = self.numbers
-        text = [number[x] + "|" + number[y] for x, y in zip(ids_a[last_a].tolist(), ids_b[last_b].tolist())]
-        odd = np.flatnonzero((n_a > 1) | (n_b > 1))
+        text = list(map(self.alone.__getitem__, ids_a[last_a].tolist()))
+        mixed = np.flatnonzero((n_a > 1) | (n_b > 1) | (self.same[ids_a[last_a]] != ids_b[last_b]))
         of_a, of_b = ids_a.tolist(), ids_b.tolist()
-        for g, i, j, k, m in zip(*(v.tolist() for v in (odd, first_a[odd], last_a[odd], first_b[odd], last_b[odd]))):
+        for g, i, j, k, m in zip(*(v.tolist() for v in (mixed, first_a[mixed], last_a[mixed], first_b[mixed], last_b[mixed]))):
             text[g] = ",".join([number[x] for x in of_a[i:j + 1]]) + "|" + ",".join([number[y] for y in of_b[k:m + 1]])
         links = np.cumsum(n_a * n_b)
         group = np.repeat(np.arange(len(links)), n_a * n_b)
         place = np.arange(len(group)) - (links - n_a * n_b)[group]
         x, y = ids_a[first_a[group] + place // n_b[group]], ids_b[first_b[group] + place % n_b[group]]
         codes = np.where(self.same[x] == y, x, (x + 1) * WIDE + y).tobytes()
-        upto = np.searchsorted(ends_a[last_a], np.cumsum([len(t) for t in raw]), side="right")
+        upto = np.searchsorted(ends_a[last_a], np.cumsum(size), side="right")
         bytes_upto = (8 * np.concatenate([[0], links])[upto]).tolist()
         g0 = c0 = 0
-        for u, x, y, g, c in zip(units, a, b, upto.tolist(), bytes_upto):
-            out[u] = (len(x), len(y), g - g0, ";".join(text[g0:g]), codes[c0:c])
+        for u, x, y, g, c in zip(units, count_a.tolist(), count_b.tolist(), upto.tolist(), bytes_upto):
+            out[u] = (x, y, g - g0, ";".join(text[g0:g]), codes[c0:c])
             g0, c0 = g, c
         return out
 
