@@ -124,3 +124,22 @@ def test_a_hot_cart_with_many_held_rows(spark):
     got = st.cart_state_of(spark, read.json(f"{home}/in"), home)
     want = sum(-1 if i % 3 == 2 else 1 for i in range(n // 50))
     assert {(r.session_id, r.barcode, r.quantity) for r in got.collect()} == {(1, f"b{i}", want) for i in range(50)}
+
+
+def test_many_keys_share_a_bounded_number_of_states(spark, monkeypatch):
+    """A state function is called for a group of keys, not for each of them; what each key gets stays its own."""
+    monkeypatch.setattr(st, "STATE_PARTS", 8)
+    homes, home_of = [], st.stream_home
+    monkeypatch.setattr(st, "stream_home", lambda spark, name: (homes.append(home_of(spark, name)), homes[-1])[1])
+    lookups = [(1000 * b + m, f"b{b}", at(m)) for b in range(200) for m in (0, 30, 70)] + [(9, None, at(5)), (10, "no time", None), (None, "b0", at(1)), (99, "end", at(600))]
+    got = {(r.request_id, r.barcode) for r in st.stream_lookup_dedup(spark, spark.createDataFrame(lookups, "request_id long, barcode string, requested_at timestamp")).collect()}
+    assert got == {(1000 * b + m, f"b{b}") for b in range(200) for m in (0, 70)} | {(9, None)}
+    rows = [(10 * s + k, at(k), s, "a", kind, Decimal(s)) for s in range(100, 300) for k, kind in enumerate(("ADD", "ADD", "REMOVE"))]
+    rows += [(1, at(3), 101, None, "CLEAR", None), (2, at(4), None, "n", "ADD", None), (3, None, 102, "a", "ADD", None), (4, at(600), 5, "z", "ADD", Decimal(1))]
+    events = spark.createDataFrame(rows, EVENTS)
+    carts_now = {(r.session_id, r.barcode, r.quantity, r.price) for r in st.stream_cart_state(spark, events).collect()}
+    assert carts_now == {(s, "a", 1, Decimal(s)) for s in range(100, 300) if s != 101} | {(None, "n", 1, None)}
+    assert st.stream_cart_expiry(spark, events).where("session_id = 101").count() == 1
+    counts = [state_rows(spark, homes[0]), state_rows(spark, homes[2]),
+              spark.read.format("statestore").option("stateVarName", "timer").load(f"{homes[1]}/ckpt").count()]
+    assert all(c <= 8 for c in counts)
