@@ -316,6 +316,19 @@ def test_pieces_of_runs_of_spaces():
     assert small.nbest("a b  a", 2)[0] == (-1.0 - 0.5 - 1.2, (300, 302, 305))
 
 
+def test_pieces_n_best_of_whole_texts(spark):
+    """The operator gives the n best segmentations of each text, not only the best and a gap."""
+    texts = ["", "a", "the quick brown fox", "aaaa aaaa aaaa", "x  y   z", "naïve café ▁ 日本語 \U0001f600", "one two three four five six seven"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for n in (1, 2, 4):
+        of = pieces.loaded(public_tokenizers.path("piece_bpe_32k.model"), n)
+        for r in pieces.encode(docs, n=n, with_ids=True).collect():
+            want = of.nbest(texts[r.doc_id], n)
+            assert np.allclose(r.nbest_score, [s for s, _ in want]) and r.ids == r.nbest_ids[0] and r.score == r.nbest_score[0]
+            assert len({tuple(i) for i in r.nbest_ids}) == len(want) and {of.decode(list(i)) for i in r.nbest_ids if i} <= {texts[r.doc_id]}
+            assert r.nbest_crc32 == [zlib.crc32(np.array(i, dtype="<u4").tobytes()) for i in r.nbest_ids] and r.nbest_pieces == [len(i) for i in r.nbest_ids]
+
+
 def test_pieces_round_trip(spark):
     for docs in (common.table(spark, SF_SMALL, "documents"), odd_docs(spark)):
         enc = pieces.encode(docs, with_ids=True)
