@@ -47,18 +47,28 @@ def holding(requests: DataFrame, intervals: DataFrame, keys: Sequence[str], at:
     held = held.where((granule(since, granule_us) <= hi) & (F.col(until).isNull() | (granule(until, granule_us) >= lo)))
     held = held.withColumns({"_a": clamp(granule(since, granule_us)),
                              "_z": F.when(F.col(until).isNull(), F.lit(span - 1).cast("bigint")).otherwise(clamp(granule(until, granule_us)))})
-    nodes = []
-    for level in range(levels):
-        a = F.floor((F.col("_a") + F.lit((1 << level) - 1)) / F.lit(1 << level)).cast("bigint")
-        z = (F.floor((F.col("_z") + 1) / F.lit(1 << level)) - 1).cast("bigint")
-        top = level == levels - 1
-        left = F.when((a <= z) & (F.lit(top) | (a % 2 == 1)), F.struct(F.lit(level).alias("level"), a.alias("node")))
-        right = F.when((a < z) & (F.lit(top) | (z % 2 == 0)) | (a == z) & F.lit(not top) & (z % 2 == 0),
-                       F.struct(F.lit(level).alias("level"), z.alias("node")))
-        nodes += [left, right]
-    held = held.withColumn("_node", F.explode(F.filter(F.array(*nodes), lambda x: x.isNotNull()))).drop("_a", "_z")
+    top = levels - 1
+
+    def node(level: Column, place: Column) -> Column:
+        """One number for a node: the root is 1, those of a level follow each other."""
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.lit(top) - level).cast("int")) + place
+
+    # a node of a level holds 2^level granules, so an interval has none above the log of its length
+    length = F.col("_z") - F.col("_a") + 1
+    highest = F.lit(0)
+    for level in range(1, levels):
+        highest = highest + F.when(length >= F.lit(1 << level), 1).otherwise(0)
+    held = held.withColumn("_level", F.explode(F.sequence(F.lit(0), highest)))
+    level = F.col("_level")
+    size = F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
+    held = held.withColumns({"_a": F.call_function("shiftright", F.col("_a") + size - 1, level),
+                             "_z": F.call_function("shiftright", F.col("_z") + 1, level) - 1})
+    a, z, at_top = F.col("_a"), F.col("_z"), level == top
+    left = F.when((a <= z) & (at_top | (a % 2 == 1)), node(level, a))
+    right = F.when((a < z) & (at_top | (z % 2 == 0)) | (a == z) & ~at_top & (z % 2 == 0), node(level, z))
+    held = held.withColumn("_node", F.explode(F.array(left, right))).where("_node is not null").drop("_a", "_z", "_level")
     place = clamp(granule(at, granule_us))
     asked = requests.where(F.col(at).isNotNull()).withColumn("_node", F.explode(F.array(
-        *[F.struct(F.lit(level).alias("level"), F.floor(place / F.lit(1 << level)).cast("bigint").alias("node")) for level in range(levels)])))
+        *[node(F.lit(k), F.call_function("shiftright", place, F.lit(k))) for k in range(levels)])))
     met = asked.join(held, [*keys, "_node"])
     return met.where((F.col(since) <= F.col(at)) & (F.col(until).isNull() | (F.col(at) < F.col(until)))).drop("_node")

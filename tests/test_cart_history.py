@@ -144,6 +144,23 @@ def test_cart_as_of_any_time(spark, seed):
     assert carts.cart_as_of(requests.where("false"), events).collect() == []
 
 
+def test_cart_as_of_looks_up_its_lines_once(spark):
+    """The cached lines are stored: the rest of the plan expands only the requests and puts of their end."""
+    events = spark.createDataFrame(events_of(6, 60, nulls=False), SCHEMA)
+    requests = spark.createDataFrame([(1, 1, T0 + DAY)], "request_id long, session_id long, as_of timestamp_ntz")
+    plan = carts.cart_as_of(requests, events)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 3
+
+
+def test_short_intervals_have_few_nodes(spark):
+    """An interval is not expanded over the levels above its length, though far times are asked for."""
+    a = spark.createDataFrame([(1, 1, T0), (2, 1, T0 + 400 * DAY)], "rid long, k long, t timestamp_ntz")
+    b = spark.createDataFrame([(1, 1, T0, T0 + dt.timedelta(minutes=5))], "sid long, k long, since timestamp_ntz, until timestamp_ntz")
+    met = holding(a, b, ["k"], "t", "since", "until")
+    assert [(r.rid, r.sid) for r in met.collect()] == [(1, 1)]
+    assert "lambdafunction" not in met._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("granule", [1_000_000, 3_600_000_000, 10**15])
 def test_holding_meets_each_pair_once(spark, granule):
     rng = random.Random(8)
