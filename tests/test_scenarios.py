@@ -95,6 +95,24 @@ def test_tampered_token_fails_signature(spark):
     assert out["verdict"] == "bad_signature"
 
 
+def test_signatures_are_checked_before_the_join(spark):
+    """Neither payloads nor signatures reach the join of requests and tokens."""
+    qr = spark.createDataFrame([("c1", 1, "{}", "hmac:x", "ACTIVE", T0)], "correlation_id string, session_id long, payload string, "
+                               "vault_signature string, status string, expires_at timestamp_ntz")
+    req = spark.createDataFrame([(1, T0, "c1", "entry")], "request_id long, requested_at timestamp_ntz, correlation_id string, gate string")
+    plan = sessions.validate_tokens(req, qr, fixtures.QR_SECRET)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join LeftOuter", 1)
+    assert "sha2" not in above and "sha2" in below
+
+
+def test_outcomes_of_two_services_come_in_one_part(spark):
+    bad = "MethodArgumentNotValidException"
+    part = spark.createDataFrame([("fields", bad), ("fields", bad), ("cart_fields", bad), ("fields", None)], "source string, exception string")
+    more = spark.createDataFrame([(bad,), (None,)], "exception string")
+    got = {r.service: r.n for r in access.outcome_counts(spark, {"fields": part, "signups": more}).collect()}
+    assert got == {"auth": 3, "cart": 1}
+
+
 def test_pay_from_created_is_illegal(spark):
     log = spark.createDataFrame([(1, _t(1), 5, "s1", "PAYING"), (2, _t(2), 5, "s1", "ACTIVE"),
                                  (3, _t(3), 5, "s1", "PAYING"), (4, _t(4), 5, "s1", "COMPLETED"),
