@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import os
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -143,3 +144,23 @@ def test_many_keys_share_a_bounded_number_of_states(spark, monkeypatch):
     counts = [state_rows(spark, homes[0]), state_rows(spark, homes[2]),
               spark.read.format("statestore").option("stateVarName", "timer").load(f"{homes[1]}/ckpt").count()]
     assert all(c <= 8 for c in counts)
+
+
+def test_a_stream_has_no_more_state_stores_than_cores(spark, tmp_path, monkeypatch):
+    name, asked = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(st, "stream_home", lambda spark, name: f"{tmp_path}/{name}")
+    rows = [(i, "help.requested", str(i % 5), f'{{"sessionId":"{i % 5}","aisleNumber":{i % 3},"timestamp":"{at(i).isoformat()}Z"}}') for i in range(240)]
+    spark.conf.set(name, "64")
+    try:
+        got = st.stream_help_by_aisle(spark, spark.createDataFrame(rows, st.FEED_SCHEMA), slide="5 minutes").collect()
+        assert spark.conf.get(name) == "64"
+    finally:
+        spark.conf.set(name, asked)
+    want = Counter()
+    for i in range(240):
+        for k in range(3):
+            begin = i // 5 * 5 - 5 * k
+            if begin + 15 <= 239 - 30:
+                want[i % 3, at(begin)] += 1
+    assert {(r.aisle_number, r.window_start): r.requests for r in got} == want and len(got) == len(want)
+    assert len(glob.glob(f"{tmp_path}/help_by_aisle/ckpt/state/0/[0-9]*")) == max(st.MIN_STORES, spark.sparkContext.defaultParallelism)
