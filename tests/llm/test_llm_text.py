@@ -292,6 +292,33 @@ def test_pieces_against_all_segmentations():
         assert len({ids for _, ids in got}) == len(got) and all(m.decode(list(ids)) == w for _, ids in got)
 
 
+def test_pieces_side_by_side():
+    """The search over arrays gives what the search of one part gives, to the last bit and also where scores tie."""
+    rng = random.Random(8)
+    for scores in ([-1.0, -2.0], [-rng.random() * 10 for _ in range(50)]):
+        table = {"".join(rng.choice("abc▁") for _ in range(rng.randint(1, 7))): (300 + i, rng.choice(scores)) for i in range(120)}
+        table |= {c: (600 + i, rng.choice(scores)) for i, c in enumerate("abc▁")}
+        m = pieces.Pieces(table, list(range(256)), 2)
+        parts = sorted({"".join(rng.choice("abc ") for _ in range(rng.randint(1, pieces.CHUNK_PART))) for _ in range(400)} | {"a"})
+        want = [m.best(p, 2) for p in parts]
+        assert any(len(w) == 1 for w in want)
+        got = m.lattices.best_two(parts)
+        assert [[(s, tuple(np.frombuffer(i, dtype="<u4").tolist())) for i, s in zip(*g)] for g in got] == want
+        assert m.entries(parts) == {p: m.entry(p) for p in parts}
+    of = pieces.from_file(public_tokenizers.path("piece_bpe_32k.model"), 2)
+    texts = ["the same words, over and over", "naïve café 北京 x" + "ab" * 90, ""]
+    want = [of.nbest(t, 2) for t in texts]
+
+    def alone(part, n):
+        assert len(part) > pieces.CHUNK_PART or not of.lattices.single.issuperset(part)   # all others are searched side by side
+        return best(part, n)
+
+    best, of.best = of.best, alone
+    for text, w, units in zip(texts, want, of.units(texts)):
+        got = of.combined(units)
+        assert [np.frombuffer(i, dtype="<u4").tolist() for i, _ in got] == [list(i) for _, i in w] and [s for _, s in got] == pytest.approx([s for s, _ in w])
+
+
 def test_pieces_of_runs_of_spaces():
     of = pieces.loaded(public_tokenizers.path("piece_bpe_32k.model"), 2)
     assert sum("▁" in p[1:] for p in of.pieces) == 14
