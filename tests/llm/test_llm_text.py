@@ -14,7 +14,7 @@ from llm_frames import TEXTS, lower, no_docs, odd_docs
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from basketry.llm import common, language, licenses, packing, pieces, pii, tokens
+from basketry.llm import common, language, licenses, packing, pieces, pii, queries, tokens
 
 HARD = ["", "  a  b", " a", "a ", "a \n b", "x<|endoftext|> <|endoftext|>y <|ENDOFTEXT|>", "don't won't I'LL ' s", "a\t b 　c", "日本 語  x  y ź ́q J̌ H̱",
         "é ß. ü, ÀÉ: foo; a.b. c?! d? Σας ΟΔΟΣ İstanbul K", "\x1c a \x85 b", "x" * 3000 + " " + "y" * 300, "12 345 6, 7. ---- ... .a ª º µ", "\xad ​ x"]
@@ -370,6 +370,23 @@ def test_pieces_round_trip(spark):
         assert of.decode(list(of.nbest(t, 1)[0][1])) == t
 
 
+def test_pieces_query_decodes_what_it_encoded(spark):
+    """The registered query decodes the whole ids of each of its segmentations, and gives a digest of the text that came out."""
+    rows = queries.op8_pieces(spark, SF_SMALL).collect()
+    want = {d: (t or "").encode() for d, t in texts_of(common.table(spark, SF_SMALL, "documents"))}
+    assert len(rows) == len(want) > 50
+    assert all(r.round_trip and (r.decoded_bytes, r.decoded_crc32) == (len(want[r.doc_id]), zlib.crc32(want[r.doc_id])) for r in rows)
+    odd = odd_docs(spark)
+    rows = pieces.encode(odd, with_decoded=True).collect()
+    assert Counter((r.doc_id, r.decoded_bytes, r.decoded_crc32, r.round_trip) for r in rows) == Counter(
+        (d, len(t), zlib.crc32(t), True) for d, t in ((d, (t or "").encode()) for d, t in texts_of(odd)))
+    # it is the ids that are decoded: other ids, another text
+    of = pieces.from_file(public_tokenizers.path("piece_bpe_32k.model"), 2)
+    ids = [np.frombuffer(data, dtype="<u4") for data, _ in of.combined(of.units(["one two  three \u2581 \u65e5\u672c"])[0])]
+    assert len(ids) == 2 and {of.decoded(i).decode() for i in ids} == {"one two  three \u2581 \u65e5\u672c"}
+    assert of.decoded(ids[0][::-1]) != of.decoded(ids[0]) and of.decoded(ids[0][:-1]) != of.decoded(ids[0])
+
+
 def test_licenses(spark):
     for docs in (common.table(spark, SF_CHECK, "documents"), odd_docs(spark)):
         want = Counter()
